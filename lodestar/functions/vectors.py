@@ -176,3 +176,8 @@ def window_patch(v: ColumnOrName, width: int, r0: Column, c0: Column, p: int) ->
             lambda dr: F.slice(arr, (r0 + dr) * width + c0 + 1, p),
         )
     )
+
+
+def rnd(x: ColumnOrName, n: int = 6) -> Column:
+    """Round for reporting; ``+ 0.0`` folds a negative zero into zero."""
+    return F.round(_c(x), n) + F.lit(0.0)
