@@ -73,3 +73,59 @@ def exact_sq_dists(q: np.ndarray, c: np.ndarray, budget: int = 1 << 22) -> np.nd
         d = q[s : s + step, None, :] - c[None, :, :]
         out[s : s + step] = np.einsum("ijk,ijk->ij", d, d)
     return out
+
+
+def group_sizes(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows per key on both sides → (keys..., n_left, n_right)."""
+    nl = left.groupBy(*[F.col(k).alias(k) for k in keys]).agg(F.count("*").alias("n_left"))
+    nr = right.groupBy(*[F.col(k).alias(k) for k in keys]).agg(F.count("*").alias("n_right"))
+    return nl.join(nr, keys)
+
+
+def split_hot(left: DataFrame, right: DataFrame, keys: list[str], pair_limit: int = BLOCK_ROWS * 64):
+    """Split both sides into (cold, hot) by the number of pairs their key would form.
+
+    Cold keys go through an ordinary equi-join; hot keys (one key may hold a
+    third of the data) go through ``cogroup_grouped_blocks`` so no task holds
+    more than a block per side.
+    """
+    sizes = group_sizes(left, right, keys)
+    hot = sizes.where(F.col("n_left") * F.col("n_right") > pair_limit)
+    hot_keys = hot.select(*[F.col(k).alias(k) for k in keys], "n_left", "n_right")
+    return (
+        left.join(hot_keys.select(*keys), keys, "left_anti"),
+        right.join(hot_keys.select(*keys), keys, "left_anti"),
+        hot_keys,
+    )
+
+
+def cogroup_grouped_blocks(
+    left: DataFrame,
+    right: DataFrame,
+    keys: list[str],
+    sizes: DataFrame,
+    left_id: str,
+    right_id: str,
+    fn: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame],
+    schema: str,
+    rows_per_block: int = BLOCK_ROWS,
+) -> DataFrame:
+    """Like ``cogroup_blocks`` but within each key: a key with many rows is cut into
+    ceil(rows / rows_per_block) sub-blocks per side, each pair of sub-blocks is one task."""
+    s = sizes.select(
+        *keys,
+        F.greatest(F.lit(1), F.ceil(F.col("n_left") / rows_per_block)).cast("int").alias("_sl"),
+        F.greatest(F.lit(1), F.ceil(F.col("n_right") / rows_per_block)).cast("int").alias("_sr"),
+    )
+    lb = left.join(s, keys).withColumn("_lb", F.pmod(F.xxhash64(F.col(left_id)), F.col("_sl")).cast("int")).withColumn(
+        "_rb", F.explode(F.sequence(F.lit(0), F.col("_sr") - 1))).drop("_sl", "_sr")
+    rb = right.join(s, keys).withColumn("_rb", F.pmod(F.xxhash64(F.col(right_id)), F.col("_sr")).cast("int")).withColumn(
+        "_lb", F.explode(F.sequence(F.lit(0), F.col("_sl") - 1))).drop("_sl", "_sr")
+
+    def run(lpdf: pd.DataFrame, rpdf: pd.DataFrame) -> pd.DataFrame:
+        if len(lpdf) == 0 or len(rpdf) == 0:
+            return pd.DataFrame({f.split()[0]: [] for f in schema.split(",")})
+        return fn(lpdf.drop(columns=["_lb", "_rb"]), rpdf.drop(columns=["_lb", "_rb"]))
+
+    g = list(keys) + ["_lb", "_rb"]
+    return lb.groupBy(*g).cogroup(rb.groupBy(*g)).applyInPandas(run, schema)
