@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestar.functions.vectors import rbf, window_patch
@@ -69,26 +69,21 @@ def pyramid_max_pool(df: DataFrame, vec: str, c: int, w: int, h: int, box: tuple
     def cell(ch_i, xx, yy):
         return F.element_at(t, ch_i * (w * h) + xx * h + yy + 1)
 
-    parts = []
-    for k in levels:
-        parts.append(
-            F.flatten(F.transform(
-                F.sequence(F.lit(0), F.lit(c - 1)),
-                lambda ci, k=k: F.flatten(F.transform(
-                    F.sequence(F.lit(0), F.lit(k - 1)),
-                    lambda bx, ci=ci, k=k: F.transform(
-                        F.sequence(F.lit(0), F.lit(k - 1)),
-                        lambda by, bx=bx, ci=ci, k=k: F.array_max(F.flatten(F.transform(
-                            F.sequence(x0 + F.floor(bx * cw / k).cast("int"),
-                                       x0 + F.ceil((bx + 1) * cw / k).cast("int") - 1),
-                            lambda xx, by=by, ci=ci, k=k: F.transform(
-                                F.sequence(y0 + F.floor(by * ch / k).cast("int"),
-                                           y0 + F.ceil((by + 1) * ch / k).cast("int") - 1),
-                                lambda yy, xx=xx, ci=ci: cell(ci, xx, yy),
-                            ),
-                        ))),
-                    ),
-                )),
-            ))
-        )
+    def level(k: int) -> Column:
+        def xs(bx):
+            return F.sequence(x0 + F.floor(bx * cw / k).cast("int"), x0 + F.ceil((bx + 1) * cw / k).cast("int") - 1)
+
+        def ys(by):
+            return F.sequence(y0 + F.floor(by * ch / k).cast("int"), y0 + F.ceil((by + 1) * ch / k).cast("int") - 1)
+
+        def bin_max(ci, bx, by):
+            return F.array_max(F.flatten(F.transform(xs(bx), lambda xx: F.transform(ys(by), lambda yy: cell(ci, xx, yy)))))
+
+        bins = F.sequence(F.lit(0), F.lit(k - 1))
+        return F.flatten(F.transform(
+            F.sequence(F.lit(0), F.lit(c - 1)),
+            lambda ci: F.flatten(F.transform(bins, lambda bx: F.transform(bins, lambda by: bin_max(ci, bx, by)))),
+        ))
+
+    parts = [level(k) for k in levels]
     return df.withColumn("pooled", F.concat(*parts))

@@ -37,7 +37,9 @@ def boxes(spark: SparkSession, sf: str) -> DataFrame:
         (F.lit(50) + F.col("l_quantity")).cast("int").alias("w"),
         (F.lit(60) + F.lit(5) * F.col("l_linenumber")).cast("int").alias("h"),
         (F.col("l_suppkey") % 18).cast("int").alias("category_id"),
-    ).distinct()
+    ).distinct().withColumn(
+        "box_id", F.xxhash64("img_id", "l_partkey", "l_suppkey", "l_linenumber", "w")
+    )
 
 
 BOXES_SQL = """SELECT DISTINCT l_orderkey AS img_id, l_partkey, l_suppkey, l_linenumber,
