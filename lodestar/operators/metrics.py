@@ -93,11 +93,15 @@ def regression_errors(df: DataFrame, pred: Column | str, y: Column | str, by: Se
     )
 
 
-def log_loss(df: DataFrame, p: Column | str, y: Column | str, eps: float = 1e-15) -> DataFrame:
+def log_loss_expr(p: Column | str, y: Column | str, eps: float = 1e-15) -> Column:
     """A8 probability form: mean −(y log p + (1−y) log(1−p)), p clipped to [eps, 1−eps]."""
     pc = F.least(F.greatest(_c(p), F.lit(eps)), F.lit(1 - eps))
     yy = _c(y).cast("double")
-    return df.agg(F.avg(-(yy * F.log(pc) + (1 - yy) * F.log1p(-pc))).alias("log_loss"))
+    return F.avg(-(yy * F.log(pc) + (1 - yy) * F.log1p(-pc)))
+
+
+def log_loss(df: DataFrame, p: Column | str, y: Column | str, eps: float = 1e-15) -> DataFrame:
+    return df.agg(log_loss_expr(p, y, eps).alias("log_loss"))
 
 
 def softplus(z: Column) -> Column:
@@ -105,10 +109,14 @@ def softplus(z: Column) -> Column:
     return F.greatest(z, F.lit(0.0)) + F.log1p(F.exp(-F.abs(z)))
 
 
-def logit_loss(df: DataFrame, z: Column | str, y: Column | str) -> DataFrame:
+def logit_loss_expr(z: Column | str, y: Column | str) -> Column:
     """A8 logit form: mean softplus(z) − y·z (y in 0/1)."""
     zz = _c(z)
-    return df.agg(F.avg(softplus(zz) - _c(y).cast("double") * zz).alias("log_loss"))
+    return F.avg(softplus(zz) - _c(y).cast("double") * zz)
+
+
+def logit_loss(df: DataFrame, z: Column | str, y: Column | str) -> DataFrame:
+    return df.agg(logit_loss_expr(z, y).alias("log_loss"))
 
 
 def best_checkpoint(history: DataFrame, model: str, metric: str, key: str) -> DataFrame:

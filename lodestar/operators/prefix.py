@@ -73,12 +73,15 @@ def running_totals(
     partition_by: Sequence[str] = (),
     n_ranges: int | None = None,
     exclusive: bool = False,
+    how: str = "sum",
 ) -> DataFrame:
     """Add one running-sum column per entry of ``sums`` (cumulative in ``order_by``).
 
     ``order_by`` is a list of ``(column, ascending)``; the first column must be
     numeric or a timestamp.  ``exclusive=True`` sums strictly earlier rows.
+    ``how="max"`` gives running maxima instead of sums.
     """
+    agg = F.sum if how == "sum" else F.max
     key, asc = order_by[0]
     keyed = df
     if dict(df.dtypes)[key].startswith("timestamp"):
@@ -88,17 +91,21 @@ def running_totals(
     for name, expr in sums.items():
         ranged = ranged.withColumn(f"_v_{name}", expr)
     parts = list(partition_by) + [_RB]
-    totals = ranged.groupBy(*parts).agg(*[F.sum(f"_v_{n}").alias(f"_t_{n}") for n in sums])
+    totals = ranged.groupBy(*parts).agg(*[agg(f"_v_{n}").alias(f"_t_{n}") for n in sums])
     before = Window.partitionBy(*partition_by).orderBy(_RB).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
         *parts,
-        *[F.coalesce(F.sum(f"_t_{n}").over(before), F.lit(0)).alias(f"_o_{n}") for n in sums],
+        *[(F.coalesce(agg(f"_t_{n}").over(before), F.lit(0)) if how == "sum" else agg(f"_t_{n}").over(before)).alias(f"_o_{n}")
+          for n in sums],
     )
     joined = ranged.join(offsets, parts)
     upto = -1 if exclusive else 0
     w = Window.partitionBy(*parts).orderBy(*_order_cols(order_by)).rowsBetween(Window.unboundedPreceding, upto)
     for n in sums:
-        joined = joined.withColumn(n, F.col(f"_o_{n}") + F.coalesce(F.sum(f"_v_{n}").over(w), F.lit(0)))
+        if how == "sum":
+            joined = joined.withColumn(n, F.col(f"_o_{n}") + F.coalesce(F.sum(f"_v_{n}").over(w), F.lit(0)))
+        else:
+            joined = joined.withColumn(n, F.greatest(F.col(f"_o_{n}"), F.max(f"_v_{n}").over(w)))
     drop = [f"_v_{n}" for n in sums] + [f"_o_{n}" for n in sums] + [_RB]
     if "_okey" in joined.columns:
         drop.append("_okey")
