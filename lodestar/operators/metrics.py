@@ -143,8 +143,12 @@ def best_threshold(df: DataFrame, score: str, label: str, by: Sequence[str] = ()
     counts = score_counts(df, score, label, by).withColumn("neg", F.col("n") - F.col("pos"))
     cum = running_totals(counts, [(score, True)], {"pos_below": F.col("pos"), "neg_below": F.col("neg")},
                          partition_by=by, exclusive=True)
-    w_all = Window.partitionBy(*by)
-    cum = cum.withColumn("total_neg", F.sum("neg").over(w_all)).withColumn(
+    if by:
+        cum = cum.withColumn("total_neg", F.sum("neg").over(Window.partitionBy(*by)))
+    else:
+        total_neg = counts.agg(F.sum("neg")).first()[0] or 0  # one scalar
+        cum = cum.withColumn("total_neg", F.lit(int(total_neg)).cast("long"))
+    cum = cum.withColumn(
         "errors", F.col("pos_below") + (F.col("total_neg") - F.col("neg_below"))
     )
     return cum.groupBy(*by).agg(
