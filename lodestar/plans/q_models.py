@@ -157,3 +157,51 @@ def decision_tree_cv(spark: SparkSession, sf: str) -> DataFrame:
         rows.append((g, float(np.mean(errs)), float(np.std(errs, ddof=1) / np.sqrt(len(errs)))))
     d.unpersist()
     return spark.createDataFrame(rows, "min_info_gain double, cv_error double, se double")
+
+
+@register("standardize_columns", sql=f"""
+WITH s AS (SELECT avg(l_quantity) AS mq, stddev_samp(l_quantity) AS sq, avg(l_discount) AS md, max(l_discount) - min(l_discount) AS rd FROM lineitem)
+SELECT l_orderkey, l_linenumber, {R('(l_quantity - mq) / sq')} AS quantity_sd, {R('(l_discount - md) / rd')} AS discount_range FROM lineitem, s
+""")
+def standardize_columns(spark: SparkSession, sf: str) -> DataFrame:
+    """Quantity by (x − mean)/sd and discount by (x − mean)/(max − min); statistics from one aggregate."""
+    from lodestar.operators.stats import standardize
+
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_discount")
+    a = standardize(li, ["l_quantity"], "sd")
+    a = standardize(a, ["l_discount"], "range", stats_from=li)
+    return a.select("l_orderkey", "l_linenumber", V.rnd("l_quantity").alias("quantity_sd"), V.rnd("l_discount").alias("discount_range"))
+
+
+@register("smoothing_spline")
+def smoothing_spline(spark: SparkSession, sf: str) -> DataFrame:
+    """M3: generalized ridge (XᵀX + λΩ)⁻¹Xᵀy on the hinge basis of the 6-hour series with a
+    second-difference penalty on the hinge coefficients; fitted curve per bucket; rows-only check."""
+    from lodestar.functions.vectors import hinge_basis
+    from lodestar.operators.stats import gram
+
+    s = derived.series(spark, sf)
+    t0 = s.agg(F.min("t")).first()[0]  # one scalar
+    knots = [float(k) for k in range(6, 120, 6)]
+    b = s.select("t", "y", hinge_basis(F.col("t") - F.lit(t0), knots).alias("basis"))
+    names = [f"b{i}" for i in range(1, len(knots) + 1)]
+    wide = b.select("t", "y", *[F.col("basis")[i].alias(n) for i, n in enumerate(names, start=1)],
+                    (F.col("t") - F.lit(t0)).cast("double").alias("x"))
+    xs = ["x"] + names
+    xtx, xty, _, _ = gram(wide, "y", xs)
+    m = len(names)
+    d = np.zeros((m - 2, m))
+    for i in range(m - 2):
+        d[i, i:i + 3] = [1.0, -2.0, 1.0]
+    omega = np.zeros((len(xs) + 1, len(xs) + 1))
+    omega[2:, 2:] = d.T @ d
+    beta = linear.solve(xtx, xty, 10.0, omega=omega)
+    return wide.select("t", "y", linear.predict(beta, xs).alias("fitted"))
+
+
+@register("squared_loss_gd")
+def squared_loss_gd(spark: SparkSession, sf: str) -> DataFrame:
+    """Linear model with squared loss trained by distributed gradient sums (Nesterov); rows-only check."""
+    hist = nets.train(_binary(spark, sf), 65, nets.squared_grad, rate=0.5, lam=0.0, iters=30)
+    return spark.createDataFrame([(h["iteration"], h["loss"], h["grad_norm"]) for h in hist],
+                                 "iteration int, loss double, grad_norm double")

@@ -107,8 +107,8 @@ j AS (SELECT coalesce(sp.node, dm.node, o.node, i.node) AS node, coalesce(supply
         coalesce(demand, 0.0) AS demand, coalesce(shipped_in, 0.0) AS shipped_in, coalesce(cost_out, 0.0) AS cost_out
       FROM sp FULL OUTER JOIN dm ON sp.node = dm.node FULL OUTER JOIN o ON coalesce(sp.node, dm.node) = o.node
       FULL OUTER JOIN i ON coalesce(sp.node, dm.node, o.node) = i.node)
-SELECT node, {R('supply', 2)} AS supply, {R('shipped_out', 2)} AS shipped_out, {R('demand', 2)} AS demand, {R('shipped_in', 2)} AS shipped_in,
-  {R('cost_out', 2)} AS cost_out, {R('supply - shipped_out', 2)} AS unused_supply, {R('demand - shipped_in', 2)} AS unmet_demand FROM j
+SELECT node, {R('supply', 4)} AS supply, {R('shipped_out', 4)} AS shipped_out, {R('demand', 4)} AS demand, {R('shipped_in', 4)} AS shipped_in,
+  {R('cost_out', 4)} AS cost_out, {R('supply - shipped_out', 4)} AS unused_supply, {R('demand - shipped_in', 4)} AS unmet_demand FROM j
 """)
 def audit_transport_q(spark: SparkSession, sf: str) -> DataFrame:
     """Transport plan (edge capacities) against nation supply and demand."""
@@ -116,7 +116,7 @@ def audit_transport_q(spark: SparkSession, sf: str) -> DataFrame:
     sp = table(spark, sf, "supplier").groupBy(F.col("s_nationkey").alias("node")).agg((F.sum("s_acctbal") / 10).alias("supply"))
     dm = table(spark, sf, "customer").groupBy(F.col("c_nationkey").alias("node")).agg((F.sum("c_acctbal") / 100).alias("demand"))
     a = network.audit_transport(e, sp, dm)
-    return a.select("node", *[V.rnd(c, 2).alias(c) for c in
+    return a.select("node", *[V.rnd(c, 4).alias(c) for c in
                               ["supply", "shipped_out", "demand", "shipped_in", "cost_out", "unused_supply", "unmet_demand"]])
 
 
