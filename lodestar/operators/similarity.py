@@ -107,7 +107,10 @@ def knn_join(
 
 def knn_join_expr(queries: DataFrame, candidates: DataFrame, k: int, qid: str = "vec_id",
                   cid: str = "vec_id", vec: str = "v", exclude_self: bool = False) -> DataFrame:
-    """J7 as pure column expressions over a theta join (small inputs, same answer as ``knn_join``)."""
+    """J7 as pure column expressions over a theta join.
+
+    Quadratic in rows: only for tiny inputs and as a test reference for ``knn_join``;
+    no registered query uses it."""
     from lodestar.functions.vectors import l2_distance
 
     q = queries.select(F.col(qid).alias("query_id"), F.col(vec).cast("array<double>").alias("_qv"))
@@ -146,8 +149,9 @@ def knn_classify_many_k(train: DataFrame, test: DataFrame, ks: Sequence[int], ve
     kmax = max(ks)
     nb = knn_join(test, train, kmax, qid=id_col, cid=id_col, vec=vec, exclude_self=exclude_self,
                   carry=[(label, "int")])
-    kk = nb.sparkSession.createDataFrame([(int(k),) for k in ks], "k int")
-    per = nb.join(F.broadcast(kk), F.col("rank") <= F.col("k"))
+    # each neighbour counts for every k at or above its rank (a generator, not a join)
+    karr = F.array(*[F.lit(int(k)) for k in sorted(ks)])
+    per = nb.withColumn("k", F.explode(F.filter(karr, lambda k: k >= F.col("rank"))))
     agg = per.groupBy("k", "query_id", label).agg(F.count("*").alias("votes"), F.min("distance").alias("nearest"))
     score = F.col("votes").cast("double")
     if priors is not None:

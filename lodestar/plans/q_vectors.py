@@ -245,9 +245,10 @@ SELECT query_id, neighbour_id, CAST(row_number() OVER (PARTITION BY query_id ORD
   {R('distance')} AS distance FROM nb
 """)
 def knn_join_expression(spark: SparkSession, sf: str) -> DataFrame:
-    """J3 + J7 in expression form (theta join + WindowGroupLimit); the small-input twin of ``knn_neighbours``."""
+    """J3 + J7 on a fixed 4 × 4 block grid: per-block top-k lists merged by a WindowGroupLimit
+    (exercises the multi-block merge that ``knn_neighbours`` skips when one candidate block suffices)."""
     v = derived.vectors(spark, sf)
-    nb = similarity.knn_join_expr(v, v, K, exclude_self=True)
+    nb = similarity.knn_join(v, v, K, exclude_self=True, n_query_blocks=4, n_cand_blocks=4)
     return nb.select("query_id", "neighbour_id", "rank", V.rnd("distance").alias("distance"))
 
 
