@@ -74,21 +74,34 @@ def loo_and_gcv(df: DataFrame, y: str, xs: Sequence[str], lam: float) -> DataFra
 
 
 def fold_grams(df: DataFrame, y: str, xs: Sequence[str], fold: str) -> dict:
-    """Per-fold (XᵀX, Xᵀy, yᵀy, n) with an intercept column, from one grouped pass."""
-    cols = ["_one"] + list(xs) + [y]
-    src = df.select(F.col(fold).alias("_fold"), F.lit(1.0).alias("_one"),
-                    *[F.col(c).cast("double").alias(c) for c in list(xs) + [y]])
-    out = {}
-    for f in [r[0] for r in src.select("_fold").distinct().collect()]:  # fold ids (bounded by the fold count)
-        ent = gram_entries(src.where(F.col("_fold") == f), cols=cols).collect()
-        m = np.zeros((len(cols), len(cols)))
-        n = 0
-        for r in ent:
-            m[r["i"], r["j"]] = r["s"]
-            n = r["n"]
-        q = len(cols) - 1
-        out[f] = (m[:q, :q], m[:q, q], float(m[q, q]), int(n))
-    return out
+    """Per-fold (XᵀX, Xᵀy, yᵀy, n) with an intercept column from ONE scan: every partition
+    emits one partial Gram per fold it holds, a grouped sum merges them."""
+    import pandas as pd
+
+    names = list(xs) + [y]
+    q = len(names)  # intercept + xs, then y last
+    src = df.select(F.col(fold).cast("long").alias("_fold"), *[F.col(c).cast("double").alias(c) for c in names])
+
+    def part(it):
+        acc: dict = {}
+        for pdf in it:
+            for f, g in pdf.groupby("_fold"):
+                x = np.column_stack([np.ones(len(g)), g[names].to_numpy(dtype=np.float64)])
+                m, n = acc.get(f, (np.zeros((q + 1, q + 1)), 0))
+                acc[f] = (m + x.T @ x, n + len(g))
+        for f, (m, n) in acc.items():
+            ii, jj = np.meshgrid(np.arange(q + 1), np.arange(q + 1), indexing="ij")
+            yield pd.DataFrame({"fold": np.full(m.size, f, dtype=np.int64), "i": ii.ravel().astype(np.int32),
+                                "j": jj.ravel().astype(np.int32), "s": m.ravel(), "n": np.full(m.size, n, dtype=np.int64)})
+
+    tot = src.mapInPandas(part, "fold long, i int, j int, s double, n long").groupBy("fold", "i", "j").agg(
+        F.sum("s").alias("s"), F.sum("n").alias("n")).collect()  # folds × (p+2)² numbers
+    mats: dict = {}
+    for r in tot:
+        m, n = mats.get(r["fold"], (np.zeros((q + 1, q + 1)), 0))
+        m[r["i"], r["j"]] = r["s"]
+        mats[r["fold"]] = (m, r["n"])
+    return {f: (m[:q, :q], m[:q, q], float(m[q, q]), int(n)) for f, (m, n) in mats.items()}
 
 
 def cv_ridge(df: DataFrame, y: str, xs: Sequence[str], fold: str, lambdas: Sequence[float]) -> list[dict]:
