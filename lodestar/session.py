@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,6 +44,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give the Python workers this package, so that they need not see the folder it was started from.
+
+    The zip is made once a session in the driver's temporary folder and served to the executors by Spark.
+    """
+    sc = spark.sparkContext
+    if _shipped.get("app") == sc.applicationId:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    made = os.path.join(tempfile.mkdtemp(prefix="lodestar-package-"), "lodestar_package.zip")
+    with zipfile.ZipFile(made, "w") as out:
+        for folder, _, names in os.walk(package):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                path = os.path.join(folder, name)
+                out.write(path, os.path.relpath(path, os.path.dirname(package)))
+    sc.addPyFile(made)
+    _shipped["app"] = sc.applicationId
+
+
+_shipped: dict[str, str] = {}
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder used to cut lineage.
 
