@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lodestar.llm import bpe, counting, mixing, sharding
+from lodestar.llm import bpe, counting, mixing, quality, sharding, toxicity
 from lodestar.llm.common import table
 
 
@@ -20,16 +20,28 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                        public_tokenizers.PATTERN)
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity of every document."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return toxicity.toxicity_scores(docs, toxicity.train(docs, labels))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes and tokens of every document."""
     return counting.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality of every document."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return quality.quality_scores(docs, quality.train(docs, labels))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shard and slot of every document."""
     return sharding.shard_documents(table(spark, sf_dir, "documents"), 8)
 
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op3_bpe, op8_token_counts, op10_sharding)}
+QUERIES = {f.__name__: f for f in (op1_mixing, op3_bpe, op4_toxicity, op8_token_counts, op9_quality, op10_sharding)}
 
 ORACLE: dict[str, str] = {}
