@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lodestar.llm import bpe, counting, mixing, quality, sharding, toxicity
+from lodestar.llm import bpe, counting, covertree, mixing, quality, sharding, simhash, toxicity
 from lodestar.llm.common import table
 
 
@@ -14,6 +14,11 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed_documents(table(spark, sf_dir, "documents"))
 
 
+def op2_covertree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector with its links and its group."""
+    return covertree.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded again."""
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
@@ -26,6 +31,11 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_scores(docs, toxicity.train(docs, labels))
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its fingerprint and its group."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes and tokens of every document."""
     return counting.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
@@ -42,6 +52,24 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"), 8)
 
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op3_bpe, op4_toxicity, op8_token_counts, op9_quality, op10_sharding)}
-
-ORACLE: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_mixing, op2_covertree, op3_bpe, op4_toxicity, op5_simhash, op8_token_counts, op9_quality, op10_sharding)}
+
+ORACLE = {
+    "op2_covertree": """
+        WITH RECURSIVE v AS (
+            SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+        ok AS (
+            SELECT * FROM v WHERE label IS NOT NULL AND x IS NOT NULL AND len(x) > 0
+                AND len(list_filter(x, e -> e IS NULL OR NOT isfinite(e))) = 0 AND list_dot_product(x, x) > 0),
+        pairs AS (
+            SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.x) = len(b.x)
+            WHERE list_dot_product(a.x, b.x) / (sqrt(list_dot_product(a.x, a.x)) * sqrt(list_dot_product(b.x, b.x))) >= 0.98),
+        reach AS (
+            SELECT vec_id AS a, vec_id AS b FROM v
+            UNION
+            SELECT r.a, p.b FROM reach r JOIN pairs p ON p.a = r.b),
+        least AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a),
+        n AS (SELECT a, count(*) AS n_links FROM pairs GROUP BY a)
+        SELECT v.vec_id, coalesce(n.n_links, 0) AS n_links, least.component_id, v.vec_id = least.component_id AS kept
+        FROM v LEFT JOIN n ON n.a = v.vec_id JOIN least ON least.a = v.vec_id""",
+}
