@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lodestar.llm.common import WORD, running_totals, unit
+from lodestar.llm.common import WORD, row_key, running_totals, unit
+from lodestar.session import cut_lineage
 
 #: Words of a block.
 BLOCK = 256
@@ -136,3 +137,22 @@ def mixed_documents(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, passe
     return (pieces.groupBy("source", "_id", "size", "copy")
             .agg(F.first("source_size").alias("source_size"), F.first("target").alias("target"), F.sum("words").alias("taken"))
             .select(F.col("_id").alias(id_col), "source", "size", "source_size", "target", "taken"))
+
+
+def mixed_copies(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, passes: int = PASSES, block: int = BLOCK,
+                 seed: int = 0, text: str = "text", source: str = "source") -> DataFrame:
+    """The rows of ``docs`` as whole documents in the proportions of the mix, with all their columns.
+
+    A document appears once for each pass in which the mix takes at least half of its words, so a
+    source's words come within about one document of its target; documents that the mix does not
+    reach, or that have no words, do not appear.  Equal rows are counted, and each copy is decided
+    on its own.
+    """
+    k1, k2 = row_key(docs)
+    keyed = docs.withColumn("_k1", k1).withColumn("_k2", k2)
+    rows = keyed.select("_k1", "_k2", F.col(source).alias("source"), n_words(F.col(text)).alias("size"))
+    _, pieces = mix(rows, weights, passes, block, seed)
+    taken = pieces.where("words > 0").groupBy("_k1", "_k2", "copy", "pass").agg(F.sum("words").alias("words"), F.first("size").alias("size"))
+    times = taken.where("2 * words >= size").groupBy("_k1", "_k2").agg(F.count(F.lit(1)).alias("_times"))
+    one = keyed.join(times.hint("merge"), ["_k1", "_k2"]).dropDuplicates(["_k1", "_k2"])
+    return one.withColumn("_time", F.explode(F.expr("sequence(1L, _times)"))).select(*[F.col(f"`{c}`") for c in docs.columns])

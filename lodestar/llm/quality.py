@@ -113,8 +113,8 @@ def class_prior(p: np.ndarray, u: np.ndarray, steps: int = 300, seed: int = 0) -
 
     A net is taught to tell positives from unlabelled texts on one half of each.  On the other half,
     above any score, unlabelled texts are at least share * (positives there), and nearly that where no
-    negative scores so high; so the smallest ratio of the two tails, with its sampling error added, is
-    taken.
+    negative scores so high; so the ratio of the two tails is taken where it is smallest with three
+    sampling errors added.
     """
     net, half = Net(p.shape[1], seed=seed), (len(p) // 2, len(u) // 2)
     if min(half) < 5:
@@ -124,11 +124,11 @@ def class_prior(p: np.ndarray, u: np.ndarray, steps: int = 300, seed: int = 0) -
         s = _sigmoid(net(x))
         net.step(x, np.r_[(s[:len(a)] - 1) / len(a), s[len(a):] / len(b)], 0.003)
     sp, su = np.sort(net(p[half[0]:])), np.sort(net(u[half[1]:]))
-    at = np.quantile(sp, np.linspace(0, 0.8, 41))
+    at = np.quantile(sp, np.linspace(0, 0.7, 36))
     tail_p = 1 - np.searchsorted(sp, at) / len(sp)
     tail_u = 1 - np.searchsorted(su, at) / len(su)
     error = np.sqrt(tail_u * (1 - tail_u) / len(su) + tail_p * (1 - tail_p) / len(sp))
-    best = int(np.argmin((tail_u + error) / tail_p))
+    best = int(np.argmin((tail_u + 3 * error) / tail_p))
     return float(np.clip(tail_u[best] / tail_p[best], 0.02, 0.98))
 
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lodestar.llm import bpe, counting, covertree, mixing, quality, sharding, simhash, toxicity
+from lodestar.llm import (bpe, counting, covertree, mixing, quality, repetition, scoring, sharding, simhash,
+                          toxicity)
 from lodestar.llm.common import table
 
 
@@ -36,6 +37,17 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The masked pseudo-log-likelihood of every document, by a network trained on all of them."""
+    docs = table(spark, sf_dir, "documents")
+    return scoring.pseudo_likelihood(docs, *scoring.train(docs))
+
+
+def op7_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repetition figures and the verdict on every document."""
+    return repetition.quality_rules(table(spark, sf_dir, "documents"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes and tokens of every document."""
     return counting.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
@@ -52,7 +64,15 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"), 8)
 
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op2_covertree, op3_bpe, op4_toxicity, op5_simhash, op8_token_counts, op9_quality, op10_sharding)}
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages of ``corpus_pipeline`` over the documents."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+QUERIES = {f.__name__: f for f in (op1_mixing, op2_covertree, op3_bpe, op4_toxicity, op5_simhash, op6_lm_scoring, op7_repetition,
+                                  op8_token_counts, op9_quality, op10_sharding, pipeline)}
 
 ORACLE = {
     "op2_covertree": """
@@ -60,7 +80,7 @@ ORACLE = {
             SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
         ok AS (
             SELECT * FROM v WHERE label IS NOT NULL AND x IS NOT NULL AND len(x) > 0
-                AND len(list_filter(x, e -> e IS NULL OR NOT isfinite(e))) = 0 AND list_dot_product(x, x) > 0),
+                AND len(list_filter(x, lambda e: e IS NULL OR NOT isfinite(e))) = 0 AND list_dot_product(x, x) > 0),
         pairs AS (
             SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.x) = len(b.x)
             WHERE list_dot_product(a.x, b.x) / (sqrt(list_dot_product(a.x, a.x)) * sqrt(list_dot_product(b.x, b.x))) >= 0.98),

@@ -20,7 +20,7 @@ from lodestar.llm.labelled import labelled_texts, remainder
 #: Labelled documents of each class that a model is fitted on at most.
 FIT_ROWS = 2000
 #: Windows that a document gives to the fit at most; a longer one gives those with the smallest hashes.
-FIT_WINDOWS = 400
+FIT_WINDOWS = 250
 #: Words of a window.
 WINDOW = 5
 #: Bytes of a dictionary's part of its own class, and of the part that both share.
@@ -47,7 +47,7 @@ def _sample(text: str | None) -> list[bytes]:
     return sorted(kept, key=zlib.crc32)[:FIT_WINDOWS] if len(kept) > FIT_WINDOWS else kept
 
 
-@functools.lru_cache(maxsize=500_000)
+@functools.lru_cache(maxsize=100_000)
 def _stems(word: bytes) -> frozenset[bytes]:
     """A word and its first bytes, so that inflected forms count together."""
     return frozenset((word, word[:4] + b"*", word[:5] + b"*", word[:6] + b"*"))
