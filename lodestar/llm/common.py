@@ -97,7 +97,8 @@ def running_totals(df: DataFrame, group: list[str], place: Column, order: list[s
     upto = Window.partitionBy(*group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.select(*key, F.coalesce(F.sum("_sum").over(upto), F.lit(0)).alias("_offset"))
     inside = Window.partitionBy(*key).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    return (d.join(sums, key)
+    # the planner does not see how far rows were exploded, so it must not think of a broadcast here
+    return (d.join(sums.hint("merge"), key)
             .withColumn(name, F.col("_offset") + F.coalesce(F.sum("_value").over(inside), F.lit(0)))
             .drop("_offset", "_value", "_range"))
 

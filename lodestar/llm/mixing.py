@@ -98,7 +98,8 @@ def mix(rows: DataFrame, weights: tuple[float, ...] = WEIGHTS, passes: int = PAS
     rank r.  The last block of a source is cut where its target is met.  Null sources are one source.
     """
     keys = [c for c in rows.columns if c not in ("source", "size")]
-    sources = plan(rows, weights, passes, block)
+    rows = cut_lineage(rows)  # counting the words is most of the work, and four steps need the counts
+    sources = cut_lineage(plan(rows, weights, passes, block))
     n, n_sources = sources.agg(F.coalesce(F.sum("blocks"), F.lit(0)), F.count(F.lit(1))).first()
     small = n_sources <= FEW
     dim = F.broadcast(sources) if small else sources
@@ -117,7 +118,7 @@ def mix(rows: DataFrame, weights: tuple[float, ...] = WEIGHTS, passes: int = PAS
     if slots is None:
         d = d.withColumn("slot", F.lit(None).cast("long"))
     else:
-        d = d.join(slots.select("_index", "rank", "slot"), (F.col("index") == F.col("_index")) & (F.col("block") == F.col("rank")), "left")
+        d = d.join(slots.select("_index", "rank", "slot").hint("merge"), (F.col("index") == F.col("_index")) & (F.col("block") == F.col("rank")), "left")
     a, b = F.greatest("lo", F.col("block") * block), F.least("hi", (F.col("block") + 1) * block)
     pieces = d.select("slot", F.greatest("lo", F.col("block") * block).alias("at"), *named, "source", "size", "source_size", "target",
                       "copy", "pass", (a - F.col("lo")).alias("from_word"), F.when(F.col("slot").isNull(), 0).otherwise(b - a).cast("long").alias("words"))
