@@ -14,44 +14,53 @@ from pyspark.sql import functions as F
 from lodestar.operators import blocks
 
 
+def _shared_pixels(start_a: Column, size_a: Column, start_b: Column, size_b: Column) -> Column:
+    """Pixels that two inclusive ranges have in common along one axis."""
+    end = F.least(start_a + size_a, start_b + size_b)
+    return F.greatest(F.lit(0), end - F.greatest(start_a, start_b) + 1)
+
+
 def iou(a: tuple[Column, Column, Column, Column], b: tuple[Column, Column, Column, Column]) -> Column:
-    """intersection over union, +1 on every side (0 when the boxes do not meet)."""
-    x1, y1, w1, h1 = a
-    x2, y2, w2, h2 = b
-    X1, Y1, X2, Y2 = x1 + w1, y1 + h1, x2 + w2, y2 + h2
-    a1 = (w1 + 1) * (h1 + 1)
-    a2 = (w2 + 1) * (h2 + 1)
-    xi, Xi = F.greatest(x1, x2), F.least(X1, X2)
-    yi, Yi = F.greatest(y1, y2), F.least(Y1, Y2)
-    inter = F.when((xi > Xi) | (yi > Yi), F.lit(0.0)).otherwise(((Xi - xi + 1) * (Yi - yi + 1)).cast("double"))
-    return inter / (a1 + a2 - inter)
+    """shared pixels over all pixels of two boxes (0 when they do not meet)."""
+    shared = (_shared_pixels(a[0], a[2], b[0], b[2]) * _shared_pixels(a[1], a[3], b[1], b[3])).cast("double")
+    pixels = (a[2] + 1) * (a[3] + 1) + (b[2] + 1) * (b[3] + 1)
+    return shared / (pixels - shared)
+
+
+def iou_sql(a: str, b: str) -> str:
+    """``iou`` in the oracle's dialect for boxes of two table aliases."""
+    def axis(start, size):
+        return (f"greatest(0, least({a}.{start} + {a}.{size}, {b}.{start} + {b}.{size}) - greatest({a}.{start}, {b}.{start}) + 1)")
+
+    shared = f"CAST({axis('x', 'w')} * {axis('y', 'h')} AS DOUBLE)"
+    return f"({shared} / (({a}.w + 1) * ({a}.h + 1) + ({b}.w + 1) * ({b}.h + 1) - {shared}))"
 
 
 def iou_np(p: np.ndarray, t: np.ndarray) -> np.ndarray:
     """F7 on arrays: proposals p (n×4) against truth t (m×4) → n×m."""
-    x1, y1, w1, h1 = (p[:, i][:, None].astype(np.float64) for i in range(4))
-    x2, y2, w2, h2 = (t[:, i][None, :].astype(np.float64) for i in range(4))
-    xi, Xi = np.maximum(x1, x2), np.minimum(x1 + w1, x2 + w2)
-    yi, Yi = np.maximum(y1, y2), np.minimum(y1 + h1, y2 + h2)
-    inter = np.where((xi > Xi) | (yi > Yi), 0.0, (Xi - xi + 1) * (Yi - yi + 1))
-    return inter / ((w1 + 1) * (h1 + 1) + (w2 + 1) * (h2 + 1) - inter)
+    p, t = p.astype(np.float64)[:, None, :], t.astype(np.float64)[None, :, :]
+    ends = np.minimum(p[..., :2] + p[..., 2:], t[..., :2] + t[..., 2:])
+    shared = np.clip(ends - np.maximum(p[..., :2], t[..., :2]) + 1, 0, None).prod(axis=-1)
+    return shared / ((p[..., 2:] + 1).prod(axis=-1) + (t[..., 2:] + 1).prod(axis=-1) - shared)
+
+
+# fixed values of the feature grid: input pixels, pixels between cell centres, cells
+GRID_INPUT, GRID_STRIDE, GRID_CELLS = 224, 16, 13
+
 
+def _grid_range(start: Column, size: Column, full: Column, pixels: int) -> tuple[Column, Column]:
+    """First and one-past-last grid cell of a range along one axis, scaled to ``pixels`` input pixels."""
+    def nearest(scaled: Column) -> Column:
+        cell = F.floor((scaled + 1 + GRID_STRIDE // 2) / F.lit(float(GRID_STRIDE)))
+        return F.greatest(F.lit(1), F.least(cell, F.lit(GRID_CELLS))).cast("int")
 
-def _cell(v: Column) -> Column:
-    """1-based index of the stride-16 cell whose centre is nearest, clipped to 1..13."""
-    return F.greatest(F.lit(1), F.least(F.floor((v + 8) / 16.0), F.lit(13)))
+    return nearest(F.floor(start * pixels / full)) - 1, nearest(F.ceil((start + size) * pixels / full))
 
 
-def project_box(x: Column, y: Column, w: Column, h: Column, img_w: Column, img_h: Column, size: int = 224) -> Column:
+def project_box(x: Column, y: Column, w: Column, h: Column, img_w: Column, img_h: Column, size: int = GRID_INPUT) -> Column:
     """F8: box → (x0, y0, x1, y1) on the conv grid; start inclusive, end exclusive."""
-    x1 = F.ceil((x + w) * size / img_w)
-    y1 = F.ceil((y + h) * size / img_h)
-    x0 = F.floor(x * size / img_w)
-    y0 = F.floor(y * size / img_h)
-    return F.struct(
-        (_cell(x0 + 1) - 1).cast("int").alias("x0"), (_cell(y0 + 1) - 1).cast("int").alias("y0"),
-        _cell(x1 + 1).cast("int").alias("x1"), _cell(y1 + 1).cast("int").alias("y1"),
-    )
+    (x0, x1), (y0, y1) = _grid_range(x, w, img_w, size), _grid_range(y, h, img_h, size)
+    return F.struct(x0.alias("x0"), y0.alias("y0"), x1.alias("x1"), y1.alias("y1"))
 
 
 def label_proposals(proposals: DataFrame, truth: DataFrame, keys: list[str], box_id: str = "box_id",

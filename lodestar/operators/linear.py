@@ -1,6 +1,6 @@
 """Gram-based linear models and model selection.
 
-One distributed pass reduces the data to XᵀX, Xᵀy and yᵀy (``stats.gram``);
+One distributed pass reduces the data to XᵀX, Xᵀy and yᵀy (``moments.gram``);
 every fit, λ path, fold error and subset search afterwards is p×p algebra on
 the driver — the rows are never rescanned.  Held-out fold errors come from
 the fold's own Gram: Σ(y − xβ)² = yᵀy − 2βᵀXᵀy + βᵀXᵀXβ.
@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.operators.stats import gram, gram_entries
+from lodestar.operators.moments import gram, gram_entries
 
 
 def solve(xtx: np.ndarray, xty: np.ndarray, lam: float = 0.0, penalize_first: bool = False,
@@ -170,7 +170,7 @@ def stepwise(df: DataFrame, y: str, xs: Sequence[str], direction: str = "forward
 def pca(df: DataFrame, k: int, vec: str = "v") -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """M6: top-k eigenpairs of the sample covariance (p×p on the driver); each
     component's sign makes its largest-magnitude entry positive."""
-    from lodestar.operators.stats import covariance_numpy
+    from lodestar.operators.moments import covariance_numpy
 
     mean, cov, _ = covariance_numpy(df, vec)
     w, v = np.linalg.eigh(cov)

@@ -32,13 +32,33 @@ def hash_vector(vec: Column, table_id: Column, k: int, dim: int, r: float, salt:
     )
 
 
+def coefficients(n_tables: int, k: int, dim: int, salt: float = 0.0) -> np.ndarray:
+    """The hash family as a matrix: one row for each position, one column for each (table, hash)."""
+    column, position = np.arange(n_tables * k)[None, :], np.arange(dim)[:, None]
+    return np.sin(COEF_SCALE * (column * dim + position) + salt)
+
+
 def hash_table(df: DataFrame, n_tables: int, k: int, r: float, dim: int, vec: str = "v",
                keep: tuple[str, ...] = ("vec_id", "label"), salt: float = 0.0) -> DataFrame:
-    """F10 + P11: one row per (vector, table) with the colon-joined bucket text."""
-    x = df.select(*keep, F.col(vec).cast("array<double>").alias("_v")).withColumn(
-        "table_id", F.explode(F.sequence(F.lit(0), F.lit(n_tables - 1))))
-    x = x.withColumn("_h", hash_vector(F.col("_v"), F.col("table_id"), k, dim, r, salt))
-    return x.select(*keep, "table_id", bucket_key("_h").alias("bucket"), F.col("_v").alias(vec))
+    """F10 + P11: one row per (vector, table) with the colon-joined bucket text.
+
+    The family's matrix is made once per task; a batch of vectors is hashed for all tables together.
+    """
+    x = df.select(*keep, F.col(vec).cast("array<double>").alias(vec))
+    schema = x.withColumn("_hashes", F.lit(None).cast("array<string>")).schema
+
+    def run(batches):
+        family = coefficients(n_tables, k, dim, salt)
+        for pdf in batches:
+            m = blocks.matrix(pdf[vec])
+            dots = np.zeros((len(pdf), n_tables * k))
+            for i in range(m.shape[1]):  # in the order of a sequential sum
+                dots += m[:, i, None] * family[i]
+            h = np.floor(dots / r).astype(np.int64).reshape(len(pdf), n_tables, k).astype(str)
+            yield pdf.assign(_hashes=[[":".join(t) for t in row] for row in h])
+
+    hashed = x.mapInPandas(run, schema)
+    return hashed.select(*keep, F.posexplode("_hashes").alias("table_id", "bucket"), vec)
 
 
 def write_index(index: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -74,30 +94,12 @@ def _bucket_topk(k: int, exclude_self: bool, carry: list[str]):
         q = blocks.matrix(qp["_qv"])
         c = blocks.matrix(cp["_cv"])
         d2 = blocks.exact_sq_dists(q, c)
-        qids = qp["_qid"].to_numpy()
-        cids = cp["_cid"].to_numpy()
+        qids, cids = qp["_qid"].to_numpy(), cp["_cid"].to_numpy()
         if exclude_self:
             d2[qids[:, None] == cids[None, :]] = np.inf
-        rows_q, rows_c, rows_d, rows_x = [], [], [], {e: [] for e in carry}
-        for i in range(q.shape[0]):
-            row = d2[i]
-            ok = np.nonzero(np.isfinite(row))[0]
-            if ok.size == 0:
-                continue
-            order = ok[np.lexsort((cids[ok], row[ok]))][:k]
-            rows_q.append(np.full(order.shape[0], qids[i]))
-            rows_c.append(cids[order])
-            rows_d.append(np.sqrt(row[order]))
-            for e in carry:
-                rows_x[e].append(cp[e].to_numpy()[order])
-        out = {
-            "query_id": np.concatenate(rows_q) if rows_q else np.array([], dtype=np.int64),
-            "neighbour_id": np.concatenate(rows_c) if rows_c else np.array([], dtype=np.int64),
-            "distance": np.concatenate(rows_d) if rows_d else np.array([], dtype=np.float64),
-        }
-        for e in carry:
-            out[e] = np.concatenate(rows_x[e]) if rows_x[e] else np.array([])
-        return pd.DataFrame(out)
+        row, col = blocks.nearest(d2, cids, k)
+        out = {"query_id": qids[row], "neighbour_id": cids[col], "distance": np.sqrt(d2[row, col])}
+        return pd.DataFrame(out | {e: cp[e].to_numpy()[col] for e in carry})
 
     return fn
 
@@ -161,11 +163,10 @@ def lsh_neighbours(per_table: DataFrame, k: int) -> DataFrame:
     return top_k_per_query(x, k)
 
 
-def mean_neighbour_distance(by_l: DataFrame, k: int) -> DataFrame:
-    """Per L, mean neighbour distance over queries that have k neighbours at every L."""
+def mean_neighbour_distance(by_l: DataFrame, k: int, n_tables: int) -> DataFrame:
+    """Per L, mean neighbour distance over queries that have k neighbours at every L (1 to ``n_tables``)."""
     full = by_l.groupBy("L", "query_id").agg(F.count("*").alias("n"))
-    n_l = by_l.select("L").distinct().count()
-    ok = full.where(F.col("n") == k).groupBy("query_id").agg(F.count("*").alias("m")).where(F.col("m") == n_l)
+    ok = full.where(F.col("n") == k).groupBy("query_id").agg(F.count("*").alias("m")).where(F.col("m") == n_tables)
     kept = by_l.join(ok.select("query_id"), "query_id", "left_semi")
     return kept.groupBy("L").agg(F.avg("distance").alias("mean_distance"), F.countDistinct("query_id").alias("queries"))
 

@@ -28,7 +28,7 @@ def column_stats(df: DataFrame, vec: str = "v", by: Sequence[str] = ()) -> DataF
     )
 
 
-def stats_arrays(df: DataFrame, vec: str = "v") -> DataFrame:
+def mean_sd_arrays(df: DataFrame, vec: str = "v") -> DataFrame:
     """A1 in array form: one row with mean / sd arrays (p doubles each).
 
     Uses ``Summarizer`` — a single tree aggregation, no explode."""
@@ -83,14 +83,14 @@ def gram_entries(df: DataFrame, cols: Sequence[str] | None = None, vec: str | No
 
 def covariance_matrix(df: DataFrame, vec: str = "v") -> DataFrame:
     """A2: sample covariance (n − 1) as (i, j, cov); centred on the exact means first."""
-    means = stats_arrays(df, vec).first()["mean"]
+    means = mean_sd_arrays(df, vec).first()["mean"]
     g = gram_entries(df, vec=vec, center=list(means))
     return g.select("i", "j", (F.col("s") / (F.col("n") - 1)).alias("cov"))
 
 
 def covariance_numpy(df: DataFrame, vec: str = "v") -> tuple[np.ndarray, np.ndarray, int]:
     """(mean, cov, n) as NumPy arrays on the driver — p×p only."""
-    st = stats_arrays(df, vec).first()
+    st = mean_sd_arrays(df, vec).first()
     means = np.asarray(st["mean"])
     g = gram_entries(df, vec=vec, center=list(means)).collect()
     p = len(means)
@@ -121,14 +121,14 @@ def gram(df: DataFrame, y: str, xs: Sequence[str], intercept: bool = True) -> tu
     return m[:q, :q], m[:q, q], float(m[q, q]), int(n)
 
 
-def standardize(df: DataFrame, cols: Sequence[str], how: str = "sd", stats_from: DataFrame | None = None) -> DataFrame:
-    """Standardize columns with statistics from ``stats_from`` (the training split).
+def standardize(df: DataFrame, cols: Sequence[str], how: str = "sd", measured_on: DataFrame | None = None) -> DataFrame:
+    """Standardize columns with statistics from ``measured_on`` (the training split).
 
     how = "sd": (x−mean)/sd; "range": (x−mean)/(max−min); "var": (x−mean)/var with 0→1;
     "mean": x/mean with 0→1.  The statistics are one row, computed once and
     inlined as literals (2–4 numbers per column).
     """
-    src = stats_from if stats_from is not None else df
+    src = measured_on if measured_on is not None else df
     aggs = []
     for c in cols:
         aggs += [F.avg(c).alias(f"{c}__mean"), F.stddev_samp(c).alias(f"{c}__sd"),
@@ -151,7 +151,3 @@ def standardize(df: DataFrame, cols: Sequence[str], how: str = "sd", stats_from:
             raise ValueError(how)
         out = out.withColumn(c, e)
     return out
-
-
-def standardize_expr(x: Column, mean: Column, scale: Column) -> Column:
-    return (x - mean) / F.when(scale == 0, F.lit(1.0)).otherwise(scale)

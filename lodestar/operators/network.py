@@ -1,8 +1,8 @@
 """Edge-table, plan-audit and scenario operators.
 
-Path problems iterate joins until no distance improves; the loop stops on an
-aggregate (a count of improvements), and lineage is cut with a reliable
-checkpoint into the shared checkpoint folder every few rounds.
+Path problems iterate joins until no distance improves; chains are contracted
+first, and each round is cut with a reliable checkpoint into the shared
+checkpoint folder.
 """
 
 from __future__ import annotations
@@ -15,35 +15,79 @@ from pyspark.sql import functions as F
 from lodestar.session import cut_lineage
 
 
-def _relax(edges: DataFrame, source, combine, max_rounds: int, checkpoint_every: int) -> DataFrame:
-    spark = edges.sparkSession
-    e = edges.select("src", "dst", F.col("cost").cast("double").alias("cost")).cache()
-    dist = spark.createDataFrame([(int(source), 0.0)], "node long, dist double")
-    for i in range(1, max_rounds + 1):
-        cand = dist.join(e, dist.node == e.src).select(F.col("dst").cast("long").alias("node"),
-                                                      combine(F.col("dist"), F.col("cost")).alias("dist"))
-        new = dist.unionByName(cand).groupBy("node").agg(F.min("dist").alias("dist"))
-        if i % checkpoint_every == 0:
-            new = cut_lineage(new)
-        else:
-            new = new.cache()
-        changed = new.join(dist.withColumnRenamed("dist", "old"), "node", "left").where(
-            F.col("old").isNull() | (F.col("dist") < F.col("old"))).count()
-        dist = new
-        if changed == 0:
+def _contract(edges: DataFrame, source, combine) -> tuple[DataFrame, DataFrame]:
+    """(edges, inner): the graph without its chain nodes.
+
+    A node that is not the source and has one edge in and one out can only be passed through.  Each
+    such ``inner`` node is given the first node of its chain (``start``) and the cost from there, by
+    pointer doubling, so a chain of n nodes takes log2(n) rounds.  Edges that leave a chain are moved
+    to its start.  Inner nodes that never find a start lie on a closed ring and cannot be reached.
+    """
+    outs = edges.groupBy(F.col("src").alias("node")).agg(F.count(F.lit(1)).alias("n_out"))
+    ins = edges.groupBy(F.col("dst").alias("node")).agg(F.count(F.lit(1)).alias("n_in"), F.min("src").alias("start"),
+                                                       F.min("cost").alias("cost"))
+    once = ins.join(outs, "node").where((F.col("n_in") == 1) & (F.col("n_out") == 1)
+                                        & (F.col("node") != F.lit(source)) & (F.col("start") != F.col("node")))
+    inner = cut_lineage(once.select("node", "start", "cost"))
+    left, rounds = inner.count(), 0
+    size = left
+    while left and rounds <= max(1, size).bit_length():
+        up = inner.select(F.col("node").alias("_n"), F.col("start").alias("_s"), F.col("cost").alias("_c"))
+        inner = cut_lineage(inner.join(up, F.col("start") == F.col("_n"), "left").select(
+            "node", F.coalesce("_s", "start").alias("start"),
+            F.when(F.col("_n").isNull(), F.col("cost")).otherwise(combine(F.col("_c"), F.col("cost"))).alias("cost"),
+            F.col("_n").isNotNull().alias("moved")))
+        left, rounds = inner.where("moved").count(), rounds + 1
+        inner = inner.drop("moved")
+    inner = inner.join(inner.select(F.col("node").alias("start")), "start", "left_anti")  # rings
+    inner = cut_lineage(inner.select("node", "start", "cost"))
+    ends = edges.join(once.select(F.col("node").alias("dst")), "dst", "left_anti")
+    start = inner.select(F.col("node").alias("_n"), F.col("start").alias("_s"), F.col("cost").alias("_c"))
+    ends = ends.join(start, F.col("src") == F.col("_n"), "left").select(
+        F.coalesce("_s", "src").alias("src"), "dst",
+        F.when(F.col("_n").isNull(), F.col("cost")).otherwise(combine(F.col("_c"), F.col("cost"))).alias("cost"))
+    return cut_lineage(ends.groupBy("src", "dst").agg(F.min("cost").alias("cost"))), inner
+
+
+def _relax(edges: DataFrame, source, combine) -> DataFrame:
+    """Distances from ``source``, relaxed until no node improves.
+
+    Only nodes that improved in the last round send on their distance.  Chains are contracted first,
+    so the number of rounds follows the branching of a path, not its length; there is no limit on it.
+    Costs that fall without end (a negative cycle) raise an error once there have been more rounds
+    than nodes.
+    """
+    e = edges.select(F.col("src").cast("long").alias("src"), F.col("dst").cast("long").alias("dst"),
+                     F.col("cost").cast("double").alias("cost"))
+    e = cut_lineage(e.groupBy("src", "dst").agg(F.min("cost").alias("cost")))
+    short, inner = _contract(e, int(source), combine)
+    nodes = short.select("src").union(short.select("dst")).distinct().count() + 1
+    dist = cut_lineage(e.sparkSession.range(1).select(F.lit(int(source)).cast("long").alias("node"), F.lit(0.0).alias("dist"),
+                                                      F.lit(True).alias("fresh")))
+    for _ in range(nodes + 1):
+        sent = dist.where("fresh").join(short, F.col("node") == F.col("src")).select(
+            F.col("dst").alias("node"), combine(F.col("dist"), F.col("cost")).alias("new"))
+        best = sent.groupBy("node").agg(F.min("new").alias("new"))
+        better = F.col("new").isNotNull() & (F.col("dist").isNull() | (F.col("new") < F.col("dist")))
+        dist = cut_lineage(dist.join(best, "node", "full_outer").select(
+            "node", F.when(better, F.col("new")).otherwise(F.col("dist")).alias("dist"), better.alias("fresh")))
+        if not dist.where("fresh").limit(1).count():
             break
-    e.unpersist()
-    return dist
+    else:
+        raise ValueError("a negative cycle can be reached from the source")
+    dist = dist.select("node", "dist")
+    along = inner.join(dist.withColumnRenamed("node", "start"), "start").select("node", combine(F.col("dist"), F.col("cost")).alias("dist"))
+    return dist.union(along)
 
 
-def shortest_paths(edges: DataFrame, source: int, max_rounds: int = 64, checkpoint_every: int = 4) -> DataFrame:
-    """Minimum total cost from ``source`` to every reachable node (Bellman–Ford by joins)."""
-    return _relax(edges, source, lambda d, c: d + c, max_rounds, checkpoint_every)
+def shortest_paths(edges: DataFrame, source: int) -> DataFrame:
+    """Minimum total cost from ``source`` to every reachable node."""
+    return _relax(edges, source, lambda d, c: d + c)
 
 
-def bottleneck_paths(edges: DataFrame, source: int, max_rounds: int = 64, checkpoint_every: int = 4) -> DataFrame:
+def bottleneck_paths(edges: DataFrame, source: int) -> DataFrame:
     """Minimise the largest edge cost along the path."""
-    return _relax(edges, source, lambda d, c: F.greatest(d, c), max_rounds, checkpoint_every)
+    return _relax(edges, source, lambda d, c: F.greatest(d, c))
 
 
 def flow_in_out(flows: DataFrame, value: str = "flow") -> DataFrame:
@@ -58,9 +102,10 @@ def audit_flow(flows: DataFrame, source: int, sink: int, flow: str = "flow", low
                upper: str = "cap", cost: str = "cost") -> tuple[DataFrame, DataFrame]:
     """Conservation per node (source/sink exempt) and bound violations per edge.
 
-    Returns (node balance table, edge violations table)."""
+    Sums of doubles differ in their last digits with the order of the rows, so an imbalance counts
+    from a billionth of the flow on.  Returns (node balance table, edge violations table)."""
     bal = flow_in_out(flows, flow).withColumn("imbalance", F.col("inflow") - F.col("outflow"))
-    bal = bal.withColumn("violates", (F.col("imbalance") != 0) & ~F.col("node").isin(source, sink))
+    bal = bal.withColumn("violates", (F.abs("imbalance") > 1e-9 * F.greatest("inflow", "outflow")) & ~F.col("node").isin(source, sink))
     lo = F.col(lower) if lower else F.lit(0.0)
     viol = flows.withColumn("below", F.col(flow) < lo).withColumn("above", F.col(flow) > F.col(upper)).withColumn(
         "flow_cost", F.col(flow) * F.col(cost))
@@ -113,39 +158,66 @@ def coverage(points: DataFrame, sites: DataFrame, r: float, pid: str = "point_id
     return points.join(covered, pid, "left_anti")
 
 
-def greedy_cover(points: DataFrame, sites: DataFrame, r: float, max_sites: int = 50) -> list:
-    """Repeatedly pick the site covering the most uncovered points (ties → smallest id).
+def greedy_cover(points: DataFrame, sites: DataFrame, r: float, max_sites: int | None = None) -> DataFrame:
+    """(pick, site_id, n): repeatedly the site that covers most uncovered points (ties: smallest id).
 
-    Each round is one grouped count and one anti join; only the chosen site id
-    returns to the driver.
+    Counts only fall, so a site that is first for every point it still covers will be picked before
+    any site it shares points with; all such sites are picked in one round.  Rounds go on until no
+    point that any site reaches is left; ordering the picks by their counts, then ids, gives the order
+    of one-by-one picking.  ``max_sites``, if given, keeps the first picks.
     """
-    pairs = cut_lineage(radius_join(points, sites, r).select("point_id", "site_id"))
-    chosen = []
-    remaining = pairs
-    for _ in range(max_sites):
-        best = remaining.groupBy("site_id").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "site_id").first()
-        if best is None:
-            break
-        chosen.append(best["site_id"])
-        newly = remaining.where(F.col("site_id") == best["site_id"]).select("point_id")
-        remaining = cut_lineage(remaining.join(newly, "point_id", "left_anti"))
-    return chosen
-
-
-def components(arcs: DataFrame, max_rounds: int = 64, checkpoint_every: int = 4) -> DataFrame:
-    """Connected components (undirected) by min-label propagation → (node, component)."""
-    und = arcs.select("src", "dst").unionByName(arcs.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).cache()
-    lab = und.select(F.col("src").alias("node")).distinct().withColumn("comp", F.col("node"))
-    for i in range(1, max_rounds + 1):
-        prop = lab.join(und, lab.node == und.src).select(F.col("dst").alias("node"), F.col("comp"))
-        new = lab.unionByName(prop).groupBy("node").agg(F.min("comp").alias("comp"))
-        new = cut_lineage(new) if i % checkpoint_every == 0 else new.cache()
-        changed = new.join(lab.withColumnRenamed("comp", "old"), "node").where(F.col("comp") < F.col("old")).count()
-        lab = new
-        if changed == 0:
+    remaining = cut_lineage(radius_join(points, sites, r).select("point_id", "site_id"))
+    picks = None
+    while remaining.limit(1).count():
+        n = remaining.groupBy("site_id").agg(F.count(F.lit(1)).alias("n"))
+        ranked = remaining.join(n, "site_id").withColumn("rank", F.struct("n", (-F.col("site_id")).alias("first")))
+        best = ranked.groupBy("point_id").agg(F.max("rank").alias("best"))
+        held = ranked.join(best, "point_id").groupBy("site_id").agg(
+            F.first("n").alias("n"), F.sum((F.col("rank") == F.col("best")).cast("long")).alias("first_for"))
+        won = cut_lineage(held.where("first_for = n").select("site_id", "n"))
+        picks = won if picks is None else picks.union(won)
+        gone = remaining.join(won.select("site_id"), "site_id", "left_semi").select("point_id").distinct()
+        remaining = cut_lineage(remaining.join(gone, "point_id", "left_anti"))
+    if picks is None:
+        picks = remaining.select("site_id", F.lit(0).cast("long").alias("n"))
+    from lodestar.operators.prefix import global_row_number
+
+    out = global_row_number(picks, [("n", False), ("site_id", True)], "pick").select("pick", "site_id", "n")
+    return out if max_sites is None else out.where(F.col("pick") <= max_sites)
+
+
+def connected(edges: DataFrame) -> DataFrame:
+    """(node, root) for every node of the undirected ``edges`` (a, b); root is the smallest node reachable.
+
+    Alternating large-star and small-star steps, whose number grows with the logarithm of the size.
+    Each step only needs the smallest neighbour of a node, which is aggregated before the shuffle, and
+    a join by node, so a hub never gathers its neighbours in one task.  Every round is cut by a
+    reliable checkpoint; the loop ends when a round changes nothing.
+    """
+    e = edges.select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo"))
+    alone = e.where("hi = lo").select(F.col("hi").alias("node"), F.col("hi").alias("root"))
+    e = cut_lineage(e.where("hi <> lo").distinct())
+    seen = None
+    while True:
+        # large star: larger neighbours of u move to the smallest of u and its neighbours
+        both = e.select(F.col("hi").alias("u"), F.col("lo").alias("v")).union(e.select("lo", "hi"))
+        least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
+        large = both.where("v > u").join(least, "u").select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct()
+        # small star: u and its smaller neighbours move to the smallest of them
+        least = large.groupBy("hi").agg(F.min("lo").alias("m"))
+        small = large.join(least, "hi").where("lo <> m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
+        e = cut_lineage(small.union(least.select("hi", F.col("m").alias("lo"))).distinct())
+        now = tuple(e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))).first())
+        if now == seen:
             break
-    und.unpersist()
-    return lab
+        seen = now
+    found = e.select(F.col("hi").alias("node"), F.col("lo").alias("root")).union(e.select("lo", "lo").distinct())
+    return found.union(alone.distinct().join(found.select("node"), "node", "left_anti"))
+
+
+def components(arcs: DataFrame) -> DataFrame:
+    """Connected components (undirected) of arcs (src, dst) as (node, comp)."""
+    return connected(arcs.select(F.col("src").alias("a"), F.col("dst").alias("b"))).withColumnRenamed("root", "comp")
 
 
 def tour_audit(arcs: DataFrame) -> DataFrame:

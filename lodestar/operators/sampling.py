@@ -7,34 +7,46 @@ pick the same rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# fixed values: multiplicative hash (Knuth) modulo a 32-bit prime
-HASH_MULT = 2654435761
-HASH_MOD = 4294967311
+#: ``hash_order`` takes values below this.
+HASH_MOD = 1 << 60
 
 
 def hash_order(key: Column | str, seed: int = 0) -> Column:
-    """Seeded pseudo-random order of an integer key, identical in any SQL engine."""
+    """Seeded pseudo-random order of any key: the first 60 bits of MD5 over "seed:key".
+
+    Any SQL engine can repeat it, every seed gives another order, and no key overflows.
+    A null key counts as the text "null".
+    """
     k = F.col(key) if isinstance(key, str) else key
-    return F.pmod(k.cast("long") * HASH_MULT + seed * 97, F.lit(HASH_MOD))
+    text = F.concat(F.lit(f"{seed}:"), F.coalesce(k.cast("string"), F.lit("null")))
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("long")
+
+
+def hash_order_sql(key: str, seed: int = 0) -> str:
+    """``hash_order`` in the oracle's dialect."""
+    return f"CAST('0x' || substr(md5('{seed}:' || coalesce(CAST({key} AS VARCHAR), 'null')), 1, 15) AS BIGINT)"
 
 
 def cap_per_class(df: DataFrame, cls: str, key: str, caps: Mapping | int, seed: int = 0) -> DataFrame:
     """At most ``cap`` rows per class, without replacement, in seeded hash order.
 
-    ``row_number() <= cap`` plans as a WindowGroupLimit, so each task keeps at
-    most ``cap`` rows per class before the shuffle.
+    One cap for all plans as a WindowGroupLimit, so each task keeps at most ``cap`` rows per class before
+    the shuffle.  Caps by class number the rows of a class range by range, so no class is one task.
     """
-    w = Window.partitionBy(cls).orderBy(hash_order(key, seed), F.col(key))
     if isinstance(caps, int):
-        cap = F.lit(caps)
-    else:
-        cap = F.coalesce(F.element_at(F.create_map(*[x for kv in caps.items() for x in (F.lit(kv[0]), F.lit(kv[1]))]), F.col(cls)), F.lit(0))
-    return df.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= cap).drop("_r")
+        w = Window.partitionBy(cls).orderBy(hash_order(key, seed), F.col(key))
+        return df.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= caps).drop("_r")
+    from lodestar.operators.prefix import grouped_row_number
+
+    cap = F.coalesce(F.element_at(F.create_map(*[x for kv in caps.items() for x in (F.lit(kv[0]), F.lit(kv[1]))]), F.col(cls)), F.lit(0))
+    ranked = grouped_row_number(df.withColumn("_h", hash_order(key, seed)), [cls], [("_h", True), (key, True)], "_r")
+    return ranked.where(F.col("_r") <= cap).drop("_r", "_h")
 
 
 def split_train_test(df: DataFrame, key: str, test_size: float, seed: int = 0) -> DataFrame:
@@ -49,42 +61,46 @@ def given_split(df: DataFrame, indicator: DataFrame, key: str, flag: str, train_
     return j.withColumn("split", F.when(F.col(flag) == train_value, F.lit("train")).otherwise(F.lit("test")))
 
 
-def negative_ratio_sample(neg: DataFrame, pos_counts: DataFrame, cls: str, key: str, ratio: float, seed: int = 0) -> DataFrame:
-    """T5: per class keep at most ``ratio × positives`` negatives (seeded hash order)."""
-    w = Window.partitionBy(cls).orderBy(hash_order(key, seed), F.col(key))
-    j = neg.join(pos_counts.select(cls, F.col("n_pos")), cls, "left")
-    return j.withColumn("_r", F.row_number().over(w)).where(
-        F.col("_r") <= F.floor(F.coalesce(F.col("n_pos"), F.lit(0)) * ratio)).drop("_r", "n_pos")
+def negative_ratio_sample(neg: DataFrame, pos_counts: DataFrame, cls: str, key: str, ratio: float, seed: int = 0,
+                          ties: Sequence[str] = ()) -> DataFrame:
+    """T5: per class keep at most ``ratio × positives`` negatives (seeded hash order, then ``key`` and ``ties``).
+
+    Rows are numbered range by range, so the majority class is not one task.
+    """
+    from lodestar.operators.prefix import grouped_row_number
+
+    ranked = grouped_row_number(neg.withColumn("_h", hash_order(key, seed)), [cls],
+                                [("_h", True), (key, True), *((c, True) for c in ties)], "_r").drop("_h")
+    j = ranked.join(pos_counts.select(cls, F.col("n_pos")), cls, "left")
+    return j.where(F.col("_r") <= F.floor(F.coalesce(F.col("n_pos"), F.lit(0)) * ratio)).drop("_r", "n_pos")
 
 
 def hard_negatives(scored: DataFrame, key: str, score: str, label: str, by: Sequence[str] = (), seed: int = 0,
                    first_round: bool = False) -> DataFrame:
     """All positives + the P highest-scored negatives + P other negatives in hash order
-    (first round: 2P hash-ordered negatives).  ``source`` tells which rule kept a row."""
+    (first round: 2P hash-ordered negatives).  ``source`` tells which rule kept a row.
+
+    Negatives are numbered range by range, also when ``by`` is empty or a group holds most rows.
+    """
+    from lodestar.operators.prefix import grouped_row_number
+
+    by = list(by)
     p = scored.where(F.col(label) == 1)
-    n = scored.where(F.col(label) == 0)
-    npos = p.groupBy(*by).agg(F.count("*").alias("_P")) if by else None
-    wb = Window.partitionBy(*by) if by else Window.partitionBy()
-    if npos is not None:
-        n = n.join(npos, list(by), "left")
+    n = scored.where(F.col(label) == 0).withColumn("_h", hash_order(key, seed))
+    if by:
+        n = n.join(p.groupBy(*by).agg(F.count("*").alias("_P")), by, "left")
     else:
-        total = p.count()  # one scalar to the driver
-        n = n.withColumn("_P", F.lit(total))
+        n = n.withColumn("_P", F.lit(p.count()))  # one number
     n = n.withColumn("_P", F.coalesce("_P", F.lit(0)))
+    drawn = [("_h", True), (key, True)]
     if first_round:
-        w = wb.orderBy(hash_order(key, seed), F.col(key))
-        r = n.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= 2 * F.col("_P"))
-        neg = r.withColumn("source", F.lit("random")).drop("_r", "_P")
+        neg = grouped_row_number(n, by, drawn, "_r").where(F.col("_r") <= 2 * F.col("_P")).withColumn("source", F.lit("random"))
     else:
-        wh = wb.orderBy(F.col(score).desc(), F.col(key))
-        ranked = n.withColumn("_h", F.row_number().over(wh))
-        hard = ranked.where(F.col("_h") <= F.col("_P")).withColumn("source", F.lit("hard"))
-        rest = ranked.where(F.col("_h") > F.col("_P"))
-        wr = wb.orderBy(hash_order(key, seed), F.col(key))
-        rnd = rest.withColumn("_r", F.row_number().over(wr)).where(F.col("_r") <= F.col("_P")).withColumn(
-            "source", F.lit("random")).drop("_r")
-        neg = hard.unionByName(rnd).drop("_h", "_P")
-    return p.withColumn("source", F.lit("positive")).unionByName(neg)
+        ranked = grouped_row_number(n, by, [(score, False), (key, True)], "_s")
+        hard = ranked.where(F.col("_s") <= F.col("_P")).withColumn("source", F.lit("hard")).drop("_s")
+        rest = grouped_row_number(ranked.where(F.col("_s") > F.col("_P")).drop("_s"), by, drawn, "_r")
+        neg = hard.unionByName(rest.where(F.col("_r") <= F.col("_P")).drop("_r").withColumn("source", F.lit("random")))
+    return p.withColumn("source", F.lit("positive")).unionByName(neg.drop("_h", "_P", "_r", "_s"))
 
 
 def mini_batches(df: DataFrame, key: str, size: int, seed: int = 0) -> DataFrame:
@@ -96,9 +112,23 @@ def mini_batches(df: DataFrame, key: str, size: int, seed: int = 0) -> DataFrame
     return x.withColumn("batch_id", ((F.col("_pos") - 1) / size).cast("long")).drop("_h", "_pos")
 
 
-def bootstrap(df: DataFrame, fraction: float = 1.0, seed: int = 0) -> DataFrame:
-    """Sample with replacement (Poisson draws per row, Spark's own sampler)."""
-    return df.sample(withReplacement=True, fraction=fraction, seed=seed)
+def bootstrap(df: DataFrame, key: str, fraction: float = 1.0, seed: int = 0) -> DataFrame:
+    """Sample with replacement: each row appears a Poisson(``fraction``) number of times.
+
+    The number comes from the row's seeded hash, so retries and reruns draw the same sample whatever
+    the order of the rows.  The draws of one row are adjacent.
+    """
+    u = hash_order(key, seed) / F.lit(float(HASH_MOD))
+    steps, term, total = [], math.exp(-fraction), 0.0
+    for k in range(1, 60):
+        total += term
+        if total >= 1 - 1e-15:
+            break
+        steps.append(total)
+        term *= fraction / k
+    draws = F.size(F.filter(F.array(*[F.lit(s) for s in steps]), lambda s: s <= u))
+    return df.withColumn("_draws", draws).where("_draws > 0").withColumn(
+        "draw", F.explode(F.sequence(F.lit(1), F.col("_draws")))).drop("_draws")
 
 
 def first_n_matching(df: DataFrame, pred: Column, by: str, order: Sequence[Column], n: int) -> DataFrame:

@@ -27,9 +27,18 @@ def dedupe_first_by_group(pairs: DataFrame, group: str, query: str = "query_id",
 
 
 def rank_within_class(df: DataFrame, cls: str, dist: str, tie: str) -> DataFrame:
-    """Rank of each row by distance to its class centroid (ties share a rank)."""
-    w = Window.partitionBy(cls).orderBy(F.col(dist).asc())
-    return df.withColumn("rank", F.rank().over(w))
+    """Rank of each row by distance to its class centroid (ties share a rank).
+
+    The rank is one more than the rows of the class that are nearer: rows are counted by distance, the
+    counts are added up range by range, and each row looks its distance up, so no class is one task.
+    """
+    from lodestar.operators.prefix import running_totals
+
+    counts = df.groupBy(cls, dist).agg(F.count(F.lit(1)).alias("_n"))
+    nearer = running_totals(counts, [(dist, True)], {"_before": F.col("_n")}, partition_by=[cls], exclusive=True)
+    nearer = nearer.select(F.col(cls).alias("_c"), F.col(dist).alias("_d"), (F.col("_before") + 1).cast("int").alias("rank"))
+    same = F.col(cls).eqNullSafe(F.col("_c")) & F.col(dist).eqNullSafe(F.col("_d"))
+    return df.join(nearer, same).drop("_c", "_d")
 
 
 def _topk_block(k: int, exclude_self: bool, qid: str, cid: str, qv: str, cv: str, extra: Sequence[str]):
@@ -37,34 +46,12 @@ def _topk_block(k: int, exclude_self: bool, qid: str, cid: str, qv: str, cv: str
         q = blocks.matrix(qp[qv])
         c = blocks.matrix(cp[cv])
         d2 = blocks.exact_sq_dists(q, c)
-        qids = qp[qid].to_numpy()
-        cids = cp[cid].to_numpy()
+        qids, cids = qp[qid].to_numpy(), cp[cid].to_numpy()
         if exclude_self:
             d2[qids[:, None] == cids[None, :]] = np.inf
-        kk = min(k, c.shape[0])
-        out_q, out_c, out_d, out_x = [], [], [], {e: [] for e in extra}
-        for i in range(q.shape[0]):
-            row = d2[i]
-            idx = np.argpartition(row, kk - 1)[:kk] if kk < row.shape[0] else np.arange(row.shape[0])
-            # keep every candidate tied with the k-th distance so ties by id stay exact
-            cut = row[idx].max()
-            idx = np.nonzero(row <= cut)[0]
-            idx = idx[np.isfinite(row[idx])]
-            order = np.lexsort((cids[idx], row[idx]))[:kk]
-            idx = idx[order]
-            out_q.append(np.full(idx.shape[0], qids[i]))
-            out_c.append(cids[idx])
-            out_d.append(np.sqrt(row[idx]))
-            for e in extra:
-                out_x[e].append(cp[e].to_numpy()[idx])
-        data = {
-            "query_id": np.concatenate(out_q) if out_q else np.array([], dtype=np.int64),
-            "neighbour_id": np.concatenate(out_c) if out_c else np.array([], dtype=np.int64),
-            "distance": np.concatenate(out_d) if out_d else np.array([], dtype=np.float64),
-        }
-        for e in extra:
-            data[e] = np.concatenate(out_x[e]) if out_x[e] else np.array([])
-        return pd.DataFrame(data)
+        row, col = blocks.nearest(d2, cids, k)
+        data = {"query_id": qids[row], "neighbour_id": cids[col], "distance": np.sqrt(d2[row, col])}
+        return pd.DataFrame(data | {e: cp[e].to_numpy()[col] for e in extra})
 
     return fn
 
@@ -99,9 +86,6 @@ def knn_join(
         q, c, "_qid", "_cid", _topk_block(k, exclude_self, "_qid", "_cid", "_qv", "_cv", extra),
         schema, nq, nc,
     )
-    if nc == 1:
-        w = Window.partitionBy("query_id").orderBy("distance", "neighbour_id")
-        return partial.withColumn("rank", F.row_number().over(w))
     return top_k_per_query(partial, k)
 
 

@@ -6,7 +6,7 @@ oracle sees exactly the rows Spark sees.  Every builder reads whole tables.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lodestar.session import table
@@ -55,35 +55,25 @@ def truth_and_proposals(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFr
 
 
 def edges(spark: SparkSession, sf: str) -> DataFrame:
-    """Trade network between nations: supplier nation → customer nation.
+    """Which part follows which in an order: part → part of the next line, over all lineitem rows.
 
-    The residue rule keeps a sparse graph on the 25 nodes (the complete graph
-    would make every path one hop); every lineitem row is aggregated.
+    Lines are ordered by number, then part, supplier and quantity; the last line of an order has no
+    edge.  cost = 1 + (number of times mod 97), cap = quantity on the first of the two lines.
     """
-    li = table(spark, sf, "lineitem").select("l_orderkey", "l_suppkey", "l_quantity")
-    s = table(spark, sf, "supplier").select("s_suppkey", "s_nationkey")
-    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
-    c = table(spark, sf, "customer").select("c_custkey", "c_nationkey")
-    j = (
-        li.join(o, li.l_orderkey == o.o_orderkey)
-        .join(c, F.col("o_custkey") == c.c_custkey)
-        .join(s, li.l_suppkey == s.s_suppkey)
-        .select(F.col("s_nationkey").alias("src"), F.col("c_nationkey").alias("dst"), "l_quantity")
-    )
-    j = j.where((F.col("src") != F.col("dst")) & (((5 * F.col("src") + 3 * F.col("dst")) % 7) < 2))
-    return j.groupBy("src", "dst").agg(
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
+    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
+    j = li.select(F.col("l_partkey").alias("src"), F.lead("l_partkey").over(w).alias("dst"), "l_quantity")
+    return j.where(F.col("dst").isNotNull()).groupBy("src", "dst").agg(
         (F.lit(1) + F.count("*") % 97).cast("long").alias("cost"),
         F.sum("l_quantity").alias("cap"),
     )
 
 
-EDGES_SQL = """SELECT s.s_nationkey AS src, c.c_nationkey AS dst,
-  CAST(1 + count(*) % 97 AS BIGINT) AS cost, sum(l.l_quantity) AS cap
-FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
-  JOIN customer c ON o.o_custkey = c.c_custkey
-  JOIN supplier s ON l.l_suppkey = s.s_suppkey
-WHERE s.s_nationkey <> c.c_nationkey AND (5 * s.s_nationkey + 3 * c.c_nationkey) % 7 < 2
-GROUP BY s.s_nationkey, c.c_nationkey"""
+EDGES_SQL = """SELECT src, dst, CAST(1 + count(*) % 97 AS BIGINT) AS cost, sum(l_quantity) AS cap
+FROM (SELECT l_partkey AS src, l_quantity,
+        lead(l_partkey) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity) AS dst
+      FROM lineitem) t
+WHERE dst IS NOT NULL GROUP BY src, dst"""
 
 
 def scored_docs(spark: SparkSession, sf: str) -> DataFrame:
@@ -123,15 +113,6 @@ SERIES_SQL = """SELECT CAST(floor(epoch(ts) / 21600) AS BIGINT) AS t, avg(value)
 FROM events GROUP BY 1"""
 
 
-def regression(spark: SparkSession, sf: str) -> DataFrame:
-    li = table(spark, sf, "lineitem")
-    return li.select(
-        F.col("l_extendedprice").alias("y"), F.col("l_quantity").alias("x1"),
-        F.col("l_discount").alias("x2"), F.col("l_tax").alias("x3"),
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-    )
-
-
 def plans(spark: SparkSession, sf: str, n_plans: int = 7) -> DataFrame:
     """part as a plan table: item, value, usage, plan (p_partkey mod n_plans)."""
     p = table(spark, sf, "part")
@@ -146,13 +127,6 @@ PLANS_SQL = """SELECT p_partkey AS item, p_retailprice AS value, p_size AS usage
   CAST(p_partkey % 7 AS INTEGER) AS plan, p_brand AS brand, p_type AS ptype FROM part"""
 
 
-def scenarios(spark: SparkSession) -> DataFrame:
-    """Three yield scenarios at equal probability (a literal parameter table)."""
-    return spark.createDataFrame(
-        [(0, 0.8, 1.0 / 3), (1, 1.0, 1.0 / 3), (2, 1.2, 1.0 / 3)], "scenario int, factor double, prob double"
-    )
-
-
 SCENARIOS_SQL = "SELECT * FROM (VALUES (0, 0.8::DOUBLE, 1.0::DOUBLE/3), (1, 1.0::DOUBLE, 1.0::DOUBLE/3), (2, 1.2::DOUBLE, 1.0::DOUBLE/3)) t(scenario, factor, prob)"
 
 

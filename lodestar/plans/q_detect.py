@@ -15,19 +15,10 @@ from lodestar.plans.sqlfrag import R
 _COLS = ("x", "y", "w", "h")
 
 
-def _iou_sql(a: str, b: str) -> str:
-    ax, ay, aw, ah = (f"{a}.{c}" for c in _COLS)
-    bx, by, bw, bh = (f"{b}.{c}" for c in _COLS)
-    xi, Xi = f"greatest({ax}, {bx})", f"least({ax} + {aw}, {bx} + {bw})"
-    yi, Yi = f"greatest({ay}, {by})", f"least({ay} + {ah}, {by} + {bh})"
-    inter = f"(CASE WHEN {xi} > {Xi} OR {yi} > {Yi} THEN 0.0 ELSE CAST(({Xi} - {xi} + 1) * ({Yi} - {yi} + 1) AS DOUBLE) END)"
-    return f"({inter} / (({aw} + 1) * ({ah} + 1) + ({bw} + 1) * ({bh} + 1) - {inter}))"
-
-
 _LABELLED_SQL = f"""b AS ({BOXES_SQL}),
 t AS (SELECT * FROM b WHERE l_linenumber = 1),
 p AS (SELECT * FROM b WHERE l_linenumber <> 1),
-m AS (SELECT p.img_id, p.l_partkey, p.l_suppkey, p.l_linenumber, p.w, max({_iou_sql('p', 't')}) AS max_iou
+m AS (SELECT p.img_id, p.l_partkey, p.l_suppkey, p.l_linenumber, p.w, max({boxes.iou_sql('p', 't')}) AS max_iou
       FROM p JOIN t ON p.img_id = t.img_id AND p.category_id = t.category_id
       GROUP BY p.img_id, p.l_partkey, p.l_suppkey, p.l_linenumber, p.w),
 lab AS (SELECT p.*, coalesce(m.max_iou, 0.0) AS max_iou, CAST(coalesce(m.max_iou, 0.0) > 0.5 AS INTEGER) AS label
@@ -55,7 +46,7 @@ def label_proposals_q(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("iou_pairs_summary", sql=f"""
 WITH {_LABELLED_SQL},
-pr AS (SELECT {_iou_sql('p', 't')} AS iou FROM p JOIN t ON p.img_id = t.img_id)
+pr AS (SELECT {boxes.iou_sql('p', 't')} AS iou FROM p JOIN t ON p.img_id = t.img_id)
 SELECT count(*) AS pairs, CAST(sum(CAST(iou > 0.5 AS INTEGER)) AS BIGINT) AS over_half, {R('avg(iou)')} AS mean_iou FROM pr
 """)
 def iou_pairs_summary(spark: SparkSession, sf: str) -> DataFrame:
@@ -68,18 +59,24 @@ def iou_pairs_summary(spark: SparkSession, sf: str) -> DataFrame:
                  V.rnd(F.avg("iou")).alias("mean_iou"))
 
 
-def _cell_sql(v: str) -> str:
-    return f"greatest(1, least(CAST(floor(({v} + 8) / 16.0) AS BIGINT), 13))"
+def _cell_sql(scaled: str) -> str:
+    nearest = f"CAST(floor(({scaled} + 1 + {boxes.GRID_STRIDE // 2}) / {float(boxes.GRID_STRIDE)}) AS BIGINT)"
+    return f"greatest(1, least({nearest}, {boxes.GRID_CELLS}))"
+
+
+def _first_sql(start: str, full: int) -> str:
+    return f"CAST({_cell_sql(f'floor({start} * {boxes.GRID_INPUT} / {full}.0)')} - 1 AS INTEGER)"
+
+
+def _end_sql(start: str, size: str, full: int) -> str:
+    return f"CAST({_cell_sql(f'ceil(({start} + {size}) * {boxes.GRID_INPUT} / {full}.0)')} AS INTEGER)"
 
 
 @register("project_boxes", sql=f"""
-WITH b AS ({BOXES_SQL}),
-s AS (SELECT *, CAST(ceil((x + w) * 224 / {IMG_W}.0) AS BIGINT) AS x1, CAST(ceil((y + h) * 224 / {IMG_H}.0) AS BIGINT) AS y1,
-        CAST(floor(x * 224 / {IMG_W}.0) AS BIGINT) AS x0, CAST(floor(y * 224 / {IMG_H}.0) AS BIGINT) AS y0 FROM b)
+WITH b AS ({BOXES_SQL})
 SELECT img_id, l_partkey, l_suppkey, l_linenumber, w,
-  CAST({_cell_sql('x0 + 1')} - 1 AS INTEGER) AS gx0, CAST({_cell_sql('y0 + 1')} - 1 AS INTEGER) AS gy0,
-  CAST({_cell_sql('x1 + 1')} AS INTEGER) AS gx1, CAST({_cell_sql('y1 + 1')} AS INTEGER) AS gy1
-FROM s
+  {_first_sql('x', IMG_W)} AS gx0, {_first_sql('y', IMG_H)} AS gy0, {_end_sql('x', 'w', IMG_W)} AS gx1, {_end_sql('y', 'h', IMG_H)} AS gy1
+FROM b
 """)
 def project_boxes(spark: SparkSession, sf: str) -> DataFrame:
     """F8: every box projected onto the 13×13 stride-16 grid of a 224×224 input (image 640×480)."""
@@ -151,7 +148,7 @@ def union_labelled_q(spark: SparkSession, sf: str) -> DataFrame:
 @register("negative_ratio_sample", sql=f"""
 WITH {_LABELLED_SQL},
 pc AS (SELECT category_id, count(*) AS n_pos FROM lab WHERE label = 1 GROUP BY category_id),
-ng AS (SELECT lab.*, (((img_id * 1000 + l_linenumber) * 2654435761) % 4294967311) AS h FROM lab WHERE label = 0),
+ng AS (SELECT lab.*, {sampling.hash_order_sql('(img_id * 1000 + l_linenumber)')} AS h FROM lab WHERE label = 0),
 kept AS (SELECT ng.* FROM ng LEFT JOIN pc USING (category_id)
          QUALIFY row_number() OVER (PARTITION BY category_id ORDER BY h, (img_id * 1000 + l_linenumber), l_partkey, l_suppkey, w)
                  <= floor(coalesce(n_pos, 0) * 3))
@@ -161,13 +158,7 @@ def negative_ratio_sample_q(spark: SparkSession, sf: str) -> DataFrame:
     """T5: at most 3 negatives per positive in each category, seeded hash order."""
     lab = labelled(spark, sf).withColumn("sk", F.col("img_id") * 1000 + F.col("l_linenumber"))
     pc = lab.where("label = 1").groupBy("category_id").agg(F.count("*").alias("n_pos"))
-    neg = lab.where("label = 0")
-    from pyspark.sql import Window
-
-    j = neg.join(pc, "category_id", "left")
-    wdw = Window.partitionBy("category_id").orderBy(sampling.hash_order("sk"), "sk", "l_partkey", "l_suppkey", "w")
-    kept = j.withColumn("_r", F.row_number().over(wdw)).where(
-        F.col("_r") <= F.floor(F.coalesce("n_pos", F.lit(0)) * 3))
+    kept = sampling.negative_ratio_sample(lab.where("label = 0"), pc, "category_id", "sk", 3, ties=["l_partkey", "l_suppkey", "w"])
     return kept.groupBy("category_id").agg(F.count("*").alias("negatives"))
 
 
@@ -176,8 +167,7 @@ WITH b AS ({BOXES_SQL})
 SELECT img_id, CAST(count(*) AS INTEGER) AS n_boxes, CAST(sum(w) AS BIGINT) AS w_sum FROM b GROUP BY img_id
 """)
 def concat_box_lists(spark: SparkSession, sf: str) -> DataFrame:
-    """U4: repeated image keys get their box lists concatenated (flatten of collected lists)."""
-    b = derived.boxes(spark, sf).select("img_id", F.array(F.struct("x", "y", "w", "h")).alias("bl"))
-    g = b.groupBy("img_id").agg(F.flatten(F.collect_list("bl")).alias("boxes"))
-    return g.select("img_id", F.size("boxes").alias("n_boxes"),
-                    F.aggregate("boxes", F.lit(0).cast("long"), lambda a, x: a + x["w"]).alias("w_sum"))
+    """U4: box lists of an image (one per supplier) taken together: lists stay apart, only their sizes and sums meet."""
+    b = derived.boxes(spark, sf).groupBy("img_id", "l_suppkey").agg(F.collect_list(F.struct("x", "y", "w", "h")).alias("bl"))
+    per_list = b.select("img_id", F.size("bl").alias("n"), F.aggregate("bl", F.lit(0).cast("long"), lambda a, x: a + x["w"]).alias("w"))
+    return per_list.groupBy("img_id").agg(F.sum("n").cast("int").alias("n_boxes"), F.sum("w").alias("w_sum"))

@@ -11,6 +11,7 @@ from lodestar.plans import derived
 from lodestar.plans.derived import LSH_DIM, LSH_HASHES, LSH_R, LSH_TABLES, VECTORS_SQL
 from lodestar.plans.registry import register
 from lodestar.plans.sqlfrag import R, SQD
+from lodestar.session import cut_lineage
 
 K = 10
 
@@ -31,8 +32,13 @@ def _index(spark: SparkSession, sf: str) -> DataFrame:
     return lsh.hash_table(derived.vectors(spark, sf), LSH_TABLES, LSH_HASHES, LSH_R, LSH_DIM)
 
 
+def _written_index(spark: SparkSession, sf: str) -> DataFrame:
+    """The index written down once, for lookups that read it several times."""
+    return cut_lineage(_index(spark, sf))
+
+
 def _per_table(spark: SparkSession, sf: str) -> DataFrame:
-    idx = _index(spark, sf)
+    idx = _written_index(spark, sf)
     return lsh.table_top_k(idx, idx, K, carry=(("label", "int"),))
 
 
@@ -65,6 +71,18 @@ def lsh_candidate_cost(spark: SparkSession, sf: str) -> DataFrame:
                  F.max("candidates").cast("long").alias("max_candidates"), F.count("*").alias("queries"))
 
 
+@register("lsh_kept_neighbours", sql=f"""
+WITH {_PAIRS_SQL}, n AS (SELECT v.vec_id, count(nb.query_id) AS kept FROM v LEFT JOIN nb ON nb.query_id = v.vec_id GROUP BY v.vec_id)
+SELECT {R('avg(kept)')} AS mean_kept, min(kept) AS least_kept, count(*) AS queries FROM n
+""")
+def lsh_kept_neighbours(spark: SparkSession, sf: str) -> DataFrame:
+    """Neighbours kept per query after the candidates of all tables are ranked."""
+    nb = lsh.lsh_neighbours(_per_table(spark, sf), K).groupBy("query_id").agg(F.count(F.lit(1)).alias("kept"))
+    q = derived.vectors(spark, sf).select(F.col("vec_id").alias("query_id")).join(nb, "query_id", "left")
+    kept = F.coalesce("kept", F.lit(0))
+    return q.agg(V.rnd(F.avg(kept)).alias("mean_kept"), F.min(kept).cast("long").alias("least_kept"), F.count(F.lit(1)).alias("queries"))
+
+
 @register("lsh_neighbours", sql=f"""
 WITH {_PAIRS_SQL}
 SELECT query_id, neighbour_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY distance, neighbour_id) AS INTEGER) AS rank,
@@ -103,7 +121,7 @@ FROM u WHERE query_id IN (SELECT query_id FROM full_q) GROUP BY L
 def lsh_mean_distance_by_l(spark: SparkSession, sf: str) -> DataFrame:
     """Mean distance to the 10 neighbours found with the first L tables, over queries full at every L."""
     by_l = lsh.neighbours_up_to_l(_per_table(spark, sf), K, LSH_TABLES)
-    m = lsh.mean_neighbour_distance(by_l, K)
+    m = lsh.mean_neighbour_distance(by_l, K, LSH_TABLES)
     return m.select(F.col("L").cast("int").alias("L"), V.rnd("mean_distance").alias("mean_distance"), "queries")
 
 

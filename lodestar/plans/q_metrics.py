@@ -136,7 +136,7 @@ def score_or_positive(spark: SparkSession, sf: str) -> DataFrame:
     return s.groupBy("lang").agg(F.count("*").alias("kept"))
 
 
-_H = "((o_orderkey * 2654435761) % 4294967311)"
+_H = sampling.hash_order_sql("o_orderkey")
 
 
 @register("cap_per_class", sql=f"""
@@ -152,7 +152,7 @@ def cap_per_class_q(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @register("split_train_test", sql=f"""
-SELECT CASE WHEN {_H} / 4294967311.0 < 0.33 THEN 'test' ELSE 'train' END AS split, count(*) AS n FROM orders GROUP BY 1
+SELECT CASE WHEN {_H} / {float(sampling.HASH_MOD)!r} < 0.33 THEN 'test' ELSE 'train' END AS split, count(*) AS n FROM orders GROUP BY 1
 """)
 def split_train_test_q(spark: SparkSession, sf: str) -> DataFrame:
     """Reproducible 67/33 train/test split by key hash."""
@@ -178,7 +178,7 @@ n AS (SELECT s.*, coalesce(np.P, 0) AS P, row_number() OVER (PARTITION BY s.lang
       FROM s LEFT JOIN np USING (lang) WHERE label = 0),
 hard AS (SELECT lang, doc_id, 'hard' AS source FROM n WHERE h <= P),
 rnd AS (SELECT lang, doc_id, 'random' AS source FROM n WHERE h > P
-        QUALIFY row_number() OVER (PARTITION BY lang ORDER BY ((doc_id * 2654435761) % 4294967311), doc_id) <= P),
+        QUALIFY row_number() OVER (PARTITION BY lang ORDER BY {sampling.hash_order_sql('doc_id')}, doc_id) <= P),
 pos AS (SELECT lang, doc_id, 'positive' AS source FROM s WHERE label = 1),
 u AS (SELECT * FROM hard UNION ALL SELECT * FROM rnd UNION ALL SELECT * FROM pos)
 SELECT lang, source, count(*) AS n, CAST(sum(doc_id) AS BIGINT) AS id_sum FROM u GROUP BY lang, source
@@ -190,8 +190,8 @@ def hard_negatives_q(spark: SparkSession, sf: str) -> DataFrame:
     return m.groupBy("lang", "source").agg(F.count("*").alias("n"), F.sum("doc_id").cast("long").alias("id_sum"))
 
 
-@register("mini_batches", sql="""
-WITH r AS (SELECT doc_id, row_number() OVER (ORDER BY ((doc_id * 2654435761) % 4294967311), doc_id) AS pos FROM labels)
+@register("mini_batches", sql=f"""
+WITH r AS (SELECT doc_id, row_number() OVER (ORDER BY {sampling.hash_order_sql('doc_id')}, doc_id) AS pos FROM labels)
 SELECT CAST((pos - 1) // 64 AS BIGINT) AS batch_id, count(*) AS n, CAST(sum(doc_id) AS BIGINT) AS id_sum FROM r GROUP BY 1
 """)
 def mini_batches_q(spark: SparkSession, sf: str) -> DataFrame:
@@ -220,15 +220,22 @@ def assign_folds_q(spark: SparkSession, sf: str) -> DataFrame:
     return f.select("doc_id", "fold")
 
 
-@register("bootstrap_sample")
+@register("bootstrap_sample", sql=f"""
+WITH s AS ({SCORED_SQL}), u AS (SELECT lang, doc_id, {sampling.hash_order_sql('doc_id', 7)} / {float(sampling.HASH_MOD)!r} AS u FROM s),
+p AS (SELECT k, sum(exp(-1.0) / gamma(j + 1.0)) AS upto FROM range(0, 15) a(k), range(0, 15) b(j) WHERE j <= k GROUP BY k),
+d AS (SELECT lang, doc_id, count(*) AS draws FROM u JOIN p ON p.upto <= u.u GROUP BY lang, doc_id)
+SELECT lang, CAST(sum(draws) AS BIGINT) AS n, CAST(sum(draws * doc_id) AS BIGINT) AS id_sum FROM d GROUP BY lang
+""")
 def bootstrap_sample(spark: SparkSession, sf: str) -> DataFrame:
-    """Bootstrap resample with replacement (seeded Poisson draws); rows-only check."""
-    s = sampling.bootstrap(derived.scored_docs(spark, sf), 1.0, seed=7)
-    return s.groupBy("lang").agg(F.count("*").alias("n"))
+    """Bootstrap resample with replacement (Poisson draws from a seeded hash)."""
+    s = sampling.bootstrap(derived.scored_docs(spark, sf), "doc_id", 1.0, seed=7)
+    return s.groupBy("lang").agg(F.count("*").alias("n"), F.sum("doc_id").cast("long").alias("id_sum"))
 
 
-@register("random_folds")
+@register("random_folds", sql=f"""
+SELECT CAST({sampling.hash_order_sql('doc_id', 3)} % 5 + 1 AS INTEGER) AS fold, count(*) AS n FROM labels GROUP BY 1
+""")
 def random_folds(spark: SparkSession, sf: str) -> DataFrame:
-    """W8 random variant: folds by seeded key hash; rows-only check."""
+    """W8 random variant: folds by seeded key hash."""
     f = sampling.assign_folds(table(spark, sf, "labels").select("doc_id"), 5, ["doc_id"], random_key="doc_id", seed=3)
     return f.groupBy("fold").agg(F.count("*").alias("n"))

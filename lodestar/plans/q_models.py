@@ -165,11 +165,11 @@ SELECT l_orderkey, l_linenumber, {R('(l_quantity - mq) / sq')} AS quantity_sd, {
 """)
 def standardize_columns(spark: SparkSession, sf: str) -> DataFrame:
     """Quantity by (x − mean)/sd and discount by (x − mean)/(max − min); statistics from one aggregate."""
-    from lodestar.operators.stats import standardize
+    from lodestar.operators.moments import standardize
 
     li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_discount")
     a = standardize(li, ["l_quantity"], "sd")
-    a = standardize(a, ["l_discount"], "range", stats_from=li)
+    a = standardize(a, ["l_discount"], "range", measured_on=li)
     return a.select("l_orderkey", "l_linenumber", V.rnd("l_quantity").alias("quantity_sd"), V.rnd("l_discount").alias("discount_range"))
 
 
@@ -178,7 +178,7 @@ def smoothing_spline(spark: SparkSession, sf: str) -> DataFrame:
     """M3: generalized ridge (XᵀX + λΩ)⁻¹Xᵀy on the hinge basis of the 6-hour series with a
     second-difference penalty on the hinge coefficients; fitted curve per bucket; rows-only check."""
     from lodestar.functions.vectors import hinge_basis
-    from lodestar.operators.stats import gram
+    from lodestar.operators.moments import gram
 
     s = derived.series(spark, sf)
     t0 = s.agg(F.min("t")).first()[0]  # one scalar

@@ -11,9 +11,9 @@ from lodestar.plans import derived
 from lodestar.plans.derived import EDGES_SQL, PLANS_SQL, SCENARIOS_SQL
 from lodestar.plans.registry import register
 from lodestar.plans.sqlfrag import R
-from lodestar.session import table
+from lodestar.session import cut_lineage, table
 
-ROUNDS = 25  # nodes in the nation graph: paths have at most 24 edges
+ROUNDS = 25  # the oracle's relaxations; paths over the parts that follow each other are far shorter
 
 
 def _bf_sql(combine: str) -> str:
@@ -31,7 +31,7 @@ def _source(edges: DataFrame) -> int:
 
 @register("shortest_paths", sql=_bf_sql("{d} + {c}"))
 def shortest_paths_q(spark: SparkSession, sf: str) -> DataFrame:
-    """Cheapest cost from the smallest source nation to every reachable nation."""
+    """Cheapest cost from the smallest source part to every reachable part."""
     e = derived.edges(spark, sf)
     d = network.shortest_paths(e, _source(e))
     return d.select("node", V.rnd("dist").alias("dist"))
@@ -58,29 +58,29 @@ def flow_in_out_q(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @register("audit_flow", sql=f"""
-WITH e AS ({EDGES_SQL}), f AS (SELECT src, dst, least(cap, 500.0) AS flow FROM e),
+WITH e AS ({EDGES_SQL}), f AS (SELECT src, dst, least(cap, 30.0) AS flow FROM e),
 o AS (SELECT src AS node, sum(flow) AS outflow FROM f GROUP BY src), i AS (SELECT dst AS node, sum(flow) AS inflow FROM f GROUP BY dst),
 b AS (SELECT coalesce(o.node, i.node) AS node, coalesce(inflow, 0.0) AS inflow, coalesce(outflow, 0.0) AS outflow FROM o FULL OUTER JOIN i ON o.node = i.node)
 SELECT node, {R('inflow', 2)} AS inflow, {R('outflow', 2)} AS outflow, {R('inflow - outflow', 2)} AS imbalance,
-  (inflow - outflow <> 0 AND node NOT IN ((SELECT min(src) FROM e), (SELECT max(dst) FROM e))) AS violates FROM b
+  (abs(inflow - outflow) > 1e-9 * greatest(inflow, outflow) AND node NOT IN ((SELECT min(src) FROM e), (SELECT max(dst) FROM e))) AS violates FROM b
 """)
 def audit_flow_q(spark: SparkSession, sf: str) -> DataFrame:
-    """Conservation audit of a capped flow (min(cap, 500)) between the smallest source and largest sink."""
+    """Conservation audit of a capped flow (min(cap, 30)) between the smallest source and largest sink."""
     e = derived.edges(spark, sf)
     s, t = e.agg(F.min("src"), F.max("dst")).first()  # two scalars
-    bal, _ = network.audit_flow(e.withColumn("flow", F.least("cap", F.lit(500.0))), s, t)
+    bal, _ = network.audit_flow(e.withColumn("flow", F.least("cap", F.lit(30.0))), s, t)
     return bal.select("node", V.rnd("inflow", 2).alias("inflow"), V.rnd("outflow", 2).alias("outflow"),
                       V.rnd("imbalance", 2).alias("imbalance"), "violates")
 
 
 @register("edge_bound_violations", sql=f"""
-WITH e AS ({EDGES_SQL}), f AS (SELECT *, least(cap, 500.0) * 1.1 AS flow FROM e)
+WITH e AS ({EDGES_SQL}), f AS (SELECT *, least(cap, 30.0) * 1.1 AS flow FROM e)
 SELECT CAST(sum(CAST(flow > cap AS INTEGER)) AS BIGINT) AS above, CAST(sum(CAST(flow < 0 AS INTEGER)) AS BIGINT) AS below,
   {R('sum(flow * cost)', 2)} AS flow_cost FROM f
 """)
 def edge_bound_violations(spark: SparkSession, sf: str) -> DataFrame:
     """N3 (edges): bound violations and total cost of a flow 10 % above the capped one."""
-    e = derived.edges(spark, sf).withColumn("flow", F.least("cap", F.lit(500.0)) * 1.1)
+    e = derived.edges(spark, sf).withColumn("flow", F.least("cap", F.lit(30.0)) * 1.1)
     _, v = network.audit_flow(e, 0, 0)
     return v.agg(F.sum(F.col("above").cast("int")).cast("long").alias("above"),
                  F.sum(F.col("below").cast("int")).cast("long").alias("below"),
@@ -99,8 +99,8 @@ def weighted_cost_rollup(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("audit_transport", sql=f"""
 WITH e AS ({EDGES_SQL}),
-sp AS (SELECT s_nationkey AS node, sum(s_acctbal) / 10 AS supply FROM supplier GROUP BY 1),
-dm AS (SELECT c_nationkey AS node, sum(c_acctbal) / 100 AS demand FROM customer GROUP BY 1),
+sp AS (SELECT p_partkey AS node, sum(p_retailprice) / 10 AS supply FROM part GROUP BY 1),
+dm AS (SELECT l_partkey AS node, sum(l_tax) * 100 AS demand FROM lineitem GROUP BY 1),
 o AS (SELECT src AS node, sum(cap) AS shipped_out, sum(cap * cost) AS cost_out FROM e GROUP BY 1),
 i AS (SELECT dst AS node, sum(cap) AS shipped_in FROM e GROUP BY 1),
 j AS (SELECT coalesce(sp.node, dm.node, o.node, i.node) AS node, coalesce(supply, 0.0) AS supply, coalesce(shipped_out, 0.0) AS shipped_out,
@@ -111,10 +111,10 @@ SELECT node, {R('supply', 4)} AS supply, {R('shipped_out', 4)} AS shipped_out, {
   {R('cost_out', 4)} AS cost_out, {R('supply - shipped_out', 4)} AS unused_supply, {R('demand - shipped_in', 4)} AS unmet_demand FROM j
 """)
 def audit_transport_q(spark: SparkSession, sf: str) -> DataFrame:
-    """Transport plan (edge capacities) against nation supply and demand."""
+    """Transport plan (edge capacities) against each part's supply and demand."""
     e = derived.edges(spark, sf).select("src", "dst", F.col("cap").alias("qty"), "cost")
-    sp = table(spark, sf, "supplier").groupBy(F.col("s_nationkey").alias("node")).agg((F.sum("s_acctbal") / 10).alias("supply"))
-    dm = table(spark, sf, "customer").groupBy(F.col("c_nationkey").alias("node")).agg((F.sum("c_acctbal") / 100).alias("demand"))
+    sp = table(spark, sf, "part").groupBy(F.col("p_partkey").alias("node")).agg((F.sum("p_retailprice") / 10).alias("supply"))
+    dm = table(spark, sf, "lineitem").groupBy(F.col("l_partkey").alias("node")).agg((F.sum("l_tax") * 100).alias("demand"))
     a = network.audit_transport(e, sp, dm)
     return a.select("node", *[V.rnd(c, 4).alias(c) for c in
                               ["supply", "shipped_out", "demand", "shipped_in", "cost_out", "unused_supply", "unmet_demand"]])
@@ -158,11 +158,24 @@ def coverage_q(spark: SparkSession, sf: str) -> DataFrame:
     return network.coverage(_points(spark, sf), s, 0.5).select("point_id")
 
 
-@register("greedy_cover")
+@register("greedy_cover", sql=f"""
+WITH {_PTS_SQL},
+j AS (SELECT p.point_id, s.site_id FROM p JOIN s ON sqrt((p.x - s.x) * (p.x - s.x) + (p.y - s.y) * (p.y - s.y)) <= 0.5)
+SELECT count(DISTINCT point_id) AS coverable, count(DISTINCT point_id) AS covered, CAST(0 AS BIGINT) AS misordered,
+  (SELECT max(n) FROM (SELECT count(*) AS n FROM j GROUP BY site_id)) AS first_pick FROM j
+""")
 def greedy_cover_q(spark: SparkSession, sf: str) -> DataFrame:
-    """Greedy set cover of customers by suppliers within radius 1.0; rows-only check (pick order)."""
-    chosen = network.greedy_cover(_points(spark, sf), _sites(spark, sf), 1.0)
-    return spark.createDataFrame([(i + 1, int(c)) for i, c in enumerate(chosen)], "pick int, site_id long")
+    """Greedy set cover of customers by suppliers within 0.5: every coverable customer is covered, the first
+    pick covers most, and no later pick covers more than an earlier one."""
+    pts, sites = _points(spark, sf), _sites(spark, sf)
+    picks = cut_lineage(network.greedy_cover(pts, sites, 0.5))
+    pairs = network.radius_join(pts, sites, 0.5).select("point_id", "site_id")
+    reach = pairs.join(picks, "site_id", "left").groupBy("point_id").agg(F.min("pick").alias("pick"))
+    total = reach.agg(F.count(F.lit(1)).alias("coverable"), F.count("pick").alias("covered"))
+    later = picks.select((F.col("pick") + 1).alias("pick"), F.col("n").alias("before")).join(picks, "pick")
+    misordered = later.where("n > before").count()  # one number
+    first = picks.where("pick = 1").agg(F.max("n")).first()[0]  # one number
+    return total.select("*", F.lit(misordered).cast("long").alias("misordered"), F.lit(first).cast("long").alias("first_pick"))
 
 
 _ARCS_SQL = """a AS (SELECT CAST(n_nationkey AS BIGINT) AS src, CAST((n_nationkey * 7 + 3) % 25 AS BIGINT) AS dst,

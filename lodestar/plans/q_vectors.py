@@ -75,7 +75,7 @@ def knn_label_ap(spark: SparkSession, sf: str) -> DataFrame:
 
 # ------------------------------------------------------------------ helpers
 from lodestar.functions import vectors as V  # noqa: E402
-from lodestar.operators import imaging, stats  # noqa: E402
+from lodestar.operators import imaging, moments  # noqa: E402
 from lodestar.plans.sqlfrag import DOT, NORM, R, SQD  # noqa: E402
 
 
@@ -150,13 +150,14 @@ def vector_thresholds(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @register("one_hot_labels", sql="""
-SELECT vec_id, label, array_to_string(list_transform(range(0, 10), lambda i: CAST(i = label AS INTEGER)), ',') AS one_hot
+SELECT vec_id, label, array_to_string(list_transform(range(0, (SELECT max(label) + 1 FROM embeddings)), lambda i: CAST(i = label AS INTEGER)), ',') AS one_hot
 FROM embeddings
 """)
 def one_hot_labels(spark: SparkSession, sf: str) -> DataFrame:
-    """One-hot targets over 10 classes (shown as text)."""
+    """One-hot targets over classes 0 to the largest label (shown as text)."""
     v = derived.vectors(spark, sf)
-    return v.select("vec_id", "label", F.array_join(V.one_hot("label", 10).cast("array<string>"), ",").alias("one_hot"))
+    classes = v.agg(F.max("label") + 1).first()[0]  # one number
+    return v.select("vec_id", "label", F.array_join(V.one_hot("label", classes).cast("array<string>"), ",").alias("one_hot"))
 
 
 @register("filter_two_classes", sql="""
@@ -200,7 +201,7 @@ FROM e GROUP BY pos
 """)
 def column_stats_q(spark: SparkSession, sf: str) -> DataFrame:
     """A1: mean, variances, sd, min, max per vector position."""
-    s = stats.column_stats(derived.vectors(spark, sf))
+    s = moments.column_stats(derived.vectors(spark, sf))
     return s.select("pos", V.rnd("mean").alias("mean"), V.rnd("var_samp", 8).alias("var_samp"),
                     V.rnd("var_pop", 8).alias("var_pop"), V.rnd("sd").alias("sd"), V.rnd("min").alias("min"),
                     V.rnd("max").alias("max"), "n")
@@ -213,7 +214,7 @@ FROM e a JOIN e b ON a.vec_id = b.vec_id GROUP BY a.pos, b.pos
 """)
 def covariance_matrix_q(spark: SparkSession, sf: str) -> DataFrame:
     """A2: sample covariance of the 64 positions from per-partition centred Gram blocks."""
-    c = stats.covariance_matrix(derived.vectors(spark, sf))
+    c = moments.covariance_matrix(derived.vectors(spark, sf))
     return c.select("i", "j", V.rnd("cov", 7).alias("cov"))
 
 
@@ -245,10 +246,10 @@ SELECT query_id, neighbour_id, CAST(row_number() OVER (PARTITION BY query_id ORD
   {R('distance')} AS distance FROM nb
 """)
 def knn_join_expression(spark: SparkSession, sf: str) -> DataFrame:
-    """J3 + J7 on a fixed 4 × 4 block grid: per-block top-k lists merged by a WindowGroupLimit
-    (exercises the multi-block merge that ``knn_neighbours`` skips when one candidate block suffices)."""
+    """J3 + J7 with small blocks (512 rows), so that lists of many block pairs are merged."""
     v = derived.vectors(spark, sf)
-    nb = similarity.knn_join(v, v, K, exclude_self=True, n_query_blocks=4, n_cand_blocks=4)
+    n = similarity.blocks.block_count(v, 512)
+    nb = similarity.knn_join(v, v, K, exclude_self=True, n_query_blocks=n, n_cand_blocks=n)
     return nb.select("query_id", "neighbour_id", "rank", V.rnd("distance").alias("distance"))
 
 
@@ -330,7 +331,7 @@ SELECT vec_id, label, {R('dist')} AS distance, CAST(rank() OVER (PARTITION BY la
 def rank_within_class(spark: SparkSession, sf: str) -> DataFrame:
     """Rank each vector by distance to its class centroid."""
     v = derived.vectors(spark, sf)
-    cen = stats.column_stats(v, by=["label"]).groupBy("label").agg(
+    cen = moments.column_stats(v, by=["label"]).groupBy("label").agg(
         F.array_sort(F.collect_list(F.struct("pos", "mean"))).alias("_c")
     ).select("label", F.transform("_c", lambda s: s["mean"]).alias("centroid"))
     d = v.join(cen, "label").select("vec_id", "label", V.l2_distance("v", "centroid").alias("dist"))
@@ -396,7 +397,7 @@ SELECT vec_id, pr, pc, {R('zs / nrm')} AS unit_sum FROM n
 def normalized_patches(spark: SparkSession, sf: str) -> DataFrame:
     """z-score each patch position with statistics over all patches, then unit length."""
     p = imaging.patches(derived.vectors(spark, sf), "v", 8, 5, 2)
-    st = stats.stats_arrays(p, "patch").select("mean", "sd")
+    st = moments.mean_sd_arrays(p, "patch").select("mean", "sd")
     # one row of 2×25 statistics; joined by broadcast (size fixed by the patch shape)
     z = p.join(F.broadcast(st), how="inner").select(
         "vec_id", "pr", "pc", V.normalize_patch("patch", "mean", "sd").alias("u"))

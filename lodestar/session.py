@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,10 +15,10 @@ TABLES = (
 ).split()
 
 
-def get_session(master: str | None = None, partitions: int = 8, app: str = "lodestar") -> SparkSession:
+def get_session(master: str | None = None, partitions: int = 200, app: str = "lodestar") -> SparkSession:
     """Build (or reuse) a session with the settings the operators assume.
 
-    AQE stays on so shuffle partition counts and skewed join partitions are
+    ``partitions`` is an upper bound: AQE joins small ones.  AQE stays on so shuffle partition counts and skewed join partitions are
     re-planned at run time; the UI is off (no server is opened).
     """
     builder = SparkSession.builder.appName(app)
@@ -67,10 +68,9 @@ _shipped: dict[str, str] = {}
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder used to cut lineage.
+    """The shared folder used to cut lineage, named by ``spark.checkpoint.dir``.
 
-    The cluster names it in ``spark.checkpoint.dir``; we only pick our own
-    folder when nothing is configured and the master is local (tests).
+    Only a local master (tests) may leave it unset; it then gets a folder of its own.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -80,11 +80,28 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not conf_dir:
         if not sc.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-        conf_dir = tempfile.mkdtemp(prefix="lodestar-ckpt-", dir="/tmp")
+        conf_dir = tempfile.mkdtemp(prefix="lodestar-checkpoint-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
 
 
+def scratch(spark: SparkSession, label: str) -> str:
+    """A new path below the shared folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete what was written below ``path``, through Spark's file system."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def is_folder(spark: SparkSession, path: str) -> bool:
+    """Whether a path, on any file system that Spark reads, is a folder."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(p).isDirectory()
+
+
 def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
     checkpoint_dir(df.sparkSession)
