@@ -16,7 +16,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.operators.blocks import matrix
+from lodestar.operators.layers import rows_of
+from lodestar.session import cut_lineage
 
 
 def gradient_sum(df: DataFrame, w: np.ndarray, grad_fn: Callable, vec: str = "x", label: str = "y") -> tuple[np.ndarray, float, int]:
@@ -31,8 +32,7 @@ def gradient_sum(df: DataFrame, w: np.ndarray, grad_fn: Callable, vec: str = "x"
         for pdf in it:
             if len(pdf) == 0:
                 continue
-            x = matrix(pdf[vec])
-            y = pdf[label].to_numpy(dtype=np.float64)
+            x, y = rows_of(pdf, vec, label)
             gg, ll = grad_fn(x, y, wl)
             g += gg
             loss += ll
@@ -59,36 +59,84 @@ def squared_grad(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarra
     return x.T @ r, float(0.5 * np.sum(r * r))
 
 
-def nesterov(rate: float) -> Callable:
-    """Nesterov step with momentum t/(t+3)."""
-    def step(w, v, g, t):
-        v_new = w - rate * g
-        w_new = v_new + (t / (t + 3.0)) * (v_new - v)
-        return w_new, v_new
-    return step
+class Sgd:
+    """Plain gradient steps."""
+
+    def __init__(self, rate: float, decay: float = 0.0):
+        self.rate, self.decay = rate, decay
+
+    def at(self, t: int) -> float:
+        return self.rate * t ** -self.decay
+
+    def __call__(self, w: np.ndarray, g: np.ndarray, t: int) -> np.ndarray:
+        return w - self.at(t) * g
+
+
+class Nesterov(Sgd):
+    """Nesterov steps with momentum t / (t + 3)."""
+
+    def __init__(self, rate: float, decay: float = 0.0):
+        super().__init__(rate, decay)
+        self.last: np.ndarray | None = None
+
+    def __call__(self, w: np.ndarray, g: np.ndarray, t: int) -> np.ndarray:
+        moved = w - self.at(t) * g
+        last = w if self.last is None else self.last
+        self.last = moved
+        return moved + (t / (t + 3.0)) * (moved - last)
+
+
+class Adagrad(Sgd):
+    """Steps divided by the root of each weight's summed squared gradients."""
+
+    def __init__(self, rate: float, decay: float = 0.0):
+        super().__init__(rate, decay)
+        self.square = 0.0
+
+    def __call__(self, w: np.ndarray, g: np.ndarray, t: int) -> np.ndarray:
+        self.square = self.square + g * g
+        return w - self.at(t) * g / np.sqrt(self.square + 1e-12)
+
+
+STEPS = {"sgd": Sgd, "nesterov": Nesterov, "adagrad": Adagrad}
 
 
 def train(df: DataFrame, p: int, grad_fn: Callable = logistic_grad, rate: float = 0.5, lam: float = 0.0,
-          iters: int = 60, tol: float = 1e-6, vec: str = "x", label: str = "y") -> list[dict]:
-    """Full-batch distributed gradient with Nesterov momentum and an L2 penalty
-    (intercept unpenalized); stops on the gradient norm or after ``iters`` steps."""
-    data = df.select(vec, label).cache()
-    w = np.zeros(p)
-    v = w.copy()
-    step = nesterov(rate)
+          iters: int = 60, tol: float = 1e-6, vec: str = "x", label: str = "y", step: Sgd | None = None,
+          start: np.ndarray | None = None, free: np.ndarray | None = None, batches: int = 1, key: str | None = None,
+          anchor: float = 0.0) -> list[dict]:
+    """Distributed gradient training; the history, whose last row holds the weights.
+
+    ``step`` is any step rule (default: Nesterov at ``rate``).  With ``batches`` > 1 rows are dealt
+    into that many batches by a hash of ``key`` and each iteration reads one of them.  ``lam`` is an L2
+    penalty on all weights but those marked ``free`` (default: the first, the intercept); ``anchor`` is
+    a proximal term that holds the weights near ``start``.  Training stops when the norm of the
+    gradient is under ``tol`` or after ``iters`` iterations.
+    """
+    from lodestar.operators.sampling import hash_order
+
+    cols = [vec, label]
+    data = df.select(*cols, *([F.pmod(hash_order(key), F.lit(batches)).alias("_batch")] if batches > 1 else [])).cache()
+    w = np.zeros(p) if start is None else np.array(start, dtype=float)
+    home = w.copy()
+    held = np.arange(p) > 0 if free is None else ~np.asarray(free)
+    step = step or Nesterov(rate)
     hist = []
     for t in range(1, iters + 1):
-        g, loss, n = gradient_sum(data, w, grad_fn, vec, label)
-        pen = lam * w
-        pen[0] = 0.0
-        grad = g / n + pen
-        obj = loss / n + 0.5 * lam * float(np.sum(w[1:] ** 2))
+        part = data.where(F.col("_batch") == (t - 1) % batches) if batches > 1 else data
+        g, loss, n = gradient_sum(part, w, grad_fn, vec, label)
+        if not n:
+            continue
+        pen = lam * w * held
+        grad = g / n + pen + anchor * (w - home)
+        obj = loss / n + 0.5 * lam * float(np.sum((w * held) ** 2)) + 0.5 * anchor * float(np.sum((w - home) ** 2))
         hist.append({"iteration": t, "loss": obj, "grad_norm": float(np.linalg.norm(grad))})
-        if np.linalg.norm(grad) < tol:
+        if batches == 1 and np.linalg.norm(grad) < tol:
             break
-        w, v = step(w, v, grad, t)
+        w = step(w, grad, t)
     data.unpersist()
-    hist[-1]["weights"] = w.tolist()
+    if hist:
+        hist[-1]["weights"] = w.tolist()
     return hist
 
 
@@ -101,3 +149,25 @@ def lipschitz_step(df: DataFrame, p: int, grad_fn: Callable = logistic_grad, see
     gb, _, _ = gradient_sum(df, b, grad_fn, vec, label)
     lip = np.linalg.norm((ga - gb) / n) / np.linalg.norm(a - b)
     return float(1.0 / lip) if lip > 0 else float("inf")
+
+
+def hard_negative_training(df: DataFrame, key: str, vec: str, label: str, p: int, rounds: int = 10, iters: int = 60,
+                           rate: float = 0.5, lam: float = 1e-3, anchor: float = 0.0, seed: int = 0) -> list[dict]:
+    """Fit on positives and random negatives, then ``rounds`` times: score all, mine (T6), fit again from the last weights.
+
+    ``anchor`` holds each fit near the weights it starts from.  A row of the history has the round, the
+    numbers of positives and negatives it was fitted on, its last loss and its weights.
+    """
+    from lodestar.operators.sampling import hard_negatives
+
+    out, w = [], np.zeros(p)
+    for r in range(rounds + 1):
+        scored = df.withColumn("_score", sum((F.lit(float(c)) * F.col(vec)[i] for i, c in enumerate(w)), F.lit(0.0)))
+        mined = hard_negatives(scored, key, "_score", label, seed=seed + r, first_round=r == 0)
+        part = cut_lineage(mined.select(vec, label))
+        n = dict(part.groupBy(label).count().collect())  # two numbers
+        hist = train(part, p, rate=rate, lam=lam, iters=iters, vec=vec, label=label, start=w, anchor=anchor if r else 0.0)
+        w = np.array(hist[-1]["weights"]) if hist else w
+        out.append({"round": r, "positives": n.get(1, 0), "negatives": n.get(0, 0), "loss": hist[-1]["loss"] if hist else float("nan"),
+                    "weights": w.tolist()})
+    return out

@@ -139,7 +139,7 @@ def knn_classify_many_k(train: DataFrame, test: DataFrame, ks: Sequence[int], ve
     agg = per.groupBy("k", "query_id", label).agg(F.count("*").alias("votes"), F.min("distance").alias("nearest"))
     score = F.col("votes").cast("double")
     if priors is not None:
-        agg = agg.join(F.broadcast(priors), label, "left")
+        agg = agg.join(priors, label, "left")
         score = score * F.coalesce(F.col("weight"), F.lit(1.0))
     agg = agg.withColumn("score", score)
     w = Window.partitionBy("k", "query_id").orderBy(F.col("score").desc(), F.col("nearest").asc(), F.col(label).asc())
@@ -157,7 +157,10 @@ def knn_regress(train: DataFrame, test: DataFrame, k: int, target: str, vec: str
 
 # ---------------------------------------------------------------- pair kernels
 
-def _kernel_np(kind: str, param: float) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+def _kernel_np(kind: str | Callable, param: float) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+    """A named kernel, or (X3) any function of two blocks and the parameter that gives their matrix."""
+    if callable(kind):
+        return lambda a, b: kind(a, b, param)
     if kind == "rbf":
         return lambda a, b: np.exp(-blocks.exact_sq_dists(a, b) / (param * param))
     if kind == "linear":

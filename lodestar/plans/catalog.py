@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from lodestar.plans import registry
-from lodestar.plans import q_detect, q_events, q_lsh, q_metrics, q_models, q_network, q_relational, q_stream, q_vectors  # noqa: F401
+from lodestar.plans import (  # noqa: F401
+    q_detect, q_events, q_learning, q_lsh, q_metrics, q_models, q_network, q_relational, q_sources, q_stream, q_vectors,
+)
 
 
 def queries():

@@ -128,12 +128,13 @@ def arm_intervals_q(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("hinge_basis", sql=f"""
 WITH s AS ({SERIES_SQL}), m AS (SELECT min(t) AS t0 FROM s),
-b AS (SELECT s.t, list_concat([1.0::DOUBLE], list_transform([30.0, 60.0, 90.0]::DOUBLE[], lambda k: greatest((s.t - m.t0) - k, 0.0))) AS basis FROM s, m)
+q AS (SELECT max(t) - min(t) AS span FROM s),
+b AS (SELECT s.t, list_concat([1.0::DOUBLE], list_transform([0.25, 0.5, 0.75]::DOUBLE[], lambda k: greatest((s.t - m.t0) - k * q.span, 0.0))) AS basis FROM s, m, q)
 SELECT t, CAST(len(basis) AS INTEGER) AS n, {R('list_sum(basis)')} AS total, {R('basis[4]')} AS last FROM b
 """)
 def hinge_basis_q(spark: SparkSession, sf: str) -> DataFrame:
-    """truncated-linear basis [1, (x−30)+, (x−60)+, (x−90)+] of the bucket index."""
+    """truncated-linear basis of the bucket index with knots at the quarters of its range."""
     s = derived.series(spark, sf)
-    t0 = s.agg(F.min("t")).first()[0]  # one scalar
-    b = s.select("t", V.hinge_basis(F.col("t") - F.lit(t0), [30.0, 60.0, 90.0]).alias("basis"))
+    t0, span = s.agg(F.min("t"), F.max("t") - F.min("t")).first()  # two numbers
+    b = s.select("t", V.hinge_basis(F.col("t") - F.lit(t0), [0.25 * span, 0.5 * span, 0.75 * span]).alias("basis"))
     return b.select("t", F.size("basis").alias("n"), V.rnd(V.vsum("basis")).alias("total"), V.rnd(F.col("basis")[3]).alias("last"))

@@ -39,12 +39,12 @@ _LAMS = [0.0, 1e5, 1e7]
 
 
 @register("ridge_path", sql=f"""
-WITH {_REG_SQL}, s AS (SELECT regr_sxy(y, x1) AS sxy, regr_sxx(y, x1) AS sxx, avg(x1) AS mx, avg(y) AS my FROM r),
+WITH {_REG_SQL}, s AS (SELECT regr_sxy(y, x1) AS sxy, regr_sxx(y, x1) AS sxx, avg(x1) AS mx, avg(y) AS my, var_samp(x1) AS vx FROM r),
 l AS (SELECT * FROM (VALUES (0.0::DOUBLE), (1e5::DOUBLE), (1e7::DOUBLE)) t(lam))
-SELECT lam AS lambda, {R('my - sxy / (sxx + lam) * mx', 4)} AS intercept, {R('sxy / (sxx + lam)', 4)} AS slope FROM s, l
+SELECT lam AS lambda, {R('my - sxy / (sxx + lam * vx) * mx', 4)} AS intercept, {R('sxy / (sxx + lam * vx)', 4)} AS slope FROM s, l
 """)
 def ridge_path_q(spark: SparkSession, sf: str) -> DataFrame:
-    """M2: ridge path with an unpenalized intercept, λ on the raw Gram (one pass for all λ)."""
+    """M2: ridge path with an unpenalized intercept, λ on the standardized column (one pass for all λ)."""
     path = linear.ridge_path(_reg(spark, sf), "y", ["x1"], _LAMS)
     return spark.createDataFrame([(lam, float(b[0]), float(b[1])) for lam, b in path],
                                  "lambda double, intercept double, slope double").select(
@@ -182,7 +182,8 @@ def smoothing_spline(spark: SparkSession, sf: str) -> DataFrame:
 
     s = derived.series(spark, sf)
     t0 = s.agg(F.min("t")).first()[0]  # one scalar
-    knots = [float(k) for k in range(6, 120, 6)]
+    cuts = s.select((F.col("t") - t0).cast("double").alias("x")).approxQuantile("x", [i / 20 for i in range(1, 20)], 0.0)
+    knots = sorted(set(cuts))
     b = s.select("t", "y", hinge_basis(F.col("t") - F.lit(t0), knots).alias("basis"))
     names = [f"b{i}" for i in range(1, len(knots) + 1)]
     wide = b.select("t", "y", *[F.col("basis")[i].alias(n) for i, n in enumerate(names, start=1)],

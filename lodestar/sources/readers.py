@@ -41,9 +41,13 @@ ANNOTATION_SCHEMA = T.StructType([
 ])
 
 
-def read_annotations(spark: SparkSession, path: str) -> dict[str, DataFrame]:
-    """S3: a multi-line annotation JSON → categories, images and annotations tables."""
-    raw = spark.read.json(path, schema=ANNOTATION_SCHEMA, multiLine=True)
+def read_annotations(spark: SparkSession, path: str, multi_line: bool = False) -> dict[str, DataFrame]:
+    """S3: annotation JSON → categories, images and annotations tables.
+
+    Objects on one line each are split among tasks; ``multi_line`` reads every file as one object, in
+    one task for each file.
+    """
+    raw = spark.read.json(path, schema=ANNOTATION_SCHEMA, multiLine=multi_line)
     return {
         "categories": raw.select(F.explode("categories").alias("c")).select("c.*"),
         "images": raw.select(F.explode("images").alias("i")).select("i.*"),
@@ -79,3 +83,8 @@ def image_catalog(spark: SparkSession, path: str, glob: str = "*.jpg") -> DataFr
     """Which image files exist (path, size, modification time); decoding is not done here."""
     b = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
     return b.select("path", "length", "modificationTime").where(F.col("length") > 0)
+
+
+def with_images(df: DataFrame, catalog: DataFrame, key: str) -> DataFrame:
+    """The rows of ``df`` whose ``key`` has an image in the catalog."""
+    return df.join(catalog.select(key).distinct(), key, "left_semi")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
 def save_model(weights: DataFrame, path: str) -> None:
@@ -16,10 +16,15 @@ def write_report(df: DataFrame, path: str) -> None:
 
 
 def append_metrics(history: DataFrame, path: str) -> None:
-    """K4: append (model_id, step, metric, value) rows to the history table."""
+    """K4: append (model_id, step, metric, value) rows to the history table; a retry may append them again."""
     history.write.mode("append").partitionBy("model_id").parquet(path)
 
 
+def read_metrics(spark: SparkSession, path: str) -> DataFrame:
+    """The history with each (model_id, step, metric) once, so rows that a retry appended again do not count."""
+    return spark.read.parquet(path).dropDuplicates(["model_id", "step", "metric"])
+
+
 def write_training_set(df: DataFrame, path: str) -> None:
     """K5: labelled proposals partitioned by (split, category_id) for pruned reads."""
     df.write.mode("overwrite").partitionBy("split", "category_id").parquet(path)
