@@ -69,11 +69,12 @@ def label_proposals(proposals: DataFrame, truth: DataFrame, keys: list[str], box
     and ``label = 1`` when that IoU exceeds ``min_iou`` (no truth box → 0).
 
     Ordinary keys run as an equi-join + ``max``; keys whose proposal × truth
-    count exceeds ``pair_limit`` are cut into sub-blocks and reduced in NumPy.
+    count exceeds ``pair_limit`` are cut into sub-blocks (by a hash of each box) and reduced in NumPy;
+    both do the same arithmetic.
     """
     cols = ["x", "y", "w", "h"]
     p = proposals.select(*[F.col(k).alias(k) for k in keys], F.col(box_id).alias("_pid"), *cols)
-    t = truth.select(*[F.col(k).alias(k) for k in keys], F.monotonically_increasing_id().alias("_tid"),
+    t = truth.select(*[F.col(k).alias(k) for k in keys], F.xxhash64(*keys, *cols).alias("_tid"),
                      *[F.col(c).alias("t_" + c) for c in cols])
     p_cold, t_cold, hot = blocks.split_hot(p, t, keys, pair_limit)
     j = p_cold.join(t_cold, keys).select(
@@ -86,7 +87,7 @@ def label_proposals(proposals: DataFrame, truth: DataFrame, keys: list[str], box
 
     hot_part = blocks.cogroup_grouped_blocks(
         p.join(hot.select(*keys), keys), t.join(hot.select(*keys), keys), keys, hot, "_pid", "_tid", fn,
-        "_pid long, max_iou double")
+        f"_pid {proposals.schema[box_id].dataType.simpleString()}, max_iou double")
     best = cold.unionByName(hot_part).groupBy("_pid").agg(F.max("max_iou").alias("max_iou"))
     out = proposals.join(best.withColumnRenamed("_pid", box_id), box_id, "left")
     return out.withColumn("max_iou", F.coalesce("max_iou", F.lit(0.0))).withColumn(

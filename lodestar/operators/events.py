@@ -39,15 +39,14 @@ def stable_run(shares: DataFrame, threshold: float, length: int, min_index: int)
     """Per arm, the first 0-based index i (> min_index) with share > threshold at i and at
     the ``length`` previous steps; reports i − length (the start of the run).
 
-    Uses a running count of failures and one equi-join on the shifted step.
+    Steps of an arm that follow each other above the threshold share their running count of failures,
+    so each run is one group of (arm, count) and only its first and last step are needed.
     """
     x = shares.withColumn("_bad", (F.col("share") <= threshold).cast("long"))
     c = running_totals(x, [("step", True)], {"_c": F.col("_bad")}, partition_by=["arm"])
-    prev = c.select("arm", (F.col("step") + length + 1).alias("step"), F.col("_c").alias("_c_old"))
-    last = c.select("arm", (F.col("step") + 1).alias("step"), F.col("_c").alias("_c_prev"))
-    j = c.join(last, ["arm", "step"]).join(prev, ["arm", "step"], "left")
-    ok = (F.col("_bad") == 0) & (F.col("_c_prev") - F.coalesce("_c_old", F.lit(0)) == 0) & ((F.col("step") - 1) > min_index)
-    return j.where(ok).groupBy("arm").agg((F.min("step") - 1 - length).alias("run_start"))
+    runs = c.where("_bad = 0").groupBy("arm", "_c").agg(F.min("step").alias("first"), F.max("step").alias("last"))
+    hit = F.greatest(F.col("first") + length, F.lit(min_index + 2))
+    return runs.withColumn("hit", hit).where("hit <= last").groupBy("arm").agg((F.min("hit") - 1 - length).alias("run_start"))
 
 
 def first_difference_noise(series: DataFrame, t: str, y: str) -> DataFrame:

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lodestar.operators.blocks import matrix
+
 from lodestar.functions.vectors import rbf, window_patch
 
 
@@ -57,33 +60,24 @@ def pyramid_max_pool(df: DataFrame, vec: str, c: int, w: int, h: int, box: tuple
     """crop a C×W×H tensor to box (x0, y0, x1, y1; end exclusive) and max-pool each level.
 
     Output ``pooled`` has C·Σ level² values ordered level, channel, bin-x, bin-y
-    (the concatenation of each level's flattened C×k×k map).  Pure column
-    expressions: bins depend on the crop size per row, so they are built with
-    ``sequence`` over the row's own extent.
+    (the concatenation of each level's flattened C×k×k map).  Rows of a batch with the same box are
+    pooled together as one array.
     """
-    x0, y0, x1, y1 = (F.col(b) for b in box)
-    t = F.col(vec).cast("array<double>")
-    cw = x1 - x0
-    ch = y1 - y0
-
-    def cell(ch_i, xx, yy):
-        return F.element_at(t, ch_i * (w * h) + xx * h + yy + 1)
-
-    def level(k: int) -> Column:
-        def xs(bx):
-            return F.sequence(x0 + F.floor(bx * cw / k).cast("int"), x0 + F.ceil((bx + 1) * cw / k).cast("int") - 1)
-
-        def ys(by):
-            return F.sequence(y0 + F.floor(by * ch / k).cast("int"), y0 + F.ceil((by + 1) * ch / k).cast("int") - 1)
-
-        def bin_max(ci, bx, by):
-            return F.array_max(F.flatten(F.transform(xs(bx), lambda xx: F.transform(ys(by), lambda yy: cell(ci, xx, yy)))))
-
-        bins = F.sequence(F.lit(0), F.lit(k - 1))
-        return F.flatten(F.transform(
-            F.sequence(F.lit(0), F.lit(c - 1)),
-            lambda ci: F.flatten(F.transform(bins, lambda bx: F.transform(bins, lambda by: bin_max(ci, bx, by)))),
-        ))
-
-    parts = [level(k) for k in levels]
-    return df.withColumn("pooled", F.concat(*parts))
+    schema = df.withColumn("pooled", F.lit(None).cast("array<double>")).schema
+
+    def run(batches):
+        for pdf in batches:
+            t = matrix(pdf[vec]).reshape(len(pdf), c, w, h)
+            out = [None] * len(pdf)
+            for (x0, y0, x1, y1), rows in pdf.reset_index(drop=True).groupby(list(box)).indices.items():
+                crop = t[rows][:, :, int(x0):int(x1), int(y0):int(y1)]
+                maps = []
+                for k in levels:
+                    cells = [crop[:, :, xa:xb, ya:yb].max(axis=(2, 3)) for xa, xb in adaptive_bins(crop.shape[2], k)
+                             for ya, yb in adaptive_bins(crop.shape[3], k)]
+                    maps.append(np.stack(cells, axis=2).reshape(len(rows), -1))
+                for row, pooled in zip(rows, np.concatenate(maps, axis=1)):
+                    out[row] = pooled
+            yield pdf.assign(pooled=out)
+
+    return df.mapInPandas(run, schema)

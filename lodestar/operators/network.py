@@ -153,9 +153,14 @@ def radius_join(points: DataFrame, sites: DataFrame, r: float, pid: str = "point
 
 
 def coverage(points: DataFrame, sites: DataFrame, r: float, pid: str = "point_id") -> DataFrame:
-    """Points with no chosen site within r (anti join on the radius pairs)."""
-    covered = radius_join(points, sites, r).select(pid).distinct()
-    return points.join(covered, pid, "left_anti")
+    """Points with no chosen site within r: an anti join on the grid cells with the distance as condition,
+    so no pair is ever made."""
+    cx, cy = grid_cells("x", "y", r)
+    off = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx in (-1, 0, 1) for dy in (-1, 0, 1)])
+    s = sites.select(F.col("x").alias("sx"), F.col("y").alias("sy"), cx.alias("_cx"), cy.alias("_cy")).withColumn("o", F.explode(off)).select(
+        "sx", "sy", (F.col("_cx") + F.col("o.dx")).alias("scx"), (F.col("_cy") + F.col("o.dy")).alias("scy"))
+    near = F.sqrt((F.col("x") - F.col("sx")) ** 2 + (F.col("y") - F.col("sy")) ** 2) <= r
+    return points.join(s, (cx == F.col("scx")) & (cy == F.col("scy")) & near, "left_anti")
 
 
 def greedy_cover(points: DataFrame, sites: DataFrame, r: float, max_sites: int | None = None) -> DataFrame:

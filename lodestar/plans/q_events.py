@@ -11,15 +11,14 @@ from lodestar.plans import derived
 from lodestar.plans.derived import ARMS_SQL, HISTORY_SQL, SERIES_SQL
 from lodestar.plans.registry import register
 from lodestar.plans.sqlfrag import R
-from lodestar.session import table
+from lodestar.session import domain, table
 
 _ORDER = [("ts", True), ("event_id", True)]
-ARMS = ["click", "error", "purchase", "signup", "view"]
 
 
 def _arms(spark: SparkSession, sf: str) -> list[str]:
     """The arm domain (distinct event types; bounded)."""
-    return [r[0] for r in table(spark, sf, "events").select("event_type").distinct().orderBy("event_type").collect()]
+    return domain(table(spark, sf, "events"), "event_type")
 
 
 @register("running_mean_reward", sql=f"""

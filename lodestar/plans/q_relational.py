@@ -9,7 +9,7 @@ from lodestar.functions import vectors as V
 from lodestar.operators import sampling
 from lodestar.plans.registry import register
 from lodestar.plans.sqlfrag import R
-from lodestar.session import table
+from lodestar.session import domain, table
 
 
 @register("filter_by_parent_category", sql="""
@@ -23,14 +23,15 @@ def filter_by_parent_category(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @register("invert_index", sql="""
-SELECT event_type, CAST(count(DISTINCT user_id) AS INTEGER) AS n_users,
-  array_to_string(list_sort(list_distinct(list(user_id))), ',') AS users FROM events GROUP BY event_type
+SELECT event_type, user_id, row_number() OVER (PARTITION BY event_type ORDER BY user_id) AS position
+FROM (SELECT DISTINCT event_type, user_id FROM events)
 """)
 def invert_index(spark: SparkSession, sf: str) -> DataFrame:
-    """Category → sorted set of member ids."""
-    e = table(spark, sf, "events")
-    g = e.groupBy("event_type").agg(F.array_sort(F.collect_set("user_id")).alias("u"))
-    return g.select("event_type", F.size("u").alias("n_users"), F.array_join(F.col("u").cast("array<string>"), ",").alias("users"))
+    """Category → sorted members, one row for each with its place, so a category with most members is no single row."""
+    from lodestar.operators.prefix import grouped_row_number
+
+    e = table(spark, sf, "events").select("event_type", "user_id").distinct()
+    return grouped_row_number(e, ["event_type"], [("user_id", True)], "position")
 
 
 @register("lookup_names", sql="""
@@ -65,7 +66,7 @@ SELECT user_id, array_to_string(list_transform(dom, lambda t: CAST(list_contains
 def multi_hot(spark: SparkSession, sf: str) -> DataFrame:
     """Sorted label domain → 0/1 vector per key (keys without labels never appear)."""
     e = table(spark, sf, "events")
-    dom = [r[0] for r in e.select("event_type").distinct().orderBy("event_type").collect()]  # the label domain (bounded)
+    dom = domain(e, "event_type")
     u = e.groupBy("user_id").agg(F.collect_set("event_type").alias("ts"))
     mh = F.array(*[F.array_contains("ts", F.lit(t)).cast("int") for t in dom])
     return u.select("user_id", F.array_join(mh.cast("array<string>"), ",").alias("labels"))

@@ -76,18 +76,20 @@ def knn_label_ap(spark: SparkSession, sf: str) -> DataFrame:
 # ------------------------------------------------------------------ helpers
 from lodestar.functions import vectors as V  # noqa: E402
 from lodestar.operators import imaging, moments  # noqa: E402
+from lodestar.operators.prefix import global_row_number  # noqa: E402
 from lodestar.plans.sqlfrag import DOT, NORM, R, SQD  # noqa: E402
 
 
 def _next_pairs(v: DataFrame) -> DataFrame:
-    """Each vector with the vector of the next id — a linear equi-join over the whole table."""
-    a = v.select(F.col("vec_id"), F.col("v").alias("a"))
-    b = v.select((F.col("vec_id") - 1).alias("vec_id"), F.col("v").alias("b"))
-    return a.join(b, "vec_id")
+    """Each vector with the one that follows it in id order: an equi-join on places, so gaps in the ids lose nothing."""
+    p = global_row_number(v.select("vec_id", "v"), [("vec_id", True)], "place")
+    a = p.select("vec_id", F.col("v").alias("a"), "place")
+    return a.join(p.select(F.col("vec_id").alias("next_id"), F.col("v").alias("b"), (F.col("place") - 1).alias("place")), "place")
 
 
 _PAIRS_SQL = f"""v AS ({VECTORS_SQL}),
-pr AS (SELECT x.vec_id, x.v AS a, y.v AS b FROM v x JOIN v y ON y.vec_id = x.vec_id + 1)"""
+pr AS (SELECT vec_id, next_id, a, b FROM (SELECT vec_id, v AS a, lead(v) OVER (ORDER BY vec_id) AS b, lead(vec_id) OVER (ORDER BY vec_id) AS next_id FROM v)
+       WHERE next_id IS NOT NULL)"""
 
 
 @register("vector_pair_functions", sql=f"""
@@ -408,13 +410,14 @@ def normalized_patches(spark: SparkSession, sf: str) -> DataFrame:
 WITH {_PATCH_SQL}
 SELECT a.vec_id AS left_id, b.vec_id AS right_id, {R('sum(exp(-' + SQD('a.patch', 'b.patch') + ' / 4.0))')} AS kernel,
   count(*) AS patch_pairs
-FROM p a JOIN p b ON b.vec_id = a.vec_id + 1 GROUP BY a.vec_id, b.vec_id
+FROM p a JOIN (SELECT vec_id, lead(vec_id) OVER (ORDER BY vec_id) AS next_id FROM v) n ON n.vec_id = a.vec_id
+  JOIN p b ON b.vec_id = n.next_id GROUP BY a.vec_id, b.vec_id
 """)
 def set_kernel_q(spark: SparkSession, sf: str) -> DataFrame:
     """set kernel Σ_patch-pairs RBF(σ=2) between each grid and the next-id grid."""
     v = derived.vectors(spark, sf)
     p = imaging.patches(v, "v", 8, 5, 2)
-    pairs = v.select(F.col("vec_id").alias("left_id"), (F.col("vec_id") + 1).alias("right_id"))
+    pairs = _next_pairs(v).select(F.col("vec_id").alias("left_id"), F.col("next_id").alias("right_id"))
     s = imaging.set_kernel(pairs, p, p, 2.0)
     return s.select("left_id", "right_id", V.rnd("kernel").alias("kernel"), "patch_pairs")
 

@@ -106,3 +106,11 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
+
+
+def domain(df: DataFrame, column: str, most: int = 1000) -> list:
+    """The sorted distinct values of a column that is written into a plan; more than ``most`` are an error."""
+    found = [r[0] for r in df.select(column).distinct().orderBy(column).limit(most + 1).collect()]
+    if len(found) > most:
+        raise ValueError(f"{column} has more than {most} values; give the list, or join instead")
+    return found
