@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 
 import numpy as np
@@ -10,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestar.operators import blocks
+from lodestar.session import cut_lineage
 
 
 def top_k_per_query(pairs: DataFrame, k: int, query: str = "query_id", dist: str = "distance",
@@ -56,6 +58,61 @@ def _topk_block(k: int, exclude_self: bool, qid: str, cid: str, qv: str, cv: str
     return fn
 
 
+#: Candidates that a cell of the kNN join is meant to hold, and the most pivots that cells are made around.
+CELL_ROWS, MAX_PIVOTS = 4096, 4096
+
+
+class _Cells:
+    """Pivots with the number and the covering radius of the candidates nearest to each."""
+
+    def __init__(self, pivots: np.ndarray, found: list):
+        self.pivots = pivots
+        self.n, self.radius = np.zeros(len(pivots), dtype=np.int64), np.zeros(len(pivots))
+        for r in found:
+            self.n[r["cell"]], self.radius[r["cell"]] = r["n"], r["radius"]
+
+    def distances(self, x: np.ndarray) -> np.ndarray:
+        return np.sqrt(blocks.exact_sq_dists(x, self.pivots))
+
+    def first(self, x: np.ndarray, need: int) -> list[np.ndarray]:
+        """For each row the nearest cells that together hold ``need`` candidates (all cells, if there are fewer)."""
+        order = np.argsort(self.distances(x), axis=1, kind="stable")
+        enough = np.cumsum(self.n[order], axis=1) - self.n[order] < need
+        return [o[e & (self.n[o] > 0)] for o, e in zip(order, enough)]
+
+    def within(self, x: np.ndarray, reach: np.ndarray, need: int) -> list[np.ndarray]:
+        """The other cells that may hold a candidate within ``reach`` of each row."""
+        d = self.distances(x)
+        near = (d - self.radius <= reach[:, None] * (1 + 1e-9) + 1e-9) & (self.n > 0)
+        return [np.setdiff1d(np.flatnonzero(row), seen) for row, seen in zip(near, self.first(x, need))]
+
+
+def _visit(queries: DataFrame, homes: DataFrame, cells: _Cells, fn: Callable, schema: str) -> DataFrame:
+    """``fn`` on each cell's candidates and the queries that visit it, both in blocks.
+
+    A candidate lives in one cell and a query is copied to the cells it visits, so what moves follows
+    the visits and not the product of the tables.
+    """
+    visits = {r["cell"]: r["count"] for r in queries.groupBy("cell").count().collect()}  # one row for each pivot
+    block = {c: (max(1, math.ceil(int(cells.n[c]) / CELL_ROWS)), max(1, math.ceil(v / CELL_ROWS))) for c, v in visits.items()}
+    if not block:
+        return queries.sparkSession.createDataFrame([], schema)
+    cb, qb = (F.create_map(*[F.lit(x) for c, pair in block.items() for x in (int(c), pair[i])]) for i in (0, 1))
+    n_c, n_q = F.element_at(cb, F.col("cell")), F.element_at(qb, F.col("cell"))
+    left = queries.withColumn("_qb", F.pmod(F.xxhash64("_qid"), n_q).cast("int")).withColumn(
+        "_cb", F.explode(F.sequence(F.lit(0), n_c - 1)))
+    right = homes.where(n_c.isNotNull()).withColumn("_cb", F.pmod(F.xxhash64("_cid"), n_c).cast("int")).withColumn(
+        "_qb", F.explode(F.sequence(F.lit(0), n_q - 1)))
+
+    def run(qp: pd.DataFrame, cp: pd.DataFrame) -> pd.DataFrame:
+        if len(qp) == 0 or len(cp) == 0:
+            return pd.DataFrame({f.split()[0]: [] for f in schema.split(",")})
+        return fn(qp, cp)
+
+    g = ["cell", "_cb", "_qb"]
+    return left.groupBy(*g).cogroup(right.groupBy(*g)).applyInPandas(run, schema)
+
+
 def knn_join(
     queries: DataFrame,
     candidates: DataFrame,
@@ -65,28 +122,63 @@ def knn_join(
     vec: str = "v",
     exclude_self: bool = False,
     carry: Sequence[tuple[str, str]] = (),
-    n_query_blocks: int | None = None,
-    n_cand_blocks: int | None = None,
+    cell_rows: int = CELL_ROWS,
 ) -> DataFrame:
     """Exact k nearest candidates of every query → (query_id, neighbour_id, distance, rank, carry...).
 
-    Each block pair returns its own top-k per query; the global top-k is then
-    a ``row_number() <= k`` window over those short lists.  ``carry`` names
-    candidate columns (name, Spark type) to return with each neighbour.
+    Every candidate lives in the cell of its nearest pivot (a bounded number of candidates in hash
+    order).  A query first meets its nearest cells that hold k candidates; its k-th distance there
+    bounds the answer, and it then visits only cells whose covering radius reaches within the bound.
+    Lists of the few cells are merged by a ``row_number() <= k`` window.  ``carry`` names candidate
+    columns (name, Spark type) to return with each neighbour.
     """
-    spark = queries.sparkSession
-    par = spark.sparkContext.defaultParallelism
-    nq = n_query_blocks or blocks.block_count(queries, at_least=par)
-    nc = n_cand_blocks or blocks.block_count(candidates)
+    from lodestar.operators.sampling import hash_order
+
     extra = [c for c, _ in carry]
+    need = k + (1 if exclude_self else 0)
     q = queries.select(F.col(qid).alias("_qid"), F.col(vec).cast("array<double>").alias("_qv"))
     c = candidates.select(F.col(cid).alias("_cid"), F.col(vec).cast("array<double>").alias("_cv"), *extra)
     schema = "query_id long, neighbour_id long, distance double" + "".join(f", {n} {t}" for n, t in carry)
-    partial = blocks.cogroup_blocks(
-        q, c, "_qid", "_cid", _topk_block(k, exclude_self, "_qid", "_cid", "_qv", "_cv", extra),
-        schema, nq, nc,
-    )
-    return top_k_per_query(partial, k)
+    n_cells = min(MAX_PIVOTS, max(1, math.ceil(c.count() / cell_rows)))
+    pivots = np.array([r["_cv"] for r in c.select("_cid", "_cv").orderBy(hash_order("_cid"), "_cid").limit(n_cells).collect()], dtype=float)
+    if not len(pivots):
+        return top_k_per_query(queries.sparkSession.createDataFrame([], schema), k)
+    plain = _Cells(pivots, [])
+
+    def settle(batches):
+        for pdf in batches:
+            d = plain.distances(blocks.matrix(pdf["_cv"]))
+            at = d.argmin(axis=1)
+            yield pdf.assign(cell=at.astype(np.int32), _far=d[np.arange(len(d)), at])
+
+    homes = c.mapInPandas(settle, c.select("*", F.lit(0).alias("cell"), F.lit(0.0).alias("_far")).schema)
+    cells = _Cells(pivots, homes.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("_far").alias("radius")).collect())
+    homes = homes.drop("_far")
+    visit = q.select("*", F.lit(0).alias("cell")).schema
+
+    def copies(pdf: pd.DataFrame, goals: list[np.ndarray]) -> pd.DataFrame:
+        rows = np.repeat(np.arange(len(pdf)), list(map(len, goals)))
+        out = pdf[["_qid", "_qv"]].iloc[rows].reset_index(drop=True)
+        return out.assign(cell=np.concatenate(goals).astype(np.int32) if len(goals) else np.zeros(0, dtype=np.int32))
+
+    def first(batches):
+        for pdf in batches:
+            yield copies(pdf, cells.first(blocks.matrix(pdf["_qv"]), need))
+
+    fn = _topk_block(k, exclude_self, "_qid", "_cid", "_qv", "_cv", extra)
+    near = cut_lineage(_visit(q.mapInPandas(first, visit), homes, cells, fn, schema))
+    if n_cells == cells.n.astype(bool).sum() == 1:
+        return top_k_per_query(near, k)  # one cell holds every candidate: the first visit saw them all
+    bound = top_k_per_query(near, k).groupBy("query_id").agg(F.max("distance").alias("_reach"), F.count(F.lit(1)).alias("_n"))
+    reach = F.when(F.col("_n") >= k, F.col("_reach")).otherwise(F.lit(float("inf")))
+    asked = q.join(bound, q["_qid"] == bound["query_id"], "left").select("_qid", "_qv", F.coalesce(reach, F.lit(float("inf"))).alias("_reach"))
+
+    def further(batches):
+        for pdf in batches:
+            yield copies(pdf, cells.within(blocks.matrix(pdf["_qv"]), pdf["_reach"].to_numpy(), need))
+
+    far = _visit(cut_lineage(asked.mapInPandas(further, visit)), homes, cells, fn, schema)
+    return top_k_per_query(near.unionByName(far), k)
 
 
 def knn_join_expr(queries: DataFrame, candidates: DataFrame, k: int, qid: str = "vec_id",
@@ -231,11 +323,12 @@ def kernel_row_sums(test: DataFrame, train: DataFrame, kind: str, param: float,
 def kernel_nearest_mean(train: DataFrame, test: DataFrame, kind: str, param: float,
                         cls: str = "label", vec: str = "v", id_col: str = "vec_id") -> DataFrame:
     """Class whose kernel mean embedding is nearest: k(x,x) − 2/n Σk(x,y) + 1/n² ΣΣk(y,y')."""
-    within = kernel_block_sum(train, train, kind, param, cls, cls, id_col, id_col, vec).where(
-        F.col("class_i") == F.col("class_j")
-    ).select(F.col("class_i").alias("label"), "ksum")
     sizes = train.groupBy(F.col(cls).alias("label")).agg(F.count("*").alias("n"))
-    rows = kernel_row_sums(test, train, kind, param, cls, id_col, id_col, vec)
+    rows = cut_lineage(kernel_row_sums(test, train, kind, param, cls, id_col, id_col, vec))
+    # the sums within a class are the training rows' own sums with it; one pass serves both when they are the test
+    own = rows if test is train else kernel_row_sums(train, train, kind, param, cls, id_col, id_col, vec)
+    mine = train.select(F.col(id_col).alias("test_id"), F.col(cls).alias("label"))
+    within = own.join(mine, ["test_id", "label"]).groupBy("label").agg(F.sum("ksum").alias("ksum"))
     self_k = {"rbf": F.lit(1.0), "linear": None, "vovk": F.lit(float(param))}[kind]
     if self_k is None:
         from lodestar.functions.vectors import dot

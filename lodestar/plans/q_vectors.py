@@ -248,10 +248,9 @@ SELECT query_id, neighbour_id, CAST(row_number() OVER (PARTITION BY query_id ORD
   {R('distance')} AS distance FROM nb
 """)
 def knn_join_expression(spark: SparkSession, sf: str) -> DataFrame:
-    """J3 + J7 with small blocks (512 rows), so that lists of many block pairs are merged."""
+    """J3 + J7 with small cells (64 rows), so that queries visit many cells and their lists are merged."""
     v = derived.vectors(spark, sf)
-    n = similarity.blocks.block_count(v, 512)
-    nb = similarity.knn_join(v, v, K, exclude_self=True, n_query_blocks=n, n_cand_blocks=n)
+    nb = similarity.knn_join(v, v, K, exclude_self=True, cell_rows=64)
     return nb.select("query_id", "neighbour_id", "rank", V.rnd("distance").alias("distance"))
 
 

@@ -11,7 +11,7 @@ from tests.conftest import SF_MID, SF_SMALL
 
 def test_knn_blocks_equal_expression_form(spark):
     v = derived.vectors(spark, SF_SMALL)
-    a = similarity.knn_join(v, v, 5, exclude_self=True, n_query_blocks=3, n_cand_blocks=4)
+    a = similarity.knn_join(v, v, 5, exclude_self=True, cell_rows=40)
     b = similarity.knn_join_expr(v, v, 5, exclude_self=True)
     ra = sorted((r.query_id, r.neighbour_id, r.rank) for r in a.collect())
     rb = sorted((r.query_id, r.neighbour_id, r.rank) for r in b.collect())

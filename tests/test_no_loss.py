@@ -196,3 +196,21 @@ def test_ridge_is_blind_to_units(spark):
     b = a.withColumn("b", F.col("b") * 1000 + 1e6)
     one, two = (linear.ridge_path(d, "y", ["a", "b"], [50.0])[0][1] for d in (a, b))
     assert one[1] == pytest.approx(two[1], rel=1e-6) and one[2] == pytest.approx(1000 * two[2], rel=1e-6)
+
+
+@pytest.mark.parametrize("cell_rows,block", [(4096, 4096), (20, 4096), (30, 16)])
+def test_knn_join_prunes_without_loss(spark, monkeypatch, cell_rows, block):
+    monkeypatch.setattr(similarity, "CELL_ROWS", block)
+    rng = np.random.default_rng(3)
+    x = np.repeat(rng.normal(size=(12, 4)) * 5, 25, axis=0) + rng.normal(size=(300, 4)) * 0.2
+    x[:40] = x[0]  # many equal vectors
+    rows = [(i, [float(a) for a in r], i % 3) for i, r in enumerate(x)]
+    df = spark.createDataFrame(rows, "vec_id long, v array<double>, label int")
+    got = similarity.knn_join(df, df, 6, exclude_self=True, carry=[("label", "int")], cell_rows=cell_rows).collect()
+    d = blocks.exact_sq_dists(x, x)
+    np.fill_diagonal(d, np.inf)
+    want = {(i, int(j), n + 1, int(j) % 3) for i in range(300) for n, j in enumerate(np.lexsort((np.arange(300), d[i]))[:6])}
+    assert {(r.query_id, r.neighbour_id, r.rank, r.label) for r in got} == want
+    few = similarity.knn_join(df, df.limit(3), 6, cell_rows=2).groupBy("query_id").count().collect()
+    assert len(few) == 300 and {r["count"] for r in few} == {3}
+    assert similarity.knn_join(df, df.where("false"), 6).count() == 0
