@@ -164,7 +164,7 @@ def multioutput_fit(spark: SparkSession, sf: str) -> DataFrame:
     d = li.select(F.array((F.col("x") - mean) / sd).alias("x"), F.array(F.col("y1").cast("double"), F.col("y2").cast("double")).alias("y"))
     net = layers.Layers([1, 2], loss="squared")
     rows = []
-    for name, rate, iters in (("sgd", 1.0, 12), ("nesterov", 0.5, 60), ("adagrad", 12.0, 80)):
+    for name, rate, iters in (("sgd", 1.0, 12), ("nesterov", 1.0, 12), ("adagrad", 12.0, 80)):
         w = nets.train(d, net.n_weights, net.gradient, step=nets.STEPS[name](rate), iters=iters, start=np.zeros(net.n_weights),
                        free=net.biases(), tol=1e-7)[-1]["weights"]
         slopes = net.split(w)[0][1]

@@ -173,6 +173,19 @@ def standardize_columns(spark: SparkSession, sf: str) -> DataFrame:
     return a.select("l_orderkey", "l_linenumber", V.rnd("l_quantity").alias("quantity_sd"), V.rnd("l_discount").alias("discount_range"))
 
 
+@register("standardize_by_scale", sql=f"""
+WITH s AS (SELECT avg(l_quantity) AS mq, var_samp(l_quantity) AS vq, avg(l_tax) AS mt FROM lineitem)
+SELECT l_orderkey, l_linenumber, {R('(l_quantity - mq) / vq')} AS quantity_var, {R('l_tax / mt')} AS tax_mean FROM lineitem, s
+""")
+def standardize_by_scale(spark: SparkSession, sf: str) -> DataFrame:
+    """Quantity by (x − mean)/variance and tax by x/mean."""
+    from lodestar.operators.moments import standardize
+
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_tax")
+    d = standardize(standardize(li, ["l_quantity"], "var"), ["l_tax"], "mean", measured_on=li)
+    return d.select("l_orderkey", "l_linenumber", V.rnd("l_quantity").alias("quantity_var"), V.rnd("l_tax").alias("tax_mean"))
+
+
 @register("smoothing_spline")
 def smoothing_spline(spark: SparkSession, sf: str) -> DataFrame:
     """M3: generalized ridge (XᵀX + λΩ)⁻¹Xᵀy on the hinge basis of the 6-hour series with a

@@ -398,10 +398,9 @@ SELECT vec_id, pr, pc, {R('zs / nrm')} AS unit_sum FROM n
 def normalized_patches(spark: SparkSession, sf: str) -> DataFrame:
     """z-score each patch position with statistics over all patches, then unit length."""
     p = imaging.patches(derived.vectors(spark, sf), "v", 8, 5, 2)
-    st = moments.mean_sd_arrays(p, "patch").select("mean", "sd")
-    # one row of 2×25 statistics; joined by broadcast (size fixed by the patch shape)
-    z = p.join(F.broadcast(st), how="inner").select(
-        "vec_id", "pr", "pc", V.normalize_patch("patch", "mean", "sd").alias("u"))
+    st = moments.mean_sd_arrays(p, "patch").first()  # 2×25 numbers, by the patch's shape
+    mean, sd = (F.array(*[F.lit(float(x)) for x in st[c]]) for c in ("mean", "sd"))
+    z = p.withColumns({"mean": mean, "sd": sd}).select("vec_id", "pr", "pc", V.normalize_patch("patch", "mean", "sd").alias("u"))
     return z.select("vec_id", "pr", "pc", V.rnd(V.vsum("u")).alias("unit_sum"))
 
 
@@ -421,6 +420,22 @@ def set_kernel_q(spark: SparkSession, sf: str) -> DataFrame:
     return s.select("left_id", "right_id", V.rnd("kernel").alias("kernel"), "patch_pairs")
 
 
+@register("set_kernel_spatial", sql=f"""
+WITH {_PATCH_SQL}
+SELECT a.vec_id AS left_id, b.vec_id AS right_id,
+  {R('sum(exp(-' + SQD('a.patch', 'b.patch') + ' / 4.0) * exp(-((a.pr - b.pr) * (a.pr - b.pr) + (a.pc - b.pc) * (a.pc - b.pc)) / 9.0))')} AS kernel
+FROM p a JOIN (SELECT vec_id, lead(vec_id) OVER (ORDER BY vec_id) AS next_id FROM v) n ON n.vec_id = a.vec_id
+  JOIN p b ON b.vec_id = n.next_id GROUP BY a.vec_id, b.vec_id
+""")
+def set_kernel_spatial(spark: SparkSession, sf: str) -> DataFrame:
+    """F6, spatial: patch pairs also weighed by an RBF (σ=3) of the distance between their centres."""
+    v = derived.vectors(spark, sf)
+    p = imaging.patches(v, "v", 8, 5, 2)
+    pairs = _next_pairs(v).select(F.col("vec_id").alias("left_id"), F.col("next_id").alias("right_id"))
+    s = imaging.set_kernel(pairs, p, p, 2.0, spatial_sigma=3.0)
+    return s.select("left_id", "right_id", V.rnd("kernel").alias("kernel"))
+
+
 _W = [round(((i * 37) % 17 - 8) / 16.0, 4) for i in range(64)]
 
 
