@@ -49,7 +49,7 @@ def cosine(a: ColumnOrName, b: ColumnOrName) -> Column:
 
 
 def rbf(a: ColumnOrName, b: ColumnOrName, sigma: float) -> Column:
-    """exp(-||a-b||^2 / sigma^2) — the reference's form, without a factor 2."""
+    """exp(-||a-b||^2 / sigma^2), without a factor 2."""
     return F.exp(-sq_dist(a, b) / F.lit(float(sigma) ** 2))
 
 

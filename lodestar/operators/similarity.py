@@ -220,7 +220,7 @@ def knn_classify_many_k(train: DataFrame, test: DataFrame, ks: Sequence[int], ve
     """Predictions for every k in ``ks`` from one neighbour pass at max(ks).
 
     Votes accumulate along the neighbour rank; optional ``priors(label, weight)``
-    multiplies each class's votes (prior / class size in the reference).
+    multiplies each class's votes (prior over class size, for example).
     """
     kmax = max(ks)
     nb = knn_join(test, train, kmax, qid=id_col, cid=id_col, vec=vec, exclude_self=exclude_self,
