@@ -9,8 +9,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.llm.common import components, map_batches, row_key, word_slices
+from lodestar.llm.common import map_batches, row_key, word_slices
 from lodestar.llm.forest import Forest
+from lodestar.operators.network import connected
 from lodestar.session import cut_lineage
 
 #: Bits of the segments of a fingerprint, from the lowest; the code's words have 23.
@@ -225,8 +226,9 @@ def links(fps: DataFrame, reach: int = REACH, block: int = BLOCK) -> DataFrame:
             return {"key": found, "fp": fp[rows].astype(np.int64)}
         return one
 
-    # small batches, as every row becomes some seventy
-    keyed = map_batches(fps.select("fp"), "key long, fp long", make_keys)
+    # every row becomes some sixty: spread them first, as the planner would gather so few small rows in one task
+    tasks = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keyed = map_batches(fps.select("fp").repartition(tasks), "key long, fp long", make_keys)
 
     def run(batches):
         runs = Runs(reach, block)
@@ -273,7 +275,7 @@ def fingerprints(docs: DataFrame, shingle: int = 4, text: str = "text") -> DataF
 def groups(marked: DataFrame, reach: int = REACH) -> DataFrame:
     """(fp, root) of every distinct fingerprint of ``marked``; equal roots are connected."""
     fps = marked.select("fp").distinct()
-    joined = components(links(fps, reach)).withColumnRenamed("node", "fp")
+    joined = connected(links(fps, reach)).withColumnRenamed("node", "fp")
     return fps.join(joined, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"))
 
 
