@@ -9,8 +9,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.llm.common import components, map_batches
+from lodestar.llm.common import map_batches
 from lodestar.llm.forest import Forest
+from lodestar.operators.network import connected
 from lodestar.session import cut_lineage
 
 #: Vectors that the cells of the large labels are chosen from at most; every vector is then put in a cell.
@@ -166,12 +167,14 @@ def _assign(x: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 
 def links(reps: DataFrame, cosine: float) -> tuple[DataFrame, DataFrame]:
-    """(counts, edges) of distinct vectors ``reps`` (node, label, dim, unit, n).
+    """(counts, edges) of distinct vectors ``reps`` (node, label, dim, unit, n, size); ``size`` is the number of
+    distinct vectors of the label.
 
     ``counts`` (node, links): number of vectors of other nodes at this cosine or more.  ``edges``
     (a, b): links that connect what all links connect.
 
-    Large labels are cut into cells around centres chosen from a bounded sample.  A vector's home is
+    The largest labels are cut into cells around centres chosen from a bounded sample; any other label is
+    one cell, in as many blocks as its size asks for.  A vector's home is
     the nearest centre's cell; it also visits each later cell that may hold a partner: one whose
     covering radius reaches it, and whose centre is not further than the home's by more than twice
     the threshold, as any partner living there is nearest to that centre.  A cell's home vectors, in
@@ -179,8 +182,8 @@ def links(reps: DataFrame, cosine: float) -> tuple[DataFrame, DataFrame]:
     vectors is compared once, every task holds one block and one batch, and nothing is left out.
     """
     limit = chord(cosine)
-    sizes = reps.groupBy("label", "dim").count().where(F.col("count") > CELL)
-    large = {(r.label, r.dim): r["count"] for r in sizes.orderBy(F.desc("count"), "label", "dim").limit(FIT_ROWS // 64).collect()}
+    sizes = reps.groupBy("label", "dim").agg(F.first("size").alias("size")).where(F.col("size") > CELL)
+    large = {(r.label, r.dim): r["size"] for r in sizes.orderBy(F.desc("size"), "label", "dim").limit(FIT_ROWS // 64).collect()}
     centres, radius, homes = {}, {}, {}
     if large:
         total = sum(large.values())
@@ -226,8 +229,7 @@ def links(reps: DataFrame, cosine: float) -> tuple[DataFrame, DataFrame]:
             node = batch.column(0).to_numpy()
             for key, own, x in _by_label(batch):
                 if key not in centres:
-                    # a label of one cell; more labels than are looked at one by one are cut into blocks alike
-                    nb = math.ceil(large.get(key, 1) / BLOCK)
+                    nb = math.ceil(batch.column(5)[int(own[0])].as_py() / BLOCK)
                     mine = node[own] % nb
                     put(own, 0, mine, 0)
                     for b in range(nb - 1):
@@ -252,8 +254,8 @@ def links(reps: DataFrame, cosine: float) -> tuple[DataFrame, DataFrame]:
                 "cell": np.concatenate(cell), "block": np.concatenate(block), "guest": np.concatenate(guest)}
         return one
 
-    base = reps.select("node", "label", "dim", "unit", "n")
-    schema = base.select("*", *[F.lit(0).alias(c) for c in ("cell", "block", "guest")]).schema
+    base = reps.select("node", "label", "dim", "unit", "n", "size")
+    schema = base.drop("size").select("*", *[F.lit(0).alias(c) for c in ("cell", "block", "guest")]).schema
     group = ["label", "dim", "cell", "block"]
     visits = (map_batches(base, schema, make_visits).repartition(*group).sortWithinPartitions(*group, "guest", "node")
               .select("node", "unit", "n", "label", "dim", "cell", "block", "guest"))
@@ -365,9 +367,10 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.98, id_col: str = "vec
     can = F.col("unit").isNotNull() & F.col("label").isNotNull()
     reps = (v.where(can).groupBy("label", "dim", "unit").agg(F.min("_id").alias("least"), F.count(F.lit(1)).alias("n"))
             .withColumn("node", F.monotonically_increasing_id()))
-    reps = cut_lineage(reps)  # the node numbers are written down, so that no later step makes them anew
+    sizes = reps.groupBy("label", "dim").agg(F.count(F.lit(1)).alias("size"))
+    reps = cut_lineage(reps.join(sizes, ["label", "dim"]))  # the node numbers are written down, so that no later step makes them anew
     counts, edges = links(reps, cosine)
-    joined = components(edges)
+    joined = connected(edges)
     found = (reps.join(counts, "node", "left").join(joined, "node", "left")
              .select("label", "dim", "unit", "least", "n", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("root", "node").alias("root")))
     ids = found.groupBy("root").agg(F.min("least").alias("component"))
