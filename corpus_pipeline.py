@@ -8,8 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from lodestar.llm import bpe, mixing, quality, simhash, toxicity
-from lodestar.llm.common import table
-from lodestar.session import checkpoint_dir, ship_package
+from lodestar.session import checkpoint_dir, ship_package, table
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

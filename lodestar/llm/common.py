@@ -6,13 +6,11 @@ import re
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from lodestar.session import checkpoint_dir, cut_lineage
-
 #: White space between words; every other byte belongs to a word.
 SPACE = b" \t\n\x0b\x0c\r"
 #: The same as a regular expression over characters.
@@ -23,11 +21,6 @@ SLICE_BYTES = 1 << 20
 _gap = re.compile(rb"[\x20\x09-\x0d]")
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the given tables."""
-    return spark.read.parquet(f"{str(sf_dir).rstrip('/')}/{name}.parquet")
-
-
 def word_slices(data: bytes, size: int = SLICE_BYTES) -> Iterator[list[bytes]]:
     """The words of ``data`` in lists of about ``size`` bytes, so that a huge text never becomes one huge list."""
     at = 0
@@ -38,6 +31,22 @@ def word_slices(data: bytes, size: int = SLICE_BYTES) -> Iterator[list[bytes]]:
         at = end
 
 
+#: Rows that an Arrow function works on at a time; Spark hands over ten times as many.
+SUB_ROWS = 1024
+
+
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of at most ``SUB_ROWS`` rows.
+
+    A worker takes its buffers from the system and gives them back, where Arrow's own pool would keep
+    the largest it ever needed.
+    """
+    pa.set_memory_pool(pa.system_memory_pool())
+    for batch in batches:
+        for at in range(0, batch.num_rows, SUB_ROWS):
+            yield batch.slice(at, SUB_ROWS)
+
+
 def map_batches(df: DataFrame, schema: T.StructType | str, make: Callable[[], Callable[[pa.RecordBatch], dict | None]],
                 ) -> DataFrame:
     """``mapInArrow`` with a per-task set-up: ``make()`` builds the function that turns a batch into columns.
@@ -51,13 +60,12 @@ def map_batches(df: DataFrame, schema: T.StructType | str, make: Callable[[], Ca
 
         arrow = to_arrow_schema(out)
         one = make()
-        for batch in batches:
-            if batch.num_rows:
-                made = one(batch)
-                if made is not None:
-                    yield pa.RecordBatch.from_arrays(
-                        [made[f.name].cast(f.type) if isinstance(made[f.name], (pa.Array, pa.ChunkedArray))
-                         else pa.array(made[f.name], type=f.type) for f in arrow], schema=arrow)
+        for batch in slices(batches):
+            made = one(batch)
+            if made is not None:
+                yield pa.RecordBatch.from_arrays(
+                    [made[f.name].cast(f.type) if isinstance(made[f.name], (pa.Array, pa.ChunkedArray))
+                     else pa.array(made[f.name], type=f.type) for f in arrow], schema=arrow)
 
     return df.mapInArrow(run, out)
 
@@ -101,32 +109,3 @@ def running_totals(df: DataFrame, group: list[str], place: Column, order: list[s
     return (d.join(sums.hint("merge"), key)
             .withColumn(name, F.col("_offset") + F.coalesce(F.sum("_value").over(inside), F.lit(0)))
             .drop("_offset", "_value", "_range"))
-
-
-def components(edges: DataFrame) -> DataFrame:
-    """(node, root) for every node of the undirected ``edges`` (a, b); root is the smallest node reachable.
-
-    Alternating large-star and small-star steps.  Each step only needs the smallest neighbour of a
-    node, which is aggregated before the shuffle, and a join by node, so a hub never gathers its
-    neighbours in one task.  Every round is cut by a reliable checkpoint; the loop ends when a
-    round changes nothing.
-    """
-    checkpoint_dir(edges.sparkSession)
-    e = edges.select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).where("hi <> lo").distinct()
-    e = cut_lineage(e)
-    seen = None
-    while True:
-        # large star: larger neighbours of u move to the smallest of u and its neighbours
-        both = e.select(F.col("hi").alias("u"), F.col("lo").alias("v")).union(e.select(F.col("lo"), F.col("hi")))
-        least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct()
-        # small star: u and its smaller neighbours move to the smallest of them
-        least = large.groupBy("hi").agg(F.min("lo").alias("m"))
-        small = large.join(least, "hi").where("lo <> m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
-        e = cut_lineage(small.union(least.select("hi", F.col("m").alias("lo"))).distinct())
-        now = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))).first()
-        if tuple(now) == seen:
-            break
-        seen = tuple(now)
-    return e.select(F.col("hi").alias("node"), F.col("lo").alias("root")).union(
-        e.select(F.col("lo"), F.col("lo")).distinct())

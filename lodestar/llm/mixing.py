@@ -127,7 +127,7 @@ def mix(rows: DataFrame, weights: tuple[float, ...] = WEIGHTS, passes: int = PAS
 
 def mixed_documents(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, passes: int = PASSES, block: int = BLOCK,
                     seed: int = 0, text: str = "text", id_col: str = "doc_id", source: str = "source") -> DataFrame:
-    """(id, size, source_size, target, taken) of every document: the words that the mix takes of it, repeats counted.
+    """(id, size, source_size, target, taken, source) of every document: the words that the mix takes of it, repeats counted.
 
     ``size`` is the number of words (null text: 0).  ``target`` and ``source_size`` belong to the
     document's source.  Rows with equal id, source and size stay separate result rows.  Documents
@@ -137,7 +137,7 @@ def mixed_documents(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, passe
     _, pieces = mix(rows, weights, passes, block, seed)
     return (pieces.groupBy("source", "_id", "size", "copy")
             .agg(F.first("source_size").alias("source_size"), F.first("target").alias("target"), F.sum("words").alias("taken"))
-            .select(F.col("_id").alias(id_col), "source", "size", "source_size", "target", "taken"))
+            .select(F.col("_id").alias(id_col), "size", "source_size", "target", "taken", F.col("source")))
 
 
 def mixed_copies(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, passes: int = PASSES, block: int = BLOCK,

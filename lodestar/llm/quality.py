@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.llm.common import map_batches, word_slices
+from lodestar.llm.common import map_batches, slices, word_slices
 from lodestar.llm.labelled import labelled_texts, remainder
 
 #: Trusted positives, and unlabelled texts, that a model is fitted on at most.
@@ -66,7 +66,7 @@ class Scale:
     """Standard scores, held within 6."""
 
     def __init__(self, x: np.ndarray):
-        self.mean, sd = x.mean(0), x.std(0)
+        self.mean, sd = x.mean(0, dtype=np.float64), x.std(0, dtype=np.float64)
         self.use = sd > 1e-6
         self.sd = sd[self.use]
 
@@ -139,9 +139,8 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, steps: int = 800, rate: fl
     negative, which only over-fitting makes, takes a step back on that part instead.
     """
     scale = Scale(np.r_[positive, unlabelled])
-    p, u = scale(positive), scale(unlabelled)
     order = np.random.default_rng(seed)
-    p, u = p[order.permutation(len(p))], u[order.permutation(len(u))]
+    p, u = (scale(x[order.permutation(len(x))]).astype(np.float32) for x in (positive, unlabelled))
     prior = class_prior(p, u, seed=seed)
     net = Net(p.shape[1], seed=seed)
     for a, b in _rounds(net.rng, p, u, steps):
@@ -187,11 +186,15 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, seed: int =
 
     def make():
         def one(batch: pa.RecordBatch):
-            return {"f": [features(t.as_py()) for t in batch.column(0)]}
+            return {"f": [features(t.as_py()).astype(np.float32).tobytes() for t in batch.column(0)]}
         return one
 
-    p, u = (np.array([list(f) for f in map_batches(d.limit(2 * rows), "f array<double>", make).toPandas()["f"]])
-            for d in (marked, web))
+    def gathered(d: DataFrame) -> np.ndarray:
+        """The features as 32-bit numbers: some three kilobytes a text, and no more than the bound of texts."""
+        parts = [np.frombuffer(bytes(r.f), dtype=np.float32) for r in map_batches(d.limit(2 * rows), "f binary", make).collect()]
+        return np.array(parts).reshape(-1, N_FEATURES)
+
+    p, u = gathered(marked), gathered(web)
     if not len(p) or not len(u):
         return Model(None, None, 1.0)
     return Model(*fit(p, u, seed=seed))
@@ -225,9 +228,8 @@ def keep_good(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     at = docs.columns.index(text)
 
     def run(batches):
-        for batch in batches:
-            if batch.num_rows:
-                s = np.concatenate([model.score(t) for t in _texts(batch.column(at))])
-                yield batch.filter(pa.array(s >= 0.5))
+        for batch in slices(batches):
+            s = np.concatenate([model.score(t) for t in _texts(batch.column(at))])
+            yield batch.filter(pa.array(s >= 0.5))
 
     return docs.mapInArrow(run, docs.schema)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import functools
 import math
 import random
 import zlib
@@ -14,7 +13,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.llm.common import map_batches, word_slices
+from lodestar.llm.common import map_batches, slices, word_slices
 from lodestar.llm.labelled import labelled_texts, remainder
 
 #: Labelled documents of each class that a model is fitted on at most.
@@ -22,12 +21,12 @@ FIT_ROWS = 2000
 #: Windows that a document gives to the fit at most; a longer one gives those with the smallest hashes.
 FIT_WINDOWS = 250
 #: Words of a window.
-WINDOW = 5
+WINDOW = 6
 #: Bytes of a dictionary's part of its own class, and of the part that both share.
-OWN_BYTES, SHARED_BYTES = 2048, 8192
+OWN_BYTES, SHARED_BYTES = 2048, 4096
 #: Pairs of dictionaries whose gains are averaged; each is trained on another draw of the same documents.
 PAIRS = 3
-LEVEL = 3
+LEVEL = 4
 #: Bytes that a window must be shorter by with the toxic dictionary to count at each step.
 STEPS = (2, 3, 4, 5, 6, 7, 8, 10)
 
@@ -38,55 +37,66 @@ def windows(text: str | None):
         yield [b" " + b" ".join(words[i:i + WINDOW]) + b" " for i in range(0, len(words), WINDOW)]
 
 
-def _sample(text: str | None) -> list[bytes]:
+def _sample(text: str | None) -> bytes:
+    """The windows that a document gives to the fit, one on each line."""
     kept: list[bytes] = []
     for run in windows(text):
         kept += run
         if len(kept) > 4 * FIT_WINDOWS:
             kept = sorted(kept, key=zlib.crc32)[:FIT_WINDOWS]
-    return sorted(kept, key=zlib.crc32)[:FIT_WINDOWS] if len(kept) > FIT_WINDOWS else kept
-
-
-@functools.lru_cache(maxsize=100_000)
-def _stems(word: bytes) -> frozenset[bytes]:
-    """A word and its first bytes, so that inflected forms count together."""
-    return frozenset((word, word[:4] + b"*", word[:5] + b"*", word[:6] + b"*"))
-
-
-def _unlike(docs: list[list[bytes]], seed: int) -> list[set[bytes]]:
-    """The word sets of ``docs`` without near copies, which would pass a copied text off as usage of its class."""
-    rng = np.random.default_rng(seed)
-    mult = rng.integers(1, 1 << 31, 24, dtype=np.uint64) | np.uint64(1)
-    met: dict[tuple, list[int]] = {}
-    out: list[set[bytes]] = []
-    for d in docs:
-        words = {w for window in d for w in window.split()}
-        if not words:
-            continue
-        h = np.fromiter(map(zlib.crc32, words), dtype=np.uint64, count=len(words))
-        least = ((h[:, None] * mult) & np.uint64(0xFFFFFFFF)).min(0).reshape(-1, 3).tolist()
-        bands = [(i, *band) for i, band in enumerate(least)]
-        near = {j for band in bands for j in met.get(band, ())}
-        if any(len(words & out[j]) > 0.4 * len(words | out[j]) for j in near):
-            continue
-        for band in bands:
-            met.setdefault(band, []).append(len(out))
-        out.append(words)
-    return out
-
-
-def _own_words(mine: list[set[bytes]], other: list[set[bytes]], least: float = 15.0) -> tuple[set[bytes], Counter, Counter]:
-    """Stems that far more documents of a class use than its size explains (likelihood ratio, 8 times the share)."""
-    a, b = (Counter(s for words in docs for s in set().union(*map(_stems, words))) for docs in (mine, other))
-    na, nb = max(1, len(mine)), max(1, len(other))
-    own = set()
-    for s, k in a.items():
-        j = b[s]
-        if k > 2 and k * nb >= 8 * j * na:
-            share = (k + j) / (na + nb)
-            if 2 * (k * math.log(k / (na * share)) + (j * math.log(j / (nb * share)) if j else 0)) > least:
-                own.add(s)
-    return own, a, b
+    return b"\n".join(sorted(kept, key=zlib.crc32)[:FIT_WINDOWS] if len(kept) > FIT_WINDOWS else kept)
+
+
+class Vocabulary:
+    """Numbers for the words of the sample, and for the stems of each word, so that inflected forms count together."""
+
+    def __init__(self, docs: list[bytes]):
+        number: dict[bytes, int] = {}
+        self.docs = [np.unique(np.array([number.setdefault(w, len(number)) for w in d.split()], dtype=np.int32)) for d in docs]
+        self.words = list(number)
+        self.crc = np.array(list(map(zlib.crc32, self.words)), dtype=np.uint64)
+        stems: dict[bytes, int] = {}
+        self.stems = np.array([[stems.setdefault(s, len(stems)) for s in (w, w[:4] + b"*", w[:5] + b"*", w[:6] + b"*")]
+                               for w in self.words], dtype=np.int32).reshape(-1, 4)
+        self.n_stems = len(stems)
+
+    def unlike(self, chosen: list[int], seed: int) -> list[int]:
+        """Those of the ``chosen`` documents that are no near copies of an earlier one, which would pass a copied text
+        off as usage of its class: pairs that share a band of minimum hashes and over 0.4 of their words."""
+        rng = np.random.default_rng(seed)
+        mult = rng.integers(1, 1 << 31, 24, dtype=np.uint64) | np.uint64(1)
+        met: dict[tuple, list[int]] = {}
+        out = []
+        for i in chosen:
+            mine = self.docs[i]
+            if not len(mine):
+                continue
+            least = ((self.crc[mine][:, None] * mult) & np.uint64(0xFFFFFFFF)).min(0).reshape(-1, 3).tolist()
+            bands = [(n, *band) for n, band in enumerate(least)]
+            near = {j for band in bands for j in met.get(band, ())}
+            shared = {j: len(np.intersect1d(mine, self.docs[j], assume_unique=True)) for j in near}
+            if any(k > 0.4 * (len(mine) + len(self.docs[j]) - k) for j, k in shared.items()):
+                continue
+            for band in bands:
+                met.setdefault(band, []).append(i)
+            out.append(i)
+        return out
+
+    def used(self, chosen: list[int]) -> np.ndarray:
+        """How many of the ``chosen`` documents use each stem."""
+        n = np.zeros(self.n_stems, dtype=np.int64)
+        for i in chosen:
+            n[np.unique(self.stems[self.docs[i]])] += 1
+        return n
+
+
+def _own_stems(mine: np.ndarray, n_mine: int, other: np.ndarray, n_other: int, least: float = 15.0) -> np.ndarray:
+    """Which stems far more documents of a class use than its size explains (likelihood ratio, 8 times the share)."""
+    share = (mine + other) / max(1, n_mine + n_other)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        ratio = 2 * (np.where(mine > 0, mine * np.log(mine / (n_mine * share)), 0)
+                     + np.where(other > 0, other * np.log(other / (n_other * share)), 0))
+    return (mine > 2) & (mine * n_other >= 8 * other * n_mine) & (ratio > least)
 
 
 def _dictionary(samples: list[bytes], size: int) -> bytes:
@@ -103,7 +113,7 @@ def _packed(words: list[bytes]) -> list[bytes]:
     return [b" " + b" ".join(words[i:i + 64]) + b" " for i in range(0, len(words), 64)]
 
 
-def dictionaries(docs: list[tuple[list[bytes], int]], pairs: int = PAIRS, seed: int = 0) -> list[tuple[bytes, bytes]]:
+def dictionaries(docs: list[tuple[bytes, int]], pairs: int = PAIRS, seed: int = 0) -> list[tuple[bytes, bytes]]:
     """Pairs (ordinary, toxic) of dictionary contents trained on windows of labelled documents.
 
     Each is trained on what is typical of its class (own words; for ordinary text, words that several
@@ -111,19 +121,26 @@ def dictionaries(docs: list[tuple[list[bytes], int]], pairs: int = PAIRS, seed:
     usual text is shortened equally and the difference in length shows the class alone.  Both have
     equal size.  The pairs differ in the draws of words and windows.
     """
-    sets = {k: _unlike([d for d, label in docs if label == k], seed) for k in (0, 1)}
-    own, used_t, used_o = _own_words(sets[1], sets[0])
-    typical = {1: [sorted(w for w in words if not own.isdisjoint(_stems(w))) for words in sets[1]],
-               0: [sorted(w for w in words if used_o[w] > 1 and not used_t[w]) for words in sets[0]]}
+    vocabulary = Vocabulary([d for d, _ in docs])
+    sets = {k: vocabulary.unlike([i for i, (_, label) in enumerate(docs) if label == k], seed) for k in (0, 1)}
+    used = {k: vocabulary.used(sets[k]) for k in (0, 1)}
+    own = _own_stems(used[1], len(sets[1]), used[0], len(sets[0]))[vocabulary.stems].any(axis=1)
+    word = vocabulary.stems[:, 0]
+    wanted = {1: own, 0: (used[0][word] > 1) & (used[1][word] == 0)}
     made = []
     for member in range(pairs):
         rng = random.Random(seed * 1000 + member)
-        usual = [w for d, _ in docs for w in rng.sample(d, min(len(d), 30))]
+        usual = []
+        for d, _ in docs:
+            lines = d.split(b"\n") if d else []
+            usual += rng.sample(lines, min(len(lines), 30))
         rng.shuffle(usual)
         shared = _dictionary(usual[:60_000], SHARED_BYTES)
-        text = {}
-        for label, words in typical.items():
-            text[label] = [p for found in words for p in _packed(rng.sample(found, min(len(found), 400)))]
+        text: dict[int, list[bytes]] = {0: [], 1: []}
+        for label, chosen in sets.items():
+            for i in chosen:
+                found = vocabulary.docs[i][wanted[label][vocabulary.docs[i]]].tolist()
+                text[label] += _packed([vocabulary.words[n] for n in rng.sample(found, min(len(found), 400))])
             rng.shuffle(text[label])
         toxic = _dictionary(text[1][:6000], OWN_BYTES)
         plain = _dictionary(text[0][:6000], max(1, len(toxic)))
@@ -200,8 +217,8 @@ class Model:
         return lambda text: float(self.calibrated(np.array(summary(map(c.gains, windows(text)))))[0])
 
 
-def fit(docs: list[tuple[list[bytes], int]], folds: int = 2, seed: int = 0) -> Model:
-    """A model of (windows, label) of documents.
+def fit(docs: list[tuple[bytes, int]], folds: int = 2, seed: int = 0) -> Model:
+    """A model of (windows on lines, label) of documents.
 
     The calibration is learnt across folds: each fold is measured with dictionaries trained on the
     others, so thresholds do not rest on text that a dictionary has seen.  The final dictionaries are
@@ -209,12 +226,12 @@ def fit(docs: list[tuple[list[bytes], int]], folds: int = 2, seed: int = 0) -> M
     """
     if len({label for _, label in docs}) < 2:
         return Model(None, None, float(docs[0][1]) if docs else 0.0)
-    docs = sorted(docs, key=lambda d: (zlib.crc32(b"".join(d[0][:3])), d[0], d[1]))
+    docs = sorted(docs, key=lambda d: (zlib.crc32(d[0]), d[0], d[1]))
     x, y = [], []
     for f in range(folds):
         c = Compressors(dictionaries([d for i, d in enumerate(docs) if i % folds != f], seed=seed))
         for d, label in docs[f::folds]:
-            x.append(summary([c.gains(d)]))
+            x.append(summary([c.gains(d.split(b"\n") if d else [])]))
             y.append(label)
     return Model(dictionaries(docs, seed=seed), Logistic(np.array(x), np.array(y, dtype=float)), 0.0)
 
@@ -225,21 +242,22 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, seed: int =
     Labels come only from ids whose crc32 mod 5 is not 0.  Every document gives its windows, from its
     whole text; one with more than ``FIT_WINDOWS`` gives those with the smallest hashes.
     """
-    learn = remainder(F.col("_id"), 5) != 0
-    marked = labelled_texts(docs, labels, "toxic", learn, rows, seed)
+    marked = labelled_texts(docs, labels, "toxic", remainder(F.col("_id"), 5) != 0, rows, seed)
 
     def make():
         def one(batch: pa.RecordBatch):
             return {"w": [_sample(t.as_py()) for t in batch.column(0)], "label": batch.column(1)}
         return one
 
-    got = map_batches(marked.select("_text", "_label").limit(4 * rows), "w array<binary>, label int", make).toPandas()
-    # a class's share in the sample is not its share in the corpus, so the calibration is weighed back
-    seen = labels.where(F.col("toxic").isin(0, 1) & (remainder(F.col("doc_id"), 5) != 0))
-    shares = {int(r[0]): r[1] for r in seen.groupBy("toxic").count().collect()}
-    model = fit([([bytes(w) for w in ws], int(label)) for ws, label in zip(got["w"], got["label"])], seed=seed)
+    got = map_batches(marked.select("_text", "_label").limit(4 * rows), "w binary, label int", make).collect()
+    sample = [(bytes(r.w), r.label) for r in got]
+    del got
+    model = fit(sample, seed=seed)
     if model.calibrated is not None:
-        met = Counter(int(label) for label in got["label"])
+        # a class's share in the sample is not its share in the corpus, so the calibration is weighed back
+        seen = labels.where(F.col("toxic").isin(0, 1) & (remainder(F.col("doc_id"), 5) != 0))
+        shares = {int(r[0]): r[1] for r in seen.groupBy("toxic").count().collect()}
+        met = Counter(label for _, label in sample)
         model.calibrated.w[-1] += math.log(shares[1] / shares[0]) - math.log(met[1] / met[0])
     return model
 
@@ -270,8 +288,7 @@ def keep_civil(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
     def run(batches):
         score = model.scorer()
-        for batch in batches:
-            if batch.num_rows:
-                yield batch.filter(pa.array([score(t.as_py()) < 0.5 for t in batch.column(at)]))
+        for batch in slices(batches):
+            yield batch.filter(pa.array([score(t.as_py()) < 0.5 for t in batch.column(at)]))
 
     return docs.mapInArrow(run, docs.schema)

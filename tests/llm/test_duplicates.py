@@ -9,7 +9,8 @@ import xxhash
 from pyspark.sql import types as T
 
 from lodestar.llm import covertree, queries, simhash
-from lodestar.llm.common import components, table
+from lodestar.operators.network import connected
+from lodestar.session import table
 from tests.conftest import SF_SMALL
 
 
@@ -38,9 +39,9 @@ def plain_fingerprint(text):
 
 def test_components_of_long_chain_and_star(spark):
     edges = [(i, i + 1) for i in range(300)] + [(1000, 1000 + i) for i in range(1, 500)] + [(5000, 4999), (5000, 5000)]
-    got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    got = {r.node: r.root for r in connected(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**dict.fromkeys(range(301), 0), **dict.fromkeys(range(1000, 1500), 1000), 4999: 4999, 5000: 4999}
-    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+    assert connected(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
 def test_golay_code_is_perfect():
@@ -135,8 +136,9 @@ def expected_vectors(rows):
                          i == (least.get(root[n]) if n in ok else i))) for n, (i, _, _) in enumerate(rows)))
 
 
-@pytest.mark.parametrize("cell,block", [(2048, 4096), (60, 32), (40, 4096)])
-def test_cover_tree(spark, monkeypatch, cell, block):
+@pytest.mark.parametrize("cell,block,fit", [(2048, 4096, 8192), (60, 32, 8192), (40, 4096, 8192), (60, 32, 64), (60, 32, 1)])
+def test_cover_tree(spark, monkeypatch, cell, block, fit):
+    monkeypatch.setattr(covertree, "FIT_ROWS", fit)
     monkeypatch.setattr(covertree, "CELL", cell)
     monkeypatch.setattr(covertree, "BLOCK", block)
     rng = np.random.default_rng(2)
