@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.llm.common import map_batches, word_slices
+from lodestar.llm.common import map_batches, slices, word_slices
 
 #: Frequent words with a number of their own, and hash classes that all other words fall in.
 WORDS, CLASSES = 192, 64
@@ -18,8 +18,8 @@ WORDS, CLASSES = 192, 64
 SIDE, HIDDEN = 2, 32
 #: Passes over the corpus; each predicts one word in ``EVERY`` and sees all others as context.
 PASSES, EVERY = 2, 4
-#: Tokens of a training step, and of a slice when scoring.
-STEP, SLICE = 1024, 4096
+#: Tokens of a training step, and of a slice when scoring; a slice's values stay in the processor's cache.
+STEP, SLICE = 1024, 1024
 RATE = 0.08
 #: Distinct words that a task counts before it hands the counts on.
 COUNTED = 300_000
@@ -67,6 +67,7 @@ class Net:
         self.flat = np.array(weights, dtype=np.float32)
         parts = np.split(self.flat, np.cumsum(counts)[:-1])
         self.inputs, self.shift, self.outputs, self.bias = (p.reshape(s) for p, s in zip(parts, self.SHAPES))
+        self.ones = np.ones(SIZE, dtype=np.float32)
 
     def hidden(self, tokens: np.ndarray, place: np.ndarray) -> np.ndarray:
         h = np.repeat(self.shift[None, :], len(place), axis=0)
@@ -80,7 +81,7 @@ class Net:
         z += self.bias
         z -= z.max(1, keepdims=True)
         own = z[np.arange(len(place)), tokens[place]].astype(np.float64)
-        return own - np.log(np.exp(z, out=z).sum(1, dtype=np.float64))
+        return own - np.log(np.exp(z, out=z) @ self.ones)
 
     def gradient(self, tokens: np.ndarray, place: np.ndarray) -> np.ndarray:
         """Of the mean negative log-probability, laid out like ``flat``."""
@@ -140,7 +141,7 @@ def frequent_words(docs: DataFrame, text: str = "text") -> list[bytes]:
         def made():
             return pa.RecordBatch.from_arrays([pa.array(list(counts), type=pa.binary()), pa.array(list(counts.values()), type=pa.int64())], names=["word", "n"])
 
-        for batch in batches:
+        for batch in slices(batches):
             for t in batch.column(0):
                 for words in word_slices((t.as_py() or "").encode().lower()):
                     counts.update(words)
@@ -169,7 +170,7 @@ def train(docs: DataFrame, text: str = "text", seed: int = 0) -> tuple[Tokens, N
 
         def run(batches, weights=weights, phase=phase):
             learner = Learner(weights, phase)
-            for batch in batches:
+            for batch in slices(batches):
                 for t in batch.column(0):
                     learner.add(tokens.of(t.as_py()))
             learner.learn()
@@ -212,7 +213,7 @@ def pseudo_likelihood(docs: DataFrame, tokens: Tokens, net: Net, text: str = "te
                 held.append(tokens.of(t.as_py()))
                 n.append(len(held[-1]))
                 waiting += n[-1]
-                if waiting >= 8 * SLICE:
+                if waiting >= 64 * SLICE:
                     flush()
                     held, waiting = [], 0
             if held:
