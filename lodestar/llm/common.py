@@ -72,7 +72,8 @@ def map_batches(df: DataFrame, schema: T.StructType | str, make: Callable[[], Ca
 
 def row_key(df: DataFrame) -> tuple[Column, Column]:
     """A 128-bit hash of a whole row; equal rows, and only they, share it."""
-    cols = [F.col(f"`{f.name}`") for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    named = [(F.col(f"`{f.name}`"), f.dataType.simpleString()) for f in df.schema.fields]
+    cols = [F.to_json(F.struct(c)) if "map<" in kind else c for c, kind in named]  # maps have no hash of their own
     nulls = [F.when(c.isNull(), i).otherwise(-1) for i, c in enumerate(cols)]
     return F.xxhash64(*cols, *nulls), F.xxhash64(F.lit("second"), *nulls, *cols)
 

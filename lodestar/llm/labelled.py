@@ -11,8 +11,8 @@ def remainder(doc_id: Column, modulus: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % modulus
 
 
-def labelled_texts(docs: DataFrame, labels: DataFrame, label: str, learn: Column, rows: int, seed: int = 0) -> DataFrame:
-    """(_text, _label) of at most ``rows`` labelled documents of each class among those that ``learn`` admits.
+def labelled_texts(docs: DataFrame, labels: DataFrame, label: str, learn: Column, rows: tuple[int, int], seed: int = 0) -> DataFrame:
+    """(_text, _label) of at most ``rows`` (of class 0, of class 1) labelled documents among those that ``learn`` admits.
 
     ``learn`` is a condition on ``_id``.  The ids are the first in the order of a seeded hash, so the
     choice neither depends on partitions nor takes a prefix of the table.  An id with several labels
@@ -23,7 +23,7 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, label: str, learn: Column
              .where(F.col("_label").isin(0, 1) & F.col("_id").isNotNull() & learn)
              .groupBy("_id").agg(F.max("_label").alias("_label")))
     order = F.xxhash64(F.lit(seed), "_id")
-    some = marks.where("_label = 0").orderBy(order, "_id").limit(rows).union(
-        marks.where("_label = 1").orderBy(order, "_id").limit(rows))
+    some = marks.where("_label = 0").orderBy(order, "_id").limit(rows[0]).union(
+        marks.where("_label = 1").orderBy(order, "_id").limit(rows[1]))
     texts = docs.select(F.col("doc_id").alias("_id"), F.col("text").alias("_text"))
     return texts.join(F.broadcast(some), "_id").select("_id", "_text", "_label")

@@ -14,6 +14,8 @@ from lodestar.llm.labelled import labelled_texts, remainder
 
 #: Trusted positives, and unlabelled texts, that a model is fitted on at most.
 FIT_ROWS = 4000
+#: Nets whose values are averaged; each starts from other weights and sees the rows in another order.
+NETS = 5
 _KINDS = 9
 _kind = np.zeros(256, dtype=np.int64)
 for _i in range(256):
@@ -133,40 +135,44 @@ def class_prior(p: np.ndarray, u: np.ndarray, steps: int = 300, seed: int = 0) -
 
 
 def fit(positive: np.ndarray, unlabelled: np.ndarray, steps: int = 800, rate: float = 0.005, seed: int = 0):
-    """(scale, net, prior) that minimise the non-negative unbiased risk with the sigmoid loss.
+    """(scale, nets, prior) that minimise the non-negative unbiased risk with the sigmoid loss.
 
     risk = prior * loss(P, +) + max(0, loss(U, -) - prior * loss(P, -)).  A batch whose second part is
-    negative, which only over-fitting makes, takes a step back on that part instead.
+    negative, which only over-fitting makes, takes a step back on that part instead.  The prior is the
+    median of one estimate for each net.
     """
     scale = Scale(np.r_[positive, unlabelled])
     order = np.random.default_rng(seed)
     p, u = (scale(x[order.permutation(len(x))]).astype(np.float32) for x in (positive, unlabelled))
-    prior = class_prior(p, u, seed=seed)
-    net = Net(p.shape[1], seed=seed)
-    for a, b in _rounds(net.rng, p, u, steps):
-        x = np.r_[a, b]
-        s = _sigmoid(net(x))
-        slope = s * (1 - s)
-        sp, su = s[:len(a)], s[len(a):]
-        dp, du = slope[:len(a)] / len(a), slope[len(a):] / len(b)
-        whole = su.mean() - prior * sp.mean() >= 0
-        net.step(x, np.r_[-2 * prior * dp, du] if whole else np.r_[prior * dp, -du], rate)
-    return scale, net, prior
+    prior = float(np.median([class_prior(p, u, seed=seed + i) for i in range(NETS)]))
+    nets = []
+    for i in range(NETS):
+        net = Net(p.shape[1], seed=seed + i)
+        for a, b in _rounds(net.rng, p, u, steps):
+            x = np.r_[a, b]
+            s = _sigmoid(net(x))
+            slope = s * (1 - s)
+            sp, su = s[:len(a)], s[len(a):]
+            dp, du = slope[:len(a)] / len(a), slope[len(a):] / len(b)
+            whole = su.mean() - prior * sp.mean() >= 0
+            net.step(x, np.r_[-2 * prior * dp, du] if whole else np.r_[prior * dp, -du], rate)
+        nets.append(net)
+    return scale, nets, prior
 
 
 class Model:
     """What the workers need to score a text: scale and weights, a few hundred kilobytes at most."""
 
-    def __init__(self, scale: Scale | None, net: Net | None, prior: float):
-        self.scale, self.prior = scale, prior
-        self.net = net
-        if net is not None:
+    def __init__(self, scale: Scale | None, nets: list[Net], prior: float):
+        self.scale, self.nets, self.prior = scale, nets, prior
+        for net in nets:
             net.m, net.v = [], []
 
     def score(self, texts: list[str | None]) -> np.ndarray:
-        if self.net is None:
+        if not self.nets:
             return np.full(len(texts), self.prior)
-        return _sigmoid(self.net(self.scale(np.array([features(t) for t in texts]))))
+        x = self.scale(np.array([features(t) for t in texts]))
+        return _sigmoid(sum(net(x) for net in self.nets) / len(self.nets))
 
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, seed: int = 0) -> Model:
@@ -177,7 +183,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, seed: int =
     other texts there is nothing to learn: every score is then 1, so nothing is rejected.
     """
     learn = remainder(F.col("_id"), 3) != 1
-    marked = labelled_texts(docs, labels.where(F.col("quality") == 1), "quality", learn, rows, seed).select("_text")
+    marked = labelled_texts(docs, labels.where(F.col("quality") == 1), "quality", learn, (rows, rows), seed).select("_text")
     web = docs.select(F.col("doc_id").alias("_id"), F.col("text").alias("_text")).where(learn)
     n = web.count()
     part = min(1.0, 1.5 * rows / max(1, n))
@@ -196,7 +202,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, seed: int =
 
     p, u = gathered(marked), gathered(web)
     if not len(p) or not len(u):
-        return Model(None, None, 1.0)
+        return Model(None, [], 1.0)
     return Model(*fit(p, u, seed=seed))
 
 

@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 from lodestar.llm.common import map_batches, slices, word_slices
 from lodestar.llm.labelled import labelled_texts, remainder
 
-#: Labelled documents of each class that a model is fitted on at most.
-FIT_ROWS = 2000
+#: Labelled ordinary and toxic documents that a model is fitted on at most; the more ordinary text there is, the surer
+#: that a word is the toxic class's own.
+FIT_ROWS = (5000, 1500)
 #: Windows that a document gives to the fit at most; a longer one gives those with the smallest hashes.
 FIT_WINDOWS = 250
 #: Words of a window.
@@ -236,8 +237,8 @@ def fit(docs: list[tuple[bytes, int]], folds: int = 2, seed: int = 0) -> Model:
     return Model(dictionaries(docs, seed=seed), Logistic(np.array(x), np.array(y, dtype=float)), 0.0)
 
 
-def train(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, seed: int = 0) -> Model:
-    """A model from at most ``rows`` labelled documents of each class.
+def train(docs: DataFrame, labels: DataFrame, rows: tuple[int, int] = FIT_ROWS, seed: int = 0) -> Model:
+    """A model from at most ``rows`` labelled documents (ordinary, toxic).
 
     Labels come only from ids whose crc32 mod 5 is not 0.  Every document gives its windows, from its
     whole text; one with more than ``FIT_WINDOWS`` gives those with the smallest hashes.
@@ -249,7 +250,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, seed: int =
             return {"w": [_sample(t.as_py()) for t in batch.column(0)], "label": batch.column(1)}
         return one
 
-    got = map_batches(marked.select("_text", "_label").limit(4 * rows), "w binary, label int", make).collect()
+    got = map_batches(marked.select("_text", "_label").limit(2 * sum(rows)), "w binary, label int", make).collect()
     sample = [(bytes(r.w), r.label) for r in got]
     del got
     model = fit(sample, seed=seed)

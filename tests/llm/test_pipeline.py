@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from lodestar.llm import bpe, mixing, quality, simhash, toxicity
+from lodestar.llm.common import row_key
 from lodestar.session import table
 from tests.conftest import SF_SMALL
 from tests.llm.test_duplicates import groups_of, plain_fingerprint
@@ -71,6 +72,15 @@ def test_odd_rows_pass_the_stages(spark, make_docs):
         assert made.columns == empty.columns and made.count() == 0
 
 
+def test_rows_that_differ_in_a_map_only_are_two(spark):
+    docs = spark.sql("SELECT 1L doc_id, 'a b c d e' text, 's' source, map('k', 1) extra, named_struct('a', map(1, 2)) deep "
+                     "UNION ALL SELECT 1L, 'a b c d e', 's', map('k', 2), named_struct('a', map(1, 2))")
+    assert simhash.keep_one(docs).count() == 1
+    k = docs.select(*[c.alias(n) for c, n in zip(row_key(docs), "ab")])
+    assert k.distinct().count() == 2
+    assert mixing.mixed_copies(docs).columns == docs.columns
+
+
 def test_run_matches_its_stages_and_itself(spark):
     a = corpus_pipeline.run(spark, SF_SMALL).collect()
     b = corpus_pipeline.run(spark, SF_SMALL).collect()
