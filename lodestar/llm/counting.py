@@ -21,7 +21,8 @@ REMEMBERED = 400_000
 # such a place and no look-ahead reaches over it, so pieces can be encoded apart.
 _piece = re.compile(r"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+")
 # White space outside ASCII, which would make the place before a piece unsafe.
-_odd_space = re.compile("[\x1c-\x1f\x85\xa0 ᠎ -​    　﻿]")
+_ODD = [*range(0x1C, 0x20), 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x200C), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000, 0xFEFF]
+_odd_space = re.compile("[" + "".join(map(chr, _ODD)) + "]")
 
 _loaded: dict[str, object] = {}
 
