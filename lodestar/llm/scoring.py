@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import zlib
+import re
 from collections import Counter
 
 import numpy as np
@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.llm.common import map_batches, slices, word_slices
+from lodestar.llm.common import SLICE_BYTES, SPACE, map_batches, slices, word_slices
 
 #: Frequent words with a number of their own, and hash classes that all other words fall in.
 WORDS, CLASSES = 192, 64
@@ -25,25 +25,58 @@ RATE = 0.08
 COUNTED = 300_000
 
 SIZE = WORDS + CLASSES
+_IS_SPACE = np.isin(np.arange(256), list(SPACE))
+_LOW = np.array([(1 << 8 * n) - 1 for n in range(9)], dtype=np.uint64)
+_gap = re.compile(rb"[\x20\x09-\x0d]")
 OFFSETS = [o for o in range(-SIDE, SIDE + 1) if o]
 
 
 class Tokens:
-    """Words (ASCII lower case) to numbers: frequent words first, then the hash classes; ``SIZE`` is beyond an end."""
+    """Words (ASCII lower case) to numbers: frequent words first, then the hash classes; ``SIZE`` is beyond an end.
+
+    A word's first eight bytes are one number, looked up among those of the frequent words; the few
+    that match a frequent word of over eight bytes are compared whole.  The class of any other word
+    is a mix of its first and last bytes and its length.
+    """
 
     def __init__(self, frequent: list[bytes]):
         self.known = {w: i for i, w in enumerate(frequent)}
+        short = sorted((int.from_bytes(w, "little"), i) for w, i in self.known.items() if len(w) <= 8)
+        self.short = np.array([c for c, _ in short], dtype=np.uint64)
+        self.number = np.array([i for _, i in short], dtype=np.int32)
+        self.long = np.unique(np.array([int.from_bytes(w[:8], "little") for w in self.known if len(w) > 8], dtype=np.uint64))
 
     def of(self, text: str | None) -> np.ndarray:
+        data = (text or "").encode().lower()
         out = []
-        known = self.known
-        for words in word_slices((text or "").encode().lower()):
-            ids = list(map(known.get, words))
-            if None in ids:
-                ids = [WORDS + zlib.crc32(w) % CLASSES if i is None else i for i, w in zip(ids, words)]
-            out.append(np.array(ids, dtype=np.int32))
+        at = 0
+        while at < len(data):
+            cut = _gap.search(data, at + SLICE_BYTES) if at + SLICE_BYTES < len(data) else None
+            end = cut.start() if cut else len(data)
+            out.append(self._slice(data[at:end]))
+            at = end
         return np.concatenate(out) if out else np.zeros(0, dtype=np.int32)
 
+    def _slice(self, data: bytes) -> np.ndarray:
+        raw = np.frombuffer(data + b" " * 9, dtype=np.uint8)
+        gap = _IS_SPACE[raw]
+        edge = np.flatnonzero(gap[1:] != gap[:-1]) + 1
+        if not gap[0]:
+            edge = np.r_[0, edge]
+        start, size = edge[0::2], edge[1::2] - edge[0::2]
+        code = np.lib.stride_tricks.as_strided(raw, (len(raw) - 7, 8), (1, 1))[start].copy().view("<u8")[:, 0]
+        code &= _LOW[np.minimum(size, 8)]
+        mixed = (code ^ raw[start + size - 1].astype(np.uint64) ^ (size.astype(np.uint64) << np.uint64(8))) * np.uint64(0x9E3779B97F4A7C15)
+        ids = (WORDS + (mixed >> np.uint64(58)) % np.uint64(CLASSES)).astype(np.int32)
+        if len(self.short):
+            place = np.minimum(np.searchsorted(self.short, code), len(self.short) - 1)
+            hit = (self.short[place] == code) & (size <= 8)
+            ids[hit] = self.number[place[hit]]
+        if len(self.long):
+            for i in np.flatnonzero((size > 8) & np.isin(code, self.long)):
+                ids[i] = self.known.get(data[start[i]:start[i] + size[i]], ids[i])
+        return ids
+
 
 def padded(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(tokens, place, doc): documents in one row with ``SIDE`` pads around each, and the places of the real tokens."""
@@ -75,11 +108,17 @@ class Net:
             h += table[tokens[place + o]]
         return np.tanh(h, out=h)
 
+    def _scores(self, h: np.ndarray) -> np.ndarray:
+        """Raw scores of every token, small enough for exp in 32 bits; rows are only shifted when some are not."""
+        z = h @ self.outputs
+        z += self.bias
+        if z.size and z.max() > 60:
+            z -= z.max(1, keepdims=True)
+        return z
+
     def log_probs(self, tokens: np.ndarray, place: np.ndarray) -> np.ndarray:
         """The log-probability of the token at each place, which itself is masked."""
-        z = self.hidden(tokens, place) @ self.outputs
-        z += self.bias
-        z -= z.max(1, keepdims=True)
+        z = self._scores(self.hidden(tokens, place))
         own = z[np.arange(len(place)), tokens[place]].astype(np.float64)
         return own - np.log(np.exp(z, out=z) @ self.ones)
 
@@ -87,13 +126,10 @@ class Net:
         """Of the mean negative log-probability, laid out like ``flat``."""
         n = len(place)
         h = self.hidden(tokens, place)
-        z = h @ self.outputs
-        z += self.bias
-        z -= z.max(1, keepdims=True)
+        z = self._scores(h)
         np.exp(z, out=z)
-        z /= z.sum(1, keepdims=True)
-        z[np.arange(n), tokens[place]] -= 1
-        z /= n
+        z *= (1 / (n * (z @ self.ones)))[:, None]
+        z[np.arange(n), tokens[place]] -= np.float32(1 / n)
         dh = (z @ self.outputs.T) * (1 - h * h)
         tables = np.zeros_like(self.inputs)
         for table, o in zip(tables, OFFSETS):

@@ -174,3 +174,15 @@ def test_remainder_of_null_id(spark):
 
     r = spark.sql("select cast(null as long) i").select(remainder(F.col("i"), 5).alias("r")).first()
     assert r.r == 0
+
+
+def test_word_numbers_by_bytes_match_words():
+    frequent = [b"the", b"of", b"eightlet", b"a longer word".replace(b" ", b""), b"alongerwork", "é".encode(), b"x"]
+    tokens = scoring.Tokens(frequent)
+    for text in ["", None, " \t\n", "The of  x\x0bX", "eightlet eightlett eightle alongerword alongerwork alongerwore", "é É the\x1c the", "x" * 40 + " x",
+                 "the " * 5000 + "alongerword"]:
+        words = (text or "").encode().lower().split()
+        ids = tokens.of(text).tolist()
+        assert len(ids) == len(words)
+        assert all(i == frequent.index(w) if w in frequent else scoring.WORDS <= i < scoring.SIZE for w, i in zip(words, ids))
+    assert tokens.of("same other same")[0] == tokens.of("other same")[1]
