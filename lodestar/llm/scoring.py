@@ -16,8 +16,9 @@ from lodestar.llm.common import SLICE_BYTES, SPACE, map_batches, slices, word_sl
 WORDS, CLASSES = 192, 64
 #: Words on each side that the network sees, and its hidden units.
 SIDE, HIDDEN = 2, 32
-#: Passes over the corpus; each predicts one word in ``EVERY`` and sees all others as context.
-PASSES, EVERY = 2, 4
+#: Passes over the corpus; each predicts one word in ``EVERY`` and sees all others as context.  There is a pass for
+#: each place modulo ``EVERY`` in a document, so that every word is predicted.
+PASSES = EVERY = 2
 #: Tokens of a training step, and of a slice when scoring; a slice's values stay in the processor's cache.
 STEP, SLICE = 1024, 1024
 RATE = 0.08
@@ -157,7 +158,9 @@ class Learner:
         if not self.waiting:
             return
         tokens, place, _ = padded(self.held)
-        place = place[self.phase % EVERY::EVERY]
+        # counted from the start of the document, so that passes agree however rows are dealt to tasks
+        within = np.concatenate([np.arange(len(ids)) for ids in self.held])
+        place = place[within % EVERY == self.phase % EVERY]
         for at in range(0, len(place), STEP):
             part = place[at:at + STEP]
             g = self.net.gradient(tokens, part)

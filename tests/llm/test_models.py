@@ -186,3 +186,35 @@ def test_word_numbers_by_bytes_match_words():
         assert len(ids) == len(words)
         assert all(i == frequent.index(w) if w in frequent else scoring.WORDS <= i < scoring.SIZE for w, i in zip(words, ids))
     assert tokens.of("same other same")[0] == tokens.of("other same")[1]
+
+
+def test_passes_predict_every_word():
+    rng = np.random.default_rng(1)
+    docs = [rng.integers(0, scoring.SIZE, n).astype(np.int32) for n in (1, 2, 7, 0, 5000, 33, 9000)]
+    seen = set()
+    for phase in range(scoring.PASSES):
+        learner = scoring.Learner(scoring.Net().flat, phase)
+        owners = []
+
+        def gradient(tokens, place):
+            # places of a buffer as (document, word) pairs
+            for p in place:
+                before = 0
+                for d in owners[-1]:
+                    start = before + scoring.SIDE
+                    if start <= p < start + len(docs[d]):
+                        seen.add((d, int(p - start)))
+                    before = start + len(docs[d])
+            return np.zeros(len(learner.net.flat), dtype=np.float32)
+
+        learner.net.gradient = gradient
+        waiting = []
+        for d in rng.permutation(len(docs)):  # each pass meets the documents in another layout
+            waiting.append(d)
+            owners.append(list(waiting))
+            learner.add(docs[d])
+            if not learner.held:
+                waiting = []
+        owners.append(list(waiting))
+        learner.learn()
+    assert seen == {(d, i) for d, ids in enumerate(docs) for i in range(len(ids))}
