@@ -16,8 +16,8 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, label: str, learn: Column
 
     ``learn`` is a condition on ``_id``.  The ids are the first in the order of a seeded hash, so the
     choice neither depends on partitions nor takes a prefix of the table.  An id with several labels
-    takes the largest.  The bound holds for documents too: ids that repeat many times in ``docs``
-    are cut by the same order.
+    takes the largest.  The bound holds for documents too: an id that repeats in ``docs`` gives one
+    row, the one whose text has the smallest hash.
     """
     marks = (labels.select(F.col("doc_id").alias("_id"), F.col(label).cast("int").alias("_label"))
              .where(F.col("_label").isin(0, 1) & F.col("_id").isNotNull() & learn)
@@ -26,4 +26,6 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, label: str, learn: Column
     some = marks.where("_label = 0").orderBy(order, "_id").limit(rows[0]).union(
         marks.where("_label = 1").orderBy(order, "_id").limit(rows[1]))
     texts = docs.select(F.col("doc_id").alias("_id"), F.col("text").alias("_text"))
-    return texts.join(F.broadcast(some), "_id").select("_id", "_text", "_label")
+    first = F.min(F.struct(F.xxhash64("_text").alias("h"), F.col("_text")))
+    return (texts.join(F.broadcast(some), "_id").groupBy("_id", "_label").agg(first.alias("_first"))
+            .select("_id", F.col("_first._text").alias("_text"), "_label"))

@@ -196,8 +196,8 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, seed: int =
         return one
 
     def gathered(d: DataFrame) -> np.ndarray:
-        """The features as 32-bit numbers: some three kilobytes a text, and no more than the bound of texts."""
-        parts = [np.frombuffer(bytes(r.f), dtype=np.float32) for r in map_batches(d.limit(2 * rows), "f binary", make).collect()]
+        """The features as 32-bit numbers: some three kilobytes a text, in an order that no partitioning changes."""
+        parts = [np.frombuffer(f, dtype=np.float32) for f in sorted(bytes(r.f) for r in map_batches(d, "f binary", make).collect())]
         return np.array(parts).reshape(-1, N_FEATURES)
 
     p, u = gathered(marked), gathered(web)

@@ -250,7 +250,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: tuple[int, int] = FIT_ROWS,
             return {"w": [_sample(t.as_py()) for t in batch.column(0)], "label": batch.column(1)}
         return one
 
-    got = map_batches(marked.select("_text", "_label").limit(2 * sum(rows)), "w binary, label int", make).collect()
+    got = map_batches(marked.select("_text", "_label"), "w binary, label int", make).collect()
     sample = [(bytes(r.w), r.label) for r in got]
     del got
     model = fit(sample, seed=seed)

@@ -218,3 +218,17 @@ def test_passes_predict_every_word():
         owners.append(list(waiting))
         learner.learn()
     assert seen == {(d, i) for d, ids in enumerate(docs) for i in range(len(ids))}
+
+
+def test_labelled_sample_takes_each_id_once(spark, make_docs):
+    from lodestar.llm.labelled import labelled_texts
+
+    rows = [(i, f"text {i}", "s") for i in range(1, 41)] + [(7, f"copy {i % 3}", "s") for i in range(600)]
+    labels = spark.createDataFrame([(i, int(i < 10)) for i in range(1, 41)], "doc_id long, toxic int")
+
+    def chosen(docs):
+        return sorted(tuple(r) for r in labelled_texts(docs, labels, "toxic", F.lit(True), (20, 9)).collect())
+
+    got = chosen(make_docs(rows))
+    assert len(got) == 29 and len({i for i, _, _ in got}) == 29 and sum(label for _, _, label in got) == 9
+    assert chosen(make_docs(rows[::-1]).repartition(5)) == got
