@@ -15,6 +15,8 @@ BASE_WINDOW, LEAST = 8, 5
 MOST_COVERED = 0.35
 #: ... or its longest repeat has more words than this and also more than this share of them.
 LONGEST, LONGEST_SHARE = 50, 0.20
+#: ... or its longest repeat has more words than this, however long the text is.
+LONGEST_ANYWHERE = 200
 #: Words of the texts whose suffixes are sorted together.
 BATCH_WORDS = 100_000
 
@@ -119,7 +121,8 @@ def figures(texts: list[str | None]) -> list[tuple]:
 
 def verdict(n_words: int, n_covered: int, longest: int) -> bool:
     """Whether a text passes the method's own limits."""
-    return not (n_covered > MOST_COVERED * n_words or longest > LONGEST and longest > LONGEST_SHARE * n_words)
+    return not (n_covered > MOST_COVERED * n_words or longest > LONGEST and longest > LONGEST_SHARE * n_words
+                or longest > LONGEST_ANYWHERE)
 
 
 def quality_rules(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:

@@ -232,3 +232,13 @@ def test_labelled_sample_takes_each_id_once(spark, make_docs):
     got = chosen(make_docs(rows))
     assert len(got) == 29 and len({i for i, _, _ in got}) == 29 and sum(label for _, _, label in got) == 9
     assert chosen(make_docs(rows[::-1]).repartition(5)) == got
+
+
+def test_longest_repeat_alone_rejects(spark, make_docs):
+    own, passage = [f"w{i}" for i in range(20_000)], [f"p{i}" for i in range(2_800)]
+    rows = [(1, " ".join(own[:7_000] + passage + own[7_000:14_400] + passage), "s"),  # 28 % covered
+            (2, " ".join(own[:7_000] + passage[:200] + own[7_000:14_400] + passage[:200]), "s"),
+            (3, " ".join(own[:7_000] + passage[:201] + own[7_000:] + passage[:201]), "s")]
+    got = {r.doc_id: r for r in repetition.quality_rules(make_docs(rows)).collect()}
+    assert not any(r.base_failed for r in got.values()) and got[1].n_covered <= 0.35 * got[1].n_words
+    assert {i: r.kept for i, r in got.items()} == {1: False, 2: True, 3: False}
