@@ -40,7 +40,8 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The masked pseudo-log-likelihood of every document, by a network trained on all of them."""
     docs = table(spark, sf_dir, "documents")
-    return scoring.pseudo_likelihood(docs, *scoring.train(docs))
+    tokens, net, shares = scoring.train_words(docs)
+    return scoring.pseudo_likelihood(docs, tokens, net, shares=shares)
 
 
 def op7_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:

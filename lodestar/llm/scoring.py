@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestar.llm.common import SLICE_BYTES, SPACE, map_batches, slices, word_slices
+from lodestar.session import cut_lineage
 
 #: Frequent words with a number of their own, and hash classes that all other words fall in.
 WORDS, CLASSES = 192, 64
@@ -24,6 +25,10 @@ STEP, SLICE = 1024, 1024
 RATE = 0.08
 #: Distinct words that a task counts before it hands the counts on.
 COUNTED = 300_000
+#: Occurrences from which a word outside the frequent ones has a share of its own; all rarer words are spelled.
+LEAST = 10
+#: Taken off the count of each word with a share, for words that were not counted.
+DISCOUNT = 0.75
 
 SIZE = WORDS + CLASSES
 _IS_SPACE = np.isin(np.arange(256), list(SPACE))
@@ -32,6 +37,25 @@ _gap = re.compile(rb"[\x20\x09-\x0d]")
 OFFSETS = [o for o in range(-SIDE, SIDE + 1) if o]
 
 
+def _cuts(data: bytes):
+    """``data`` in parts of about ``SLICE_BYTES``, cut between words."""
+    at = 0
+    while at < len(data):
+        cut = _gap.search(data, at + SLICE_BYTES) if at + SLICE_BYTES < len(data) else None
+        end = cut.start() if cut else len(data)
+        yield data[at:end]
+        at = end
+
+
+def _spans(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and sizes of the words of ``raw``, which ends with a space."""
+    gap = _IS_SPACE[raw]
+    edge = np.flatnonzero(gap[1:] != gap[:-1]) + 1
+    if not gap[0]:
+        edge = np.r_[0, edge]
+    return edge[0::2], edge[1::2] - edge[0::2]
+
+
 class Tokens:
     """Words (ASCII lower case) to numbers: frequent words first, then the hash classes; ``SIZE`` is beyond an end.
 
@@ -48,23 +72,12 @@ class Tokens:
         self.long = np.unique(np.array([int.from_bytes(w[:8], "little") for w in self.known if len(w) > 8], dtype=np.uint64))
 
     def of(self, text: str | None) -> np.ndarray:
-        data = (text or "").encode().lower()
-        out = []
-        at = 0
-        while at < len(data):
-            cut = _gap.search(data, at + SLICE_BYTES) if at + SLICE_BYTES < len(data) else None
-            end = cut.start() if cut else len(data)
-            out.append(self._slice(data[at:end]))
-            at = end
+        out = [self._slice(part) for part in _cuts((text or "").encode().lower())]
         return np.concatenate(out) if out else np.zeros(0, dtype=np.int32)
 
     def _slice(self, data: bytes) -> np.ndarray:
         raw = np.frombuffer(data + b" " * 9, dtype=np.uint8)
-        gap = _IS_SPACE[raw]
-        edge = np.flatnonzero(gap[1:] != gap[:-1]) + 1
-        if not gap[0]:
-            edge = np.r_[0, edge]
-        start, size = edge[0::2], edge[1::2] - edge[0::2]
+        start, size = _spans(raw)
         code = np.lib.stride_tricks.as_strided(raw, (len(raw) - 7, 8), (1, 1))[start].copy().view("<u8")[:, 0]
         code &= _LOW[np.minimum(size, 8)]
         mixed = (code ^ raw[start + size - 1].astype(np.uint64) ^ (size.astype(np.uint64) << np.uint64(8))) * np.uint64(0x9E3779B97F4A7C15)
@@ -170,8 +183,105 @@ class Learner:
         self.held, self.waiting = [], 0
 
 
-def frequent_words(docs: DataFrame, text: str = "text") -> list[bytes]:
-    """The ``WORDS`` most frequent words of all documents; ties by the word."""
+#: Factors by a byte's place in its word, modulo 4096 and divided by 4096; a short word's hash needs the first alone.
+_FACTOR = np.random.default_rng(8).integers(0, 1 << 64, (2, 4096), dtype=np.uint64) | np.uint64(1)
+_FACTOR[1, 0] = 1
+
+
+def _spelt(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(64-bit hash of each whole word, pairs of bytes from the space before each word to the one after it, first pair of each word)."""
+    raw = np.frombuffer(b" " + data + b" ", dtype=np.uint8)
+    start, size = _spans(raw)
+    if not len(start):
+        return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+    first = np.cumsum(size) - size
+    within = np.arange(size.sum()) - np.repeat(first, size)
+    value = (raw[np.repeat(start, size) + within].astype(np.uint64) + np.uint64(1)) * _FACTOR[0][within & 4095]
+    if size.max() > 4096:
+        value *= _FACTOR[1][(within >> 12) & 4095]
+    key = np.add.reduceat(value, first)
+    key = (key ^ (key >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15)
+    clean = np.where(_IS_SPACE[raw], 32, raw).astype(np.int64)
+    size1 = size + 1
+    first = np.cumsum(size1) - size1
+    at = np.repeat(start, size1) + np.arange(size1.sum()) - np.repeat(first, size1)
+    return key, clean[at - 1] * 256 + clean[at], first
+
+
+class Shares:
+    """log p(word | its hash class), the part of a word's probability that the network does not give.
+
+    A word counted ``LEAST`` times has its share of the class's occurrences, less ``DISCOUNT``; so the
+    table grows with the corpus.  What rarer words and the discounts leave over goes to all other words by
+    their spelling: the chain of their bytes as learnt from the rarer words, over the class's part of those.
+    """
+
+    def __init__(self, key: np.ndarray, cls: np.ndarray, n: np.ndarray, rare: np.ndarray, kinds: np.ndarray, pairs: np.ndarray):
+        """Hash, class and count of the words with a share; occurrences and number of rarer words by class; counts of their pairs of bytes."""
+        order = np.argsort(key)
+        self.key = key[order]
+        whole = np.bincount(cls, n, CLASSES) + rare + 1
+        self.share = (np.log(n - DISCOUNT) - np.log(whole[cls]))[order].astype(np.float32)
+        self.rest = (np.log((rare + DISCOUNT * np.bincount(cls, minlength=CLASSES) + 1) / whole)).astype(np.float64)
+        self.part = np.log((kinds + 1) / (kinds.sum() + CLASSES))
+        chain = pairs.reshape(256, 256) + 0.5
+        self.chain = np.log(chain / chain.sum(1, keepdims=True)).ravel()
+
+    def of(self, data: bytes, ids: np.ndarray) -> np.ndarray:
+        """Of each word of ``data`` (lower case), whose numbers are ``ids``; a frequent word is alone in its class."""
+        out, done = np.zeros(len(ids)), 0
+        for part in _cuts(data):
+            key, pair, first = _spelt(part)
+            here = ids[done:done + len(key)]
+            at = np.flatnonzero(here >= WORDS)
+            if len(at):
+                at = at[np.argsort(key[at])]  # neighbours in the table are met together
+                cls = here[at] - WORDS
+                spelling = np.add.reduceat(self.chain[pair], first)[at]
+                value = self.rest[cls] + np.minimum(spelling - self.part[cls], 0)
+                if len(self.key):
+                    place = np.minimum(np.searchsorted(self.key, key[at]), len(self.key) - 1)
+                    value = np.where(self.key[place] == key[at], self.share[place], value)
+                out[done + at] = value
+            done += len(key)
+        return out
+
+
+def word_shares(counts: DataFrame, tokens: Tokens) -> Shares:
+    """The shares of all words in ``counts`` (word, n).  Only words with a share of their own reach the driver as rows."""
+    def run(batches):
+        for batch in slices(batches):
+            data = b" ".join(batch.column(0).to_pylist())
+            n = batch.column(1).to_numpy(zero_copy_only=False)
+            ids = np.concatenate([tokens._slice(part) for part in _cuts(data)] or [np.zeros(0, dtype=np.int32)])
+            made = [_spelt(part) for part in _cuts(data)]
+            key = np.concatenate([m[0] for m in made] or [np.zeros(0, dtype=np.uint64)])
+            cls = ids - WORDS
+            own, rare = (cls >= 0) & (n >= LEAST), (cls >= 0) & (n < LEAST)
+            pairs, before = np.zeros(1 << 16, dtype=np.int64), 0
+            for k, pair, first in made:
+                size = np.diff(np.r_[first, len(pair)])
+                pairs += np.bincount(pair[np.repeat(rare[before:before + len(k)], size)], minlength=1 << 16)
+                before += len(k)
+            seen = np.flatnonzero(pairs)
+            k = np.arange(CLASSES)
+            columns = [("own", key[own].view(np.int64), cls[own], n[own]), ("rare", k, k, np.bincount(cls[rare], n[rare], CLASSES).astype(np.int64)),
+                       ("kinds", k, k, np.bincount(cls[rare], minlength=CLASSES)), ("pairs", seen, seen * 0, pairs[seen])]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.repeat([c[0] for c in columns], [len(c[1]) for c in columns]), type=pa.string()),
+                 *(pa.array(np.concatenate([c[i] for c in columns]).astype(np.int64)) for i in (1, 2, 3))], names=["what", "key", "cls", "n"])
+
+    made = counts.mapInArrow(run, "what string, key long, cls long, n long")
+    own = made.where("what = 'own'").select("key", "cls", "n").toArrow()
+    key, cls, n = (own.column(i).to_numpy() for i in range(3))
+    sums = {"rare": np.zeros(CLASSES), "kinds": np.zeros(CLASSES), "pairs": np.zeros(1 << 16)}
+    for r in made.where("what <> 'own'").groupBy("what", "key").agg(F.sum("n").alias("n")).collect():
+        sums[r.what][r.key] = r.n
+    return Shares(key.view(np.uint64), cls, n.astype(np.float64), **sums)
+
+
+def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
+    """(word, n) of all documents."""
     d = docs.select(F.col(text))
 
     def run(batches):
@@ -189,19 +299,30 @@ def frequent_words(docs: DataFrame, text: str = "text") -> list[bytes]:
                     counts.clear()
         yield made()
 
-    totals = d.mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    return [bytes(r.word) for r in totals.orderBy(F.desc("n"), "word").limit(WORDS).collect()]
+    return d.mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def frequent_words(counts: DataFrame) -> list[bytes]:
+    """The ``WORDS`` most frequent words of ``counts``; ties by the word."""
+    return [bytes(r.word) for r in counts.orderBy(F.desc("n"), "word").limit(WORDS).collect()]
 
 
-def train(docs: DataFrame, text: str = "text", seed: int = 0) -> tuple[Tokens, Net]:
-    """The network, trained on all documents.
+def train_words(docs: DataFrame, text: str = "text", seed: int = 0) -> tuple[Tokens, Net, Shares]:
+    """The network and the shares of words in their classes, from one count of all words."""
+    counts = cut_lineage(word_counts(docs, text))
+    tokens, net = train(docs, text, seed, counts)
+    return tokens, net, word_shares(counts, tokens)
+
+
+def train(docs: DataFrame, text: str = "text", seed: int = 0, counts: DataFrame | None = None) -> tuple[Tokens, Net]:
+    """The network over frequent words and hash classes, trained on all documents.
 
     In each pass every task starts from the same weights, learns from its documents, and returns its
     weights once, weighed by the number of predicted tokens.  Their sums are made by a shuffle over the
     single weights, so what is gathered grows with the number of tasks while no task or driver holds
     more than one network.  A pass without tokens leaves the weights as they are.
     """
-    tokens = Tokens(frequent_words(docs, text))
+    tokens = Tokens(frequent_words(word_counts(docs, text) if counts is None else counts))
     net = Net(seed=seed)
     d = docs.select(F.col(text))
     for phase in range(PASSES):
@@ -227,18 +348,23 @@ def train(docs: DataFrame, text: str = "text", seed: int = 0) -> tuple[Tokens, N
     return tokens, net
 
 
-def pseudo_likelihood(docs: DataFrame, tokens: Tokens, net: Net, text: str = "text", id_col: str = "doc_id") -> DataFrame:
+def pseudo_likelihood(docs: DataFrame, tokens: Tokens, net: Net, text: str = "text", id_col: str = "doc_id",
+                      shares: Shares | None = None) -> DataFrame:
     """(id, n_tokens, log_likelihood, mean_log_prob, perplexity) of every row.
 
-    The sum runs over all tokens of the whole text, each predicted from both sides with itself masked.
+    With ``shares`` the likelihood is that of the words, without them that of their classes.  The sum runs over all tokens of the whole text, each predicted from both sides with itself masked.
     A text without words has 0 tokens, log-likelihood 0 and null means.  Repeated rows and null ids
     stay; an empty table gives no rows.
     """
     kind = docs.schema[id_col].dataType.simpleString()
+    # one copy a worker, as the table of words may be large
+    sent = docs.sparkSession.sparkContext.broadcast(shares)
 
     def make():
+        shares = sent.value
+
         def one(batch: pa.RecordBatch):
-            n, total, held, waiting = [], [], [], 0
+            n, total, held, texts, waiting = [], [], [], [], 0
 
             def flush():
                 row, place, doc = padded(held)
@@ -246,15 +372,19 @@ def pseudo_likelihood(docs: DataFrame, tokens: Tokens, net: Net, text: str = "te
                 for at in range(0, len(place), SLICE):
                     s = slice(at, at + SLICE)
                     sums += np.bincount(doc[s], weights=net.log_probs(row, place[s]), minlength=len(held))
+                if shares is not None:
+                    own = shares.of(b" ".join((t or "").encode().lower() for t in texts), np.concatenate(held))
+                    sums += np.bincount(doc, weights=own, minlength=len(held))
                 total.extend(sums.tolist())
 
             for t in batch.column(1):
-                held.append(tokens.of(t.as_py()))
+                texts.append(t.as_py())
+                held.append(tokens.of(texts[-1]))
                 n.append(len(held[-1]))
                 waiting += n[-1]
                 if waiting >= 64 * SLICE:
                     flush()
-                    held, waiting = [], 0
+                    held, texts, waiting = [], [], 0
             if held:
                 flush()
             mean = [s / k if k else None for s, k in zip(total, n)]

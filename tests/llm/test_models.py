@@ -242,3 +242,39 @@ def test_longest_repeat_alone_rejects(spark, make_docs):
     got = {r.doc_id: r for r in repetition.quality_rules(make_docs(rows)).collect()}
     assert not any(r.base_failed for r in got.values()) and got[1].n_covered <= 0.35 * got[1].n_words
     assert {i: r.kept for i, r in got.items()} == {1: False, 2: True, 3: False}
+
+
+def test_words_of_a_class_have_their_own_cost(spark, make_docs):
+    docs = table(spark, SF_SMALL, "documents")
+    tokens, net, shares = scoring.train_words(docs)
+    counts = {}
+    for r in docs.collect():
+        for w in r.text.encode().lower().split():
+            counts[w] = counts.get(w, 0) + 1
+    assert len(shares.key) == sum(n >= scoring.LEAST and w not in tokens.known for w, n in counts.items()) > 0
+
+    def cost(words):
+        data = b" ".join(words)
+        return shares.of(data, tokens.of(data.decode()))
+
+    known = [w for w, n in counts.items() if n >= scoring.LEAST and w not in tokens.known]
+    cls = tokens.of(b" ".join(known).decode())
+    for c in range(scoring.WORDS, scoring.SIZE):  # shares and what is left over for other words make 1
+        mine = [w for w, k in zip(known, cls) if k == c]
+        left = np.exp(shares.rest[c - scoring.WORDS])
+        assert abs(np.exp(cost(mine)).sum() + left - 1) < 1e-4
+    # random letters of the same class cost more than the class's real word
+    rng = np.random.default_rng(0)
+    noise = [bytes(rng.integers(97, 123, len(w)).astype(np.uint8)) for w in known for _ in range(20)]
+    kinds = tokens.of(b" ".join(noise).decode())
+    worst = {c: min(v for v, k in zip(cost(known), cls) if k == c) for c in set(cls.tolist())}
+    unmet = [(v, worst[k]) for w, v, k in zip(noise, cost(noise), kinds.tolist()) if w not in counts and k in worst and len(w) > 3]
+    assert len(unmet) > 20 and np.mean([v < real for v, real in unmet]) > 0.95
+    # a text's figure has the cost of its words on top of that of their classes
+    rows = [(r.doc_id, r.text, "s") for r in docs.limit(20).collect()] + ODD
+    plain, whole = ({r.doc_id: r for r in scoring.pseudo_likelihood(make_docs(rows), tokens, net, shares=s).collect()} for s in (None, shares))
+    for i, t, _ in rows:
+        words = (t or "").encode().lower().split()
+        want = plain[i].log_likelihood + (cost(words).sum() if words else 0)
+        assert abs(whole[i].log_likelihood - want) < 1e-6 * max(1, abs(want))
+    assert scoring.pseudo_likelihood(make_docs([]), *scoring.train_words(make_docs([]))[:2]).count() == 0
