@@ -114,13 +114,20 @@ def _packed(words: list[bytes]) -> list[bytes]:
     return [b" " + b" ".join(words[i:i + 64]) + b" " for i in range(0, len(words), 64)]
 
 
+def _drawn(rng: random.Random, doc: bytes) -> list[bytes]:
+    """Up to 30 windows of a document."""
+    lines = doc.split(b"\n") if doc else []
+    return rng.sample(lines, min(len(lines), 30))
+
+
 def dictionaries(docs: list[tuple[bytes, int]], pairs: int = PAIRS, seed: int = 0) -> list[tuple[bytes, bytes]]:
     """Pairs (ordinary, toxic) of dictionary contents trained on windows of labelled documents.
 
     Each is trained on what is typical of its class (own words; for ordinary text, words that several
     ordinary and no toxic documents use), followed by one part trained on windows of both, so that
     usual text is shortened equally and the difference in length shows the class alone.  Both have
-    equal size.  The pairs differ in the draws of words and windows.
+    equal size.  The pairs differ in the draws of words and windows.  Where the toxic class has no words
+    of its own, both are trained on windows of their class as they stand, so that phrases and order count.
     """
     vocabulary = Vocabulary([d for d, _ in docs])
     sets = {k: vocabulary.unlike([i for i, (_, label) in enumerate(docs) if label == k], seed) for k in (0, 1)}
@@ -133,8 +140,7 @@ def dictionaries(docs: list[tuple[bytes, int]], pairs: int = PAIRS, seed: int =
         rng = random.Random(seed * 1000 + member)
         usual = []
         for d, _ in docs:
-            lines = d.split(b"\n") if d else []
-            usual += rng.sample(lines, min(len(lines), 30))
+            usual += _drawn(rng, d)
         rng.shuffle(usual)
         shared = _dictionary(usual[:60_000], SHARED_BYTES)
         text: dict[int, list[bytes]] = {0: [], 1: []}
@@ -142,6 +148,10 @@ def dictionaries(docs: list[tuple[bytes, int]], pairs: int = PAIRS, seed: int =
             for i in chosen:
                 found = vocabulary.docs[i][wanted[label][vocabulary.docs[i]]].tolist()
                 text[label] += _packed([vocabulary.words[n] for n in rng.sample(found, min(len(found), 400))])
+        if not text[1]:
+            for label, chosen in sets.items():
+                text[label] = [w for i in chosen for w in _drawn(rng, docs[i][0])]
+        for label in text:
             rng.shuffle(text[label])
         toxic = _dictionary(text[1][:6000], OWN_BYTES)
         plain = _dictionary(text[0][:6000], max(1, len(toxic)))

@@ -278,3 +278,20 @@ def test_words_of_a_class_have_their_own_cost(spark, make_docs):
         want = plain[i].log_likelihood + (cost(words).sum() if words else 0)
         assert abs(whole[i].log_likelihood - want) < 1e-6 * max(1, abs(want))
     assert scoring.pseudo_likelihood(make_docs([]), *scoring.train_words(make_docs([]))[:2]).count() == 0
+
+
+def test_toxic_phrases_of_ordinary_words():
+    rng = np.random.default_rng(0)
+    words = np.array([f"w{i:03d}".encode() for i in range(600)])
+    phrases = rng.permutation(words).reshape(-1, 6)
+
+    def doc(toxic):
+        if toxic:
+            return b"\n".join(b" " + b" ".join(p) + b" " for p in phrases[rng.choice(100, 10, replace=False)])
+        return b"\n".join(b" " + b" ".join(w) + b" " for w in rng.choice(words, 60, replace=False).reshape(-1, 6))
+
+    made = toxicity.dictionaries([(doc(i % 2), i % 2) for i in range(400)])
+    assert all(plain != toxic for plain, toxic in made)
+    c = toxicity.Compressors(made)
+    gains = [[c.gains(doc(label).split(b"\n")).mean() for _ in range(40)] for label in (0, 1)]
+    assert np.mean(gains[1]) > np.mean(gains[0]) + 0.5, gains
