@@ -82,43 +82,82 @@ def arm_posteriors(log: DataFrame, arm: str, reward: str) -> DataFrame:
     ).withColumn("mean", F.col("alpha") / (F.col("alpha") + F.col("beta")))
 
 
-def _betainc(a: np.ndarray, b: np.ndarray, x: np.ndarray, terms: int = 200) -> np.ndarray:
-    """Regularized incomplete beta I_x(a, b) by its continued fraction (vectorised)."""
-    from math import lgamma
-
-    lbeta = np.array([lgamma(ai) + lgamma(bi) - lgamma(ai + bi) for ai, bi in zip(a, b)])
-    flip = x > (a + 1) / (a + b + 2)
-    aa, bb, xx = np.where(flip, b, a), np.where(flip, a, b), np.where(flip, 1 - x, x)
-    tiny = 1e-300
-    c = np.ones_like(xx)
-    d = 1 - (aa + bb) * xx / (aa + 1)
-    d = 1 / np.where(np.abs(d) < tiny, tiny, d)
-    h = d.copy()
-    for m in range(1, terms):
-        num = m * (bb - m) * xx / ((aa + 2 * m - 1) * (aa + 2 * m))
-        d = 1 + num * d
-        d = 1 / np.where(np.abs(d) < tiny, tiny, d)
-        c = 1 + num / np.where(np.abs(c) < tiny, tiny, c)
-        h *= d * c
-        num = -(aa + m) * (aa + bb + m) * xx / ((aa + 2 * m) * (aa + 2 * m + 1))
-        d = 1 + num * d
-        d = 1 / np.where(np.abs(d) < tiny, tiny, d)
-        c = 1 + num / np.where(np.abs(c) < tiny, tiny, c)
-        h *= d * c
-    with np.errstate(divide="ignore"):
-        front = np.exp(aa * np.log(np.clip(xx, tiny, 1)) + bb * np.log(np.clip(1 - xx, tiny, 1)) - lbeta) / aa
-    val = front * h
-    return np.where(flip, 1 - val, val)
+#: Panels between the ends of the density, and the nodes and weights of each.
+_PANELS = 48
+_NODES, _WEIGHTS = np.polynomial.legendre.leggauss(16)
+#: Where the density has fallen by this factor (as a logarithm) it is cut off.
+_DROP = 80.0
+
+
+def _log_density(a: np.ndarray, b: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """Logarithm of the density of logit(t) − logit(mode) for t from Beta(a, b), relative to its top.
+
+    On this scale the density is log-concave and smooth for all a, b > 0, and the two large terms cancel
+    before they are rounded, so a billion pulls are as good as ten.
+    """
+    p = a / (a + b)
+    with np.errstate(over="ignore"):
+        far = v > 30.0  # log(1 + p(e^v − 1)) without the exponential
+        grown = np.where(far, v + np.log(p + np.exp(-np.abs(v)) * (1 - p)), np.log1p(p * np.expm1(np.minimum(v, 30.0))))
+    return a * v - (a + b) * grown
+
+
+def _ends(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the density has fallen by ``_DROP`` on each side of its top, by doubling and halving."""
+    out = []
+    for side in (-1.0, 1.0):
+        near, far = np.zeros_like(a), np.full_like(a, 1.0) / np.sqrt(a + b)
+        while (low := _log_density(a, b, side * far) > -_DROP).any():
+            near, far = np.where(low, far, near), np.where(low, 2 * far, far)
+        for _ in range(40):
+            mid = (near + far) / 2
+            high = _log_density(a, b, side * mid) > -_DROP
+            near, far = np.where(high, mid, near), np.where(high, far, mid)
+        out.append(side * far)
+    return out[0], out[1]
+
+
+def _area(a: np.ndarray, b: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """Area under the density from ``start`` to ``stop``; all arguments have one shape."""
+    half = (stop - start) / 2
+    v = (start + half)[..., None] + half[..., None] * _NODES
+    return half * (np.exp(_log_density(a[..., None], b[..., None], v)) @ _WEIGHTS)
+
+
+def _panels(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(edges, area up to each edge as a share of the whole) of every density."""
+    lo, hi = _ends(a, b)
+    edges = lo[:, None] + (hi - lo)[:, None] * np.linspace(0, 1, _PANELS + 1)
+    wide = lambda x: np.broadcast_to(x[:, None], (len(x), _PANELS))
+    area = _area(wide(a), wide(b), edges[:, :-1], edges[:, 1:])
+    upto = np.concatenate([np.zeros((len(a), 1)), np.cumsum(area, axis=1)], axis=1)
+    return edges, upto
+
+
+def beta_cdf(a: np.ndarray, b: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Share of Beta(a, b) below x, by Gauss-Legendre panels on the logit scale; x inside (0, 1)."""
+    a, b, x = np.broadcast_arrays(*(np.asarray(z, dtype=float) for z in (a, b, x)))
+    edges, upto = _panels(a, b)
+    v = np.clip(np.log(x) - np.log1p(-x) - (np.log(a) - np.log(b)), edges[:, 0], edges[:, -1])
+    at = np.minimum((edges[:, 1:] < v[:, None]).sum(axis=1), _PANELS - 1)
+    row = np.arange(len(a))
+    return np.clip((upto[row, at] + _area(a, b, edges[row, at], v)) / upto[:, -1], 0.0, 1.0)
 
 
 def beta_quantile(a: np.ndarray, b: np.ndarray, q: float, iters: int = 60) -> np.ndarray:
-    """Quantile of Beta(a, b) by bisection on the regularized incomplete beta."""
-    lo, hi = np.zeros_like(a, dtype=float), np.ones_like(a, dtype=float)
+    """Quantile of Beta(a, b): the panel in which the share is reached, then bisection inside it."""
+    a, b = np.asarray(a, dtype=float), np.asarray(b, dtype=float)
+    edges, upto = _panels(a, b)
+    need, row = q * upto[:, -1], np.arange(len(a))
+    at = np.clip((upto[:, 1:] < need[:, None]).sum(axis=1), 0, _PANELS - 1)
+    start = edges[row, at]
+    lo, hi = start.copy(), edges[row, at + 1]
     for _ in range(iters):
         mid = (lo + hi) / 2
-        below = _betainc(a, b, mid) < q
+        below = upto[row, at] + _area(a, b, start, mid) < need
         lo, hi = np.where(below, mid, lo), np.where(below, hi, mid)
-    return (lo + hi) / 2
+    v = (lo + hi) / 2
+    return 1 / (1 + b / a * np.exp(-v))
 
 
 def arm_intervals(posteriors: DataFrame, lower: float = 0.025, upper: float = 0.975) -> DataFrame:

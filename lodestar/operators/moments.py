@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from lodestar.operators.blocks import matrix
 
 
-def column_stats(df: DataFrame, vec: str = "v", by: Sequence[str] = ()) -> DataFrame:
+def column_moments(df: DataFrame, vec: str = "v", by: Sequence[str] = ()) -> DataFrame:
     """A1: per vector position mean, sample/population variance, sd, min, max."""
     ex = df.select(*by, F.posexplode(F.col(vec)).alias("pos", "x"))
     return ex.groupBy(*by, "pos").agg(

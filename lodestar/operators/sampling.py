@@ -112,21 +112,33 @@ def mini_batches(df: DataFrame, key: str, size: int, seed: int = 0) -> DataFrame
     return x.withColumn("batch_id", ((F.col("_pos") - 1) / size).cast("long")).drop("_h", "_pos")
 
 
+#: Mean of one Poisson draw; larger means are sums of several.
+POISSON_STEP = 8.0
+
+
+def _poisson(u: Column, mean: float) -> Column:
+    """A Poisson number from a uniform one, by inversion; steps run on until the last double below 1."""
+    steps, term, total, k = [], math.exp(-mean), 0.0, 0
+    while total + term > total:
+        total += term
+        steps.append(total)
+        k += 1
+        term *= mean / k
+    return F.size(F.filter(F.array(*[F.lit(s) for s in steps]), lambda s: s <= u))
+
+
 def bootstrap(df: DataFrame, key: str, fraction: float = 1.0, seed: int = 0) -> DataFrame:
     """Sample with replacement: each row appears a Poisson(``fraction``) number of times.
 
     The number comes from the row's seeded hash, so retries and reruns draw the same sample whatever
-    the order of the rows.  The draws of one row are adjacent.
+    the order of the rows.  The draws of one row are adjacent.  A large ``fraction`` is the sum of
+    Poisson numbers of smaller mean, each from a hash of its own, so there is no upper limit.
     """
-    u = hash_order(key, seed) / F.lit(float(HASH_MOD))
-    steps, term, total = [], math.exp(-fraction), 0.0
-    for k in range(1, 60):
-        total += term
-        if total >= 1 - 1e-15:
-            break
-        steps.append(total)
-        term *= fraction / k
-    draws = F.size(F.filter(F.array(*[F.lit(s) for s in steps]), lambda s: s <= u))
+    parts = max(1, math.ceil(fraction / POISSON_STEP))
+    draws = F.lit(0)
+    for i in range(parts):
+        own = F.col(key) if i == 0 else F.concat(F.coalesce(F.col(key).cast("string"), F.lit("null")), F.lit(f":{i}"))
+        draws = draws + _poisson(hash_order(own, seed) / F.lit(float(HASH_MOD)), fraction / parts)
     return df.withColumn("_draws", draws).where("_draws > 0").withColumn(
         "draw", F.explode(F.sequence(F.lit(1), F.col("_draws")))).drop("_draws")
 

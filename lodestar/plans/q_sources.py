@@ -59,7 +59,7 @@ def annotations_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch(spark, "annotations")
     o = table(spark, sf, "orders").select(F.col("o_orderkey").cast("long").alias("id"))
     shape = o.select(
-        (F.col("id") % 64).alias("part"),
+        F.floor(F.col("id") / 1000).alias("part"),
         F.struct("id", F.concat(F.col("id").cast("string"), F.lit(".jpg")).alias("file_name"), F.lit(640).alias("width"), F.lit(480).alias("height")).alias("image"),
         F.struct("id", F.col("id").alias("image_id"), (F.col("id") % 18).alias("category_id"),
                  F.array(F.lit(0.0), F.lit(0.0), (F.lit(50.0) + F.col("id") % 50), F.lit(1.0)).alias("bbox")).alias("annotation"))
@@ -121,10 +121,10 @@ SELECT 'centre-' || CAST(label AS VARCHAR) AS model_id, CAST(count(*) AS INTEGER
 """)
 def model_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     """K1 + S7: one model per label (its mean vector) saved by model and read back as a matrix."""
-    from lodestar.operators.moments import column_stats
+    from lodestar.operators.moments import column_moments
 
     path = scratch(spark, "models")
-    m = column_stats(derived.vectors(spark, sf), by=["label"]).groupBy("label").agg(
+    m = column_moments(derived.vectors(spark, sf), by=["label"]).groupBy("label").agg(
         F.sort_array(F.collect_list(F.struct("pos", "mean"))).alias("m"))  # one entry for each position
     sinks.save_model(m.select(F.concat(F.lit("centre-"), F.col("label").cast("string")).alias("model_id"), F.lit(0).alias("layer"),
                               F.lit(0).alias("i"), F.col("m.mean").alias("values")), path)

@@ -195,15 +195,15 @@ def add_intercept(spark: SparkSession, sf: str) -> DataFrame:
                     V.rnd(V.vsum("x")).alias("total"))
 
 
-@register("column_stats", sql=f"""
+@register("column_moments", sql=f"""
 WITH v AS ({VECTORS_SQL}), e AS (SELECT r.i AS pos, v[r.i + 1] AS x FROM v, range(0, 64) r(i))
 SELECT CAST(pos AS INTEGER) AS pos, {R('avg(x)')} AS mean, {R('var_samp(x)', 8)} AS var_samp,
   {R('var_pop(x)', 8)} AS var_pop, {R('stddev_samp(x)')} AS sd, {R('min(x)')} AS min, {R('max(x)')} AS max, count(x) AS n
 FROM e GROUP BY pos
 """)
-def column_stats_q(spark: SparkSession, sf: str) -> DataFrame:
+def column_moments_q(spark: SparkSession, sf: str) -> DataFrame:
     """A1: mean, variances, sd, min, max per vector position."""
-    s = moments.column_stats(derived.vectors(spark, sf))
+    s = moments.column_moments(derived.vectors(spark, sf))
     return s.select("pos", V.rnd("mean").alias("mean"), V.rnd("var_samp", 8).alias("var_samp"),
                     V.rnd("var_pop", 8).alias("var_pop"), V.rnd("sd").alias("sd"), V.rnd("min").alias("min"),
                     V.rnd("max").alias("max"), "n")
@@ -332,7 +332,7 @@ SELECT vec_id, label, {R('dist')} AS distance, CAST(rank() OVER (PARTITION BY la
 def rank_within_class(spark: SparkSession, sf: str) -> DataFrame:
     """Rank each vector by distance to its class centroid."""
     v = derived.vectors(spark, sf)
-    cen = moments.column_stats(v, by=["label"]).groupBy("label").agg(
+    cen = moments.column_moments(v, by=["label"]).groupBy("label").agg(
         F.array_sort(F.collect_list(F.struct("pos", "mean"))).alias("_c")
     ).select("label", F.transform("_c", lambda s: s["mean"]).alias("centroid"))
     d = v.join(cen, "label").select("vec_id", "label", V.l2_distance("v", "centroid").alias("dist"))

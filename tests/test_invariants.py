@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lodestar.operators import boxes, linear, lsh, network, similarity
+from lodestar.operators import boxes, events, linear, lsh, network, sampling, similarity
 from lodestar.plans import derived
 from tests.conftest import SF_MID, SF_SMALL
 
@@ -118,3 +118,31 @@ def test_index_and_training_set_sinks(spark, tmp_path):
     sinks.write_training_set(lab.withColumn("split", F.lit("train")), str(tmp_path / "ts"))
     one = readers.read_partitioned(spark, str(tmp_path / "ts"), "train", 3)
     assert one.count() == lab.where("category_id = 3").count()
+
+
+def test_bootstrap_has_no_upper_limit(spark):
+    df = spark.range(400).withColumnRenamed("id", "k")
+    for fraction in (0.5, 8.0, 100.0):
+        n = sampling.bootstrap(df, "k", fraction, seed=3).groupBy("k").count()
+        got = n.agg(F.sum("count"), F.sum(F.col("count") * F.col("count"))).first()
+        mean, square = got[0] / 400, got[1] / 400
+        assert abs(mean - fraction) < 5 * np.sqrt(fraction / 400)
+        assert abs(square - mean * mean - fraction) < fraction / 2
+
+
+def test_beta_shares_at_any_number_of_pulls():
+    # whole parameters: the share below x is a binomial tail
+    from math import comb
+
+    for a, b, x in ((1, 1, 0.3), (3, 40, 0.05), (25, 4, 0.9), (60, 60, 0.5)):
+        n = a + b - 1
+        tail = sum(comb(n, j) * x ** j * (1 - x) ** (n - j) for j in range(a, n + 1))
+        assert abs(events.beta_cdf([a], [b], [x])[0] - tail) < 1e-12
+    for pulls in (1e3, 1e7, 1e9, 1e12):
+        half = np.array([pulls / 2])
+        assert abs(events.beta_cdf(half, half, np.array([0.5]))[0] - 0.5) < 1e-9
+        skew = events.beta_cdf([pulls / 10], [pulls * 0.9], [0.1])[0]  # at the mean, 1/2 and a term in 1/sqrt(pulls)
+        assert abs(skew - 0.5) < 1.0 / np.sqrt(pulls)
+        sd = np.sqrt(0.25 / pulls)
+        assert abs((events.beta_quantile(half, half, 0.975)[0] - 0.5) / sd - 1.959964) < 3e-3
+    assert abs(events.beta_quantile(np.array([2.0]), np.array([1e9]), 0.5)[0] * 1e9 - 1.6783469900166608) < 1e-6
