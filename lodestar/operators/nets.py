@@ -2,7 +2,7 @@
 
 Each iteration broadcasts the current weights inside the plan, every
 partition reduces its rows to one partial (gradient sum, loss sum, row count)
-with NumPy on Arrow batches, and one grouped ``sum`` merges the partials.
+with NumPy on Arrow batches, and a tree of fixed fan-in merges them chunk by chunk.
 The update rule runs on the driver over p numbers (pluggable, X6).  The
 training table is cached once; it never returns to the driver.
 """
@@ -12,38 +12,34 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestar.operators.layers import rows_of
+from lodestar.operators.partials import array_sums
 from lodestar.session import cut_lineage
 
 
 def gradient_sum(df: DataFrame, w: np.ndarray, grad_fn: Callable, vec: str = "x", label: str = "y") -> tuple[np.ndarray, float, int]:
-    """Σ per-row gradients and losses at ``w`` (partials per partition, then a sum; D13)."""
+    """Σ per-row gradients and losses at ``w`` (D13): one partial for each task, merged as chunks of weights by a tree."""
     wl = w.copy()
     p = wl.shape[0]
 
-    def part(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        g = np.zeros(p)
-        loss = 0.0
-        n = 0
-        for pdf in it:
-            if len(pdf) == 0:
-                continue
-            x, y = rows_of(pdf, vec, label)
-            gg, ll = grad_fn(x, y, wl)
-            g += gg
-            loss += ll
-            n += len(pdf)
-        yield pd.DataFrame({"i": np.arange(p + 2, dtype=np.int32), "s": np.concatenate([g, [loss, float(n)]])})
-
-    tot = df.select(vec, label).mapInPandas(part, "i int, s double").groupBy("i").agg(F.sum("s").alias("s")).collect()
-    s = np.zeros(p + 2)
-    for r in tot:
-        s[r["i"]] = r["s"]
-    return s[:p], float(s[p]), int(s[p + 1])
+    def reduce(batches: Iterator[pa.RecordBatch]) -> dict[str, np.ndarray]:
+        g, loss, n = np.zeros(p), 0.0, 0
+        for batch in batches:
+            if batch.num_rows:
+                x, y = rows_of(batch.to_pandas(), vec, label)
+                gg, ll = grad_fn(x, y, wl)
+                g += gg
+                loss += ll
+                n += batch.num_rows
+        return {"g": g, "more": np.array([loss, float(n)])} if n else {}
+
+    got = array_sums(df.select(vec, label), reduce)
+    loss, n = got.get("more", np.zeros(2))
+    return got.get("g", np.zeros(p)), float(loss), int(n)
 
 
 def logistic_grad(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, float]:

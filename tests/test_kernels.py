@@ -132,3 +132,19 @@ def test_no_rows(spark):
     g = grid.Grid(df, [grid.Plain(3)], [grid.Fit(0, 1.0)])
     assert g.solve()[0]["weights"].tolist() == [0.0] * 4
     assert df.agg(F.count("*")).first()[0] == 0
+
+
+def test_a_network_of_the_published_size_takes_a_step(spark):
+    """784-1600-1600-10: 3.8 million weights; the step is that of one gradient over all rows."""
+    from lodestar.operators import layers, nets
+
+    rng = np.random.default_rng(0)
+    x, y = rng.random((48, 784)), rng.integers(0, 10, 48)
+    df = spark.createDataFrame([(x[i].tolist(), int(y[i])) for i in range(48)], "v array<double>, label int").repartition(3)
+    net = layers.Layers([784, 1600, 1600, 10], "sigmoid", "cross_entropy")
+    w = net.start(0)
+    assert net.n_weights > 3_800_000
+    hist = nets.train(df, net.n_weights, net.gradient, step=nets.Sgd(0.5), iters=1, vec="v", label="label", start=w, free=net.biases())
+    g, loss = net.gradient(x, y, w)
+    assert abs(hist[0]["loss"] - loss / 48) < 1e-9
+    assert np.allclose(hist[-1]["weights"], w - 0.5 * g / 48, atol=1e-12)
