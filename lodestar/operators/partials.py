@@ -40,21 +40,19 @@ def _batch(rows: list[tuple[str, int, int, np.ndarray]]) -> pa.RecordBatch:
         names=["name", "chunk", "part", "total"])
 
 
-def array_sums(df: DataFrame, reduce: Callable[[Iterator[pa.RecordBatch]], dict[str, np.ndarray]],
-               merge: Callable[[list[np.ndarray]], np.ndarray] | None = None) -> dict[str, np.ndarray]:
-    """What ``reduce`` makes of every task's batches, added up over the tasks; arrays come back flat.
+def merged(df: DataFrame, reduce: Callable[[Iterator[pa.RecordBatch]], dict[str, np.ndarray]],
+           merge: Callable[[list[np.ndarray]], np.ndarray] | None = None, whole: bool = False) -> DataFrame:
+    """(name, chunk, part, total): what ``reduce`` makes of every task's batches, added up over the tasks.
 
-    ``reduce`` returns arrays of the same names and sizes in every task, or an empty dict where it saw no
-    rows.  ``merge`` replaces the sum of a few chunks; it must not depend on their order.  With one, arrays are
-    not cut into chunks.
+    ``reduce`` returns named arrays; arrays of one name have one size in every task.  ``merge`` replaces the sum
+    of a few arrays; it must not depend on their order.  With one, or with ``whole``, arrays are not cut into chunks.
     """
 
     def partial(batches):
-        made = reduce(batches)
         part = TaskContext.get().partitionId()
-        for name, values in made.items():
+        for name, values in reduce(batches).items():
             flat = np.asarray(values, dtype=np.float64).ravel()
-            step = CHUNK if merge is None else max(len(flat), 1)
+            step = max(len(flat), 1) if merge or whole else CHUNK
             for c, at in enumerate(range(0, max(len(flat), 1), step)):
                 yield _batch([(name, c, part, flat[at:at + step])])
 
@@ -69,7 +67,13 @@ def array_sums(df: DataFrame, reduce: Callable[[Iterator[pa.RecordBatch]], dict[
     while tasks > 1:
         parts = parts.withColumn("part", F.floor(F.col("part") / FAN_IN).cast("long")).groupBy("name", "chunk", "part").applyInArrow(add, _SCHEMA)
         tasks = -(-tasks // FAN_IN)
+    return parts
+
+
+def array_sums(df: DataFrame, reduce: Callable[[Iterator[pa.RecordBatch]], dict[str, np.ndarray]],
+               merge: Callable[[list[np.ndarray]], np.ndarray] | None = None) -> dict[str, np.ndarray]:
+    """``merged`` on the driver, for arrays of a model's size: flat arrays by name."""
     found: dict[str, list] = {}
-    for name, chunk, _, total in parts.collect():  # one row for each chunk
+    for name, chunk, _, total in merged(df, reduce, merge).collect():  # one row for each chunk
         found.setdefault(name, []).append((chunk, total))
     return {name: np.concatenate([np.asarray(t, dtype=float) for _, t in sorted(cs, key=lambda c: c[0])]) for name, cs in found.items()}
