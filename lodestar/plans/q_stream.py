@@ -9,7 +9,7 @@ from lodestar.functions import vectors as V
 from lodestar.plans.derived import ARMS_SQL
 from lodestar.plans.registry import register
 from lodestar.plans.sqlfrag import R
-from lodestar.streaming import bandit
+from lodestar.streaming import bandit, runs
 
 
 @register("stream_arm_posteriors", sql=f"""
@@ -35,3 +35,18 @@ def stream_daily_arm_share_q(spark: SparkSession, sf: str) -> DataFrame:
     c = bandit.stream_daily_arm_counts(spark, sf)
     d = bandit.daily_share(c, 0.19, 3)
     return d.select(F.unix_seconds("day").alias("day_epoch"), "arm", "pulls", V.rnd("share").alias("share"), "converged")
+
+
+@register("stream_stable_runs", sql=f"""
+WITH a AS ({ARMS_SQL}), d AS (SELECT CAST(floor(epoch(ts) / 86400) AS INTEGER) AS day, arm, count(*) AS pulls FROM a GROUP BY 1, 2),
+s AS (SELECT day, arm, pulls * 1.0 / sum(pulls) OVER (PARTITION BY day) AS share FROM d),
+i AS (SELECT arm, day, day - row_number() OVER (PARTITION BY arm ORDER BY day) AS island FROM s WHERE share > 0.19),
+r AS (SELECT arm, min(day) AS start, max(day) AS stop FROM i GROUP BY arm, island),
+l AS (SELECT arm, max(day) AS last FROM s GROUP BY arm)
+SELECT l.arm, min(start) FILTER (stop - start >= 2) AS run_start, CAST(min(start) FILTER (stop - start >= 2) + 2 AS INTEGER) AS reached,
+  CAST(max(stop - start + 1) FILTER (stop = last) AS INTEGER) AS current
+FROM l LEFT JOIN r ON r.arm = l.arm GROUP BY l.arm
+""")
+def stream_stable_runs_q(spark: SparkSession, sf: str) -> DataFrame:
+    """The first run of three days with a share above 0.19, kept as state per arm by the stream, and the length of each arm's last run."""
+    return runs.stream_stable_runs(spark, sf, 0.19, 3)
