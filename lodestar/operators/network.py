@@ -132,65 +132,6 @@ def audit_transport(plan: DataFrame, supply: DataFrame, demand: DataFrame) -> Da
         "unmet_demand", F.col("demand") - F.col("shipped_in"))
 
 
-def grid_cells(x: str, y: str, r: float):
-    return F.floor(F.col(x) / r).cast("long"), F.floor(F.col(y) / r).cast("long")
-
-
-def radius_join(points: DataFrame, sites: DataFrame, r: float, pid: str = "point_id", sid: str = "site_id") -> DataFrame:
-    """(point, site) pairs within distance r: equi-join on grid cells of side r plus a residual filter.
-
-    Each site is sent to its 3×3 neighbourhood of cells, so the join key is an
-    equality and only nearby pairs are ever compared.
-    """
-    cx, cy = grid_cells("x", "y", r)
-    p = points.select(pid, F.col("x").alias("px"), F.col("y").alias("py"), cx.alias("cx"), cy.alias("cy"))
-    off = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx in (-1, 0, 1) for dy in (-1, 0, 1)])
-    s = sites.select(sid, F.col("x").alias("sx"), F.col("y").alias("sy"), cx.alias("_cx"), cy.alias("_cy")).withColumn(
-        "o", F.explode(off)).select(sid, "sx", "sy", (F.col("_cx") + F.col("o.dx")).alias("cx"), (F.col("_cy") + F.col("o.dy")).alias("cy"))
-    j = p.join(s, ["cx", "cy"])
-    d = F.sqrt((F.col("px") - F.col("sx")) ** 2 + (F.col("py") - F.col("sy")) ** 2)
-    return j.where(d <= r).select(pid, sid, d.alias("distance"))
-
-
-def coverage(points: DataFrame, sites: DataFrame, r: float, pid: str = "point_id") -> DataFrame:
-    """Points with no chosen site within r: an anti join on the grid cells with the distance as condition,
-    so no pair is ever made."""
-    cx, cy = grid_cells("x", "y", r)
-    off = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx in (-1, 0, 1) for dy in (-1, 0, 1)])
-    s = sites.select(F.col("x").alias("sx"), F.col("y").alias("sy"), cx.alias("_cx"), cy.alias("_cy")).withColumn("o", F.explode(off)).select(
-        "sx", "sy", (F.col("_cx") + F.col("o.dx")).alias("scx"), (F.col("_cy") + F.col("o.dy")).alias("scy"))
-    near = F.sqrt((F.col("x") - F.col("sx")) ** 2 + (F.col("y") - F.col("sy")) ** 2) <= r
-    return points.join(s, (cx == F.col("scx")) & (cy == F.col("scy")) & near, "left_anti")
-
-
-def greedy_cover(points: DataFrame, sites: DataFrame, r: float, max_sites: int | None = None) -> DataFrame:
-    """(pick, site_id, n): repeatedly the site that covers most uncovered points (ties: smallest id).
-
-    Counts only fall, so a site that is first for every point it still covers will be picked before
-    any site it shares points with; all such sites are picked in one round.  Rounds go on until no
-    point that any site reaches is left; ordering the picks by their counts, then ids, gives the order
-    of one-by-one picking.  ``max_sites``, if given, keeps the first picks.
-    """
-    remaining = cut_lineage(radius_join(points, sites, r).select("point_id", "site_id"))
-    picks = None
-    while remaining.limit(1).count():
-        n = remaining.groupBy("site_id").agg(F.count(F.lit(1)).alias("n"))
-        ranked = remaining.join(n, "site_id").withColumn("rank", F.struct("n", (-F.col("site_id")).alias("first")))
-        best = ranked.groupBy("point_id").agg(F.max("rank").alias("best"))
-        held = ranked.join(best, "point_id").groupBy("site_id").agg(
-            F.first("n").alias("n"), F.sum((F.col("rank") == F.col("best")).cast("long")).alias("first_for"))
-        won = cut_lineage(held.where("first_for = n").select("site_id", "n"))
-        picks = won if picks is None else picks.union(won)
-        gone = remaining.join(won.select("site_id"), "site_id", "left_semi").select("point_id").distinct()
-        remaining = cut_lineage(remaining.join(gone, "point_id", "left_anti"))
-    if picks is None:
-        picks = remaining.select("site_id", F.lit(0).cast("long").alias("n"))
-    from lodestar.operators.prefix import global_row_number
-
-    out = global_row_number(picks, [("n", False), ("site_id", True)], "pick").select("pick", "site_id", "n")
-    return out if max_sites is None else out.where(F.col("pick") <= max_sites)
-
-
 def connected(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of the undirected ``edges`` (a, b); root is the smallest node reachable.
 

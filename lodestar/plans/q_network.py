@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestar.functions import vectors as V
-from lodestar.operators import network
+from lodestar.operators import network, spatial
 from lodestar.plans import derived
 from lodestar.plans.derived import EDGES_SQL, PLANS_SQL, SCENARIOS_SQL
 from lodestar.plans.registry import register
@@ -143,8 +143,8 @@ j AS (SELECT p.point_id, sqrt((p.x - s.x) * (p.x - s.x) + (p.y - s.y) * (p.y - s
 SELECT point_id, count(*) AS sites_in_range, {R('min(d)')} AS nearest FROM j GROUP BY point_id
 """)
 def radius_join_q(spark: SparkSession, sf: str) -> DataFrame:
-    """Suppliers within 0.5 of each customer (grid-cell equi-join + residual distance filter)."""
-    j = network.radius_join(_points(spark, sf), _sites(spark, sf), 0.5)
+    """Suppliers within 0.5 of each customer (cells of that side, cut where they are dense)."""
+    j = spatial.radius_join(_points(spark, sf), _sites(spark, sf), 0.5)
     return j.groupBy("point_id").agg(F.count("*").alias("sites_in_range"), V.rnd(F.min("distance")).alias("nearest"))
 
 
@@ -155,7 +155,7 @@ SELECT point_id FROM p WHERE NOT EXISTS (SELECT 1 FROM ch WHERE sqrt((p.x - ch.x
 def coverage_q(spark: SparkSession, sf: str) -> DataFrame:
     """Customers left uncovered by the suppliers with balance above 5,000 (radius 0.5)."""
     s = _sites(spark, sf).where(F.col("s_acctbal") > 5000)
-    return network.coverage(_points(spark, sf), s, 0.5).select("point_id")
+    return spatial.coverage(_points(spark, sf), s, 0.5).select("point_id")
 
 
 @register("greedy_cover", sql=f"""
@@ -168,8 +168,8 @@ def greedy_cover_q(spark: SparkSession, sf: str) -> DataFrame:
     """Greedy set cover of customers by suppliers within 0.5: every coverable customer is covered, the first
     pick covers most, and no later pick covers more than an earlier one."""
     pts, sites = _points(spark, sf), _sites(spark, sf)
-    picks = cut_lineage(network.greedy_cover(pts, sites, 0.5))
-    pairs = network.radius_join(pts, sites, 0.5).select("point_id", "site_id")
+    picks = cut_lineage(spatial.greedy_cover(pts, sites, 0.5))
+    pairs = spatial.radius_join(pts, sites, 0.5).select("point_id", "site_id")
     reach = pairs.join(picks, "site_id", "left").groupBy("point_id").agg(F.min("pick").alias("pick"))
     total = reach.agg(F.count(F.lit(1)).alias("coverable"), F.count("pick").alias("covered"))
     later = picks.select((F.col("pick") + 1).alias("pick"), F.col("n").alias("before")).join(picks, "pick")
@@ -178,6 +178,21 @@ def greedy_cover_q(spark: SparkSession, sf: str) -> DataFrame:
     return total.select("*", F.lit(misordered).cast("long").alias("misordered"), F.lit(first).cast("long").alias("first_pick"))
 
 
+_DENSE_SQL = """p AS (SELECT o_orderkey AS point_id, o_custkey % 83 / 9.0::DOUBLE AS x, o_orderkey % 97 / 11.0::DOUBLE AS y FROM orders),
+c AS (SELECT c_custkey AS site_id, c_custkey % 71 / 5.0::DOUBLE - 2 AS x, c_custkey % 61 / 5.0::DOUBLE - 2 AS y FROM customer)"""
+
+
+@register("range_counts", sql=f"""
+WITH {_DENSE_SQL}
+SELECT site_id, count(*) AS n FROM c JOIN p ON sqrt((p.x - c.x) * (p.x - c.x) + (p.y - c.y) * (p.y - c.y)) <= 10 GROUP BY site_id
+""")
+def range_counts_q(spark: SparkSession, sf: str) -> DataFrame:
+    """J8 + N5: orders within 10 of every customer, where nearly all orders lie in one cell: nodes inside a circle are counted whole."""
+    p = table(spark, sf, "orders").select(F.col("o_orderkey").alias("point_id"), (F.col("o_custkey") % 83 / 9.0).alias("x"), (F.col("o_orderkey") % 97 / 11.0).alias("y"))
+    c = table(spark, sf, "customer").select(F.col("c_custkey").alias("site_id"), (F.col("c_custkey") % 71 / 5.0 - 2).alias("x"), (F.col("c_custkey") % 61 / 5.0 - 2).alias("y"))
+    return spatial.range_counts(p, c, 10.0, leaf=256, block=512)
+
+
 _ARCS_SQL = """a AS (SELECT CAST(n_nationkey AS BIGINT) AS src, CAST((n_nationkey * 7 + 3) % 25 AS BIGINT) AS dst,
         CAST(abs((n_nationkey * 7 + 3) % 25 - n_nationkey) AS BIGINT) AS cost FROM nation)"""
 

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from lodestar.operators import blocks, kernels, layers, linear, network, nets, prefix, sampling, similarity
+from lodestar.operators import blocks, kernels, layers, linear, network, nets, prefix, sampling, similarity, spatial
 from lodestar.session import checkpoint_dir
 from lodestar.streaming import bandit
 from tests.conftest import SF_SMALL
@@ -55,7 +55,7 @@ def test_cover_leaves_nothing_and_matches_one_by_one(spark):
     rng = np.random.default_rng(4)
     pts = [(i, float(x), float(y)) for i, (x, y) in enumerate(rng.random((300, 2)) * 10)]
     sites = [(i, float(x), float(y)) for i, (x, y) in enumerate(rng.random((90, 2)) * 10)]
-    got = network.greedy_cover(spark.createDataFrame(pts, "point_id long, x double, y double"),
+    got = spatial.greedy_cover(spark.createDataFrame(pts, "point_id long, x double, y double"),
                                spark.createDataFrame(sites, "site_id long, x double, y double"), 1.0).orderBy("pick").collect()
     cover = {s: {p for p, px, py in pts if (px - x) ** 2 + (py - y) ** 2 <= 1.0} for s, x, y in sites}
     left, want = set().union(*cover.values()), []
