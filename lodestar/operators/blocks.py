@@ -58,6 +58,31 @@ def cogroup_blocks(
     return lb.groupBy("_lb", "_rb").cogroup(rb.groupBy("_lb", "_rb")).applyInPandas(run, schema)
 
 
+def symmetric_blocks(df: DataFrame, id_col: str, fn: Callable[[pd.DataFrame, pd.DataFrame, bool], pd.DataFrame], schema: str,
+                     n_blocks: int) -> DataFrame:
+    """Run ``fn(block, other, same)`` for every unordered pair of blocks of one table.
+
+    Each row goes to the ``n_blocks`` pairs of its block, half of what two sides need, and a function that uses a pair's matrix
+    for both of its sides makes every value once.
+    """
+    b = df.withColumn("_b", hash_block(id_col, n_blocks)).withColumn("_o", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
+    b = b.withColumn("_lo", F.least("_b", "_o")).withColumn("_hi", F.greatest("_b", "_o")).drop("_o")
+
+    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        lo, hi = pdf[pdf["_b"] == key[0]], pdf[pdf["_b"] == key[1]]
+        if not len(lo) or not len(hi):
+            return pd.DataFrame({f.split()[0]: [] for f in schema.split(",")})
+        return fn(lo.drop(columns=["_b", "_lo", "_hi"]), hi.drop(columns=["_b", "_lo", "_hi"]), key[0] == key[1])
+
+    return b.groupBy("_lo", "_hi").applyInPandas(run, schema)
+
+
+def pair_blocks(df: DataFrame, rows_per_block: int = BLOCK_ROWS) -> int:
+    """Blocks of a table for ``symmetric_blocks``: of bounded size, and enough pairs to use all cores."""
+    n, cores = df.count(), df.sparkSession.sparkContext.defaultParallelism
+    return max(1, math.ceil(n / rows_per_block), min(math.ceil(math.sqrt(2 * cores)), math.ceil(n / 64)))
+
+
 def matrix(col: pd.Series) -> np.ndarray:
     """Arrow list column → 2-D float64 matrix (rows of equal length)."""
     if len(col) == 0:

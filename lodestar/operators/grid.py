@@ -57,6 +57,9 @@ class Fourier:
             self._made = normal.reshape(self.size, self.dim) * math.sqrt(2.0) / self.sigma, 2.0 * math.pi * phase
         return self._made
 
+    def frequencies(self) -> np.ndarray:
+        return self._numbers()[0]
+
     def __call__(self, x: np.ndarray) -> np.ndarray:
         w, b = self._numbers()
         return math.sqrt(2.0 / self.size) * np.cos(x @ w.T + b)

@@ -119,15 +119,17 @@ def change_point(series: DataFrame, order: str, value: str, sigma: float) -> Dat
     """
     s = global_row_number(series.select(F.col(order).alias("at"), F.col(value).cast("double").alias("y")), [("at", True), ("y", True)], "pos")
 
-    def sums(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        k = gaussian(left[["y"]].to_numpy(), right[["y2"]].to_numpy(), sigma)
-        earlier = right["pos2"].to_numpy()[None, :] < left["pos"].to_numpy()[:, None]
-        return pd.DataFrame({"pos": left["pos"], "at": left["at"], "row": k.sum(axis=1), "before": (k * earlier).sum(axis=1)})
+    def one(k: np.ndarray, rows: pd.DataFrame, others: pd.DataFrame) -> pd.DataFrame:
+        earlier = others["pos"].to_numpy()[None, :] < rows["pos"].to_numpy()[:, None]
+        return pd.DataFrame({"pos": rows["pos"], "at": rows["at"], "row": k.sum(axis=1), "before": (k * earlier).sum(axis=1)})
+
+    def sums(left: pd.DataFrame, right: pd.DataFrame, same: bool) -> pd.DataFrame:
+        k = gaussian(left[["y"]].to_numpy(), right[["y"]].to_numpy(), sigma)
+        made = one(k, left, right)
+        return made if same else pd.concat([made, one(k.T, right, left)])
 
-    other = s.select(F.col("pos").alias("pos2"), F.col("y").alias("y2"))
-    nb = blocks.block_count(s)
     kind = s.schema["at"].dataType.simpleString()
-    parts = blocks.cogroup_blocks(s, other, "pos", "pos2", sums, f"pos long, at {kind}, row double, before double", nb, nb)
+    parts = blocks.symmetric_blocks(s, "pos", sums, f"pos long, at {kind}, row double, before double", blocks.pair_blocks(s))
     rows = parts.groupBy("pos", "at").agg(F.sum("row").alias("row"), F.sum("before").alias("before"))
     run = running_totals(rows, [("pos", True)], {"inside": 2 * F.col("before") + 1.0, "rows": F.col("row")})
     n, total = rows.agg(F.count(F.lit(1)), F.sum("row")).first()  # two numbers

@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestar.operators import blocks
+from lodestar.operators import blocks, powersums
 from lodestar.session import cut_lineage
 
 
@@ -270,72 +270,99 @@ def _kernel_np(kind: str | Callable, param: float) -> Callable[[np.ndarray, np.n
     raise ValueError(kind)
 
 
-def kernel_block_sum(left: DataFrame, right: DataFrame, kind: str, param: float, lcls: str = "label",
+def kernel_block_sum(left: DataFrame, right: DataFrame, kind: str | Callable, param: float, lcls: str = "label",
                      rcls: str = "label", lid: str = "vec_id", rid: str = "vec_id", vec: str = "v",
                      n_left: int | None = None, n_right: int | None = None) -> DataFrame:
-    """Σ k(x, y) and pair counts for every (class of x, class of y)."""
+    """Σ k(x, y) and pair counts for every (class of x, class of y).
+
+    Kernels that are sums of powers of the inner product (linear, vovk) take one scan.  Others are summed over pairs of
+    blocks; the Gaussian one over a table with itself makes each value once.
+    """
+    found = powersums.fits(left, lcls, vec, kind, param)
+    other = found if right is left and lcls == rcls else found and powersums.fits(right, rcls, vec, kind, param)
+    if found and other:
+        return powersums.class_sums(left, right, (found, other), kind, param, lcls, rcls, vec)
     kern = _kernel_np(kind, param)
 
-    def fn(lp: pd.DataFrame, rp: pd.DataFrame) -> pd.DataFrame:
-        kmat = kern(blocks.matrix(lp["_lv"]), blocks.matrix(rp["_rv"]))
-        lc = lp["_lc"].to_numpy()
-        rc = rp["_rc"].to_numpy()
+    def sums(kmat: np.ndarray, lc: np.ndarray, rc: np.ndarray, both: bool) -> pd.DataFrame:
         rows = []
         for a in np.unique(lc):
             sub = kmat[lc == a]
             for b in np.unique(rc):
                 blk = sub[:, rc == b]
                 rows.append((int(a), int(b), float(blk.sum()), int(blk.size)))
+                if both:
+                    rows.append((int(b), int(a), float(blk.sum()), int(blk.size)))
         return pd.DataFrame(rows, columns=["class_i", "class_j", "ksum", "pairs"])
 
+    def fn(lp: pd.DataFrame, rp: pd.DataFrame) -> pd.DataFrame:
+        return sums(kern(blocks.matrix(lp["_lv"]), blocks.matrix(rp["_rv"])), lp["_lc"].to_numpy(), rp["_rc"].to_numpy(), False)
+
+    def own(lp: pd.DataFrame, rp: pd.DataFrame, same: bool) -> pd.DataFrame:
+        return sums(kern(blocks.matrix(lp["_lv"]), blocks.matrix(rp["_lv"])), lp["_lc"].to_numpy(), rp["_lc"].to_numpy(), not same)
+
+    schema = "class_i int, class_j int, ksum double, pairs long"
     lsel = left.select(F.col(lid).alias("_lid"), F.col(vec).cast("array<double>").alias("_lv"), F.col(lcls).alias("_lc"))
-    rsel = right.select(F.col(rid).alias("_rid"), F.col(vec).cast("array<double>").alias("_rv"), F.col(rcls).alias("_rc"))
-    nl = n_left or blocks.block_count(left, at_least=left.sparkSession.sparkContext.defaultParallelism)
-    nr = n_right or blocks.block_count(right)
-    part = blocks.cogroup_blocks(lsel, rsel, "_lid", "_rid", fn,
-                                 "class_i int, class_j int, ksum double, pairs long", nl, nr)
+    if right is left and lcls == rcls and lid == rid and not callable(kind):
+        part = blocks.symmetric_blocks(lsel, "_lid", own, schema, n_left or blocks.pair_blocks(left))
+    else:
+        rsel = right.select(F.col(rid).alias("_rid"), F.col(vec).cast("array<double>").alias("_rv"), F.col(rcls).alias("_rc"))
+        nl = n_left or blocks.block_count(left, at_least=left.sparkSession.sparkContext.defaultParallelism)
+        nr = n_right or blocks.block_count(right)
+        part = blocks.cogroup_blocks(lsel, rsel, "_lid", "_rid", fn, schema, nl, nr)
     return part.groupBy("class_i", "class_j").agg(F.sum("ksum").alias("ksum"), F.sum("pairs").alias("pairs"))
 
 
-def kernel_row_sums(test: DataFrame, train: DataFrame, kind: str, param: float, cls: str = "label",
+def kernel_row_sums(test: DataFrame, train: DataFrame, kind: str | Callable, param: float, cls: str = "label",
                     tid: str = "vec_id", rid: str = "vec_id", vec: str = "v") -> DataFrame:
-    """Σ_{y in class c} k(x, y) and class sizes for every test row x."""
+    """Σ_{y in class c} k(x, y) for every test row x; sums of powers in one scan, others over pairs of blocks."""
+    found = powersums.fits(train, cls, vec, kind, param)
+    if found:
+        return powersums.row_sums(test, train, found, kind, param, cls, tid, vec)
     kern = _kernel_np(kind, param)
 
+    def sums(kmat: np.ndarray, ids: np.ndarray, rc: np.ndarray) -> list[pd.DataFrame]:
+        return [pd.DataFrame({"test_id": ids, "label": int(b), "ksum": kmat[:, rc == b].sum(axis=1)}) for b in np.unique(rc)]
+
     def fn(lp: pd.DataFrame, rp: pd.DataFrame) -> pd.DataFrame:
         kmat = kern(blocks.matrix(lp["_lv"]), blocks.matrix(rp["_rv"]))
-        rc = rp["_rc"].to_numpy()
-        ids = lp["_lid"].to_numpy()
-        frames = []
-        for b in np.unique(rc):
-            s = kmat[:, rc == b].sum(axis=1)
-            frames.append(pd.DataFrame({"test_id": ids, "label": int(b), "ksum": s}))
-        return pd.concat(frames, ignore_index=True)
+        return pd.concat(sums(kmat, lp["_lid"].to_numpy(), rp["_rc"].to_numpy()), ignore_index=True)
 
+    def own(lp: pd.DataFrame, rp: pd.DataFrame, same: bool) -> pd.DataFrame:
+        kmat = kern(blocks.matrix(lp["_lv"]), blocks.matrix(rp["_lv"]))
+        made = sums(kmat, lp["_lid"].to_numpy(), rp["_lc"].to_numpy())
+        return pd.concat(made if same else made + sums(kmat.T, rp["_lid"].to_numpy(), lp["_lc"].to_numpy()), ignore_index=True)
+
+    schema = "test_id long, label int, ksum double"
     lsel = test.select(F.col(tid).alias("_lid"), F.col(vec).cast("array<double>").alias("_lv"))
-    rsel = train.select(F.col(rid).alias("_rid"), F.col(vec).cast("array<double>").alias("_rv"), F.col(cls).alias("_rc"))
-    nl = blocks.block_count(test, at_least=test.sparkSession.sparkContext.defaultParallelism)
-    nr = blocks.block_count(train)
-    part = blocks.cogroup_blocks(lsel, rsel, "_lid", "_rid", fn, "test_id long, label int, ksum double", nl, nr)
+    if test is train and tid == rid and not callable(kind):
+        part = blocks.symmetric_blocks(train.select(F.col(tid).alias("_lid"), F.col(vec).cast("array<double>").alias("_lv"), F.col(cls).alias("_lc")),
+                                       "_lid", own, schema, blocks.pair_blocks(train))
+    else:
+        rsel = train.select(F.col(rid).alias("_rid"), F.col(vec).cast("array<double>").alias("_rv"), F.col(cls).alias("_rc"))
+        nl = blocks.block_count(test, at_least=test.sparkSession.sparkContext.defaultParallelism)
+        part = blocks.cogroup_blocks(lsel, rsel, "_lid", "_rid", fn, schema, nl, blocks.block_count(train))
     return part.groupBy("test_id", "label").agg(F.sum("ksum").alias("ksum"))
 
 
 def kernel_nearest_mean(train: DataFrame, test: DataFrame, kind: str, param: float,
                         cls: str = "label", vec: str = "v", id_col: str = "vec_id") -> DataFrame:
-    """Class whose kernel mean embedding is nearest: k(x,x) − 2/n Σk(x,y) + 1/n² ΣΣk(y,y')."""
+    """Class whose kernel mean embedding is nearest: k(x,x) − 2/n Σk(x,y) + 1/n² ΣΣk(y,y').
+
+    Kernels other than sums of powers must have k(x, x) = 1.
+    """
     sizes = train.groupBy(F.col(cls).alias("label")).agg(F.count("*").alias("n"))
     rows = cut_lineage(kernel_row_sums(test, train, kind, param, cls, id_col, id_col, vec))
     # the sums within a class are the training rows' own sums with it; one pass serves both when they are the test
     own = rows if test is train else kernel_row_sums(train, train, kind, param, cls, id_col, id_col, vec)
     mine = train.select(F.col(id_col).alias("test_id"), F.col(cls).alias("label"))
     within = own.join(mine, ["test_id", "label"]).groupBy("label").agg(F.sum("ksum").alias("ksum"))
-    self_k = {"rbf": F.lit(1.0), "linear": None, "vovk": F.lit(float(param))}[kind]
-    if self_k is None:
-        from lodestar.functions.vectors import dot
+    from lodestar.functions.vectors import dot
 
-        tself = test.select(F.col(id_col).alias("test_id"), dot(F.col(vec), F.col(vec)).alias("kxx"))
-    else:
-        tself = test.select(F.col(id_col).alias("test_id"), self_k.alias("kxx"))
+    xx = dot(F.col(vec), F.col(vec))
+    powers = None if callable(kind) else powersums.degrees(kind, param)
+    self_k = F.lit(1.0) if powers is None else sum((F.pow(xx, F.lit(float(j))) for j in powers), F.lit(0.0))
+    tself = test.select(F.col(id_col).alias("test_id"), self_k.alias("kxx"))
     # one row per class; AQE broadcasts it from its measured size
     st = within.join(sizes, "label").withColumnRenamed("ksum", "ksum_w")
     d = rows.join(st, "label").join(tself, "test_id").withColumn(

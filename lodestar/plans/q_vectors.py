@@ -353,6 +353,36 @@ def kernel_class_sums(spark: SparkSession, sf: str) -> DataFrame:
     return s.select("class_i", "class_j", V.rnd("ksum", 4).alias("ksum"), "pairs")
 
 
+_VOVK = "(1.0 + {d} + {d} * {d})"
+
+
+@register("kernel_class_sums_polynomial", sql=f"""
+WITH v AS ({VECTORS_SQL}), k AS (SELECT a.label AS class_i, b.label AS class_j, {DOT('a.v', 'b.v')} AS d FROM v a, v b)
+SELECT class_i, class_j, {R('sum(d)', 5)} AS linear, {R('sum(' + _VOVK.format(d='d') + ')', 5)} AS vovk, count(*) AS pairs FROM k GROUP BY class_i, class_j
+""")
+def kernel_class_sums_polynomial(spark: SparkSession, sf: str) -> DataFrame:
+    """A15 without pairs: linear and Vovk (p = 3) kernel sums of every two classes from sums of tensor powers."""
+    v = derived.vectors(spark, sf)
+    a = similarity.kernel_block_sum(v, v, "linear", 0.0).select("class_i", "class_j", V.rnd("ksum", 5).alias("linear"), "pairs")
+    b = similarity.kernel_block_sum(v, v, "vovk", 3).select("class_i", "class_j", V.rnd("ksum", 5).alias("vovk"))
+    return a.join(b, ["class_i", "class_j"])
+
+
+@register("kernel_nearest_mean_polynomial", sql=f"""
+WITH v AS ({VECTORS_SQL}),
+k AS (SELECT a.vec_id AS test_id, a.label AS own, b.label, {DOT('a.v', 'b.v')} AS d FROM v a, v b),
+rs AS (SELECT test_id, own, label, sum({_VOVK.format(d='d')}) AS ksum, count(*) AS n FROM k GROUP BY test_id, own, label),
+w AS (SELECT label, sum(ksum) AS ksum_w FROM rs WHERE own = label GROUP BY label),
+x AS (SELECT vec_id AS test_id, {DOT('v', 'v')} AS d FROM v),
+d AS (SELECT rs.test_id, rs.label, {_VOVK.format(d='x.d')} - 2.0 * ksum / n + ksum_w / (n * n) AS dist2 FROM rs JOIN w USING (label) JOIN x USING (test_id))
+SELECT test_id, label AS predicted, {R('dist2')} AS dist2 FROM d QUALIFY row_number() OVER (PARTITION BY test_id ORDER BY dist2, label) = 1
+""")
+def kernel_nearest_mean_polynomial(spark: SparkSession, sf: str) -> DataFrame:
+    """M10 without pairs: nearest class mean under the Vovk kernel (p = 3), in two scans."""
+    v = derived.vectors(spark, sf)
+    return similarity.kernel_nearest_mean(v, v, "vovk", 3).select("test_id", "predicted", V.rnd("dist2").alias("dist2"))
+
+
 @register("kernel_nearest_mean", sql=f"""
 WITH v AS ({VECTORS_SQL}),
 k AS (SELECT a.vec_id AS test_id, b.label, exp(-{SQD('a.v', 'b.v')} / 1.0) AS kv FROM v a JOIN v b ON TRUE),

@@ -148,3 +148,30 @@ def test_a_network_of_the_published_size_takes_a_step(spark):
     g, loss = net.gradient(x, y, w)
     assert abs(hist[0]["loss"] - loss / 48) < 1e-9
     assert np.allclose(hist[-1]["weights"], w - 0.5 * g / 48, atol=1e-12)
+
+
+def test_class_sums_without_pairs(points):
+    from lodestar.operators import powersums, similarity
+
+    df, x, y = points
+    df = df.withColumn("label", F.col("y").cast("int"))
+    d = x @ x.T
+    for kind, param, k in (("linear", 0.0, d), ("vovk", 4, 1 + d + d ** 2 + d ** 3), ("vovk", 1, np.ones_like(d))):
+        got = {(r.class_i, r.class_j): (r.ksum, r.pairs) for r in similarity.kernel_block_sum(df, df, kind, param, lid="key", rid="key").collect()}
+        for i in (0, 1):
+            for j in (0, 1):
+                block = k[np.ix_(y == i, y == j)]
+                assert got[i, j][1] == block.size and abs(got[i, j][0] - block.sum()) < 1e-8 * abs(k).sum()
+        rows = {(r.test_id, r.label): r.ksum for r in similarity.kernel_row_sums(df, df, kind, param, tid="key", rid="key").collect()}
+        assert max(abs(rows[i, c] - k[i, y == c].sum()) for i in range(300) for c in (0, 1)) < 1e-8 * abs(k).sum()
+    old, powersums.MOST_NUMBERS = powersums.MOST_NUMBERS, 10
+    try:  # too many numbers: the same sums over pairs of blocks
+        got = {(r.class_i, r.class_j): r.ksum for r in similarity.kernel_block_sum(df, df, "vovk", 3, lid="key", rid="key", n_left=4).collect()}
+    finally:
+        powersums.MOST_NUMBERS = old
+    k = 1 + d + d ** 2
+    assert all(abs(got[i, j] - k[np.ix_(y == i, y == j)].sum()) < 1e-8 * abs(k).sum() for i in (0, 1) for j in (0, 1))
+    k = dense(x)
+    for r in powersums.gaussian_class_sums(df, 1.0).collect():
+        block = k[np.ix_(y == r.class_i, y == r.class_j)]
+        assert r.low <= block.sum() <= r.high and r.high - r.low < 0.2 * block.size and r.pairs == block.size
