@@ -10,28 +10,17 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestar.functions.vectors import bucket_key, vsum
 from lodestar.operators import blocks
 from lodestar.operators.similarity import top_k_per_query
+from lodestar.session import cut_lineage
 
 # fixed values of the hash family (FIXTURES.md §4)
 COEF_SCALE = 12.9898
 
 
-def hash_vector(vec: Column, table_id: Column, k: int, dim: int, r: float, salt: float = 0.0) -> Column:
-    """the k integer hashes of one table for one vector."""
-    return F.transform(
-        F.sequence(F.lit(0), F.lit(k - 1)),
-        lambda j: F.floor(
-            vsum(F.transform(vec, lambda x, i: x * F.sin(F.lit(COEF_SCALE) * ((table_id * k + j) * dim + i) + salt)))
-            / F.lit(float(r))
-        ),
-    )
-
-
 def coefficients(n_tables: int, k: int, dim: int, salt: float = 0.0) -> np.ndarray:
     """The hash family as a matrix: one row for each position, one column for each (table, hash)."""
     column, position = np.arange(n_tables * k)[None, :], np.arange(dim)[:, None]
@@ -61,14 +50,22 @@ def hash_table(df: DataFrame, n_tables: int, k: int, r: float, dim: int, vec: st
     return hashed.select(*keep, F.posexplode("_hashes").alias("table_id", "bucket"), vec)
 
 
-def write_index(index: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """K3: persist the index partitioned by table (prunes to the tables a query uses)."""
-    index.write.mode(mode).partitionBy("table_id").parquet(path)
+def write_index(index: DataFrame, path: str, mode: str = "overwrite", name: str | None = None, buckets: int | None = None) -> None:
+    """K3: persist the index; by table, or, with ``name`` and ``buckets``, as a catalog table dealt out by (table, bucket).
+
+    A lookup in the second form joins queries to the stored rows where they lie: the index is never shuffled again.
+    """
+    if name is None:
+        index.write.mode(mode).partitionBy("table_id").parquet(path)
+        return
+    keys = ["table_id", "bucket"]
+    n = buckets or int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    index.repartition(n, *keys).write.mode(mode).bucketBy(n, *keys).sortBy(*keys).option("path", path).format("parquet").saveAsTable(name)
 
 
-def read_index(spark, path: str) -> DataFrame:
-    """Read a stored index back."""
-    return spark.read.parquet(path)
+def read_index(spark, path: str, name: str | None = None) -> DataFrame:
+    """Read a stored index back; by ``name`` the planner knows how its rows are dealt out."""
+    return spark.table(name) if name else spark.read.parquet(path)
 
 
 def bucket_occupancy(index: DataFrame) -> DataFrame:
@@ -104,63 +101,85 @@ def _bucket_topk(k: int, exclude_self: bool, carry: list[str]):
     return fn
 
 
-def table_top_k(q_index: DataFrame, index: DataFrame, k: int, vec: str = "v", qid: str = "vec_id",
-                cid: str = "vec_id", exclude_self: bool = True, carry: tuple[tuple[str, str], ...] = (),
-                pair_limit: int = blocks.BLOCK_ROWS * 64) -> DataFrame:
-    """J1 + W1 per table: the k nearest bucket-mates of every query in every table.
+def candidate_pairs(q_index: DataFrame, index: DataFrame, qid: str = "vec_id", cid: str = "vec_id", exclude_self: bool = True) -> DataFrame:
+    """(query_id, neighbour_id, table_id): every two rows that share a bucket, once, with the first table in which they do.
 
-    Ordinary buckets are an equi-join on (table_id, bucket) with a
-    ``WindowGroupLimit``; hot buckets are cut into sub-blocks and reduced to
-    top-k lists in NumPy, so a bucket holding a third of all rows never lands
-    in one task and never emits its full pair list.
+    Both sides carry ids alone, so a bucketed index (K3) is read where it lies and only queries are shuffled to it.
+    """
+    q = q_index.select("table_id", "bucket", F.col(qid).alias("query_id"))
+    pairs = q.join(index.select("table_id", "bucket", F.col(cid).alias("neighbour_id")), ["table_id", "bucket"])
+    if exclude_self:
+        pairs = pairs.where(F.col("query_id") != F.col("neighbour_id"))
+    return pairs.groupBy("query_id", "neighbour_id").agg(F.min("table_id").alias("table_id"))
+
+
+def index_stays(pairs: DataFrame, name: str) -> bool:
+    """Whether no exchange stands between the stored index and the join that meets it."""
+    plan = pairs._jdf.queryExecution().executedPlan().toString().splitlines()
+    depth = lambda line: len(line) - len(line.lstrip(" :+-*()0123456789"))
+    scan = next(i for i, line in enumerate(plan) if "Scan parquet" in line and name in line)
+    at = depth(plan[scan])
+    for line in reversed(plan[:scan]):
+        if depth(line) < at:
+            at = depth(line)
+            if "Join" in line:
+                return True
+            if "Exchange" in line:
+                return False
+    return False
+
+
+def scored_candidates(q_index: DataFrame, index: DataFrame, queries: DataFrame, rows: DataFrame, k: int, vec: str = "v", qid: str = "vec_id",
+                      cid: str = "vec_id", exclude_self: bool = True, carry: tuple[tuple[str, str], ...] = (),
+                      pair_limit: int = blocks.BLOCK_ROWS * 64) -> DataFrame:
+    """(table_id, query_id, neighbour_id, distance, carried columns) of the candidates of all queries.
+
+    Candidates are found by id; a vector is fetched once for each different pair.  Buckets with more than ``pair_limit``
+    pairs are cut into sub-blocks, which give the ``k`` nearest of each query instead of all pairs.
     """
     from lodestar.functions.vectors import l2_distance
 
     keys = ["table_id", "bucket"]
     extra = [c for c, _ in carry]
-    # fresh attributes on each side: the query and index tables are often the same DataFrame
-    q = q_index.select(*[F.col(k).alias(k) for k in keys], F.col(qid).alias("_qid"), F.col(vec).alias("_qv"))
-    c = index.select(*[F.col(k).alias(k) for k in keys], F.col(cid).alias("_cid"), F.col(vec).alias("_cv"),
-                     *[F.col(e).alias(e) for e in extra])
-    q_cold, c_cold, hot = blocks.split_hot(q, c, keys, pair_limit)
-    pairs = q_cold.join(c_cold, keys)
-    if exclude_self:
-        pairs = pairs.where(F.col("_qid") != F.col("_cid"))
-    pairs = pairs.select("table_id", F.col("_qid").alias("query_id"), F.col("_cid").alias("neighbour_id"),
-                         l2_distance("_qv", "_cv").alias("distance"), *extra)
-    w = Window.partitionBy("table_id", "query_id").orderBy("distance", "neighbour_id")
-    cold = pairs.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= k).drop("_r")
-    schema = "query_id long, neighbour_id long, distance double" + "".join(f", {n} {t}" for n, t in carry)
-    q_hot = q.join(hot.select(*keys), keys)
-    c_hot = c.join(hot.select(*keys), keys)
-
-    def fn(qp, cp):
+    q, c = q_index.select(*keys, F.col(qid).alias("_qid")), index.select(*keys, F.col(cid).alias("_cid"))
+    sizes = cut_lineage(blocks.group_sizes(q, c, keys).where(F.col("n_left") * F.col("n_right") > pair_limit))
+    n_hot = sizes.count()
+    q_vec = queries.select(F.col(qid).alias("query_id"), F.col(vec).alias("_qv"))
+    c_vec = rows.select(F.col(cid).alias("neighbour_id"), F.col(vec).alias("_cv"), *extra)
+    cold_q, cold_c = q, c
+    if n_hot:
+        few = F.broadcast(sizes.select(*keys)) if n_hot <= 10_000 else sizes.select(*keys)
+        cold_q, cold_c = q.join(few, keys, "left_anti"), c.join(few, keys, "left_anti")
+    pairs = candidate_pairs(cold_q, cold_c, "_qid", "_cid", exclude_self)
+    met = pairs.join(c_vec, "neighbour_id").join(q_vec, "query_id")
+    cold = met.select("table_id", "query_id", "neighbour_id", l2_distance("_qv", "_cv").alias("distance"), *extra)
+    if not n_hot:
+        return cold
+    hot_q = q.join(few, keys, "left_semi").join(q_vec.withColumnRenamed("query_id", "_qid"), "_qid")
+    hot_c = c.join(few, keys, "left_semi").join(c_vec.withColumnRenamed("neighbour_id", "_cid"), "_cid")
+    schema = "table_id int, query_id long, neighbour_id long, distance double" + "".join(f", {n} {t}" for n, t in carry)
+
+    def fn(qp: pd.DataFrame, cp: pd.DataFrame) -> pd.DataFrame:
         out = _bucket_topk(k, exclude_self, extra)(qp, cp)
         out.insert(0, "table_id", int(qp["table_id"].iloc[0]))
         return out
 
-    hot_part = blocks.cogroup_grouped_blocks(
-        q_hot, c_hot, keys, hot, "_qid", "_cid", fn, "table_id int, " + schema)
-    hot_top = hot_part.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= k).drop("_r")
-    return cold.unionByName(hot_top)
+    hot = blocks.cogroup_grouped_blocks(hot_q, hot_c, keys, sizes, "_qid", "_cid", fn, schema)
+    own = ["query_id", "neighbour_id"]
+    return cold.unionByName(hot).groupBy(*own).agg(F.min("table_id").alias("table_id"), F.first("distance").alias("distance"),
+                                                   *[F.first(e).alias(e) for e in extra])
 
 
-def neighbours_up_to_l(per_table: DataFrame, k: int, n_tables: int) -> DataFrame:
-    """Top-k over the union of tables 0..L−1, for every L (each candidate once, D3)."""
-    x = per_table.withColumn("L", F.explode(F.sequence(F.col("table_id") + 1, F.lit(n_tables))))
-    x = x.groupBy("L", "query_id", "neighbour_id").agg(
-        F.min("distance").alias("distance"), *[F.first(c).alias(c) for c in per_table.columns
-                                               if c not in ("table_id", "query_id", "neighbour_id", "distance")])
+def neighbours_up_to_l(candidates: DataFrame, k: int, n_tables: int) -> DataFrame:
+    """Top-k over the union of tables 0..L−1, for every L; ``candidates`` has each pair once, with its first table (D3)."""
+    x = candidates.withColumn("L", F.explode(F.sequence(F.col("table_id") + 1, F.lit(n_tables))))
     w = Window.partitionBy("L", "query_id").orderBy("distance", "neighbour_id")
     return x.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
-def lsh_neighbours(per_table: DataFrame, k: int) -> DataFrame:
-    """Top-k over all tables, each candidate once."""
-    x = per_table.groupBy("query_id", "neighbour_id").agg(
-        F.min("distance").alias("distance"), *[F.first(c).alias(c) for c in per_table.columns
-                                               if c not in ("table_id", "query_id", "neighbour_id", "distance")])
-    return top_k_per_query(x, k)
+def lsh_neighbours(candidates: DataFrame, k: int) -> DataFrame:
+    """Top-k over all tables; ``candidates`` has each pair once."""
+    return top_k_per_query(candidates.drop("table_id"), k)
 
 
 def mean_neighbour_distance(by_l: DataFrame, k: int, n_tables: int) -> DataFrame:

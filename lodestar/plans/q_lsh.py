@@ -11,7 +11,7 @@ from lodestar.plans import derived
 from lodestar.plans.derived import LSH_DIM, LSH_HASHES, LSH_R, LSH_TABLES, VECTORS_SQL
 from lodestar.plans.registry import register
 from lodestar.plans.sqlfrag import R, SQD
-from lodestar.session import cut_lineage
+from lodestar.session import cut_lineage, discard, scratch
 
 K = 10
 
@@ -32,14 +32,11 @@ def _index(spark: SparkSession, sf: str) -> DataFrame:
     return lsh.hash_table(derived.vectors(spark, sf), LSH_TABLES, LSH_HASHES, LSH_R, LSH_DIM)
 
 
-def _written_index(spark: SparkSession, sf: str) -> DataFrame:
-    """The index written down once, for lookups that read it several times."""
-    return cut_lineage(_index(spark, sf))
-
-
-def _per_table(spark: SparkSession, sf: str) -> DataFrame:
-    idx = _written_index(spark, sf)
-    return lsh.table_top_k(idx, idx, K, carry=(("label", "int"),))
+def _candidates(spark: SparkSession, sf: str) -> DataFrame:
+    """All candidates with their distances; the index holds ids alone and is written down once, as both sides read it."""
+    v = derived.vectors(spark, sf)
+    idx = cut_lineage(_index(spark, sf).select("table_id", "bucket", "vec_id"))
+    return lsh.scored_candidates(idx, idx, v, v, K, carry=(("label", "int"),))
 
 
 @register("lsh_bucket_keys", sql=f"WITH {_HASH_SQL} SELECT vec_id, CAST(table_id AS INTEGER) AS table_id, bucket FROM h")
@@ -77,7 +74,7 @@ SELECT {R('avg(kept)')} AS mean_kept, min(kept) AS least_kept, count(*) AS queri
 """)
 def lsh_kept_neighbours(spark: SparkSession, sf: str) -> DataFrame:
     """Neighbours kept per query after the candidates of all tables are ranked."""
-    nb = lsh.lsh_neighbours(_per_table(spark, sf), K).groupBy("query_id").agg(F.count(F.lit(1)).alias("kept"))
+    nb = lsh.lsh_neighbours(_candidates(spark, sf), K).groupBy("query_id").agg(F.count(F.lit(1)).alias("kept"))
     q = derived.vectors(spark, sf).select(F.col("vec_id").alias("query_id")).join(nb, "query_id", "left")
     kept = F.coalesce("kept", F.lit(0))
     return q.agg(V.rnd(F.avg(kept)).alias("mean_kept"), F.min(kept).cast("long").alias("least_kept"), F.count(F.lit(1)).alias("queries"))
@@ -90,7 +87,7 @@ SELECT query_id, neighbour_id, CAST(row_number() OVER (PARTITION BY query_id ORD
 """)
 def lsh_neighbours_q(spark: SparkSession, sf: str) -> DataFrame:
     """J1 + W1: 10 nearest among bucket-mates over all tables, each candidate once (D3)."""
-    nb = lsh.lsh_neighbours(_per_table(spark, sf), K)
+    nb = lsh.lsh_neighbours(_candidates(spark, sf), K)
     return nb.select("query_id", "neighbour_id", "rank", V.rnd("distance").alias("distance"))
 
 
@@ -102,7 +99,7 @@ SELECT v.vec_id AS query_id, coalesce(best.predicted, -1) AS predicted FROM v LE
 """)
 def lsh_classify_q(spark: SparkSession, sf: str) -> DataFrame:
     """LSH neighbour vote; a query without candidates gets the background label −1."""
-    nb = lsh.lsh_neighbours(_per_table(spark, sf), K)
+    nb = lsh.lsh_neighbours(_candidates(spark, sf), K)
     return lsh.lsh_classify(nb, derived.vectors(spark, sf))
 
 
@@ -120,7 +117,7 @@ FROM u WHERE query_id IN (SELECT query_id FROM full_q) GROUP BY L
 """)
 def lsh_mean_distance_by_l(spark: SparkSession, sf: str) -> DataFrame:
     """Mean distance to the 10 neighbours found with the first L tables, over queries full at every L."""
-    by_l = lsh.neighbours_up_to_l(_per_table(spark, sf), K, LSH_TABLES)
+    by_l = lsh.neighbours_up_to_l(_candidates(spark, sf), K, LSH_TABLES)
     m = lsh.mean_neighbour_distance(by_l, K, LSH_TABLES)
     return m.select(F.col("L").cast("int").alias("L"), V.rnd("mean_distance").alias("mean_distance"), "queries")
 
@@ -156,6 +153,27 @@ def lsh_recall(spark: SparkSession, sf: str) -> DataFrame:
 
     v = derived.vectors(spark, sf)
     exact = knn_join(v, v, K, exclude_self=True).select("query_id", "neighbour_id")
-    found = lsh.lsh_neighbours(_per_table(spark, sf), K).select("query_id", "neighbour_id", F.lit(1).alias("hit"))
+    found = lsh.lsh_neighbours(_candidates(spark, sf), K).select("query_id", "neighbour_id", F.lit(1).alias("hit"))
     j = exact.join(found, ["query_id", "neighbour_id"], "left")
     return j.agg(V.rnd(F.count("hit") / F.count("*")).alias("recall"), F.count("*").alias("exact_pairs"))
+
+
+@register("lsh_bucketed_lookup", sql=f"""
+WITH {_HASH_SQL}, p AS (SELECT a.vec_id AS query_id, b.vec_id AS neighbour_id, min(a.table_id) AS t FROM h a JOIN h b
+  ON a.table_id = b.table_id AND a.bucket = b.bucket AND a.vec_id <> b.vec_id GROUP BY 1, 2)
+SELECT query_id, count(*) AS candidates, CAST(sum(neighbour_id) AS BIGINT) AS id_sum, CAST(min(t) AS INTEGER) AS first_table, true AS index_stays FROM p GROUP BY query_id
+""")
+def lsh_bucketed_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    """K3 + J1: the index stored by (table, bucket) and met by queries without another shuffle of its rows (told from the plan)."""
+    import uuid
+
+    name, path = f"lsh_index_{uuid.uuid4().hex}", scratch(spark, "bucketed")
+    idx = cut_lineage(_index(spark, sf).select("table_id", "bucket", "vec_id"))
+    lsh.write_index(idx, path, name=name, buckets=16)
+    pairs = lsh.candidate_pairs(idx.hint("merge"), lsh.read_index(spark, path, name))  # too small an index would be broadcast
+    stays = lsh.index_stays(pairs, name)
+    out = cut_lineage(pairs.groupBy("query_id").agg(F.count(F.lit(1)).alias("candidates"), F.sum("neighbour_id").alias("id_sum"),
+                                                    F.min("table_id").alias("first_table"), F.lit(stays).alias("index_stays")))
+    spark.sql(f"DROP TABLE {name}")
+    discard(spark, path)
+    return out

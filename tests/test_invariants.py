@@ -20,10 +20,13 @@ def test_knn_blocks_equal_expression_form(spark):
 
 def test_lsh_hot_bucket_path_matches_join_path(spark):
     idx = lsh.hash_table(derived.vectors(spark, SF_SMALL), 3, 2, 0.5, 64)
-    cold = lsh.table_top_k(idx, idx, 5, pair_limit=10 ** 12)
-    hot = lsh.table_top_k(idx, idx, 5, pair_limit=1)  # every bucket takes the blocked path
-    key = lambda r: (r.table_id, r.query_id, r.neighbour_id, round(r.distance, 9))
-    assert sorted(map(key, cold.collect())) == sorted(map(key, hot.collect()))
+    v = derived.vectors(spark, SF_SMALL)
+    cold = lsh.scored_candidates(idx, idx, v, v, 5, pair_limit=10 ** 12)
+    hot = lsh.scored_candidates(idx, idx, v, v, 5, pair_limit=1)  # every bucket takes the blocked path
+    key = lambda r: (r.query_id, r.neighbour_id, r["rank"], round(r.distance, 9))
+    assert sorted(map(key, lsh.lsh_neighbours(cold, 5).collect())) == sorted(map(key, lsh.lsh_neighbours(hot, 5).collect()))
+    by_l = lambda r: (r.L, *key(r))
+    assert sorted(map(by_l, lsh.neighbours_up_to_l(cold, 5, 3).collect())) == sorted(map(by_l, lsh.neighbours_up_to_l(hot, 5, 3).collect()))
 
 
 def test_iou_hot_image_path_matches_join_path(spark):
