@@ -141,7 +141,9 @@ def scored_candidates(q_index: DataFrame, index: DataFrame, queries: DataFrame,
 
     keys = ["table_id", "bucket"]
     extra = [c for c, _ in carry]
-    q, c = q_index.select(*keys, F.col(qid).alias("_qid")), index.select(*keys, F.col(cid).alias("_cid"))
+    # fresh attributes on each side: the query and index tables are often the same DataFrame
+    own = [F.col(name).alias(name) for name in keys]
+    q, c = q_index.select(*own, F.col(qid).alias("_qid")), index.select(*own, F.col(cid).alias("_cid"))
     sizes = cut_lineage(blocks.group_sizes(q, c, keys).where(F.col("n_left") * F.col("n_right") > pair_limit))
     n_hot = sizes.count()
     q_vec = queries.select(F.col(qid).alias("query_id"), F.col(vec).alias("_qv"))
