@@ -50,12 +50,14 @@ def labelled_rows_round_trip(spark: SparkSession, sf: str) -> DataFrame:
                                                V.rnd(F.sum(F.col("features")[63]), 4).alias("last")), path)
 
 
-@register("annotations_round_trip", sql="""
+_ANNOTATIONS_SQL = """
 SELECT c.category_id, count(*) AS n, CAST(sum(w) AS BIGINT) AS w_sum, count(DISTINCT img_id) AS images
 FROM (SELECT o_orderkey % 18 AS category_id, o_orderkey AS img_id, 50 + o_orderkey % 50 AS w FROM orders) c GROUP BY c.category_id
-""")
-def annotations_round_trip(spark: SparkSession, sf: str) -> DataFrame:
-    """S3: annotation files, one JSON object for each of many groups of orders, read back as tables and joined."""
+"""
+
+
+def _annotations(spark: SparkSession, sf: str, multi_line: bool) -> DataFrame:
+    """Annotation files, one JSON object for each thousand orders, read back as tables and joined."""
     path = scratch(spark, "annotations")
     o = table(spark, sf, "orders").select(F.col("o_orderkey").cast("long").alias("id"))
     shape = o.select(
@@ -66,13 +68,25 @@ def annotations_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     files = shape.groupBy("part").agg(F.collect_list("image").alias("images"), F.collect_list("annotation").alias("annotations"))
     cats = F.transform(F.sequence(F.lit(0), F.lit(17)), lambda i: F.struct(i.cast("long").alias("id"), i.cast("string").alias("name"), F.lit("all").alias("supercategory")))
     files.withColumn("categories", F.when(F.col("part") == 0, cats).otherwise(F.array().cast(cats_type()))).drop("part").write.json(path)
-    t = readers.read_annotations(spark, path)
+    t = readers.read_annotations(spark, path, multi_line)
     j = t["annotations"].join(t["images"].select(F.col("id").alias("image_id"), "width"), "image_id").join(
         t["categories"].select(F.col("id").alias("category_id"), "name"), "category_id")
     return _kept(spark, j.groupBy("category_id").agg(F.count("*").alias("n"), F.sum("w").cast("long").alias("w_sum"),
                                                      F.countDistinct("image_id").alias("images")), path)
 
 
+@register("annotations_round_trip", sql=_ANNOTATIONS_SQL)
+def annotations_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    """S3: annotation objects read as lines."""
+    return _annotations(spark, sf, False)
+
+
+@register("annotation_objects_round_trip", sql=_ANNOTATIONS_SQL)
+def annotation_objects_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    """S3: the same files read as text that may be split anywhere, by the state of brackets and quotes."""
+    return _annotations(spark, sf, True)
+
+
 def cats_type() -> str:
     return "array<struct<id:bigint,name:string,supercategory:string>>"
 

@@ -44,17 +44,18 @@ ANNOTATION_SCHEMA = T.StructType([
 def read_annotations(spark: SparkSession, path: str, multi_line: bool = False) -> dict[str, DataFrame]:
     """S3: annotation JSON → categories, images and annotations tables.
 
-    Objects on one line each are split among tasks; ``multi_line`` reads every file as one object, in
-    one task for each file.
+    Objects on one line each are split among tasks as lines; with ``multi_line`` a file is one object, of any size, and
+    is split among tasks at the objects of its lists.
     """
-    raw = spark.read.json(path, schema=ANNOTATION_SCHEMA, multiLine=multi_line)
-    return {
-        "categories": raw.select(F.explode("categories").alias("c")).select("c.*"),
-        "images": raw.select(F.explode("images").alias("i")).select("i.*"),
-        "annotations": raw.select(F.explode("annotations").alias("a")).select(
-            "a.id", "a.image_id", "a.category_id",
-            *[F.col("a.bbox")[i].cast("int").alias(n) for i, n in enumerate(["x", "y", "w", "h"])]),
-    }
+    if multi_line:
+        from lodestar.sources.annotations import read_annotation_file
+
+        lists = read_annotation_file(spark, path, ANNOTATION_SCHEMA)
+    else:
+        raw = spark.read.json(path, schema=ANNOTATION_SCHEMA)
+        lists = {name: raw.select(F.explode(name).alias("o")).select("o.*") for name in ANNOTATION_SCHEMA.fieldNames()}
+    boxes = [F.col("bbox")[i].cast("int").alias(n) for i, n in enumerate(["x", "y", "w", "h"])]
+    return lists | {"annotations": lists["annotations"].select("id", "image_id", "category_id", *boxes)}
 
 
 def read_feature_bundle(spark: SparkSession, path: str) -> DataFrame:
