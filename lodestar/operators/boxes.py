@@ -94,6 +94,28 @@ def label_proposals(proposals: DataFrame, truth: DataFrame, keys: list[str], box
         "label", (F.col("max_iou") > min_iou).cast("int"))
 
 
+def iou_summary(proposals: DataFrame, truth: DataFrame, keys: list[str], box_id: str = "box_id", min_iou: float = 0.5,
+                pair_limit: int = blocks.BLOCK_ROWS * 64) -> DataFrame:
+    """(pairs, over, total) of the IoU of all proposals with all truth boxes sharing ``keys``: their number, those above ``min_iou``, the sum.
+
+    An image with more than ``pair_limit`` pairs is cut into sub-blocks that give three numbers each.
+    """
+    cols = ["x", "y", "w", "h"]
+    p = proposals.select(*[F.col(k).alias(k) for k in keys], F.col(box_id).alias("_pid"), *cols)
+    t = truth.select(*[F.col(k).alias(k) for k in keys], F.xxhash64(*keys, *cols).alias("_tid"), *[F.col(c).alias("t_" + c) for c in cols])
+    p_cold, t_cold, hot = blocks.split_hot(p, t, keys, pair_limit)
+    one = p_cold.join(t_cold, keys).select(iou(tuple(F.col(c) for c in cols), tuple(F.col("t_" + c) for c in cols)).alias("iou"))
+    cold = one.agg(F.count(F.lit(1)).alias("pairs"), F.sum((F.col("iou") > min_iou).cast("long")).alias("over"), F.sum("iou").alias("total"))
+
+    def fn(pp: pd.DataFrame, tp: pd.DataFrame) -> pd.DataFrame:
+        m = iou_np(pp[cols].to_numpy(), tp[["t_" + c for c in cols]].to_numpy())
+        return pd.DataFrame({"pairs": [m.size], "over": [int((m > min_iou).sum())], "total": [float(m.sum())]})
+
+    parts = blocks.cogroup_grouped_blocks(p.join(hot.select(*keys), keys), t.join(hot.select(*keys), keys), keys, hot, "_pid", "_tid", fn,
+                                          "pairs long, over long, total double")
+    return cold.unionByName(parts).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("pairs", "over", "total")])
+
+
 def attach_features(boxes: DataFrame, features: DataFrame, key: str) -> DataFrame:
     """N:1 equi-join of boxes to their image's features (the planner broadcasts a small side)."""
     return boxes.join(features, key)

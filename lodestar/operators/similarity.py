@@ -74,43 +74,47 @@ class _Cells:
     def distances(self, x: np.ndarray) -> np.ndarray:
         return np.sqrt(blocks.exact_sq_dists(x, self.pivots))
 
-    def first(self, x: np.ndarray, need: int) -> list[np.ndarray]:
-        """For each row the nearest cells that together hold ``need`` candidates (all cells, if there are fewer)."""
+    def first(self, x: np.ndarray, need: int) -> np.ndarray:
+        """(rows × cells) which cells are the nearest that together hold ``need`` candidates (all, if there are fewer)."""
         order = np.argsort(self.distances(x), axis=1, kind="stable")
-        enough = np.cumsum(self.n[order], axis=1) - self.n[order] < need
-        return [o[e & (self.n[o] > 0)] for o, e in zip(order, enough)]
+        held = self.n[order]
+        mask = np.zeros(order.shape, dtype=bool)
+        np.put_along_axis(mask, order, (np.cumsum(held, axis=1) - held < need) & (held > 0), axis=1)
+        return mask
 
-    def within(self, x: np.ndarray, reach: np.ndarray, need: int) -> list[np.ndarray]:
-        """The other cells that may hold a candidate within ``reach`` of each row."""
-        d = self.distances(x)
-        near = (d - self.radius <= reach[:, None] * (1 + 1e-9) + 1e-9) & (self.n > 0)
-        return [np.setdiff1d(np.flatnonzero(row), seen) for row, seen in zip(near, self.first(x, need))]
+    def within(self, x: np.ndarray, reach: np.ndarray, need: int) -> np.ndarray:
+        """(rows × cells) the other cells that may hold a candidate within ``reach`` of each row."""
+        near = (self.distances(x) - self.radius <= reach[:, None] * (1 + 1e-9) + 1e-9) & (self.n > 0)
+        return near & ~self.first(x, need)
 
 
-def _visit(queries: DataFrame, homes: DataFrame, cells: _Cells, fn: Callable, schema: str) -> DataFrame:
+def _visit(queries: DataFrame, visits: DataFrame, homes: DataFrame, fn: Callable, schema: str) -> DataFrame:
     """``fn`` on each cell's candidates and the queries that visit it, both in blocks.
 
-    A candidate lives in one cell and a query is copied to the cells it visits, so what moves follows
-    the visits and not the product of the tables.
+    A candidate lives in one cell.  ``visits`` (_qid, cell) is a written table of ids, so the visits are found once; vectors join
+    them afterwards, and what moves follows the visits and not the product of the tables.
     """
-    visits = {r["cell"]: r["count"] for r in queries.groupBy("cell").count().collect()}  # one row for each pivot
-    block = {c: (max(1, math.ceil(int(cells.n[c]) / CELL_ROWS)), max(1, math.ceil(v / CELL_ROWS))) for c, v in visits.items()}
+    n_of = lambda df: dict(df.groupBy("cell").count().collect())  # noqa: E731  one row for each pivot
+    n_q, n_c = n_of(visits), n_of(homes)
+    block = {c: (max(1, math.ceil(n_c.get(c, 0) / CELL_ROWS)), max(1, math.ceil(v / CELL_ROWS))) for c, v in n_q.items()}
     if not block:
         return queries.sparkSession.createDataFrame([], schema)
     cb, qb = (F.create_map(*[F.lit(x) for c, pair in block.items() for x in (int(c), pair[i])]) for i in (0, 1))
     n_c, n_q = F.element_at(cb, F.col("cell")), F.element_at(qb, F.col("cell"))
-    left = queries.withColumn("_qb", F.pmod(F.xxhash64("_qid"), n_q).cast("int")).withColumn(
+    left = visits.join(queries, "_qid").withColumn("_qb", F.pmod(F.xxhash64("_qid"), n_q).cast("int")).withColumn(
         "_cb", F.explode(F.sequence(F.lit(0), n_c - 1)))
     right = homes.where(n_c.isNotNull()).withColumn("_cb", F.pmod(F.xxhash64("_cid"), n_c).cast("int")).withColumn(
         "_qb", F.explode(F.sequence(F.lit(0), n_q - 1)))
+    return _met(left, right, ["cell", "_cb", "_qb"], fn, schema)
 
+
+def _met(left: DataFrame, right: DataFrame, keys: list[str], fn: Callable, schema: str) -> DataFrame:
     def run(qp: pd.DataFrame, cp: pd.DataFrame) -> pd.DataFrame:
         if len(qp) == 0 or len(cp) == 0:
             return pd.DataFrame({f.split()[0]: [] for f in schema.split(",")})
         return fn(qp, cp)
 
-    g = ["cell", "_cb", "_qb"]
-    return left.groupBy(*g).cogroup(right.groupBy(*g)).applyInPandas(run, schema)
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(run, schema)
 
 
 def knn_join(
@@ -140,9 +144,13 @@ def knn_join(
     c = candidates.select(F.col(cid).alias("_cid"), F.col(vec).cast("array<double>").alias("_cv"), *extra)
     schema = "query_id long, neighbour_id long, distance double" + "".join(f", {n} {t}" for n, t in carry)
     n_cells = min(MAX_PIVOTS, max(1, math.ceil(c.count() / cell_rows)))
+    fn = _topk_block(k, exclude_self, "_qid", "_cid", "_qv", "_cv", extra)
+    if n_cells == 1:  # every query meets the one cell; blocks of queries use the cores
+        n_q = max(1, math.ceil(q.count() / CELL_ROWS), queries.sparkSession.sparkContext.defaultParallelism)
+        left = q.withColumn("_qb", F.pmod(F.xxhash64("_qid"), F.lit(n_q)).cast("int"))
+        right = c.withColumn("_qb", F.explode(F.sequence(F.lit(0), F.lit(n_q - 1))))
+        return top_k_per_query(_met(left, right, ["_qb"], fn, schema), k)
     pivots = np.array([r["_cv"] for r in c.select("_cid", "_cv").orderBy(hash_order("_cid"), "_cid").limit(n_cells).collect()], dtype=float)
-    if not len(pivots):
-        return top_k_per_query(queries.sparkSession.createDataFrame([], schema), k)
     plain = _Cells(pivots, [])
 
     def settle(batches):
@@ -151,33 +159,32 @@ def knn_join(
             at = d.argmin(axis=1)
             yield pdf.assign(cell=at.astype(np.int32), _far=d[np.arange(len(d)), at])
 
-    homes = c.mapInPandas(settle, c.select("*", F.lit(0).alias("cell"), F.lit(0.0).alias("_far")).schema)
+    # written once: the radii and both visits read it
+    homes = cut_lineage(c.mapInPandas(settle, c.select("*", F.lit(0).alias("cell"), F.lit(0.0).alias("_far")).schema))
     cells = _Cells(pivots, homes.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("_far").alias("radius")).collect())
     homes = homes.drop("_far")
-    visit = q.select("*", F.lit(0).alias("cell")).schema
+    goals = q.select("_qid", F.lit(0).alias("cell")).schema
 
-    def copies(pdf: pd.DataFrame, goals: list[np.ndarray]) -> pd.DataFrame:
-        rows = np.repeat(np.arange(len(pdf)), list(map(len, goals)))
-        out = pdf[["_qid", "_qv"]].iloc[rows].reset_index(drop=True)
-        return out.assign(cell=np.concatenate(goals).astype(np.int32) if len(goals) else np.zeros(0, dtype=np.int32))
+    def told(pdf: pd.DataFrame, mask: np.ndarray) -> pd.DataFrame:
+        row, cell = np.nonzero(mask)
+        return pd.DataFrame({"_qid": pdf["_qid"].to_numpy()[row], "cell": cell.astype(np.int32)})
 
     def first(batches):
         for pdf in batches:
-            yield copies(pdf, cells.first(blocks.matrix(pdf["_qv"]), need))
+            if len(pdf):
+                yield told(pdf, cells.first(blocks.matrix(pdf["_qv"]), need))
 
-    fn = _topk_block(k, exclude_self, "_qid", "_cid", "_qv", "_cv", extra)
-    near = cut_lineage(_visit(q.mapInPandas(first, visit), homes, cells, fn, schema))
-    if n_cells == cells.n.astype(bool).sum() == 1:
-        return top_k_per_query(near, k)  # one cell holds every candidate: the first visit saw them all
+    near = cut_lineage(_visit(q, cut_lineage(q.mapInPandas(first, goals)), homes, fn, schema))
     bound = top_k_per_query(near, k).groupBy("query_id").agg(F.max("distance").alias("_reach"), F.count(F.lit(1)).alias("_n"))
     reach = F.when(F.col("_n") >= k, F.col("_reach")).otherwise(F.lit(float("inf")))
     asked = q.join(bound, q["_qid"] == bound["query_id"], "left").select("_qid", "_qv", F.coalesce(reach, F.lit(float("inf"))).alias("_reach"))
 
     def further(batches):
         for pdf in batches:
-            yield copies(pdf, cells.within(blocks.matrix(pdf["_qv"]), pdf["_reach"].to_numpy(), need))
+            if len(pdf):
+                yield told(pdf, cells.within(blocks.matrix(pdf["_qv"]), pdf["_reach"].to_numpy(), need))
 
-    far = _visit(cut_lineage(asked.mapInPandas(further, visit)), homes, cells, fn, schema)
+    far = _visit(q, cut_lineage(asked.mapInPandas(further, goals)), homes, fn, schema)
     return top_k_per_query(near.unionByName(far), k)
 
 

@@ -52,11 +52,8 @@ SELECT count(*) AS pairs, CAST(sum(CAST(iou > 0.5 AS INTEGER)) AS BIGINT) AS ove
 def iou_pairs_summary(spark: SparkSession, sf: str) -> DataFrame:
     """IoU over every proposal–truth pair in the same image (count, share over 0.5, mean)."""
     truth, props = derived.truth_and_proposals(spark, sf)
-    t = truth.select("img_id", *[F.col(c).alias("t_" + c) for c in _COLS])
-    j = props.join(t, "img_id").select(boxes.iou(tuple(F.col(c) for c in _COLS),
-                                                 tuple(F.col("t_" + c) for c in _COLS)).alias("iou"))
-    return j.agg(F.count("*").alias("pairs"), F.sum((F.col("iou") > 0.5).cast("int")).cast("long").alias("over_half"),
-                 V.rnd(F.avg("iou")).alias("mean_iou"))
+    r = boxes.iou_summary(props, truth, ["img_id"])
+    return r.select("pairs", F.col("over").alias("over_half"), V.rnd(F.col("total") / F.col("pairs")).alias("mean_iou"))
 
 
 def _cell_sql(scaled: str) -> str:

@@ -38,6 +38,12 @@ def test_iou_hot_image_path_matches_join_path(spark):
     assert ka == kb
 
 
+def test_iou_sums_of_a_hot_image(spark):
+    truth, props = derived.truth_and_proposals(spark, SF_SMALL)
+    a, b = (boxes.iou_summary(props, truth, ["category_id"], pair_limit=n).first() for n in (10 ** 12, 0))
+    assert (a.pairs, a.over) == (b.pairs, b.over) and a.pairs > 1000 and abs(a.total - b.total) < 1e-6
+
+
 def test_iou_golden():
     same = boxes.iou_np(np.array([[1, 2, 10, 20]]), np.array([[1, 2, 10, 20]]))
     apart = boxes.iou_np(np.array([[0, 0, 5, 5]]), np.array([[100, 100, 5, 5]]))
