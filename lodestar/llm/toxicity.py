@@ -15,11 +15,12 @@ from pyspark.sql import functions as F
 
 from lodestar.llm.common import map_batches, slices, word_slices
 from lodestar.llm.labelled import labelled_texts, remainder
+from lodestar.session import cut_lineage
 
 #: Labelled ordinary and toxic documents that a model is fitted on at most; the more ordinary text there is, the surer
 #: that a word is the toxic class's own.
 FIT_ROWS = (5000, 1500)
-#: Windows that a document gives to the fit at most; a longer one gives those with the smallest hashes.
+#: Windows of a document that dictionaries are trained on at most, those with the smallest hashes; the calibration reads all.
 FIT_WINDOWS = 250
 #: Words of a window.
 WINDOW = 6
@@ -28,6 +29,8 @@ OWN_BYTES, SHARED_BYTES = 2048, 4096
 #: Pairs of dictionaries whose gains are averaged; each is trained on another draw of the same documents.
 PAIRS = 3
 LEVEL = 4
+#: A toxic document that is let through weighs as much as so many ordinary ones that are stopped.
+MISS = 2.0
 #: Bytes that a window must be shorter by with the toxic dictionary to count at each step.
 STEPS = (2, 3, 4, 5, 6, 7, 8, 10)
 
@@ -160,39 +163,80 @@ def dictionaries(docs: list[tuple[bytes, int]], pairs: int = PAIRS, seed: int =
     return made
 
 
-def _compress(content: bytes):
-    """A compressing function with a dictionary and without frame extras."""
+def _compressor(content: bytes) -> zstandard.ZstdCompressor:
+    """A compressor with a dictionary and without frame extras."""
     d = zstandard.ZstdCompressionDict(content or b" ", dict_type=zstandard.DICT_TYPE_RAWCONTENT)
     d.precompute_compress(level=LEVEL)
-    return zstandard.ZstdCompressor(level=LEVEL, dict_data=d, write_content_size=False, write_checksum=False,
-                                    write_dict_id=False).compress
+    return zstandard.ZstdCompressor(level=LEVEL, dict_data=d, write_content_size=False, write_checksum=False, write_dict_id=False)
+
+
+#: Windows that are compressed in one call, and windows whose gains a worker remembers; then it starts anew.
+GROUP, REMEMBERED = 4096, 100_000
 
 
 class Compressors:
-    """Pairs of compressors, made once in a worker."""
+    """Pairs of compressors, made once in a worker; a window met again lately is not compressed again."""
 
     def __init__(self, contents: list[tuple[bytes, bytes]]):
-        self.pairs = [(_compress(plain), _compress(toxic)) for plain, toxic in contents]
+        self.pairs = [(_compressor(plain), _compressor(toxic)) for plain, toxic in contents]
+        self.known: dict[bytes, float] = {}
 
     def gains(self, run: list[bytes]) -> np.ndarray:
         """Bytes by which the toxic dictionaries make each window shorter, on average over the pairs."""
-        total = np.zeros(len(run))
-        for plain, toxic in self.pairs:
-            total += [len(plain(w)) - len(toxic(w)) for w in run]
-        return total / len(self.pairs)
+        if len(self.known) > REMEMBERED:
+            self.known = {}
+        known = self.known
+        new = list(dict.fromkeys(w for w in run if w not in known))
+        if new:
+            total = np.zeros(len(new))
+            for plain, toxic in self.pairs:
+                total += _sizes(plain, new) - _sizes(toxic, new)
+            known.update(zip(new, (total / len(self.pairs)).tolist()))
+        return np.array([known[w] for w in run])
 
 
-def summary(gains) -> list[float]:
-    """What the thresholds are set on: windows over each step as number and share, the largest and the mean gain.
+def _sizes(compressor: zstandard.ZstdCompressor, run: list[bytes]) -> np.ndarray:
+    """Compressed length of each window."""
+    return np.fromiter(map(len, compressor.multi_compress_to_buffer(run, threads=0)), dtype=np.int64, count=len(run))
 
-    ``gains`` comes in runs, so a long text needs no more memory than one run.
-    """
-    over, n, most, total = np.zeros(len(STEPS)), 0, 0.0, 0.0
-    for g in gains:
+
+class Tally:
+    """What the thresholds are set on: windows over each step as number and share, the largest and the mean gain of a text."""
+
+    def __init__(self):
+        self.over, self.n, self.most, self.total = np.zeros(len(STEPS)), 0, 0.0, 0.0
+
+    def add(self, g: np.ndarray) -> None:
         if len(g):
-            over += [(g >= s).sum() for s in STEPS]
-            n, most, total = n + len(g), max(most, float(g.max())), total + float(g.sum())
-    return [*np.log1p(over), *(over / (n + 8.0)), most, math.log1p(n), total / max(1, n)]
+            self.over += [(g >= s).sum() for s in STEPS]
+            self.n, self.most, self.total = self.n + len(g), max(self.most, float(g.max())), self.total + float(g.sum())
+
+    def summary(self) -> list[float]:
+        return [*np.log1p(self.over), *(self.over / (self.n + 8.0)), self.most, math.log1p(self.n), self.total / max(1, self.n)]
+
+
+def summaries(texts: list[str | None], gains) -> list[list[float]]:
+    """The summary of every whole text; windows of several texts are compressed together, those of a long one in parts."""
+    tallies = [Tally() for _ in texts]
+    held, owner, waiting = [], [], 0
+
+    def flush():
+        g = gains([w for run in held for w in run])
+        for i, part in zip(owner, np.split(g, np.cumsum([len(run) for run in held])[:-1])):
+            tallies[i].add(part)
+
+    for i, text in enumerate(texts):
+        for run in windows(text):
+            for at in range(0, len(run), GROUP):
+                held.append(run[at:at + GROUP])
+                owner.append(i)
+                waiting += len(held[-1])
+                if waiting >= GROUP:
+                    flush()
+                    held, owner, waiting = [], [], 0
+    if held:
+        flush()
+    return [t.summary() for t in tallies]
 
 
 class Logistic:
@@ -222,55 +266,65 @@ class Model:
         self.contents, self.calibrated, self.rate = contents, calibrated, rate
 
     def scorer(self):
+        """A function from texts to their scores."""
         if self.contents is None:
-            return lambda text: self.rate
+            return lambda texts: [self.rate] * len(texts)
         c = Compressors(self.contents)
-        return lambda text: float(self.calibrated(np.array(summary(map(c.gains, windows(text)))))[0])
+        return lambda texts: self.calibrated(np.array(summaries(texts, c.gains))).tolist() if texts else []
 
 
-def fit(docs: list[tuple[bytes, int]], folds: int = 2, seed: int = 0) -> Model:
-    """A model of (windows on lines, label) of documents.
+def measured(marked: DataFrame, contents: list[list[tuple[bytes, bytes]]]) -> tuple[np.ndarray, np.ndarray]:
+    """(summaries, labels) of the labelled texts (_text, _label, _fold), each read whole and measured with its fold's dictionaries."""
 
-    The calibration is learnt across folds: each fold is measured with dictionaries trained on the
-    others, so thresholds do not rest on text that a dictionary has seen.  The final dictionaries are
-    trained on all.  With one class only, the score of every text is that class's label.
-    """
-    if len({label for _, label in docs}) < 2:
-        return Model(None, None, float(docs[0][1]) if docs else 0.0)
-    docs = sorted(docs, key=lambda d: (zlib.crc32(d[0]), d[0], d[1]))
-    x, y = [], []
-    for f in range(folds):
-        c = Compressors(dictionaries([d for i, d in enumerate(docs) if i % folds != f], seed=seed))
-        for d, label in docs[f::folds]:
-            x.append(summary([c.gains(d.split(b"\n") if d else [])]))
-            y.append(label)
-    return Model(dictionaries(docs, seed=seed), Logistic(np.array(x), np.array(y, dtype=float)), 0.0)
-
-
-def train(docs: DataFrame, labels: DataFrame, rows: tuple[int, int] = FIT_ROWS, seed: int = 0) -> Model:
+    def make():
+        by_fold = [Compressors(c) for c in contents]
+
+        def one(batch: pa.RecordBatch):
+            fold = batch.column(2).to_numpy()
+            out: list = [None] * batch.num_rows
+            for f, c in enumerate(by_fold):
+                rows = np.flatnonzero(fold == f)
+                for i, x in zip(rows, summaries([batch.column(0)[int(i)].as_py() for i in rows], c.gains)):
+                    out[i] = x
+            return {"x": out, "label": batch.column(1)}
+
+        return one
+
+    got = map_batches(marked.select("_text", "_label", "_fold"), "x array<double>, label int", make).collect()  # 19 numbers a labelled row
+    got.sort(key=lambda r: (r.label, r.x))
+    return np.array([r.x for r in got]), np.array([r.label for r in got], dtype=float)
+
+
+def train(docs: DataFrame, labels: DataFrame, rows: tuple[int, int] = FIT_ROWS, folds: int = 3, seed: int = 0) -> Model:
     """A model from at most ``rows`` labelled documents (ordinary, toxic).
 
-    Labels come only from ids whose crc32 mod 5 is not 0.  Every document gives its windows, from its
-    whole text; one with more than ``FIT_WINDOWS`` gives those with the smallest hashes.
+    Labels come only from ids whose crc32 mod 5 is not 0.  Dictionaries are trained on a sample of each document's windows, those
+    with the smallest hashes.  The calibration is learnt across folds over whole texts, as scoring reads them: each fold
+    is measured with dictionaries trained on the others, so thresholds do not rest on text that a dictionary has
+    seen.  The final dictionaries are trained on all.  With one class only, the score of every text is that class's label.
     """
     marked = labelled_texts(docs, labels, "toxic", remainder(F.col("_id"), 5) != 0, rows, seed)
+    marked = cut_lineage(marked.withColumn("_fold", F.pmod(F.xxhash64(F.lit(seed + 1), "_id"), F.lit(folds)).cast("int")))
 
     def make():
         def one(batch: pa.RecordBatch):
-            return {"w": [_sample(t.as_py()) for t in batch.column(0)], "label": batch.column(1)}
+            return {"w": [_sample(t.as_py()) for t in batch.column(0)], "label": batch.column(1), "fold": batch.column(2)}
         return one
 
-    got = map_batches(marked.select("_text", "_label"), "w binary, label int", make).collect()
-    sample = [(bytes(r.w), r.label) for r in got]
+    got = map_batches(marked.select("_text", "_label", "_fold"), "w binary, label int, fold int", make).collect()
+    sample = sorted(((bytes(r.w), r.label, r.fold) for r in got), key=lambda d: (zlib.crc32(d[0]), d[0], d[1]))
     del got
-    model = fit(sample, seed=seed)
-    if model.calibrated is not None:
-        # a class's share in the sample is not its share in the corpus, so the calibration is weighed back
-        seen = labels.where(F.col("toxic").isin(0, 1) & (remainder(F.col("doc_id"), 5) != 0))
-        shares = {int(r[0]): r[1] for r in seen.groupBy("toxic").count().collect()}
-        met = Counter(label for _, label in sample)
-        model.calibrated.w[-1] += math.log(shares[1] / shares[0]) - math.log(met[1] / met[0])
-    return model
+    met = Counter(label for _, label, _ in sample)
+    if len(met) < 2:
+        return Model(None, None, float(sample[0][1]) if sample else 0.0)
+    contents = [dictionaries([(w, label) for w, label, own in sample if own != f], seed=seed) for f in range(folds)]
+    calibrated = Logistic(*measured(marked, contents))
+    # a class's share in the sample is not its share in the corpus, so the calibration is weighed back
+    seen = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & (remainder(F.col("doc_id"), 5) != 0))
+    seen = seen.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    shares = {int(r[0]): r[1] for r in seen.groupBy("toxic").count().collect()}
+    calibrated.w[-1] += math.log(MISS * shares[1] / shares[0]) - math.log(met[1] / met[0])
+    return Model(dictionaries([(w, label) for w, label, _ in sample], seed=seed), calibrated, 0.0)
 
 
 def toxicity_scores(docs: DataFrame, model: Model, text: str = "text", id_col: str = "doc_id") -> DataFrame:
@@ -286,7 +340,7 @@ def toxicity_scores(docs: DataFrame, model: Model, text: str = "text", id_col: s
         score = model.scorer()
 
         def one(batch: pa.RecordBatch):
-            s = [score(t.as_py()) for t in batch.column(1)]
+            s = score(batch.column(1).to_pylist())
             return {id_col: batch.column(0), "held_out": batch.column(2), "score": s, "predicted": [int(v >= 0.5) for v in s]}
         return one
 
@@ -294,12 +348,16 @@ def toxicity_scores(docs: DataFrame, model: Model, text: str = "text", id_col: s
 
 
 def keep_civil(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that the model does not call toxic, with all their columns, where they are read."""
+    """The rows of ``docs`` that the model does not call toxic, with all their columns, where they are read.
+
+    Null and empty texts have no windows and get the calibrated score of none; equal rows get one score each and stay or go
+    together; an empty table stays empty.
+    """
     at = docs.columns.index(text)
 
     def run(batches):
         score = model.scorer()
         for batch in slices(batches):
-            yield batch.filter(pa.array([score(t.as_py()) < 0.5 for t in batch.column(at)]))
+            yield batch.filter(pa.array([s < 0.5 for s in score(batch.column(at).to_pylist())], type=pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

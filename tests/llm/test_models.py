@@ -295,3 +295,25 @@ def test_toxic_phrases_of_ordinary_words():
     c = toxicity.Compressors(made)
     gains = [[c.gains(doc(label).split(b"\n")).mean() for _ in range(40)] for label in (0, 1)]
     assert np.mean(gains[1]) > np.mean(gains[0]) + 0.5, gains
+
+
+def test_whole_texts_are_measured_in_any_parts():
+    rng = np.random.default_rng(1)
+    words = np.array([f"w{i}".encode() for i in range(900)])
+    c = toxicity.Compressors([(b" ".join(words[:300]), b" ".join(words[300:600])), (b" ".join(words[:200]), b" ".join(words[400:600]))])
+    texts = [" ".join(w.decode() for w in rng.choice(words, n)) for n in (0, 1, 5, 6, 7, 400, 30_000)] + [None, "", " \n", "W1 w1 W1"]
+    together = toxicity.summaries(texts, c.gains)
+    plain = [toxicity._compressor(d) for pair in [(b" ".join(words[:300]), b" ".join(words[300:600])), (b" ".join(words[:200]), b" ".join(words[400:600]))] for d in pair]
+    for text, got in zip(texts, together):
+        assert got == toxicity.summaries([text], c.gains)[0]
+        g = np.array([(len(plain[0].compress(w)) - len(plain[1].compress(w)) + len(plain[2].compress(w)) - len(plain[3].compress(w))) / 2
+                      for run in toxicity.windows(text) for w in run])
+        t = toxicity.Tally()
+        t.add(g)
+        assert np.allclose(t.summary(), got)
+    assert toxicity.summaries([], c.gains) == []
+    old, toxicity.REMEMBERED = toxicity.REMEMBERED, 10
+    try:  # forgetting changes nothing
+        assert toxicity.summaries(texts[::-1], c.gains) == together[::-1]
+    finally:
+        toxicity.REMEMBERED = old

@@ -30,7 +30,7 @@ def test_stages_by_hand(spark, tmp_path):
 
     civil = stage[names[1]](spark, good, SF_SMALL)
     score = toxicity.train(docs, labels).scorer()
-    kept = {i for i in (r.doc_id for r in good.collect()) if score(rows[i].text) < 0.5}
+    kept = {i for i in (r.doc_id for r in good.collect()) if score([rows[i].text])[0] < 0.5}
     assert {r.doc_id for r in civil.collect()} == kept
 
     civil.write.parquet(str(tmp_path / "civil"))
