@@ -11,26 +11,36 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestar.llm.common import SLICE_BYTES, SPACE, map_batches, slices, word_slices
+from lodestar.operators.partials import array_sums
 from lodestar.session import cut_lineage
 
-#: Frequent words with a number of their own, and hash classes that all other words fall in.
-WORDS, CLASSES = 192, 64
+#: Frequent words with a number of their own, and hash classes (a power of two) that all other words fall in.
+WORDS, CLASSES = 896, 128
+#: Numbers of one group: the network first tells the group of a word, then the word in its group.
+GROUP = 32
 #: Words on each side that the network sees, and its hidden units.
 SIDE, HIDDEN = 2, 32
 #: Passes over the corpus; each predicts one word in ``EVERY`` and sees all others as context.  There is a pass for
 #: each place modulo ``EVERY`` in a document, so that every word is predicted.
 PASSES = EVERY = 2
 #: Tokens of a training step, and of a slice when scoring; a slice's values stay in the processor's cache.
-STEP, SLICE = 1024, 1024
+STEP, SLICE = 2048, 4096
 RATE = 0.08
+#: Tokens of a block: each block learns from the weights of the pass, and the blocks' weights are averaged.  Tasks are
+#: merged until they hold a block, so how far a block learns does not depend on how files are split.
+BLOCK = 1 << 20
 #: Distinct words that a task counts before it hands the counts on.
 COUNTED = 300_000
 #: Occurrences from which a word outside the frequent ones has a share of its own; all rarer words are spelled.
 LEAST = 10
+#: Words with a share of their own at most, by a higher count than ``LEAST`` where the corpus has more; the table of
+#: shares is sent to every task, so it has a bound.
+SHARED_WORDS = 1 << 20
 #: Taken off the count of each word with a share, for words that were not counted.
 DISCOUNT = 0.75
 
 SIZE = WORDS + CLASSES
+GROUPS = SIZE // GROUP
 _IS_SPACE = np.isin(np.arange(256), list(SPACE))
 _LOW = np.array([(1 << 8 * n) - 1 for n in range(9)], dtype=np.uint64)
 _gap = re.compile(rb"[\x20\x09-\x0d]")
@@ -66,9 +76,11 @@ class Tokens:
 
     def __init__(self, frequent: list[bytes]):
         self.known = {w: i for i, w in enumerate(frequent)}
-        short = sorted((int.from_bytes(w, "little"), i) for w, i in self.known.items() if len(w) <= 8)
-        self.short = np.array([c for c, _ in short], dtype=np.uint64)
-        self.number = np.array([i for _, i in short], dtype=np.int32)
+        # of words that differ by zero bytes at the end alone, the more frequent one has a number
+        short = {int.from_bytes(w, "little"): (i, len(w)) for w, i in sorted(self.known.items(), key=lambda k: -k[1]) if len(w) <= 8}
+        self.short = np.array(sorted(short), dtype=np.uint64)
+        self.number = np.array([short[int(c)][0] for c in self.short], dtype=np.int32)
+        self.size = np.array([short[int(c)][1] for c in self.short], dtype=np.int64)
         self.long = np.unique(np.array([int.from_bytes(w[:8], "little") for w in self.known if len(w) > 8], dtype=np.uint64))
 
     def of(self, text: str | None) -> np.ndarray:
@@ -81,10 +93,10 @@ class Tokens:
         code = np.lib.stride_tricks.as_strided(raw, (len(raw) - 7, 8), (1, 1))[start].copy().view("<u8")[:, 0]
         code &= _LOW[np.minimum(size, 8)]
         mixed = (code ^ raw[start + size - 1].astype(np.uint64) ^ (size.astype(np.uint64) << np.uint64(8))) * np.uint64(0x9E3779B97F4A7C15)
-        ids = (WORDS + (mixed >> np.uint64(58)) % np.uint64(CLASSES)).astype(np.int32)
+        ids = (WORDS + (mixed >> np.uint64(65 - CLASSES.bit_length()))).astype(np.int32)
         if len(self.short):
             place = np.minimum(np.searchsorted(self.short, code), len(self.short) - 1)
-            hit = (self.short[place] == code) & (size <= 8)
+            hit = (self.short[place] == code) & (self.size[place] == size)  # a zero byte at the end is not padding
             ids[hit] = self.number[place[hit]]
         if len(self.long):
             for i in np.flatnonzero((size > 8) & np.isin(code, self.long)):
@@ -103,9 +115,13 @@ def padded(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 class Net:
-    """log p(token | words on both sides): a table of hidden inputs for each offset, tanh, and a softmax."""
+    """log p(token | words on both sides): a table of hidden inputs for each offset, tanh, and a softmax of two levels.
 
-    SHAPES = ((len(OFFSETS), SIZE + 1, HIDDEN), (HIDDEN,), (HIDDEN, SIZE), (SIZE,))
+    A token's probability is that of its group times that of the token in its group, both from the hidden layer, so all tokens'
+    add up to one, and a token costs the columns of two short softmaxes instead of one long.
+    """
+
+    SHAPES = ((len(OFFSETS), SIZE + 1, HIDDEN), (HIDDEN,), (HIDDEN, GROUPS), (GROUPS,), (GROUPS, HIDDEN, GROUP), (GROUPS, GROUP))
 
     def __init__(self, weights: np.ndarray | None = None, seed: int = 0):
         counts = [int(np.prod(s)) for s in self.SHAPES]
@@ -113,8 +129,14 @@ class Net:
             weights = np.random.default_rng(seed).normal(0, 0.1, sum(counts))
         self.flat = np.array(weights, dtype=np.float32)
         parts = np.split(self.flat, np.cumsum(counts)[:-1])
-        self.inputs, self.shift, self.outputs, self.bias = (p.reshape(s) for p, s in zip(parts, self.SHAPES))
-        self.ones = np.ones(SIZE, dtype=np.float32)
+        self.inputs, self.shift, self.top, self.top_bias, self.within, self.bias = (p.reshape(s) for p, s in zip(parts, self.SHAPES))
+
+    def start_from(self, counts: np.ndarray) -> None:
+        """Biases that give every token its share of the corpus, so that training starts from there on however many tasks."""
+        each = np.log(counts.reshape(GROUPS, GROUP) + 0.5)
+        whole = np.log(np.exp(each).sum(axis=1))
+        self.top_bias[:] = whole - whole.max()
+        self.bias[:] = each - whole[:, None]
 
     def hidden(self, tokens: np.ndarray, place: np.ndarray) -> np.ndarray:
         h = np.repeat(self.shift[None, :], len(place), axis=0)
@@ -122,36 +144,59 @@ class Net:
             h += table[tokens[place + o]]
         return np.tanh(h, out=h)
 
-    def _scores(self, h: np.ndarray) -> np.ndarray:
-        """Raw scores of every token, small enough for exp in 32 bits; rows are only shifted when some are not."""
-        z = h @ self.outputs
-        z += self.bias
+    @staticmethod
+    def _softmax(z: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(exponentials, their sums) of raw scores; rows are only shifted when some are too large for 32 bits."""
         if z.size and z.max() > 60:
-            z -= z.max(1, keepdims=True)
-        return z
+            z = z - z.max(1, keepdims=True)
+        e = np.exp(z)
+        return e, e.sum(axis=1)
+
+    def _grouped(self, own: np.ndarray):
+        """(group, rows) for every group that is met; rows in order."""
+        group = (own // GROUP).astype(np.int8 if GROUPS < 128 else np.int16)
+        order = np.argsort(group, kind="stable")
+        ends = np.cumsum(np.bincount(group, minlength=GROUPS))
+        return [(g, order[a:b]) for g, (a, b) in enumerate(zip(np.r_[0, ends[:-1]], ends)) if b > a]
 
     def log_probs(self, tokens: np.ndarray, place: np.ndarray) -> np.ndarray:
         """The log-probability of the token at each place, which itself is masked."""
-        z = self._scores(self.hidden(tokens, place))
-        own = z[np.arange(len(place)), tokens[place]].astype(np.float64)
-        return own - np.log(np.exp(z, out=z) @ self.ones)
+        h, own = self.hidden(tokens, place), tokens[place]
+        e, total = self._softmax(h @ self.top + self.top_bias)
+        out = np.log(e[np.arange(len(own)), own // GROUP] / total).astype(np.float64)
+        for g, rows in self._grouped(own):
+            e, total = self._softmax(h[rows] @ self.within[g] + self.bias[g])
+            out[rows] += np.log(e[np.arange(len(rows)), own[rows] % GROUP] / total)
+        return out
 
     def gradient(self, tokens: np.ndarray, place: np.ndarray) -> np.ndarray:
         """Of the mean negative log-probability, laid out like ``flat``."""
         n = len(place)
-        h = self.hidden(tokens, place)
-        z = self._scores(h)
-        np.exp(z, out=z)
-        z *= (1 / (n * (z @ self.ones)))[:, None]
-        z[np.arange(n), tokens[place]] -= np.float32(1 / n)
-        dh = (z @ self.outputs.T) * (1 - h * h)
+        h, own = self.hidden(tokens, place), tokens[place]
+
+        def wanted(z: np.ndarray, right: np.ndarray) -> np.ndarray:
+            e, total = self._softmax(z)
+            e *= (1 / (n * total))[:, None]
+            e[np.arange(len(e)), right] -= np.float32(1 / n)
+            return e
+
+        z = wanted(h @ self.top + self.top_bias, own // GROUP)
+        dh, top, top_bias = z @ self.top.T, h.T @ z, z.sum(0)
+        within, bias = np.zeros_like(self.within), np.zeros_like(self.bias)
+        for g, rows in self._grouped(own):
+            mine = h[rows]
+            z = wanted(mine @ self.within[g] + self.bias[g], own[rows] % GROUP)
+            within[g], bias[g] = mine.T @ z, z.sum(0)
+            dh[rows] += z @ self.within[g].T
+        dh *= 1 - h * h
         tables = np.zeros_like(self.inputs)
         for table, o in zip(tables, OFFSETS):
-            order = np.argsort(tokens[place + o], kind="stable")
-            seen = tokens[place + o][order]
+            met = tokens[place + o].astype(np.int16)
+            order = np.argsort(met, kind="stable")
+            seen = met[order]
             first = np.flatnonzero(np.r_[True, seen[1:] != seen[:-1]])
             table[seen[first]] = np.add.reduceat(dh[order], first, axis=0)
-        return np.concatenate([tables.ravel(), dh.sum(0), (h.T @ z).ravel(), z.sum(0)])
+        return np.concatenate([tables.ravel(), dh.sum(0), top.ravel(), top_bias, within.ravel(), bias.ravel()])
 
 
 class Learner:
@@ -247,8 +292,23 @@ class Shares:
         return out
 
 
+def least_count(counts: DataFrame) -> int:
+    """The count from which words have a share of their own: ``LEAST``, or the least that leaves at most ``SHARED_WORDS`` of them."""
+    size = F.least(F.col("n"), F.lit(1 << 16))  # one row for each count at most
+    kinds = sorted(((r["n"], r["kinds"]) for r in counts.where(F.col("n") >= LEAST).groupBy(size.alias("n")).agg(F.count(F.lit(1)).alias("kinds")).collect()),
+                   reverse=True)
+    held = 0
+    for n, k in kinds:
+        held += k
+        if held > SHARED_WORDS:
+            return n + 1
+    return LEAST
+
+
 def word_shares(counts: DataFrame, tokens: Tokens) -> Shares:
-    """The shares of all words in ``counts`` (word, n).  Only words with a share of their own reach the driver as rows."""
+    """The shares of all words in ``counts`` (word, n).  Only words with a share of their own reach the driver as rows, a bounded number."""
+    least = least_count(counts)
+
     def run(batches):
         for batch in slices(batches):
             data = b" ".join(batch.column(0).to_pylist())
@@ -257,7 +317,7 @@ def word_shares(counts: DataFrame, tokens: Tokens) -> Shares:
             made = [_spelt(part) for part in _cuts(data)]
             key = np.concatenate([m[0] for m in made] or [np.zeros(0, dtype=np.uint64)])
             cls = ids - WORDS
-            own, rare = (cls >= 0) & (n >= LEAST), (cls >= 0) & (n < LEAST)
+            own, rare = (cls >= 0) & (n >= least), (cls >= 0) & (n < least)
             pairs, before = np.zeros(1 << 16, dtype=np.int64), 0
             for k, pair, first in made:
                 size = np.diff(np.r_[first, len(pair)])
@@ -302,6 +362,20 @@ def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     return d.mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def token_counts(counts: DataFrame, tokens: Tokens) -> np.ndarray:
+    """Occurrences of each number, from the counts of words."""
+
+    def run(batches):
+        total = np.zeros(SIZE)
+        for batch in slices(batches):
+            if batch.num_rows:
+                ids = np.concatenate([tokens._slice(part) for part in _cuts(b" ".join(batch.column(0).to_pylist()))])
+                total += np.bincount(ids, batch.column(1).to_numpy(zero_copy_only=False), SIZE)
+        return {"n": total}
+
+    return array_sums(counts.select("word", "n"), run).get("n", np.zeros(SIZE))
+
+
 def frequent_words(counts: DataFrame) -> list[bytes]:
     """The ``WORDS`` most frequent words of ``counts``; ties by the word."""
     return [bytes(r.word) for r in counts.orderBy(F.desc("n"), "word").limit(WORDS).collect()]
@@ -317,34 +391,40 @@ def train_words(docs: DataFrame, text: str = "text", seed: int = 0) -> tuple[Tok
 def train(docs: DataFrame, text: str = "text", seed: int = 0, counts: DataFrame | None = None) -> tuple[Tokens, Net]:
     """The network over frequent words and hash classes, trained on all documents.
 
-    In each pass every task starts from the same weights, learns from its documents, and returns its
-    weights once, weighed by the number of predicted tokens.  Their sums are made by a shuffle over the
-    single weights, so what is gathered grows with the number of tasks while no task or driver holds
-    more than one network.  A pass without tokens leaves the weights as they are.
+    In each pass every block of about ``BLOCK`` tokens starts from the same weights and learns from its documents; weights are
+    averaged, weighed by the number of predicted tokens.  A tree of tasks adds them up chunk by chunk, so no task
+    or driver holds more than a few networks.  A pass without tokens leaves the weights as they are.
     """
-    tokens = Tokens(frequent_words(word_counts(docs, text) if counts is None else counts))
+    counts = cut_lineage(word_counts(docs, text)) if counts is None else counts
+    tokens = Tokens(frequent_words(counts))
     net = Net(seed=seed)
-    d = docs.select(F.col(text))
+    net.start_from(token_counts(counts, tokens))
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    d = docs.select(F.col(text)).coalesce(max(1, total // BLOCK))
     for phase in range(PASSES):
         weights = net.flat
 
         def run(batches, weights=weights, phase=phase):
-            learner = Learner(weights, phase)
+            total, n, learner = np.zeros(len(weights)), 0, Learner(weights, phase)
+
+            def done():
+                nonlocal n
+                learner.learn()
+                n += learner.tokens
+                total[:] += learner.net.flat.astype(np.float64) * learner.tokens
+
             for batch in slices(batches):
                 for t in batch.column(0):
                     learner.add(tokens.of(t.as_py()))
-            learner.learn()
-            if learner.tokens:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([learner.tokens], type=pa.int64()), pa.array([learner.net.flat.astype(np.float64) * learner.tokens], type=pa.list_(pa.float64()))],
-                    names=["n", "w"])
-
-        made = d.mapInArrow(run, "n long, w array<double>")
-        sums = made.select("n", F.posexplode("w").alias("i", "w")).groupBy("i").agg((F.sum("w") / F.sum("n")).alias("w")).toPandas()
-        if len(sums):
-            flat = np.zeros(len(net.flat))
-            flat[sums["i"]] = sums["w"]
-            net = Net(flat)
+                    if learner.tokens * EVERY >= BLOCK:
+                        done()
+                        learner = Learner(weights, phase)
+            done()
+            return {"w": total, "n": np.array([float(n)])} if n else {}
+
+        sums = array_sums(d, run)
+        if sums:
+            net = Net(sums["w"] / sums["n"])
     return tokens, net
 
 

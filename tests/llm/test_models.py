@@ -158,10 +158,16 @@ def test_pseudo_likelihood(spark, make_docs):
             h = net.shift.astype(float).copy()
             for k, o in enumerate(scoring.OFFSETS):
                 h += net.inputs[k, ids[at + o] if 0 <= at + o < len(ids) else scoring.SIZE]
-            z = np.tanh(h) @ net.outputs + net.bias
-            total += z[ids[at]] - z.max() - np.log(np.exp(z - z.max()).sum())
+            h, (group, member) = np.tanh(h), divmod(int(ids[at]), scoring.GROUP)
+            for z, own in ((h @ net.top + net.top_bias, group), (h @ net.within[group] + net.bias[group], member)):
+                total += z[own] - z.max() - np.log(np.exp(z - z.max()).sum())
         assert got[i].n_tokens == len(ids) and abs(got[i].log_likelihood - total) < 1e-3 * max(1, abs(total))
     assert got[5001].n_tokens == 0 and got[5001].log_likelihood == 0 and got[5001].perplexity is None
+    # the probabilities of all tokens at one place add up to one
+    ids = tokens.of(rows[0][1])[:9]
+    every = np.concatenate([scoring.padded([np.where(np.arange(len(ids)) == 4, k, ids).astype(np.int32)])[0] for k in range(scoring.SIZE)])
+    place = np.arange(scoring.SIZE) * (len(ids) + 2 * scoring.SIDE) + scoring.SIDE + 4
+    assert abs(np.exp(net.log_probs(every, place)).sum() - 1) < 1e-4
     # both sides matter: a text in its order is likelier than the same words shuffled
     row, place, _ = scoring.padded([tokens.of(t) for _, t, _ in rows[:20]])
     mixed_row, mixed_place, _ = scoring.padded([np.random.default_rng(0).permutation(tokens.of(t)) for _, t, _ in rows[:20]])
@@ -186,6 +192,31 @@ def test_word_numbers_by_bytes_match_words():
         assert len(ids) == len(words)
         assert all(i == frequent.index(w) if w in frequent else scoring.WORDS <= i < scoring.SIZE for w, i in zip(words, ids))
     assert tokens.of("same other same")[0] == tokens.of("other same")[1]
+    zero = scoring.Tokens([b"the", b"of\x00", b"of"])  # a zero byte at the end is a letter of its own
+    assert zero.of("the the\x00 of\x00 of")[0] == 0 and zero.of("the\x00")[0] >= scoring.WORDS
+    assert zero.of("of\x00")[0] == 1 and zero.of("of")[0] >= scoring.WORDS
+
+
+def test_training_does_not_depend_on_how_files_are_split(spark):
+    docs = table(spark, SF_SMALL, "documents").select("doc_id", "text")
+    means = []
+    for parts in (1, 24):
+        d = docs.repartition(parts)
+        tokens, net, shares = scoring.train_words(d)
+        got = scoring.pseudo_likelihood(d, tokens, net, shares=shares).agg({"log_likelihood": "sum", "n_tokens": "sum"}).first()
+        means.append(got["sum(log_likelihood)"] / got["sum(n_tokens)"])
+    assert abs(means[0] - means[1]) < 0.05, means
+
+
+def test_the_table_of_shares_is_bounded(spark):
+    counts = spark.createDataFrame([(f"w{i}".encode(), 10 + i % 50) for i in range(1000)], "word binary, n long")
+    old, scoring.SHARED_WORDS = scoring.SHARED_WORDS, 100
+    try:
+        least = scoring.least_count(counts)
+        assert least == 55 and len(scoring.word_shares(counts, scoring.Tokens([])).key) == 100
+    finally:
+        scoring.SHARED_WORDS = old
+    assert scoring.least_count(counts) == scoring.LEAST
 
 
 def test_passes_predict_every_word():
@@ -245,7 +276,7 @@ def test_longest_repeat_alone_rejects(spark, make_docs):
 
 
 def test_words_of_a_class_have_their_own_cost(spark, make_docs):
-    docs = table(spark, SF_SMALL, "documents")
+    docs = table(spark, SF_MID, "documents")
     tokens, net, shares = scoring.train_words(docs)
     counts = {}
     for r in docs.collect():
