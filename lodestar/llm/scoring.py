@@ -22,10 +22,10 @@ GROUP = 32
 SIDE, HIDDEN = 2, 32
 #: Passes over the corpus; each predicts one word in ``EVERY`` and sees all others as context.  There is a pass for
 #: each place modulo ``EVERY`` in a document, so that every word is predicted.
-PASSES = EVERY = 2
+PASSES = EVERY = 1
 #: Tokens of a training step, and of a slice when scoring; a slice's values stay in the processor's cache.
-STEP, SLICE = 2048, 4096
-RATE = 0.08
+STEP, SLICE = 4096, 4096
+RATE = 0.12
 #: Tokens of a block: each block learns from the weights of the pass, and the blocks' weights are averaged.  Tasks are
 #: merged until they hold a block, so how far a block learns does not depend on how files are split.
 BLOCK = 1 << 20
@@ -233,24 +233,30 @@ _FACTOR = np.random.default_rng(8).integers(0, 1 << 64, (2, 4096), dtype=np.uint
 _FACTOR[1, 0] = 1
 
 
-def _spelt(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(64-bit hash of each whole word, pairs of bytes from the space before each word to the one after it, first pair of each word)."""
-    raw = np.frombuffer(b" " + data + b" ", dtype=np.uint8)
-    start, size = _spans(raw)
+def _hashes(raw: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """64-bit hash of each whole word."""
     if not len(start):
-        return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        return np.zeros(0, dtype=np.uint64)
     first = np.cumsum(size) - size
     within = np.arange(size.sum()) - np.repeat(first, size)
     value = (raw[np.repeat(start, size) + within].astype(np.uint64) + np.uint64(1)) * _FACTOR[0][within & 4095]
     if size.max() > 4096:
         value *= _FACTOR[1][(within >> 12) & 4095]
     key = np.add.reduceat(value, first)
-    key = (key ^ (key >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15)
-    clean = np.where(_IS_SPACE[raw], 32, raw).astype(np.int64)
+    return (key ^ (key >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15)
+
+
+def _pairs(raw: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(pairs of bytes from the space before each word to the one after it, first pair of each word)."""
     size1 = size + 1
     first = np.cumsum(size1) - size1
     at = np.repeat(start, size1) + np.arange(size1.sum()) - np.repeat(first, size1)
-    return key, clean[at - 1] * 256 + clean[at], first
+    clean = np.where(_IS_SPACE[raw], 32, raw).astype(np.int64)
+    return clean[at - 1] * 256 + clean[at], first
+
+
+def _between_spaces(data: bytes) -> np.ndarray:
+    return np.frombuffer(b" " + data + b" ", dtype=np.uint8)
 
 
 class Shares:
@@ -276,19 +282,26 @@ class Shares:
         """Of each word of ``data`` (lower case), whose numbers are ``ids``; a frequent word is alone in its class."""
         out, done = np.zeros(len(ids)), 0
         for part in _cuts(data):
-            key, pair, first = _spelt(part)
-            here = ids[done:done + len(key)]
-            at = np.flatnonzero(here >= WORDS)
+            raw = _between_spaces(part)
+            start, size = _spans(raw)
+            at = np.flatnonzero(ids[done:done + len(start)] >= WORDS)
             if len(at):
-                at = at[np.argsort(key[at])]  # neighbours in the table are met together
-                cls = here[at] - WORDS
-                spelling = np.add.reduceat(self.chain[pair], first)[at]
-                value = self.rest[cls] + np.minimum(spelling - self.part[cls], 0)
+                key = _hashes(raw, start[at], size[at])
+                order = np.argsort(key)  # neighbours in the table are met together
+                at, key = at[order], key[order]
+                met = np.zeros(len(at), dtype=bool)
+                value = np.zeros(len(at))
                 if len(self.key):
-                    place = np.minimum(np.searchsorted(self.key, key[at]), len(self.key) - 1)
-                    value = np.where(self.key[place] == key[at], self.share[place], value)
+                    place = np.minimum(np.searchsorted(self.key, key), len(self.key) - 1)
+                    met = self.key[place] == key
+                    value[met] = self.share[place[met]]
+                rare = at[~met]
+                if len(rare):
+                    cls = ids[done + rare] - WORDS
+                    pair, first = _pairs(raw, start[rare], size[rare])
+                    value[~met] = self.rest[cls] + np.minimum(np.add.reduceat(self.chain[pair], first) - self.part[cls], 0)
                 out[done + at] = value
-            done += len(key)
+            done += len(start)
         return out
 
 
@@ -314,15 +327,16 @@ def word_shares(counts: DataFrame, tokens: Tokens) -> Shares:
             data = b" ".join(batch.column(0).to_pylist())
             n = batch.column(1).to_numpy(zero_copy_only=False)
             ids = np.concatenate([tokens._slice(part) for part in _cuts(data)] or [np.zeros(0, dtype=np.int32)])
-            made = [_spelt(part) for part in _cuts(data)]
-            key = np.concatenate([m[0] for m in made] or [np.zeros(0, dtype=np.uint64)])
+            cuts = [(raw, *_spans(raw)) for raw in map(_between_spaces, _cuts(data))]
+            key = np.concatenate([_hashes(*c) for c in cuts] or [np.zeros(0, dtype=np.uint64)])
             cls = ids - WORDS
             own, rare = (cls >= 0) & (n >= least), (cls >= 0) & (n < least)
             pairs, before = np.zeros(1 << 16, dtype=np.int64), 0
-            for k, pair, first in made:
-                size = np.diff(np.r_[first, len(pair)])
-                pairs += np.bincount(pair[np.repeat(rare[before:before + len(k)], size)], minlength=1 << 16)
-                before += len(k)
+            for raw, start, size in cuts:
+                mine = rare[before:before + len(start)]
+                if mine.any():
+                    pairs += np.bincount(_pairs(raw, start[mine], size[mine])[0], minlength=1 << 16)
+                before += len(start)
             seen = np.flatnonzero(pairs)
             k = np.arange(CLASSES)
             columns = [("own", key[own].view(np.int64), cls[own], n[own]), ("rare", k, k, np.bincount(cls[rare], n[rare], CLASSES).astype(np.int64)),
