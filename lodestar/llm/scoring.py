@@ -24,7 +24,7 @@ SIDE, HIDDEN = 2, 32
 #: each place modulo ``EVERY`` in a document, so that every word is predicted.
 PASSES = EVERY = 1
 #: Tokens of a training step, and of a slice when scoring; a slice's values stay in the processor's cache.
-STEP, SLICE = 4096, 4096
+STEP, SLICE = 4096, 16384
 RATE = 0.12
 #: Tokens of a block: each block learns from the weights of the pass, and the blocks' weights are averaged.  Tasks are
 #: merged until they hold a block, so how far a block learns does not depend on how files are split.
@@ -152,21 +152,24 @@ class Net:
         e = np.exp(z)
         return e, e.sum(axis=1)
 
-    def _grouped(self, own: np.ndarray):
-        """(group, rows) for every group that is met; rows in order."""
+    @staticmethod
+    def _grouped(own: np.ndarray) -> tuple[np.ndarray, list[tuple[int, slice]]]:
+        """(order by group, the stretch of it that each group met takes)."""
         group = (own // GROUP).astype(np.int8 if GROUPS < 128 else np.int16)
-        order = np.argsort(group, kind="stable")
         ends = np.cumsum(np.bincount(group, minlength=GROUPS))
-        return [(g, order[a:b]) for g, (a, b) in enumerate(zip(np.r_[0, ends[:-1]], ends)) if b > a]
+        return np.argsort(group, kind="stable"), [(g, slice(a, b)) for g, (a, b) in enumerate(zip(np.r_[0, ends[:-1]], ends)) if b > a]
 
     def log_probs(self, tokens: np.ndarray, place: np.ndarray) -> np.ndarray:
         """The log-probability of the token at each place, which itself is masked."""
         h, own = self.hidden(tokens, place), tokens[place]
         e, total = self._softmax(h @ self.top + self.top_bias)
         out = np.log(e[np.arange(len(own)), own // GROUP] / total).astype(np.float64)
-        for g, rows in self._grouped(own):
-            e, total = self._softmax(h[rows] @ self.within[g] + self.bias[g])
-            out[rows] += np.log(e[np.arange(len(rows)), own[rows] % GROUP] / total)
+        order, groups = self._grouped(own)
+        h, member, inner = h[order], own[order] % GROUP, np.empty(len(own))
+        for g, part in groups:
+            e, total = self._softmax(h[part] @ self.within[g] + self.bias[g])
+            inner[part] = np.log(e[np.arange(len(e)), member[part]] / total)
+        out[order] += inner
         return out
 
     def gradient(self, tokens: np.ndarray, place: np.ndarray) -> np.ndarray:
@@ -183,11 +186,14 @@ class Net:
         z = wanted(h @ self.top + self.top_bias, own // GROUP)
         dh, top, top_bias = z @ self.top.T, h.T @ z, z.sum(0)
         within, bias = np.zeros_like(self.within), np.zeros_like(self.bias)
-        for g, rows in self._grouped(own):
-            mine = h[rows]
-            z = wanted(mine @ self.within[g] + self.bias[g], own[rows] % GROUP)
+        order, groups = self._grouped(own)
+        sorted_h, member, inner = h[order], own[order] % GROUP, np.empty_like(h)
+        for g, part in groups:
+            mine = sorted_h[part]
+            z = wanted(mine @ self.within[g] + self.bias[g], member[part])
             within[g], bias[g] = mine.T @ z, z.sum(0)
-            dh[rows] += z @ self.within[g].T
+            np.matmul(z, self.within[g].T, out=inner[part])
+        dh[order] += inner
         dh *= 1 - h * h
         tables = np.zeros_like(self.inputs)
         for table, o in zip(tables, OFFSETS):
