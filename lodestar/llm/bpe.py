@@ -138,8 +138,12 @@ def encode_long(texts: DataFrame, path: str, pattern: str, stride: int = STRIDE,
         return one
 
     ids = map_batches(whole, "key string, piece long, ids binary", make_ids)
-    return (ids.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("piece", "ids"))).alias("p"))
-            .select("key", F.expr("aggregate(p.ids, cast('' AS binary), (a, x) -> concat(a, x))").alias("ids")))
+    joined = ids.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("piece", "ids"))).alias("p")).select("key", F.col("p.ids").alias("p"))
+
+    def make_joined():
+        return lambda batch: {"key": batch.column(0), "ids": [b"".join(p) for p in batch.column(1).to_pylist()]}
+
+    return map_batches(joined, "key string, ids binary", make_joined)
 
 
 def encode_documents(docs: DataFrame, path: str, pattern: str, text: str = "text", stride: int = STRIDE,
@@ -165,9 +169,10 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, text: str = "text
             return made
         return one
 
-    far = d.where(long).withColumn("_key", F.sha2(F.col("ids"), 256))
-    coded = encode_long(far.select(F.col("_key").alias("key"), F.col("ids").alias("text")), path, pattern, stride, overlap)
-    far = far.drop("ids").join(coded.withColumnRenamed("key", "_key"), "_key").select(*[F.col(f"`{c}`") for c in rest], "ids")
+    # the other columns travel as one struct, so they may have any names
+    far = d.where(long).select(F.struct(F.lit(0).alias("ids"), *[F.col(f"`{c}`") for c in rest]).alias("row"), F.sha2("ids", 256).alias("key"), F.col("ids").alias("text"))
+    coded = encode_long(far.select("key", "text"), path, pattern, stride, overlap)
+    far = far.select("row", "key").join(coded, "key").select(*[F.col(f"row.`{c}`") for c in rest], "ids")
     return map_batches(short, schema, make).unionByName(far)
 
 

@@ -110,3 +110,13 @@ def running_totals(df: DataFrame, group: list[str], place: Column, order: list[s
     return (d.join(sums.hint("merge"), key)
             .withColumn(name, F.col("_offset") + F.coalesce(F.sum("_value").over(inside), F.lit(0)))
             .drop("_offset", "_value", "_range"))
+
+
+#: Copies of one row that leave a task as one list.
+RUN = 1024
+
+
+def in_runs(df: DataFrame, count: Column, name: str) -> DataFrame:
+    """``count`` copies of every row, numbered from 0 in ``name``, never more than ``RUN`` of them in one list."""
+    runs = df.withColumn("_copies", count.cast("long")).withColumn("_run", F.explode(F.expr(f"sequence(0L, (_copies - 1) div {RUN})")))
+    return runs.withColumn(name, F.explode(F.expr(f"sequence(_run * {RUN}, least(_run * {RUN} + {RUN - 1}, _copies - 1))"))).drop("_copies", "_run")

@@ -7,6 +7,7 @@ import re
 
 import pyarrow as pa
 import pyarrow.compute as pc
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,12 +18,36 @@ BATCH_BYTES = 256 * 1024
 #: Distinct pieces whose lengths a task remembers before it starts again.
 REMEMBERED = 400_000
 
-# A piece starts at white space that follows a word.  No token of a byte-level vocabulary crosses
-# such a place and no look-ahead reaches over it, so pieces can be encoded apart.
-_piece = re.compile(r"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+")
-# White space outside ASCII, which would make the place before a piece unsafe.
-_ODD = [*range(0x1C, 0x20), 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x200C), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000, 0xFEFF]
-_odd_space = re.compile("[" + "".join(map(chr, _ODD)) + "]")
+# White space outside ASCII, or what one library or another takes for it; a place next to it is not safe.
+_ODD = "".join(map(chr, [*range(0x1C, 0x20), 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x200C), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000, 0xFEFF]))
+_SPACE = " \\t-\\r"
+# A piece starts at ASCII white space that follows a word.  No token of a byte-level vocabulary crosses such a
+# place and no look-ahead reaches over it, so pieces can be encoded apart.  Odd white space belongs to the
+# piece of the word before it, together with the word after it.
+_piece = re.compile(f"[{_SPACE}{_ODD}]*[^{_SPACE}{_ODD}]+(?:[{_ODD}][{_SPACE}{_ODD}]*[^{_SPACE}{_ODD}]+)*(?:[{_ODD}][{_SPACE}{_ODD}]*)?|[{_SPACE}{_ODD}]+")
+_odd_space = re.compile(f"[{_ODD}]")
+_plain = re.compile(f"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")  # the same for texts without odd white space
+#: Longer pieces, as of scripts without spaces, are cut between a letter and punctuation too; apostrophes may belong to both sides.
+LONG_PIECE = 256
+_inside = regex.compile(r"(?<=\p{L})(?=[\p{Po}\p{Ps}\p{Pe}])(?!['\u2019])")
+
+
+def pieces_of(text: str | None) -> list[str]:
+    """The parts of a text that can be encoded apart; none is longer than the text between two safe places."""
+    if not text:
+        return []
+    found = (_piece if _odd_space.search(text) else _plain).findall(text)
+    if max(map(len, found)) > LONG_PIECE:
+        cut = []
+        for p in found:
+            at = 0
+            for m in _inside.finditer(p) if len(p) > LONG_PIECE else ():
+                cut.append(p[at:m.start()])
+                at = m.start()
+            cut.append(p[at:])
+        return cut
+    return found
+
 
 _loaded: dict[str, object] = {}
 
@@ -45,7 +70,7 @@ def byte_batches(pieces: list[str], limit: int = BATCH_BYTES):
     run, held = [], 0
     for p in pieces:
         run.append(p)
-        held += len(p) * 2
+        held += len(p.encode())
         if held >= limit:
             yield run
             run, held = [], 0
@@ -61,7 +86,7 @@ class Lengths:
         self.known: dict[str, int] = {}
 
     def of(self, texts: list[str | None]) -> list[int]:
-        split = [[] if not t else [t] if _odd_space.search(t) else _piece.findall(t) for t in texts]
+        split = [pieces_of(t) for t in texts]
         known = self.known
         if len(known) > REMEMBERED:
             known.clear()
@@ -79,9 +104,10 @@ def token_counts(docs: DataFrame, path: str, limit: int = 512, text: str = "text
     """(id, n_bytes, n_tokens, over_limit) for every row of ``docs``.
 
     Lengths are those of the tokenizer library without added special tokens; special strings inside
-    a text are handled as the library does by default.  Batches of Arrow rows are cut into pieces at
-    white space after a word, which is a safe place, so a long text is never encoded whole; distinct
-    pieces are encoded once in calls of about ``BATCH_BYTES``.  There is no shuffle.
+    a text are handled as the library does by default.  Texts are cut into pieces at white space after a word, which is
+    a safe place, and long ones between a letter and punctuation too, so a text is encoded whole only where
+    it is one run of letters or symbols; distinct pieces are encoded once in calls of about ``BATCH_BYTES``.
+    There is no shuffle.
 
     Null text counts as empty (0 bytes, 0 tokens).  Null ids and repeated rows stay, one result row
     for each input row.  Only the id and text columns are read, so other columns can have any name.

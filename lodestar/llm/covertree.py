@@ -365,10 +365,11 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.98, id_col: str = "vec
 
     v = map_batches(vectors.select(id_col, label, vector), f"_id {kinds[id_col]}, label {kinds[label]}, unit binary, dim int", make)
     can = F.col("unit").isNotNull() & F.col("label").isNotNull()
-    reps = (v.where(can).groupBy("label", "dim", "unit").agg(F.min("_id").alias("least"), F.count(F.lit(1)).alias("n"))
-            .withColumn("node", F.monotonically_increasing_id()))
+    # vectors are numbered where they are written, so a task that is run again gives the same numbers
+    reps = cut_lineage(v.where(can).groupBy("label", "dim", "unit").agg(F.min("_id").alias("least"), F.count(F.lit(1)).alias("n")))
+    reps = reps.withColumn("node", F.monotonically_increasing_id())
     sizes = reps.groupBy("label", "dim").agg(F.count(F.lit(1)).alias("size"))
-    reps = cut_lineage(reps.join(sizes, ["label", "dim"]))  # the node numbers are written down, so that no later step makes them anew
+    reps = cut_lineage(reps.join(sizes, ["label", "dim"]))
     counts, edges = links(reps, cosine)
     joined = connected(edges)
     found = (reps.join(counts, "node", "left").join(joined, "node", "left")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lodestar.llm.common import WORD, row_key, running_totals, unit
+from lodestar.llm.common import in_runs, row_key, running_totals, unit, WORD
 from lodestar.session import cut_lineage
 
 #: Words of a block.
@@ -109,7 +109,7 @@ def mix(rows: DataFrame, weights: tuple[float, ...] = WEIGHTS, passes: int = PAS
     d = d.withColumn("_hash", F.xxhash64(F.lit(seed), F.col("size"), *named, *[F.when(c.isNull(), i).otherwise(-1) for i, c in enumerate(named)]))
     d = running_totals(d.withColumn("_at", unit(F.col("_hash"))), ["index"], F.col("_at"), ["_at", "_hash", "size", *keys],
                        F.col("size") * F.col("copies"), "start", small)
-    d = d.withColumn("copy", F.explode(F.expr("sequence(0L, copies - 1)"))).withColumn("start", F.expr("start + copy * size"))
+    d = in_runs(d, F.col("copies"), "copy").withColumn("start", F.expr("start + copy * size"))
     d = d.withColumn("pass", F.explode_outer(F.expr(
         f"IF(size > 0 AND start < words, sequence(0L, least({passes} - 1L, (words - 1 - start) div source_size)), NULL)")))
     d = d.withColumn("lo", F.expr("start + pass * source_size")).withColumn("hi", F.expr("least(lo + size, words)"))
@@ -150,10 +150,11 @@ def mixed_copies(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, passes:
     on its own.
     """
     k1, k2 = row_key(docs)
-    keyed = docs.withColumn("_k1", k1).withColumn("_k2", k2)
-    rows = keyed.select("_k1", "_k2", F.col(source).alias("source"), n_words(F.col(text)).alias("size"))
+    # a row travels as one struct, so its columns may have any names
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), k1.alias("_k1"), k2.alias("_k2"))
+    rows = docs.select(k1.alias("_k1"), k2.alias("_k2"), F.col(f"`{source}`").alias("source"), n_words(F.col(f"`{text}`")).alias("size"))
     _, pieces = mix(rows, weights, passes, block, seed)
     taken = pieces.where("words > 0").groupBy("_k1", "_k2", "copy", "pass").agg(F.sum("words").alias("words"), F.first("size").alias("size"))
     times = taken.where("2 * words >= size").groupBy("_k1", "_k2").agg(F.count(F.lit(1)).alias("_times"))
     one = keyed.join(times.hint("merge"), ["_k1", "_k2"]).dropDuplicates(["_k1", "_k2"])
-    return one.withColumn("_time", F.explode(F.expr("sequence(1L, _times)"))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return in_runs(one.select("row", "_times"), F.col("_times"), "_time").select("row.*")

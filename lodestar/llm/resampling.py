@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.llm.common import map_batches, row_key
+from lodestar.llm.common import in_runs, map_batches, row_key
 from lodestar.operators.prefix import running_totals
 from lodestar.session import scratch
 
@@ -41,8 +41,6 @@ LEAST_WORDS, PERCENT = 20, 25
 SLICE = 1 << 21
 #: Longer words are hashed one by one.
 LONG_WORD = 48
-#: Copies of one row that leave a task as one list.
-RUN = 1024
 
 #: Lower-cased byte of a word, or 0 for a byte between words.
 _FOLD = np.array([b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 0 for b in range(256)], dtype=np.uint8)
@@ -282,13 +280,6 @@ def cutoff(keys: DataFrame, k: int) -> tuple[list[int], int, int]:
     raise ValueError(f"fewer than {k} keys")
 
 
-def _copies(df: DataFrame, count: Column, place: str = "place") -> DataFrame:
-    """``count`` copies of every row with their ``place`` (0, 1, ...), never more than ``RUN`` of them in one list."""
-    runs = df.withColumn("_run", F.explode(F.sequence(F.lit(0), F.floor((count - 1) / RUN)))).repartition(F.xxhash64("k1", "k2", "_run"))
-    start = F.col("_run") * RUN
-    return runs.withColumn(place, F.explode(F.sequence(start, F.least(start + (RUN - 1), count - 1)))).drop("_run")
-
-
 class Draw:
     """The scored rows of a table, written down once, and the key at which the draw ends."""
 
@@ -336,11 +327,11 @@ def importance_ranks(docs: DataFrame, target: DataFrame, **settings) -> DataFram
         counted = counted.unionByName(edge.withColumn("copies", F.lit(d.copies_at_cutoff()).cast("long")))
         left = d.equal - d.copies_at_cutoff()
         if left:
-            rest = rest.unionByName(_copies(edge, F.lit(left).cast("long")).drop("place"))
+            rest = rest.unionByName(in_runs(edge, F.lit(left), "place").drop("place"))
     counted = counted.withColumn("nil", F.col("doc_id").isNull())
     order = [("score", False), ("nil", True), ("doc_id", True), ("k1", True), ("k2", True)]
     placed = running_totals(counted, order, {"start": F.col("copies")}, exclusive=True)
-    drawn = _copies(placed, F.col("copies")).withColumn("rank", F.col("start") + F.col("place") + 1)
+    drawn = in_runs(placed, F.col("copies"), "place").withColumn("rank", F.col("start") + F.col("place") + 1)
     out = ["doc_id", "n_features", "weight", "score", "rank"]
     return drawn.select(*out).unionByName(rest.withColumn("rank", F.lit(None).cast("long")).select(*out))
 
@@ -357,6 +348,6 @@ def resample(docs: DataFrame, target: DataFrame, **settings) -> DataFrame:
     kept = keyed.join(above.select("k1", "k2").distinct(), ["k1", "k2"], "left_semi")
     if d.last is not None:
         edge = keyed.where((F.col("k1") == d.last[3]) & (F.col("k2") == d.last[4])).limit(1)
-        kept = kept.unionByName(_copies(edge, F.lit(d.copies_at_cutoff()).cast("long")).drop("place"))
+        kept = kept.unionByName(in_runs(edge, F.lit(d.copies_at_cutoff()), "place").drop("place"))
     return kept.select("row.*")
 

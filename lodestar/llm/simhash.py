@@ -303,10 +303,12 @@ def keep_one(docs: DataFrame, shingle: int = 4, reach: int = REACH, text: str =
     one stays.
     """
     k1, k2 = row_key(docs)
-    keyed = docs.withColumn("_k1", k1).withColumn("_k2", k2)
-    marked = cut_lineage(fingerprints(keyed.select(F.col(id_col).alias("_id"), F.col(text).alias("text"), "_k1", "_k2"), shingle))
+    # a row travels as one struct, so its columns may have any names
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), k1.alias("_k1"), k2.alias("_k2"))
+    own = docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text}`").alias("text"), k1.alias("_k1"), k2.alias("_k2"))
+    marked = cut_lineage(fingerprints(own, shingle))
     first = F.min(F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), "_k1", "_k2")).alias("first")
     best = marked.groupBy("fp").agg(first)
     won = best.join(groups(marked, reach), "fp").groupBy("root").agg(F.min("first").alias("first"))
     won = won.select(F.col("first._k1").alias("_k1"), F.col("first._k2").alias("_k2"))
-    return keyed.join(won, ["_k1", "_k2"], "left_semi").dropDuplicates(["_k1", "_k2"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return keyed.join(won, ["_k1", "_k2"], "left_semi").dropDuplicates(["_k1", "_k2"]).select("row.*")
