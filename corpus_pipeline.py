@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from lodestar.llm import bpe, mixing, quality, simhash, toxicity
-from lodestar.session import checkpoint_dir, ship_package, table
+from lodestar.session import checkpoint_dir, discard, ship_package, table
 
 
 def _shipped(stage):
@@ -66,11 +66,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; what a stage keeps is written to the shared checkpoint folder."""
+    """All stages over ``documents``; what a stage keeps is written to the shared checkpoint folder until the next has read it."""
     docs = table(spark, sf_dir, "documents")
     folder = f"{checkpoint_dir(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
     for number, (_, stage) in enumerate(STAGES):
         place = f"{folder}/{number}"
         stage(spark, docs, sf_dir).write.parquet(place)
         docs = spark.read.parquet(place)
+        if number:
+            discard(spark, f"{folder}/{number - 1}")
     return docs
