@@ -180,15 +180,21 @@ def digests(docs: DataFrame, path: str, pattern: str, text: str = "text", id_col
             stride: int = STRIDE, overlap: int = OVERLAP) -> DataFrame:
     """(id, n_tokens, ids_sha256, decoded_sha256) of every row: whole texts encoded, then decoded again."""
     kind = docs.schema[id_col].dataType.simpleString()
-    coded = encode_documents(docs.select(id_col, text), path, pattern, text, stride, overlap)
-
-    def make():
-        enc = encoding(path, pattern)
-
-        def one(batch: pa.RecordBatch):
-            rows = [digest(enc, v.as_py()) for v in batch.column(1)]
-            return {id_col: batch.column(0), "n_tokens": [r[0] for r in rows],
-                    "ids_sha256": [r[1] for r in rows], "decoded_sha256": [r[2] for r in rows]}
-        return one
-
-    return map_batches(coded, f"`{id_col}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string", make)
+    schema = f"`{id_col}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    d = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text}`").alias("text"))
+    long = F.coalesce(F.length("text") > stride, F.lit(False))
+
+    def maker(coded: bool):
+        """Digests of texts, or of ids that are already there; short texts are encoded and decoded by one worker."""
+        def make():
+            enc = encoding(path, pattern)
+
+            def one(batch: pa.RecordBatch):
+                rows = [digest(enc, v.as_py() if coded else encode(enc, v.as_py())) for v in batch.column(1)]
+                return {id_col: batch.column(0), "n_tokens": [r[0] for r in rows],
+                        "ids_sha256": [r[1] for r in rows], "decoded_sha256": [r[2] for r in rows]}
+            return one
+        return make
+
+    far = encode_documents(d.where(long), path, pattern, "text", stride, overlap).select("id", "ids")
+    return map_batches(d.where(~long), schema, maker(False)).unionByName(map_batches(far, schema, maker(True)))

@@ -6,6 +6,7 @@ import math
 import random
 import zlib
 from collections import Counter
+from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
@@ -171,7 +172,7 @@ def _compressor(content: bytes) -> zstandard.ZstdCompressor:
 
 
 #: Windows that are compressed in one call, and windows whose gains a worker remembers; then it starts anew.
-GROUP, REMEMBERED = 4096, 100_000
+GROUP, REMEMBERED = 4096, 30_000
 
 
 class Compressors:
@@ -215,9 +216,10 @@ class Tally:
         return [*np.log1p(self.over), *(self.over / (self.n + 8.0)), self.most, math.log1p(self.n), self.total / max(1, self.n)]
 
 
-def summaries(texts: list[str | None], gains) -> list[list[float]]:
-    """The summary of every whole text; windows of several texts are compressed together, those of a long one in parts."""
-    tallies = [Tally() for _ in texts]
+def summaries(texts: Iterable[str | None], gains) -> list[list[float]]:
+    """The summary of every whole text, read one after the other; windows of several texts are compressed together, those of a
+    long one in parts."""
+    tallies: list[Tally] = []
     held, owner, waiting = [], [], 0
 
     def flush():
@@ -226,6 +228,7 @@ def summaries(texts: list[str | None], gains) -> list[list[float]]:
             tallies[i].add(part)
 
     for i, text in enumerate(texts):
+        tallies.append(Tally())
         for run in windows(text):
             for at in range(0, len(run), GROUP):
                 held.append(run[at:at + GROUP])
@@ -268,29 +271,27 @@ class Model:
     def scorer(self):
         """A function from texts to their scores."""
         if self.contents is None:
-            return lambda texts: [self.rate] * len(texts)
+            return lambda texts: [self.rate for _ in texts]
         c = Compressors(self.contents)
-        return lambda texts: self.calibrated(np.array(summaries(texts, c.gains))).tolist() if texts else []
 
+        def score(texts: Iterable[str | None]) -> list[float]:
+            found = summaries(texts, c.gains)
+            return self.calibrated(np.array(found)).tolist() if found else []
 
-def measured(marked: DataFrame, contents: list[list[tuple[bytes, bytes]]]) -> tuple[np.ndarray, np.ndarray]:
-    """(summaries, labels) of the labelled texts (_text, _label, _fold), each read whole and measured with its fold's dictionaries."""
+        return score
 
-    def make():
-        by_fold = [Compressors(c) for c in contents]
 
-        def one(batch: pa.RecordBatch):
-            fold = batch.column(2).to_numpy()
-            out: list = [None] * batch.num_rows
-            for f, c in enumerate(by_fold):
-                rows = np.flatnonzero(fold == f)
-                for i, x in zip(rows, summaries([batch.column(0)[int(i)].as_py() for i in rows], c.gains)):
-                    out[i] = x
-            return {"x": out, "label": batch.column(1)}
+def measured(marked: DataFrame, contents: list[list[tuple[bytes, bytes]]]) -> tuple[np.ndarray, np.ndarray]:
+    """(summaries, labels) of the labelled texts (_text, _label, _fold), each read whole and measured with its fold's dictionaries."""
+    got = []
+    for fold, own in enumerate(contents):  # a task holds the dictionaries of one fold
 
-        return one
+        def make(own=own):
+            c = Compressors(own)
+            return lambda batch: {"x": summaries((t.as_py() for t in batch.column(0)), c.gains), "label": batch.column(1)}
 
-    got = map_batches(marked.select("_text", "_label", "_fold"), "x array<double>, label int", make).collect()  # 19 numbers a labelled row
+        part = marked.where(F.col("_fold") == fold).select("_text", "_label")
+        got += map_batches(part, "x array<double>, label int", make).collect()  # 19 numbers a labelled row
     got.sort(key=lambda r: (r.label, r.x))
     return np.array([r.x for r in got]), np.array([r.label for r in got], dtype=float)
 
@@ -340,7 +341,7 @@ def toxicity_scores(docs: DataFrame, model: Model, text: str = "text", id_col: s
         score = model.scorer()
 
         def one(batch: pa.RecordBatch):
-            s = score(batch.column(1).to_pylist())
+            s = score(t.as_py() for t in batch.column(1))
             return {id_col: batch.column(0), "held_out": batch.column(2), "score": s, "predicted": [int(v >= 0.5) for v in s]}
         return one
 
@@ -358,6 +359,6 @@ def keep_civil(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     def run(batches):
         score = model.scorer()
         for batch in slices(batches):
-            yield batch.filter(pa.array([s < 0.5 for s in score(batch.column(at).to_pylist())], type=pa.bool_()))
+            yield batch.filter(pa.array([s < 0.5 for s in score(t.as_py() for t in batch.column(at))], type=pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
