@@ -5,10 +5,10 @@ output continues the one before, the new part is the turn's span, and where it d
 rewrites history and the turn is marked.  Two renderings of the turn with texts that differ in their only
 character show where the text lies inside the span.
 
-Conversations are cut into chunks of ``CHUNK`` turns, so one of any length is spread over many tasks.  A chunk
-starts with copies of the ``MEMORY`` turns before it, and every prefix holds the ``MEMORY`` turns before the turn
-that is looked at; a conversation of up to ``MEMORY`` turns is rendered by its whole prefixes.  What a template
-writes for a turn may thus depend on that many turns before it.
+Every prefix is whole: it starts at the first turn, so what a template writes for a turn may depend on all turns
+before it.  Conversations are cut into chunks of ``CHUNK`` turns, so one of any length is spread over many tasks; a chunk
+starts with copies of all turns before it.  The work on a conversation grows with the square of its turns, as prefixes
+do.  For a template that is known to look back no further than some number of turns, ``memory`` shortens the prefixes to that.
 
 Defined results: null texts and roles are empty.  Turns are ordered by ``turn`` (nulls last), then role, then text; rows that
 are equal are several turns.  A null conv_id is a conversation of its own.  An empty table has no
@@ -30,8 +30,8 @@ from pyspark.sql.types import StructType
 from lodestar.llm.common import map_batches
 from lodestar.operators.prefix import grouped_row_number
 
-#: Turns of a chunk, and turns before a turn that its rendering may depend on.
-CHUNK, MEMORY = 256, 16
+#: Turns of a chunk.
+CHUNK = 256
 
 Messages = list[tuple[str, str]]
 
@@ -46,9 +46,15 @@ class Template:
     MARKS = {"user": ("[INST] ", " [/INST]"), "assistant": ("[ANS] ", "</s>"), "system": ("[SYS] ", " [/SYS]")}
     START, OTHER, SAYS, END = "<s>", "[TURN] ", " [SAYS] ", " [/TURN]"
     CONTROL = [START, "</s>", "[INST]", "[/INST]", "[ANS]", "[SYS]", "[/SYS]", "[TURN]", "[SAYS]", "[/TURN]"]
+    #: Characters of written turns that are held at a time.
+    HELD = 1 << 24
     _escape = re.compile("|".join(map(re.escape, ["\\", *CONTROL])))
     _unescape = re.compile(r"\\(.)", re.S)
 
+    def __init__(self):
+        self._held: dict[tuple[str, str], str] = {}
+        self._room = self.HELD
+
     def escape(self, text: str) -> str:
         """Backslashes doubled, and one put behind the first character of every control string."""
         return self._escape.sub(lambda m: "\\\\" if m[0] == "\\" else f"{m[0][0]}\\{m[0][1:]}", text)
@@ -58,11 +64,18 @@ class Template:
         return self._unescape.sub(r"\1", text)
 
     def __call__(self, messages: Iterable[tuple[str, str]]) -> str:
-        out = [self.START]
-        for role, text in messages:
-            head, tail = self.MARKS.get(role) or (f"{self.OTHER}{self.escape(role)}{self.SAYS}", self.END)
-            out += [head, self.escape(text), tail]
-        return "".join(out)
+        return self.START + "".join([self._held.get((role, text)) or self._turn(role, text) for role, text in messages])
+
+    def _turn(self, role: str, text: str) -> str:
+        """One written turn, held for the next prefixes that have it."""
+        head, tail = self.MARKS.get(role) or (f"{self.OTHER}{self.escape(role)}{self.SAYS}", self.END)
+        out = f"{head}{self.escape(text)}{tail}"
+        self._room -= len(out)
+        if self._room < 0:
+            self._held.clear()
+            self._room = self.HELD - len(out)
+        self._held[role, text] = out
+        return out
 
     def read(self, formatted: str) -> Messages:
         """The messages of a formatted conversation or of its continuation, by its control strings alone."""
@@ -105,18 +118,20 @@ def _common(a: str, b: str) -> int:
     return low
 
 
-def spans(render: Callable[[Messages], str], messages: Messages, context: int = 0, memory: int = MEMORY) -> list[Span]:
+def spans(render: Callable[[Messages], str], messages: Messages, context: int = 0, memory: int | None = None) -> list[Span]:
     """The span of every message after the first ``context`` ones, from renderings of successive prefixes.
 
-    What a template writes before any turn belongs to the first.
+    Prefixes are whole, or the ``memory`` turns before each message.  What a template writes before any turn belongs to the first.
     Where a rendering does not continue the one before, the span is what follows the part they share, and ``keeps`` is
     false.  Where the two probes do not show one place for the text, its span is empty at the end of the piece.
     """
-    out = []
+    out, new = [], None
     for i in range(context, len(messages)):
         role, _ = messages[i]
-        before = messages[max(0, i - memory):i]
-        old, new = render(before) if before else "", render([*before, messages[i]])
+        before = messages[:i] if memory is None else messages[max(0, i - memory):i]
+        # the last rendering serves again where it is that of the same turns
+        old = new if new is not None and (memory is None or i <= memory) else render(before) if before else ""
+        new = render([*before, messages[i]])
         shared = len(old) if new.startswith(old) else _common(old, new)
         a, b = render([*before, (role, "0")]), render([*before, (role, "1")])
         place = _common(a, b)
@@ -141,7 +156,7 @@ def _chunks(rows: DataFrame) -> DataFrame:
     return out.where(F.exists("turns", lambda t: t["own"]))
 
 
-def turns_of(conversations: DataFrame, chunk: int = CHUNK, memory: int = MEMORY) -> list[DataFrame]:
+def turns_of(conversations: DataFrame, chunk: int = CHUNK, memory: int | None = None) -> list[DataFrame]:
     """Chunks (conv_id, added, chunk, turns) of conversations that are one chunk, and, where there are any, of longer ones.
 
     A conversation of one chunk needs no numbers.  The turns of longer ones are numbered over ranges of the whole order, so one
@@ -151,22 +166,23 @@ def turns_of(conversations: DataFrame, chunk: int = CHUNK, memory: int = MEMORY)
         "conv_id", "added", F.col("turn").isNull().alias("nil"), F.col("turn"), F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     sizes = rows.groupBy("conv_id", "added").agg(F.count(F.lit(1)).alias("n"))
-    long = sizes.where(F.col("n") > chunk).select(F.col("conv_id").alias("c"), F.col("added").alias("a"))
+    long = sizes.where(F.col("n") > chunk).select(F.col("conv_id").alias("c"), F.col("added").alias("a"), F.col("n").alias("size"))
     n_long = long.count()
     one_chunk = [F.lit(0).cast("long").alias("chunk"), F.lit(False).alias("context")]
     if not n_long:
         return [_chunks(rows.select("*", *one_chunk))]
     told = F.broadcast(long) if n_long <= TOLD else long
     same = F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("added") == F.col("a"))
-    numbered = grouped_row_number(rows.join(told, same, "left_semi"), ["conv_id", "added"], [(c, True) for c in ("nil", "turn", "role", "text")], "n")
+    numbered = grouped_row_number(rows.join(told, same).select(*rows.columns, "size"), ["conv_id", "added"], [(c, True) for c in ("nil", "turn", "role", "text")], "n")
     at = F.col("n") - 1
-    reach = F.floor((at + memory) / chunk)  # the last chunk that this turn is context of
+    # the last chunk that this turn is context of; all behind it, or as far as ``memory`` reaches
+    reach = F.floor((F.col("size") - 1 if memory is None else at + memory) / chunk)
     dealt = numbered.withColumn("at", at).withColumn("chunk", F.explode(F.sequence(F.floor(at / chunk), reach))).select(
         *rows.columns, F.col("chunk").cast("long").alias("chunk"), (F.floor(F.col("at") / chunk) < F.col("chunk")).alias("context"))
     return [_chunks(rows.join(told, same, "left_anti").select("*", *one_chunk)), _chunks(dealt)]
 
 
-def _formatted(chunks: DataFrame, render: Callable[[Messages], str], loss_role: str, memory: int) -> DataFrame:
+def _formatted(chunks: DataFrame, render: Callable[[Messages], str], loss_role: str, memory: int | None) -> DataFrame:
 
     def make():
         def one(batch):
@@ -197,7 +213,7 @@ def _formatted(chunks: DataFrame, render: Callable[[Messages], str], loss_role:
 
 
 def format_turns(conversations: DataFrame, render: Callable[[Messages], str], loss_role: str = "assistant", chunk: int = CHUNK,
-                 memory: int = MEMORY) -> DataFrame:
+                 memory: int | None = None) -> DataFrame:
     """(conv_id, added, chunk, piece, n_turns, text_spans, loss_spans, rewrites): the formatted chunks of every conversation.
 
     The pieces of a conversation's chunks, joined in order, are its formatted text.  Spans are (from, to) in code points of
@@ -240,7 +256,7 @@ class _Digest:
 FIGURES = "n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
 
 
-def digests(conversations: DataFrame, template: Template | None = None, chunk: int = CHUNK, memory: int = MEMORY) -> DataFrame:
+def digests(conversations: DataFrame, template: Template | None = None, chunk: int = CHUNK, memory: int | None = None) -> DataFrame:
     """(conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars) of every conversation and of conversation −1.
 
     All figures are read back from the formatted pieces and the loss spans.  A hash runs through a conversation from its start to its

@@ -261,3 +261,17 @@ def test_templates_that_rewrite_history(spark):
     df = spark.createDataFrame([(1, i, r, t, False) for i, (r, t) in enumerate(talk)], "conv_id long, turn long, role string, text string, added boolean")
     assert chat.format_turns(df, last_user_carries_system).first().rewrites == [3]
     assert chat.format_turns(df, chat.Template()).first().rewrites == []
+
+
+def test_prefixes_are_whole(spark):
+    def first_turn_marks_the_last(messages):
+        """The first text moves into the last turn if it is a system's, however many turns lie between."""
+        first = messages[0][1] if messages[0][0] == "system" else ""
+        return "".join(f"({r}:{first if i == len(messages) - 1 else ''}{t})" for i, (r, t) in enumerate(messages))
+
+    talk = [("system", "S")] + [(["user", "assistant"][i % 2], f"t{i}") for i in range(39)]
+    assert [s.keeps for s in chat.spans(first_turn_marks_the_last, talk)] == [True] + [False] * 39
+    df = spark.createDataFrame([(1, i, r, t, False) for i, (r, t) in enumerate(talk)], "conv_id long, turn long, role string, text string, added boolean")
+    assert chat.format_turns(df, first_turn_marks_the_last).first().rewrites == list(range(1, 40))
+    cut = chat.format_turns(df, first_turn_marks_the_last, chunk=8).orderBy("chunk").collect()
+    assert [8 * r.chunk + i for r in cut for i in r.rewrites] == list(range(1, 40))
