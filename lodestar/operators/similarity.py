@@ -43,78 +43,18 @@ def rank_within_class(df: DataFrame, cls: str, dist: str, tie: str) -> DataFrame
     return df.join(nearer, same).drop("_c", "_d")
 
 
-def _topk_block(k: int, exclude_self: bool, qid: str, cid: str, qv: str, cv: str, extra: Sequence[str]):
+def _topk_block(k: int, exclude_self: bool, qid: str, cid: str, qv: str, cv: str, extra: Sequence[str], cell_rows: int):
     def fn(qp: pd.DataFrame, cp: pd.DataFrame) -> pd.DataFrame:
-        q = blocks.matrix(qp[qv])
-        c = blocks.matrix(cp[cv])
-        d2 = blocks.exact_sq_dists(q, c)
         qids, cids = qp[qid].to_numpy(), cp[cid].to_numpy()
-        if exclude_self:
-            d2[qids[:, None] == cids[None, :]] = np.inf
-        row, col = blocks.nearest(d2, cids, k)
-        data = {"query_id": qids[row], "neighbour_id": cids[col], "distance": np.sqrt(d2[row, col])}
+        row, col, d2 = blocks.k_nearest(blocks.matrix(qp[qv]), blocks.matrix(cp[cv]), qids, cids, k, exclude_self, cell_rows)
+        data = {"query_id": qids[row], "neighbour_id": cids[col], "distance": np.sqrt(d2)}
         return pd.DataFrame(data | {e: cp[e].to_numpy()[col] for e in extra})
 
     return fn
 
 
-#: Candidates that a cell of the kNN join is meant to hold, and the most pivots that cells are made around.
-CELL_ROWS, MAX_PIVOTS = 4096, 4096
-
-
-class _Cells:
-    """Pivots with the number and the covering radius of the candidates nearest to each."""
-
-    def __init__(self, pivots: np.ndarray, found: list):
-        self.pivots = pivots
-        self.n, self.radius = np.zeros(len(pivots), dtype=np.int64), np.zeros(len(pivots))
-        for r in found:
-            self.n[r["cell"]], self.radius[r["cell"]] = r["n"], r["radius"]
-
-    def distances(self, x: np.ndarray) -> np.ndarray:
-        return np.sqrt(blocks.exact_sq_dists(x, self.pivots))
-
-    def first(self, x: np.ndarray, need: int) -> np.ndarray:
-        """(rows × cells) which cells are the nearest that together hold ``need`` candidates (all, if there are fewer)."""
-        order = np.argsort(self.distances(x), axis=1, kind="stable")
-        held = self.n[order]
-        mask = np.zeros(order.shape, dtype=bool)
-        np.put_along_axis(mask, order, (np.cumsum(held, axis=1) - held < need) & (held > 0), axis=1)
-        return mask
-
-    def within(self, x: np.ndarray, reach: np.ndarray, need: int) -> np.ndarray:
-        """(rows × cells) the other cells that may hold a candidate within ``reach`` of each row."""
-        near = (self.distances(x) - self.radius <= reach[:, None] * (1 + 1e-9) + 1e-9) & (self.n > 0)
-        return near & ~self.first(x, need)
-
-
-def _visit(queries: DataFrame, visits: DataFrame, homes: DataFrame, fn: Callable, schema: str) -> DataFrame:
-    """``fn`` on each cell's candidates and the queries that visit it, both in blocks.
-
-    A candidate lives in one cell.  ``visits`` (_qid, cell) is a written table of ids, so the visits are found once; vectors join
-    them afterwards, and what moves follows the visits and not the product of the tables.
-    """
-    n_of = lambda df: dict(df.groupBy("cell").count().collect())  # noqa: E731  one row for each pivot
-    n_q, n_c = n_of(visits), n_of(homes)
-    block = {c: (max(1, math.ceil(n_c.get(c, 0) / CELL_ROWS)), max(1, math.ceil(v / CELL_ROWS))) for c, v in n_q.items()}
-    if not block:
-        return queries.sparkSession.createDataFrame([], schema)
-    cb, qb = (F.create_map(*[F.lit(x) for c, pair in block.items() for x in (int(c), pair[i])]) for i in (0, 1))
-    n_c, n_q = F.element_at(cb, F.col("cell")), F.element_at(qb, F.col("cell"))
-    left = visits.join(queries, "_qid").withColumn("_qb", F.pmod(F.xxhash64("_qid"), n_q).cast("int")).withColumn(
-        "_cb", F.explode(F.sequence(F.lit(0), n_c - 1)))
-    right = homes.where(n_c.isNotNull()).withColumn("_cb", F.pmod(F.xxhash64("_cid"), n_c).cast("int")).withColumn(
-        "_qb", F.explode(F.sequence(F.lit(0), n_q - 1)))
-    return _met(left, right, ["cell", "_cb", "_qb"], fn, schema)
-
-
-def _met(left: DataFrame, right: DataFrame, keys: list[str], fn: Callable, schema: str) -> DataFrame:
-    def run(qp: pd.DataFrame, cp: pd.DataFrame) -> pd.DataFrame:
-        if len(qp) == 0 or len(cp) == 0:
-            return pd.DataFrame({f.split()[0]: [] for f in schema.split(",")})
-        return fn(qp, cp)
-
-    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(run, schema)
+#: Candidates that a cell of the kNN join is meant to hold.
+CELL_ROWS = 4096
 
 
 def knn_join(
@@ -126,66 +66,22 @@ def knn_join(
     vec: str = "v",
     exclude_self: bool = False,
     carry: Sequence[tuple[str, str]] = (),
-    cell_rows: int = CELL_ROWS,
+    cell_rows: int | None = None,
 ) -> DataFrame:
     """Exact k nearest candidates of every query → (query_id, neighbour_id, distance, rank, carry...).
 
-    Every candidate lives in the cell of its nearest pivot (a bounded number of candidates in hash
-    order).  A query first meets its nearest cells that hold k candidates; its k-th distance there
-    bounds the answer, and it then visits only cells whose covering radius reaches within the bound.
-    Lists of the few cells are merged by a ``row_number() <= k`` window.  ``carry`` names candidate
-    columns (name, Spark type) to return with each neighbour.
+    Queries and candidates meet in pairs of blocks of up to ``blocks.SPAN`` rows.  A task puts its candidates in the cells of
+    their nearest pivots and lets a query skip cells that cannot hold one within its k-th distance so far; it gives back k rows a
+    query.  These lists are merged by a ``row_number() <= k`` window.  ``carry`` names candidate columns (name, Spark type) to return
+    with each neighbour.
     """
-    from lodestar.operators.sampling import hash_order
-
     extra = [c for c, _ in carry]
-    need = k + (1 if exclude_self else 0)
     q = queries.select(F.col(qid).alias("_qid"), F.col(vec).cast("array<double>").alias("_qv"))
     c = candidates.select(F.col(cid).alias("_cid"), F.col(vec).cast("array<double>").alias("_cv"), *extra)
     schema = "query_id long, neighbour_id long, distance double" + "".join(f", {n} {t}" for n, t in carry)
-    n_cells = min(MAX_PIVOTS, max(1, math.ceil(c.count() / cell_rows)))
-    fn = _topk_block(k, exclude_self, "_qid", "_cid", "_qv", "_cv", extra)
-    if n_cells == 1:  # every query meets the one cell; blocks of queries use the cores
-        n_q = max(1, math.ceil(q.count() / CELL_ROWS), queries.sparkSession.sparkContext.defaultParallelism)
-        left = q.withColumn("_qb", F.pmod(F.xxhash64("_qid"), F.lit(n_q)).cast("int"))
-        right = c.withColumn("_qb", F.explode(F.sequence(F.lit(0), F.lit(n_q - 1))))
-        return top_k_per_query(_met(left, right, ["_qb"], fn, schema), k)
-    pivots = np.array([r["_cv"] for r in c.select("_cid", "_cv").orderBy(hash_order("_cid"), "_cid").limit(n_cells).collect()], dtype=float)
-    plain = _Cells(pivots, [])
-
-    def settle(batches):
-        for pdf in batches:
-            d = plain.distances(blocks.matrix(pdf["_cv"]))
-            at = d.argmin(axis=1)
-            yield pdf.assign(cell=at.astype(np.int32), _far=d[np.arange(len(d)), at])
-
-    # written once: the radii and both visits read it
-    homes = cut_lineage(c.mapInPandas(settle, c.select("*", F.lit(0).alias("cell"), F.lit(0.0).alias("_far")).schema))
-    cells = _Cells(pivots, homes.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("_far").alias("radius")).collect())
-    homes = homes.drop("_far")
-    goals = q.select("_qid", F.lit(0).alias("cell")).schema
-
-    def told(pdf: pd.DataFrame, mask: np.ndarray) -> pd.DataFrame:
-        row, cell = np.nonzero(mask)
-        return pd.DataFrame({"_qid": pdf["_qid"].to_numpy()[row], "cell": cell.astype(np.int32)})
-
-    def first(batches):
-        for pdf in batches:
-            if len(pdf):
-                yield told(pdf, cells.first(blocks.matrix(pdf["_qv"]), need))
-
-    near = cut_lineage(_visit(q, cut_lineage(q.mapInPandas(first, goals)), homes, fn, schema))
-    bound = top_k_per_query(near, k).groupBy("query_id").agg(F.max("distance").alias("_reach"), F.count(F.lit(1)).alias("_n"))
-    reach = F.when(F.col("_n") >= k, F.col("_reach")).otherwise(F.lit(float("inf")))
-    asked = q.join(bound, q["_qid"] == bound["query_id"], "left").select("_qid", "_qv", F.coalesce(reach, F.lit(float("inf"))).alias("_reach"))
-
-    def further(batches):
-        for pdf in batches:
-            if len(pdf):
-                yield told(pdf, cells.within(blocks.matrix(pdf["_qv"]), pdf["_reach"].to_numpy(), need))
-
-    far = _visit(q, cut_lineage(asked.mapInPandas(further, goals)), homes, fn, schema)
-    return top_k_per_query(near.unionByName(far), k)
+    n_q, n_c = blocks.grid(q.count(), c.count(), queries.sparkSession.sparkContext.defaultParallelism)
+    fn = _topk_block(k, exclude_self, "_qid", "_cid", "_qv", "_cv", extra, cell_rows or CELL_ROWS)
+    return top_k_per_query(blocks.cogroup_blocks(q, c, "_qid", "_cid", fn, schema, n_q, n_c), k)
 
 
 def knn_join_expr(queries: DataFrame, candidates: DataFrame, k: int, qid: str = "vec_id",
@@ -261,7 +157,7 @@ def _kernel_np(kind: str | Callable, param: float) -> Callable[[np.ndarray, np.n
     if callable(kind):
         return lambda a, b: kind(a, b, param)
     if kind == "rbf":
-        return lambda a, b: np.exp(-blocks.exact_sq_dists(a, b) / (param * param))
+        return lambda a, b: np.exp(-blocks.sq_dists(a, b, 1e-11 * param * param) / (param * param))
     if kind == "linear":
         return lambda a, b: a @ b.T
     if kind == "vovk":
@@ -291,31 +187,34 @@ def kernel_block_sum(left: DataFrame, right: DataFrame, kind: str | Callable, pa
         return powersums.class_sums(left, right, (found, other), kind, param, lcls, rcls, vec)
     kern = _kernel_np(kind, param)
 
-    def sums(kmat: np.ndarray, lc: np.ndarray, rc: np.ndarray, both: bool) -> pd.DataFrame:
-        rows = []
-        for a in np.unique(lc):
-            sub = kmat[lc == a]
-            for b in np.unique(rc):
-                blk = sub[:, rc == b]
-                rows.append((int(a), int(b), float(blk.sum()), int(blk.size)))
-                if both:
-                    rows.append((int(b), int(a), float(blk.sum()), int(blk.size)))
-        return pd.DataFrame(rows, columns=["class_i", "class_j", "ksum", "pairs"])
+    def sums(x: np.ndarray, y: np.ndarray, lc: np.ndarray, rc: np.ndarray, both: bool) -> pd.DataFrame:
+        (by_l, ls, ln), (by_r, rs, rn) = blocks.runs(lc), blocks.runs(rc)
+        x, y = x[by_l], y[by_r]
+        total = np.zeros((len(ls), len(rs)))
+        for rows, cols in blocks.tiles(len(x), len(y)):
+            part, at = blocks.run_sums(kern(x[rows], y[cols]), rs, cols, axis=1)
+            part, up = blocks.run_sums(part, ls, rows, axis=0)
+            total[up, at] += part
+        made = pd.DataFrame({"class_i": np.repeat(lc[by_l][ls], len(rs)), "class_j": np.tile(rc[by_r][rs], len(ls)), "ksum": total.ravel(),
+                             "pairs": np.outer(ln, rn).ravel()})
+        return pd.concat([made, made.rename(columns={"class_i": "class_j", "class_j": "class_i"})]) if both else made
 
     def fn(lp: pd.DataFrame, rp: pd.DataFrame) -> pd.DataFrame:
-        return sums(kern(blocks.matrix(lp["_lv"]), blocks.matrix(rp["_rv"])), lp["_lc"].to_numpy(), rp["_rc"].to_numpy(), False)
+        return sums(blocks.matrix(lp["_lv"]), blocks.matrix(rp["_rv"]), lp["_lc"].to_numpy(), rp["_rc"].to_numpy(), False)
 
     def own(lp: pd.DataFrame, rp: pd.DataFrame, same: bool) -> pd.DataFrame:
-        return sums(kern(blocks.matrix(lp["_lv"]), blocks.matrix(rp["_lv"])), lp["_lc"].to_numpy(), rp["_lc"].to_numpy(), not same)
+        return sums(blocks.matrix(lp["_lv"]), blocks.matrix(rp["_lv"]), lp["_lc"].to_numpy(), rp["_lc"].to_numpy(), not same)
 
     schema = "class_i int, class_j int, ksum double, pairs long"
     lsel = left.select(F.col(lid).alias("_lid"), F.col(vec).cast("array<double>").alias("_lv"), F.col(lcls).alias("_lc"))
     if right is left and lcls == rcls and lid == rid and not callable(kind):
-        part = blocks.symmetric_blocks(lsel, "_lid", own, schema, n_left or blocks.pair_blocks(left))
+        part = blocks.symmetric_blocks(lsel, "_lid", own, schema, n_left or blocks.pair_blocks(left, blocks.SPAN))
     else:
         rsel = right.select(F.col(rid).alias("_rid"), F.col(vec).cast("array<double>").alias("_rv"), F.col(rcls).alias("_rc"))
-        nl = n_left or blocks.block_count(left, at_least=left.sparkSession.sparkContext.defaultParallelism)
-        nr = n_right or blocks.block_count(right)
+        nl, nr = n_left, n_right
+        if not (nl and nr):
+            made = blocks.grid(left.count(), right.count(), left.sparkSession.sparkContext.defaultParallelism)
+            nl, nr = nl or made[0], nr or made[1]
         part = blocks.cogroup_blocks(lsel, rsel, "_lid", "_rid", fn, schema, nl, nr)
     return part.groupBy("class_i", "class_j").agg(F.sum("ksum").alias("ksum"), F.sum("pairs").alias("pairs"))
 
@@ -328,27 +227,41 @@ def kernel_row_sums(test: DataFrame, train: DataFrame, kind: str | Callable, par
         return powersums.row_sums(test, train, found, kind, param, cls, tid, vec)
     kern = _kernel_np(kind, param)
 
-    def sums(kmat: np.ndarray, ids: np.ndarray, rc: np.ndarray) -> list[pd.DataFrame]:
-        return [pd.DataFrame({"test_id": ids, "label": int(b), "ksum": kmat[:, rc == b].sum(axis=1)}) for b in np.unique(rc)]
+    def frame(ids: np.ndarray, labels: np.ndarray, found: np.ndarray) -> pd.DataFrame:
+        return pd.DataFrame({"test_id": np.repeat(ids, len(labels)), "label": np.tile(labels, len(ids)), "ksum": found.ravel()})
+
+    def sums(x: np.ndarray, y: np.ndarray, lc: np.ndarray | None, rc: np.ndarray, lids: np.ndarray, rids: np.ndarray | None) -> pd.DataFrame:
+        """Sums of the rows of ``x`` over the classes of ``y`` and, with ``lc``, the other way round."""
+        by_r, rs, _ = blocks.runs(rc)
+        by_l, ls, _ = blocks.runs(np.zeros(len(x)) if lc is None else lc)
+        x, y = x[by_l], y[by_r]
+        of_x, of_y = np.zeros((len(x), len(rs))), np.zeros((len(ls), len(y)))
+        for rows, cols in blocks.tiles(len(x), len(y)):
+            k = kern(x[rows], y[cols])
+            part, at = blocks.run_sums(k, rs, cols, axis=1)
+            of_x[rows, at] += part
+            if lc is not None:
+                part, up = blocks.run_sums(k, ls, rows, axis=0)
+                of_y[up, cols] += part
+        made = frame(lids[by_l], rc[by_r][rs], of_x)
+        return made if lc is None else pd.concat([made, frame(rids[by_r], lc[by_l][ls], of_y.T)], ignore_index=True)
 
     def fn(lp: pd.DataFrame, rp: pd.DataFrame) -> pd.DataFrame:
-        kmat = kern(blocks.matrix(lp["_lv"]), blocks.matrix(rp["_rv"]))
-        return pd.concat(sums(kmat, lp["_lid"].to_numpy(), rp["_rc"].to_numpy()), ignore_index=True)
+        return sums(blocks.matrix(lp["_lv"]), blocks.matrix(rp["_rv"]), None, rp["_rc"].to_numpy(), lp["_lid"].to_numpy(), None)
 
     def own(lp: pd.DataFrame, rp: pd.DataFrame, same: bool) -> pd.DataFrame:
-        kmat = kern(blocks.matrix(lp["_lv"]), blocks.matrix(rp["_lv"]))
-        made = sums(kmat, lp["_lid"].to_numpy(), rp["_lc"].to_numpy())
-        return pd.concat(made if same else made + sums(kmat.T, rp["_lid"].to_numpy(), lp["_lc"].to_numpy()), ignore_index=True)
+        lc = None if same else lp["_lc"].to_numpy()
+        return sums(blocks.matrix(lp["_lv"]), blocks.matrix(rp["_lv"]), lc, rp["_lc"].to_numpy(), lp["_lid"].to_numpy(), rp["_lid"].to_numpy())
 
     schema = "test_id long, label int, ksum double"
     lsel = test.select(F.col(tid).alias("_lid"), F.col(vec).cast("array<double>").alias("_lv"))
     if test is train and tid == rid and not callable(kind):
         part = blocks.symmetric_blocks(train.select(F.col(tid).alias("_lid"), F.col(vec).cast("array<double>").alias("_lv"), F.col(cls).alias("_lc")),
-                                       "_lid", own, schema, blocks.pair_blocks(train))
+                                       "_lid", own, schema, blocks.pair_blocks(train, blocks.SPAN))
     else:
         rsel = train.select(F.col(rid).alias("_rid"), F.col(vec).cast("array<double>").alias("_rv"), F.col(cls).alias("_rc"))
-        nl = blocks.block_count(test, at_least=test.sparkSession.sparkContext.defaultParallelism)
-        part = blocks.cogroup_blocks(lsel, rsel, "_lid", "_rid", fn, schema, nl, blocks.block_count(train))
+        nl, nr = blocks.grid(test.count(), train.count(), test.sparkSession.sparkContext.defaultParallelism)
+        part = blocks.cogroup_blocks(lsel, rsel, "_lid", "_rid", fn, schema, nl, nr)
     return part.groupBy("test_id", "label").agg(F.sum("ksum").alias("ksum"))
 
 

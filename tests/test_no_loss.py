@@ -214,3 +214,38 @@ def test_knn_join_prunes_without_loss(spark, monkeypatch, cell_rows, block):
     few = similarity.knn_join(df, df.limit(3), 6, cell_rows=2).groupBy("query_id").count().collect()
     assert len(few) == 300 and {r["count"] for r in few} == {3}
     assert similarity.knn_join(df, df.where("false"), 6).count() == 0
+
+
+def test_blocks_of_large_tables_are_few():
+    """What moves in a product of tables is their rows once for each block of the other."""
+    assert blocks.grid(600_000, 600_000, 12) == (10, 10)
+    assert blocks.grid(100_000, 100_000, 12) == (5, 5)
+    assert blocks.grid(0, 300, 12) == (1, 2)
+
+
+@pytest.mark.parametrize("cell_rows", [3, 40, 4096])
+def test_k_nearest_is_the_whole_product(cell_rows):
+    rng = np.random.default_rng(1)
+    for t in range(24):
+        n, m, k = rng.integers(1, 400, 2).tolist() + [int(rng.integers(1, 12))]
+        q = rng.integers(-2, 3, size=(n, 3)).astype(float) if t % 2 else rng.normal(size=(n, 3)) * 10.0 ** rng.integers(-3, 6)
+        c = q[rng.integers(0, n, size=m)] + (0 if t % 3 else rng.normal(size=(m, 3)) * 1e-7)
+        if t % 5 == 0:
+            c[0], q[0, 0] = np.nan, np.inf
+        if t % 7 == 0:
+            q[-1], c[-1] = 1e200, -1e200
+        q_ids, c_ids, own = np.arange(n), rng.permutation(m), bool(t % 2)
+        with np.errstate(over="ignore", invalid="ignore"):
+            d = blocks.exact_sq_dists(q, c)
+            d[(q_ids[:, None] == c_ids[None, :]) & own] = np.inf
+            row, col = blocks.nearest(d, c_ids, k)
+            r, i, d2 = blocks.k_nearest(q, c, q_ids, c_ids, k, own, cell_rows)
+        assert sorted(zip(r, c_ids[i], d2)) == sorted(zip(row, c_ids[col], d[row, col]))
+
+
+def test_distances_from_products_keep_their_promise():
+    rng = np.random.default_rng(2)
+    x, y = rng.normal(size=(50, 64)), rng.normal(size=(40, 64))
+    assert abs(blocks.sq_dists(x, y, 1e-9) - blocks.exact_sq_dists(x, y)).max() < 1e-11
+    far = x * 1e6  # products of such numbers are too coarse
+    assert (blocks.sq_dists(far, y, 1e-9) == blocks.exact_sq_dists(far, y)).all()
