@@ -472,8 +472,8 @@ SELECT class_i, class_j, {R('sum(k)', 5)} AS ksum, count(*) AS pairs FROM k GROU
 """)
 def own_kernel_sums(spark: SparkSession, sf: str) -> DataFrame:
     """Class sums of a kernel of the user's own, 1 / (1 + ‖a − b‖²)."""
-    from lodestar.operators.blocks import exact_sq_dists
+    from lodestar.operators.blocks import sq_dists
 
     v = derived.vectors(spark, sf)
-    k = similarity.kernel_block_sum(v, v, lambda a, b, _: 1.0 / (1.0 + exact_sq_dists(a, b)), 0.0, "label", "label", "vec_id", "vec_id", "v")
+    k = similarity.kernel_block_sum(v, v, lambda a, b, _: 1.0 / (1.0 + sq_dists(a, b, 1e-11)), 0.0, "label", "label", "vec_id", "vec_id", "v")
     return k.select("class_i", "class_j", V.rnd("ksum", 5).alias("ksum"), "pairs")
