@@ -175,3 +175,24 @@ def test_class_sums_without_pairs(points):
     for r in powersums.gaussian_class_sums(df, 1.0).collect():
         block = k[np.ix_(y == r.class_i, y == r.class_j)]
         assert r.low <= block.sum() <= r.high and r.high - r.low < 0.2 * block.size and r.pairs == block.size
+
+
+def test_kernel_sums_do_not_depend_on_tiles(spark):
+    """Blocks of more rows than a tile has, with classes that are cut by tiles, on one and on two tables."""
+    from lodestar.operators import blocks, similarity
+
+    rng = np.random.default_rng(4)
+    x, cls = rng.normal(size=(1400, 3)), rng.integers(0, 4, 1400)
+    df = spark.createDataFrame([(i, r.tolist(), int(c)) for i, (r, c) in enumerate(zip(x, cls))], "vec_id long, v array<double>, label int")
+    k = np.exp(-blocks.exact_sq_dists(x, x))
+    for right in (df, df.select("*")):
+        got = {(r.class_i, r.class_j): (r.ksum, r.pairs) for r in similarity.kernel_block_sum(df, right, "rbf", 1.0, n_left=1, n_right=1).collect()}
+        for a in range(4):
+            for b in range(4):
+                part = k[cls == a][:, cls == b]
+                assert got[a, b][0] == pytest.approx(part.sum(), rel=1e-9) and got[a, b][1] == part.size
+        rows = {(r.test_id, r.label): r.ksum for r in similarity.kernel_row_sums(df, right, "rbf", 1.0).collect()}
+        assert len(rows) == 5600
+        assert all(rows[i, b] == pytest.approx(k[i, cls == b].sum(), rel=1e-9) for i in range(0, 1400, 13) for b in range(4))
+    tiles = list(blocks.tiles(1400, 5000))
+    assert sum((r.stop - r.start) * (c.stop - c.start) for r, c in tiles) == 1400 * 5000
