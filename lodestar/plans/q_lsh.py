@@ -168,10 +168,14 @@ def lsh_bucketed_lookup(spark: SparkSession, sf: str) -> DataFrame:
     import uuid
 
     name, path = f"lsh_index_{uuid.uuid4().hex}", scratch(spark, "bucketed")
-    idx = cut_lineage(_index(spark, sf).select("table_id", "bucket", "vec_id"))
+    idx = cut_lineage(lsh.with_buckets(_index(spark, sf)))
     lsh.write_index(idx, path, name=name, buckets=16)
-    pairs = lsh.candidate_pairs(idx.hint("merge"), lsh.read_index(spark, path, name))  # too small an index would be broadcast
+    stored, asked = lsh.read_index(spark, path, name), idx.hint("merge")  # too small an index would be broadcast
+    pairs = lsh.single_pairs(asked, stored, LSH_TABLES)
     stays = lsh.index_stays(pairs, name)
+    if idx.where("NOT single").limit(1).count():  # ids that share a table with themselves: their pairs are told apart by id
+        pairs = pairs.unionByName(lsh.candidate_pairs(asked.where("NOT single"), stored)).unionByName(
+            lsh.candidate_pairs(asked.where("single"), stored.where("NOT single")))
     out = cut_lineage(pairs.groupBy("query_id").agg(F.count(F.lit(1)).alias("candidates"), F.sum("neighbour_id").alias("id_sum"),
                                                     F.min("table_id").alias("first_table"), F.lit(stays).alias("index_stays")))
     spark.sql(f"DROP TABLE {name}")

@@ -155,3 +155,17 @@ def test_beta_shares_at_any_number_of_pulls():
         sd = np.sqrt(0.25 / pulls)
         assert abs((events.beta_quantile(half, half, 0.975)[0] - 0.5) / sd - 1.959964) < 3e-3
     assert abs(events.beta_quantile(np.array([2.0]), np.array([1e9]), 0.5)[0] * 1e9 - 1.6783469900166608) < 1e-6
+
+
+def test_pairs_of_single_ids_are_told_without_moving_them(spark):
+    """First tables from the rows' own buckets, as from grouping all pairs; ids with several vectors take the other way."""
+    v = derived.vectors(spark, SF_SMALL)
+    v = v.unionByName(v.where("vec_id % 9 = 0")).unionByName(v.where("vec_id % 7 = 0").withColumn("v", F.transform("v", lambda x: -x)))
+    idx = lsh.hash_table(v, 4, 2, 1.5, 64)
+    want = {tuple(r) for r in lsh.candidate_pairs(idx, idx).select("query_id", "neighbour_id", "table_id").collect()}
+    known = lsh.with_buckets(idx).cache()
+    one = lsh.single_pairs(known, known, 4)
+    got = [tuple(r) for part in (one, lsh.candidate_pairs(known.where("NOT single"), known), lsh.candidate_pairs(known.where("single"), known.where("NOT single")))
+           for r in part.select("query_id", "neighbour_id", "table_id").collect()]
+    assert len(got) == len(set(got)) and set(got) == want and one.count()
+    assert "Aggregate" not in one._jdf.queryExecution().optimizedPlan().toString().split("InMemoryRelation")[0]
