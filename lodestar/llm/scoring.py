@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -59,7 +60,7 @@ def _cuts(data: bytes):
 
 def _spans(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and sizes of the words of ``raw``, which ends with a space."""
-    gap = _IS_SPACE[raw]
+    gap = _IS_SPACE.take(raw)
     edge = np.flatnonzero(gap[1:] != gap[:-1]) + 1
     if not gap[0]:
         edge = np.r_[0, edge]
@@ -84,13 +85,38 @@ class Tokens:
         self.long = np.unique(np.array([int.from_bytes(w[:8], "little") for w in self.known if len(w) > 8], dtype=np.uint64))
 
     def of(self, text: str | None) -> np.ndarray:
-        out = [self._slice(part) for part in _cuts((text or "").encode().lower())]
-        return np.concatenate(out) if out else np.zeros(0, dtype=np.int32)
+        return next(self.of_all([text]))
+
+    def of_all(self, texts: Iterable[str | None]) -> Iterator[np.ndarray]:
+        """The numbers of each text; short texts go through the tables together."""
+        held, waiting = [], 0
+        for text in texts:
+            data = (text or "").encode().lower()
+            if waiting + len(data) > SLICE_BYTES:
+                yield from self._joined(held)
+                held, waiting = [], 0
+            if len(data) > SLICE_BYTES:
+                yield np.concatenate([self._slice(part) for part in _cuts(data)])
+            else:
+                held.append(data)
+                waiting += len(data) + 1
+        yield from self._joined(held)
+
+    def _joined(self, held: list[bytes]) -> Iterator[np.ndarray]:
+        if held:
+            data = b" ".join(held)
+            raw = np.frombuffer(data + b" " * 9, dtype=np.uint8)
+            spans = _spans(raw)
+            ids = self._numbers(data, raw, *spans)
+            ends = np.searchsorted(spans[0], np.cumsum([len(d) + 1 for d in held])).tolist()
+            yield from (ids[a:b] for a, b in zip([0, *ends], ends))
 
     def _slice(self, data: bytes) -> np.ndarray:
         raw = np.frombuffer(data + b" " * 9, dtype=np.uint8)
-        start, size = _spans(raw)
-        code = np.lib.stride_tricks.as_strided(raw, (len(raw) - 7, 8), (1, 1))[start].copy().view("<u8")[:, 0]
+        return self._numbers(data, raw, *_spans(raw))
+
+    def _numbers(self, data: bytes, raw: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+        code = np.ndarray((len(raw) - 7,), "<u8", raw, 0, (1,))[start]
         code &= _LOW[np.minimum(size, 8)]
         mixed = (code ^ raw[start + size - 1].astype(np.uint64) ^ (size.astype(np.uint64) << np.uint64(8))) * np.uint64(0x9E3779B97F4A7C15)
         ids = (WORDS + (mixed >> np.uint64(65 - CLASSES.bit_length()))).astype(np.int32)
@@ -140,8 +166,10 @@ class Net:
 
     def hidden(self, tokens: np.ndarray, place: np.ndarray) -> np.ndarray:
         h = np.repeat(self.shift[None, :], len(place), axis=0)
+        row = np.empty_like(h)
         for table, o in zip(self.inputs, OFFSETS):
-            h += table[tokens[place + o]]
+            np.take(table, tokens[place + o], axis=0, out=row, mode="clip")
+            h += row
         return np.tanh(h, out=h)
 
     @staticmethod
@@ -165,13 +193,19 @@ class Net:
         e, total = self._softmax(h @ self.top + self.top_bias)
         out = np.log(e[np.arange(len(own)), own // GROUP] / total).astype(np.float64)
         order, groups = self._grouped(own)
-        h, member, inner = h[order], own[order] % GROUP, np.empty(len(own))
-        for g, part in groups:
-            e, total = self._softmax(h[part] @ self.within[g] + self.bias[g])
-            inner[part] = np.log(e[np.arange(len(e)), member[part]] / total)
-        out[order] += inner
+        h, sorted_own = np.take(h, order, axis=0), own[order]
+        e, total = self._softmax(self._members(h, sorted_own, groups))
+        out[order] += np.log(e[np.arange(len(own)), sorted_own % GROUP] / total)
         return out
 
+    def _members(self, h: np.ndarray, own: np.ndarray, groups: list[tuple[int, slice]]) -> np.ndarray:
+        """Raw scores of the tokens of each row's group, for rows sorted by group."""
+        z = np.empty((len(own), GROUP), dtype=h.dtype)
+        for g, part in groups:
+            np.matmul(h[part], self.within[g], out=z[part])
+        z += np.take(self.bias, own // GROUP, axis=0)
+        return z
+
     def gradient(self, tokens: np.ndarray, place: np.ndarray) -> np.ndarray:
         """Of the mean negative log-probability, laid out like ``flat``."""
         n = len(place)
@@ -187,21 +221,23 @@ class Net:
         dh, top, top_bias = z @ self.top.T, h.T @ z, z.sum(0)
         within, bias = np.zeros_like(self.within), np.zeros_like(self.bias)
         order, groups = self._grouped(own)
-        sorted_h, member, inner = h[order], own[order] % GROUP, np.empty_like(h)
+        sorted_h, sorted_own, inner = np.take(h, order, axis=0), own[order], np.empty_like(h)
+        z = wanted(self._members(sorted_h, sorted_own, groups), sorted_own % GROUP)
         for g, part in groups:
-            mine = sorted_h[part]
-            z = wanted(mine @ self.within[g] + self.bias[g], member[part])
-            within[g], bias[g] = mine.T @ z, z.sum(0)
-            np.matmul(z, self.within[g].T, out=inner[part])
-        dh[order] += inner
+            within[g], bias[g] = sorted_h[part].T @ z[part], z[part].sum(0)
+            np.matmul(z[part], self.within[g].T, out=inner[part])
+        back = np.empty_like(order)
+        back[order] = np.arange(n)
+        dh += np.take(inner, back, axis=0)
         dh *= 1 - h * h
-        tables = np.zeros_like(self.inputs)
+        tables, row = np.zeros_like(self.inputs), np.empty_like(dh)
         for table, o in zip(tables, OFFSETS):
             met = tokens[place + o].astype(np.int16)
             order = np.argsort(met, kind="stable")
             seen = met[order]
             first = np.flatnonzero(np.r_[True, seen[1:] != seen[:-1]])
-            table[seen[first]] = np.add.reduceat(dh[order], first, axis=0)
+            np.take(dh, order, axis=0, out=row, mode="clip")
+            table[seen[first]] = np.add.reduceat(row, first, axis=0)
         return np.concatenate([tables.ravel(), dh.sum(0), top.ravel(), top_bias, within.ravel(), bias.ravel()])
 
 
@@ -434,8 +470,8 @@ def train(docs: DataFrame, text: str = "text", seed: int = 0, counts: DataFrame
                 total[:] += learner.net.flat.astype(np.float64) * learner.tokens
 
             for batch in slices(batches):
-                for t in batch.column(0):
-                    learner.add(tokens.of(t.as_py()))
+                for ids in tokens.of_all(t.as_py() for t in batch.column(0)):
+                    learner.add(ids)
                     if learner.tokens * EVERY >= BLOCK:
                         done()
                         learner = Learner(weights, phase)
@@ -477,10 +513,10 @@ def pseudo_likelihood(docs: DataFrame, tokens: Tokens, net: Net, text: str = "te
                     sums += np.bincount(doc, weights=own, minlength=len(held))
                 total.extend(sums.tolist())
 
-            for t in batch.column(1):
+            for t, ids in zip(batch.column(1), tokens.of_all(t.as_py() for t in batch.column(1))):
                 texts.append(t.as_py())
-                held.append(tokens.of(texts[-1]))
-                n.append(len(held[-1]))
+                held.append(ids)
+                n.append(len(ids))
                 waiting += n[-1]
                 if waiting >= 64 * SLICE:
                     flush()

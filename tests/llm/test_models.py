@@ -348,3 +348,12 @@ def test_whole_texts_are_measured_in_any_parts():
         assert toxicity.summaries(texts[::-1], c.gains) == together[::-1]
     finally:
         toxicity.REMEMBERED = old
+
+
+def test_texts_are_numbered_together_as_alone(monkeypatch):
+    tokens = scoring.Tokens([b"the", b"internationalisation", b"of", b"a\0"])
+    texts = ["the end of", None, "", "  \n", "Internationalisation", "a\0 a x", "of " * 50, "the", ""]
+    alone = [tokens.of(t).tolist() for t in texts]
+    assert [len(a) for a in alone] == [3, 0, 0, 0, 1, 3, 50, 1, 0]
+    monkeypatch.setattr(scoring, "SLICE_BYTES", 40)
+    assert [ids.tolist() for ids in tokens.of_all(texts)] == alone
