@@ -144,8 +144,8 @@ SELECT point_id, count(*) AS sites_in_range, {R('min(d)')} AS nearest FROM j GRO
 """)
 def radius_join_q(spark: SparkSession, sf: str) -> DataFrame:
     """Suppliers within 0.5 of each customer (cells of that side, cut where they are dense)."""
-    j = spatial.radius_join(_points(spark, sf), _sites(spark, sf), 0.5)
-    return j.groupBy("point_id").agg(F.count("*").alias("sites_in_range"), V.rnd(F.min("distance")).alias("nearest"))
+    j = spatial.radius_join(_points(spark, sf), _sites(spark, sf), 0.5, reduced=True)
+    return j.groupBy("point_id").agg(F.sum("n").alias("sites_in_range"), V.rnd(F.min("nearest")).alias("nearest"))
 
 
 @register("coverage", sql=f"""
@@ -169,8 +169,9 @@ def greedy_cover_q(spark: SparkSession, sf: str) -> DataFrame:
     pick covers most, and no later pick covers more than an earlier one."""
     pts, sites = _points(spark, sf), _sites(spark, sf)
     picks = cut_lineage(spatial.greedy_cover(pts, sites, 0.5))
-    pairs = spatial.radius_join(pts, sites, 0.5).select("point_id", "site_id")
-    reach = pairs.join(picks, "site_id", "left").groupBy("point_id").agg(F.min("pick").alias("pick"))
+    order = picks.select(F.col("site_id").alias("_id"), "pick")
+    picked = sites.join(order, F.col("site_id").eqNullSafe(F.col("_id")), "left")
+    reach = spatial.radius_join(pts, picked, 0.5, reduced=True, least="pick").groupBy("point_id").agg(F.min("least").alias("pick"))
     total = reach.agg(F.count(F.lit(1)).alias("coverable"), F.count("pick").alias("covered"))
     later = picks.select((F.col("pick") + 1).alias("pick"), F.col("n").alias("before")).join(picks, "pick")
     misordered = later.where("n > before").count()  # one number

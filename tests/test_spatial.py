@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from lodestar.operators import spatial
 
@@ -58,3 +59,27 @@ def test_no_points_or_no_sites(places):
         assert spatial.radius_join(p, s, 1.0).count() == 0 and spatial.range_counts(p, s, 1.0).count() == 0
         assert spatial.greedy_cover(p, s, 1.0).count() == 0
         assert spatial.coverage(p, s, 1.0).count() == p.count()
+
+
+def test_pairs_stay_inside_their_task(places, monkeypatch):
+    """Counts, covers and reduced joins send on one number for each place, never pairs; equal places are one."""
+    points, sites, d = places
+    monkeypatch.setattr(spatial.Edges, "near", None)
+    near = d <= 1.0
+    counts = {a.site_id: a.n for a in spatial.range_counts(points, sites, 1.0).collect()}
+    assert counts == {j: int(n) for j, n in enumerate(near.sum(axis=0)) if n}
+    ranked = sites.withColumn("pick", F.when(F.col("site_id") % 3 == 0, 1000 - F.col("site_id")))
+    got = {a.point_id: a for a in spatial.radius_join(points, ranked, 1.0, reduced=True, least="pick").collect()}
+    assert set(got) == set(np.flatnonzero(near.any(axis=1)).tolist())
+    for i, a in got.items():
+        seen = np.flatnonzero(near[i])
+        assert a.n == len(seen) and abs(a.nearest - d[i].min()) < 1e-12
+        assert a.least == min((1000 - j for j in seen if j % 3 == 0), default=None)
+    assert spatial.greedy_cover(points, sites, 1.0, max_sites=1).first().n == near.sum(axis=0).max()
+
+
+def test_cover_with_repeated_rows_null_ids_and_sites_of_two_places(spark):
+    p = spark.createDataFrame([(1, 0.0, 0.0), (1, 0.0, 0.0), (2, 0.4, 0.0), (3, 5.0, 0.0), (4, 9.0, 0.0), (None, 9.0, 0.1)], "point_id long, x double, y double")
+    s = spark.createDataFrame([(7, 0.1, 0.0), (8, 0.1, 0.0), (9, 5.0, 0.0), (9, 9.0, 0.0), (9, 9.0, 0.0), (None, 0.0, 0.0)], "site_id long, x double, y double")
+    # 9 covers one row at 5 and two rows twice at 9; 7, 8 and the null id cover three rows each
+    assert [tuple(a) for a in spatial.greedy_cover(p, s, 1.0).orderBy("pick").collect()] == [(1, 9, 5), (2, 7, 3)]
