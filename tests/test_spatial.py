@@ -78,6 +78,16 @@ def test_pairs_stay_inside_their_task(places, monkeypatch):
     assert spatial.greedy_cover(points, sites, 1.0, max_sites=1).first().n == near.sum(axis=0).max()
 
 
+def test_equal_places_are_one(spark, monkeypatch):
+    seen = []
+    made = spatial.Quadtree.__init__
+    monkeypatch.setattr(spatial.Quadtree, "__init__", lambda self, points, *rest: (seen.append(points.count()), made(self, points, *rest))[1])
+    p = spark.range(3000).selectExpr("id AS point_id", "(id % 5) / 10D AS x", "0D AS y")
+    s = spark.range(40).selectExpr("id AS site_id", "(id % 2) / 10D AS x", "0D AS y")
+    assert {(a.site_id, a.n) for a in spatial.range_counts(p, s, 0.25).collect()} == {(i, 1800 if i % 2 == 0 else 2400) for i in range(40)}
+    assert seen == [5]
+
+
 def test_cover_with_repeated_rows_null_ids_and_sites_of_two_places(spark):
     p = spark.createDataFrame([(1, 0.0, 0.0), (1, 0.0, 0.0), (2, 0.4, 0.0), (3, 5.0, 0.0), (4, 9.0, 0.0), (None, 9.0, 0.1)], "point_id long, x double, y double")
     s = spark.createDataFrame([(7, 0.1, 0.0), (8, 0.1, 0.0), (9, 5.0, 0.0), (9, 9.0, 0.0), (9, 9.0, 0.0), (None, 0.0, 0.0)], "site_id long, x double, y double")
