@@ -89,6 +89,24 @@ class Layers:
                 back = (back @ parts[i][1:].T) * ACTIVATIONS[self.hidden][1](values[i])
         return np.concatenate(grads[::-1]), float(total)
 
+    @property
+    def quadratic(self) -> bool:
+        """Whether gradient and loss sums at any weights follow from ``moments``: the loss is a quadratic form of the weights."""
+        return self.loss == "squared" and len(self.sizes) == 2
+
+    def moments(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Σ zzᵀ over rows z = (1, inputs, targets)."""
+        z = np.column_stack([np.ones(len(x)), x, self.targets(y)])
+        return z.T @ z
+
+    def gradient_of(self, moments: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, float]:
+        """``gradient`` of all rows behind ``moments`` (quadratic losses only)."""
+        (part,) = self.split(w)
+        a = len(part)
+        cross = moments[:a, a:]
+        g = moments[:a, :a] @ part - cross
+        return g.ravel(), float(0.5 * ((part * (g - cross)).sum() + np.trace(moments[a:, a:])))
+
     def biases(self) -> np.ndarray:
         """Where the flat array holds biases, which carry no penalty."""
         return np.concatenate([np.r_[np.ones(b), np.zeros((a - 1) * b)] for a, b in self.shapes]).astype(bool)

@@ -4,7 +4,9 @@ Each iteration broadcasts the current weights inside the plan, every
 partition reduces its rows to one partial (gradient sum, loss sum, row count)
 with NumPy on Arrow batches, and a tree of fixed fan-in merges them chunk by chunk.
 The update rule runs on the driver over p numbers (pluggable, X6).  The
-training table is cached once; it never returns to the driver.
+training table is cached once; it never returns to the driver.  Where the loss
+is a quadratic form of the weights, one scan takes the moments of all rows, and
+every iteration's gradient and loss follow from them.
 """
 
 from __future__ import annotations
@@ -16,8 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.operators.layers import rows_of
-from lodestar.operators.partials import array_sums
+from lodestar.operators.layers import Layers, rows_of
+from lodestar.operators.partials import array_sums, matrix
 from lodestar.session import cut_lineage
 
 
@@ -42,6 +44,22 @@ def gradient_sum(df: DataFrame, w: np.ndarray, grad_fn: Callable, vec: str = "x"
     return got.get("g", np.zeros(p)), float(loss), int(n)
 
 
+def moments(df: DataFrame, net: Layers, vec: str = "x", label: str = "y") -> np.ndarray:
+    """Σ zzᵀ over all rows z = (1, inputs, targets): what a quadratic loss needs of them, in one scan."""
+    side = 1 + net.sizes[0] + net.sizes[-1]
+
+    def reduce(batches: Iterator[pa.RecordBatch]) -> dict[str, np.ndarray]:
+        total, n = np.zeros((side, side)), 0
+        for batch in batches:
+            if batch.num_rows:
+                y = batch.column(label)
+                total += net.moments(matrix(batch.column(vec)), matrix(y) if pa.types.is_list(y.type) else y.to_numpy(zero_copy_only=False).astype(np.float64))
+                n += batch.num_rows
+        return {"m": total} if n else {}
+
+    return array_sums(df.select(vec, label), reduce).get("m", np.zeros(side * side)).reshape(side, side)
+
+
 def logistic_grad(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, float]:
     """Gradient and loss sums of the logistic loss (factor 1, D11); y in 0/1."""
     z = x @ w
@@ -100,7 +118,7 @@ STEPS = {"sgd": Sgd, "nesterov": Nesterov, "adagrad": Adagrad}
 def train(df: DataFrame, p: int, grad_fn: Callable = logistic_grad, rate: float = 0.5, lam: float = 0.0,
           iters: int = 60, tol: float = 1e-6, vec: str = "x", label: str = "y", step: Sgd | None = None,
           start: np.ndarray | None = None, free: np.ndarray | None = None, batches: int = 1, key: str | None = None,
-          anchor: float = 0.0) -> list[dict]:
+          anchor: float = 0.0, sums: np.ndarray | None = None) -> list[dict]:
     """Distributed gradient training; the history, whose last row holds the weights.
 
     ``step`` is any step rule (default: Nesterov at ``rate``).  With ``batches`` > 1 rows are dealt
@@ -108,19 +126,30 @@ def train(df: DataFrame, p: int, grad_fn: Callable = logistic_grad, rate: float
     penalty on all weights but those marked ``free`` (default: the first, the intercept); ``anchor`` is
     a proximal term that holds the weights near ``start``.  Training stops when the norm of the
     gradient is under ``tol`` or after ``iters`` iterations.
+
+    Over all rows at once (``batches`` = 1) the gradient of a quadratic ``Layers`` comes from its ``moments``: one scan whatever
+    ``iters`` is, or none where several trainings share ``sums``.
     """
     from lodestar.operators.sampling import hash_order
 
     cols = [vec, label]
-    data = df.select(*cols, *([F.pmod(hash_order(key), F.lit(batches)).alias("_batch")] if batches > 1 else [])).cache()
+    net = getattr(grad_fn, "__self__", None)
+    if batches == 1 and isinstance(net, Layers) and net.quadratic and grad_fn == net.gradient:
+        sums = moments(df, net, vec, label) if sums is None else sums
+        data = None
+    else:
+        data = df.select(*cols, *([F.pmod(hash_order(key), F.lit(batches)).alias("_batch")] if batches > 1 else [])).cache()
     w = np.zeros(p) if start is None else np.array(start, dtype=float)
     home = w.copy()
     held = np.arange(p) > 0 if free is None else ~np.asarray(free)
     step = step or Nesterov(rate)
     hist = []
     for t in range(1, iters + 1):
-        part = data.where(F.col("_batch") == (t - 1) % batches) if batches > 1 else data
-        g, loss, n = gradient_sum(part, w, grad_fn, vec, label)
+        if data is None:
+            (g, loss), n = net.gradient_of(sums, w), int(sums[0, 0])
+        else:
+            part = data.where(F.col("_batch") == (t - 1) % batches) if batches > 1 else data
+            g, loss, n = gradient_sum(part, w, grad_fn, vec, label)
         if not n:
             continue
         pen = lam * w * held
@@ -130,7 +159,8 @@ def train(df: DataFrame, p: int, grad_fn: Callable = logistic_grad, rate: float
         if batches == 1 and np.linalg.norm(grad) < tol:
             break
         w = step(w, grad, t)
-    data.unpersist()
+    if data is not None:
+        data.unpersist()
     if hist:
         hist[-1]["weights"] = w.tolist()
     return hist

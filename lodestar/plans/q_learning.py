@@ -157,16 +157,17 @@ o AS (SELECT * FROM (VALUES ('sgd'), ('nesterov'), ('adagrad')) t(optimizer))
 SELECT optimizer, round(regr_slope(y1, x), 3) + 0.0 AS slope_1, round(regr_slope(y2, x), 3) + 0.0 AS slope_2 FROM r, o GROUP BY optimizer
 """)
 def multioutput_fit(spark: SparkSession, sf: str) -> DataFrame:
-    """M15 + X6: two outputs on one standardized input, squared loss, by SGD, Nesterov and Adagrad steps."""
+    """M15 + X6: two outputs on one standardized input, squared loss, by SGD, Nesterov and Adagrad steps over moments from one scan."""
     li = table(spark, sf, "lineitem").select((F.col("l_extendedprice") / 1000.0).alias("y1"), (F.col("l_tax") * 100.0).alias("y2"),
                                              F.col("l_quantity").cast("double").alias("x"))
     mean, sd = li.agg(F.avg("x"), F.stddev_samp("x")).first()
     d = li.select(F.array((F.col("x") - mean) / sd).alias("x"), F.array(F.col("y1").cast("double"), F.col("y2").cast("double")).alias("y"))
     net = layers.Layers([1, 2], loss="squared")
+    sums = nets.moments(d, net)
     rows = []
     for name, rate, iters in (("sgd", 1.0, 12), ("nesterov", 1.0, 12), ("adagrad", 12.0, 80)):
         w = nets.train(d, net.n_weights, net.gradient, step=nets.STEPS[name](rate), iters=iters, start=np.zeros(net.n_weights),
-                       free=net.biases(), tol=1e-7)[-1]["weights"]
+                       free=net.biases(), tol=1e-7, sums=sums)[-1]["weights"]
         slopes = net.split(w)[0][1]
         rows.append((name, float(slopes[0] / sd), float(slopes[1] / sd)))
     return spark.createDataFrame(rows, "optimizer string, slope_1 double, slope_2 double").select(

@@ -172,6 +172,27 @@ def test_layer_gradients_against_differences():
             assert abs((net.gradient(x, y, w + d)[1] - net.gradient(x, y, w - d)[1]) / 2e-6 - g[i]) < 1e-3
 
 
+def test_a_quadratic_loss_takes_one_scan(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(200, 3)) + 2.0
+    y = np.column_stack([x @ [1.0, -2.0, 0.5] + 3.0, x[:, 0] - 40.0]) + rng.normal(size=(200, 2))
+    df = spark.createDataFrame([(a.tolist(), b.tolist()) for a, b in zip(x, y)], "x array<double>, y array<double>").repartition(3)
+    net = layers.Layers([3, 2], loss="squared")
+    scans, sums = [], nets.array_sums
+    monkeypatch.setattr(nets, "array_sums", lambda *a: scans.append(1) or sums(*a))
+    for name in nets.STEPS:
+        scans.clear()
+        step, w, want = nets.STEPS[name](0.05), net.start(1), []
+        hist = nets.train(df, net.n_weights, net.gradient, step=nets.STEPS[name](0.05), iters=7, lam=0.1, start=w, free=net.biases())
+        assert len(scans) == 1
+        for t in range(1, 8):
+            g, loss = net.gradient(x, y, w)
+            want.append(loss / 200 + 0.05 * float((w[~net.biases()] ** 2).sum()))
+            w = step(w, g / 200 + 0.1 * w * ~net.biases(), t)
+        assert np.allclose([h["loss"] for h in hist], want, rtol=1e-10)
+        assert np.allclose(hist[-1]["weights"], w, rtol=1e-10)
+
+
 def test_anchor_holds_weights(spark):
     rng = np.random.default_rng(0)
     rows = [([1.0, float(a)], float(a + rng.normal() > 0)) for a in rng.normal(size=300)]
