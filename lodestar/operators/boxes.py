@@ -6,12 +6,16 @@ convention: a box covers x..x+w, so its area is (w + 1)(h + 1).
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestar.operators import blocks
+from lodestar.session import cut_lineage
 
 
 def _shared_pixels(start_a: Column, size_a: Column, start_b: Column, size_b: Column) -> Column:
@@ -68,28 +72,40 @@ def label_proposals(proposals: DataFrame, truth: DataFrame, keys: list[str], box
     """Each proposal once, with its best IoU against truth boxes sharing ``keys``
     and ``label = 1`` when that IoU exceeds ``min_iou`` (no truth box → 0).
 
-    Ordinary keys run as an equi-join + ``max``; keys whose proposal × truth
-    count exceeds ``pair_limit`` are cut into sub-blocks (by a hash of each box) and reduced in NumPy;
+    A proposal meets the list of its keys' truth boxes, so proposals that are dealt out by ``keys`` stay where they are; keys
+    whose proposal × truth count exceeds ``pair_limit`` are cut into sub-blocks (by a hash of each box) and reduced in NumPy;
     both do the same arithmetic.
     """
     cols = ["x", "y", "w", "h"]
-    p = proposals.select(*[F.col(k).alias(k) for k in keys], F.col(box_id).alias("_pid"), *cols)
-    t = truth.select(*[F.col(k).alias(k) for k in keys], F.xxhash64(*keys, *cols).alias("_tid"),
-                     *[F.col(c).alias("t_" + c) for c in cols])
-    p_cold, t_cold, hot = blocks.split_hot(p, t, keys, pair_limit)
-    j = p_cold.join(t_cold, keys).select(
-        "_pid", iou(tuple(F.col(c) for c in cols), tuple(F.col("t_" + c) for c in cols)).alias("iou"))
-    cold = j.groupBy("_pid").agg(F.max("iou").alias("max_iou"))
-
-    def fn(pp: pd.DataFrame, tp: pd.DataFrame) -> pd.DataFrame:
-        m = iou_np(pp[cols].to_numpy(), tp[["t_" + c for c in cols]].to_numpy())
-        return pd.DataFrame({"_pid": pp["_pid"].to_numpy(), "max_iou": m.max(axis=1)})
-
-    hot_part = blocks.cogroup_grouped_blocks(
-        p.join(hot.select(*keys), keys), t.join(hot.select(*keys), keys), keys, hot, "_pid", "_tid", fn,
-        f"_pid {proposals.schema[box_id].dataType.simpleString()}, max_iou double")
-    best = cold.unionByName(hot_part).groupBy("_pid").agg(F.max("max_iou").alias("max_iou"))
-    out = proposals.join(best.withColumnRenamed("_pid", box_id), box_id, "left")
+    own = tuple(F.col(c) for c in cols)
+    met = reduce(and_, [F.col(k).isNotNull() for k in keys])
+    whole = proposals.select(box_id, *[c for c in proposals.columns if c != box_id])
+    p = whole.where(met)
+    t = truth.where(met).select(*[F.col(k).alias(k) for k in keys], *[F.col(c).alias("t_" + c) for c in cols])
+    n_left = p.groupBy(*[F.col(k).alias(k) for k in keys]).agg(F.count("*").alias("n_left"))
+    n_right = t.groupBy(*[F.col(k).alias(k) for k in keys]).agg(F.count("*").alias("n_right"))
+    # long truth lists are hot too
+    hot = cut_lineage(n_right.join(n_left, keys, "left").where(F.greatest(F.coalesce("n_left", F.lit(0)), F.lit(1)) * F.col("n_right") > pair_limit)
+                      .withColumn("n_left", F.coalesce("n_left", F.lit(0))))
+    any_hot = hot.limit(1).count() > 0
+    hot_keys = hot.select(*[F.col(k).alias(k) for k in keys])
+    p_cold, t_cold = (d.join(hot_keys, keys, "left_anti") if any_hot else d for d in (p, t))
+    lists = t_cold.groupBy(*keys).agg(F.collect_list(F.struct(*["t_" + c for c in cols])).alias("_truth"))
+    out = p_cold.join(lists, keys, "left").withColumn(
+        "max_iou", F.array_max(F.transform("_truth", lambda b: iou(own, tuple(b["t_" + c] for c in cols))))).select(*p.columns, "max_iou")
+    if any_hot:
+        def fn(pp: pd.DataFrame, tp: pd.DataFrame) -> pd.DataFrame:
+            m = iou_np(pp[cols].to_numpy(), tp[["t_" + c for c in cols]].to_numpy())
+            return pd.DataFrame({"_pid": pp["_pid"].to_numpy(), "max_iou": m.max(axis=1)})
+
+        p_hot, both = p.join(hot_keys, keys), hot.where("n_left > 0")
+        best = blocks.cogroup_grouped_blocks(
+            p_hot.select(*[F.col(k).alias(k) for k in keys], F.col(box_id).alias("_pid"), *cols),
+            t.withColumn("_tid", F.xxhash64(*t.columns)), keys, both,
+            "_pid", "_tid", fn, f"_pid {proposals.schema[box_id].dataType.simpleString()}, max_iou double")
+        best = best.groupBy(F.col("_pid").alias(box_id)).agg(F.max("max_iou").alias("max_iou"))
+        out = out.unionByName(p_hot.join(best, box_id, "left").select(*p.columns, "max_iou"))
+    out = out.unionByName(whole.where(~met).withColumn("max_iou", F.lit(None).cast("double")))
     return out.withColumn("max_iou", F.coalesce("max_iou", F.lit(0.0))).withColumn(
         "label", (F.col("max_iou") > min_iou).cast("int"))
 

@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 #: ``hash_order`` takes values below this.
 HASH_MOD = 1 << 60
+#: Leading bits of a hash that ``negative_ratio_sample`` counts by, and classes whose cuts may be broadcast.
+CAP_BITS, FEW_CLASSES = 8, 2000
 
 
 def hash_order(key: Column | str, seed: int = 0) -> Column:
@@ -65,14 +67,33 @@ def negative_ratio_sample(neg: DataFrame, pos_counts: DataFrame, cls: str, key:
                           ties: Sequence[str] = ()) -> DataFrame:
     """T5: per class keep at most ``ratio × positives`` negatives (seeded hash order, then ``key`` and ``ties``).
 
-    Rows are numbered range by range, so the majority class is not one task.
+    Negatives are counted by class and leading bits of their hash.  All below the bin in which a class reaches its cap are
+    kept where they are; only that bin's rows are numbered, range by range, so neither the majority class nor
+    its sample is moved.  ``neg`` is read three times: write it down before where it is dear to make.
     """
     from lodestar.operators.prefix import grouped_row_number
-
-    ranked = grouped_row_number(neg.withColumn("_h", hash_order(key, seed)), [cls],
-                                [("_h", True), (key, True), *((c, True) for c in ties)], "_r").drop("_h")
-    j = ranked.join(pos_counts.select(cls, F.col("n_pos")), cls, "left")
-    return j.where(F.col("_r") <= F.floor(F.coalesce(F.col("n_pos"), F.lit(0)) * ratio)).drop("_r", "n_pos")
+    from lodestar.session import cut_lineage
+
+    columns = [cls, *[c for c in neg.columns if c != cls]]
+    n = neg.withColumn("_h", hash_order(key, seed)).withColumn("_bin", F.shiftright("_h", HASH_MOD.bit_length() - 1 - CAP_BITS).cast("int"))
+    bins = n.groupBy(cls, "_bin").agg(F.count("*").alias("n")).groupBy(cls).agg(F.array_sort(F.collect_list(F.struct("_bin", "n"))).alias("_bins"))
+    cap = F.floor(F.coalesce(F.col("n_pos"), F.lit(0)) * ratio).cast("long")
+    start = F.struct(F.lit(None).cast("int").alias("cut"), cap.alias("room"))
+
+    def fill(held: Column, e: Column) -> Column:
+        fits = held["cut"].isNull() & (e["n"] <= held["room"])
+        return F.struct(F.when(~fits, F.coalesce(held["cut"], e["_bin"])).alias("cut"),
+                        F.when(fits, held["room"] - e["n"]).otherwise(held["room"]).alias("room"))
+
+    at = pos_counts.select(cls, "n_pos").join(bins, cls).select(cls, F.aggregate("_bins", start, fill).alias("_at"))
+    cuts = cut_lineage(at.select(F.col(cls).alias("_cls"), F.col("_at.cut").alias("_cut"), F.col("_at.room").alias("_room")))
+    few = cuts.limit(FEW_CLASSES + 1).count() <= FEW_CLASSES  # one row for each class
+    cuts = F.broadcast(cuts) if few else cuts
+    mine, here = F.col(cls) == F.col("_cls"), F.col("_bin") == F.col("_cut")
+    whole = n.join(cuts, mine & (F.col("_cut").isNull() | (F.col("_bin") < F.col("_cut"))))
+    edge = grouped_row_number(n.join(cuts, mine & here, "left_semi"), [cls, "_bin"],
+                              [("_h", True), (key, True), *((c, True) for c in ties)], "_r")
+    return whole.select(*columns).unionByName(edge.join(cuts, mine & here & (F.col("_r") <= F.col("_room"))).select(*columns))
 
 
 def hard_negatives(scored: DataFrame, key: str, score: str, label: str, by: Sequence[str] = (), seed: int = 0,

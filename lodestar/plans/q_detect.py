@@ -11,6 +11,7 @@ from lodestar.plans import derived
 from lodestar.plans.derived import BOXES_SQL, IMG_H, IMG_W, VECTORS_SQL
 from lodestar.plans.registry import register
 from lodestar.plans.sqlfrag import R
+from lodestar.session import cut_lineage, discard, scratch
 
 _COLS = ("x", "y", "w", "h")
 
@@ -152,11 +153,16 @@ kept AS (SELECT ng.* FROM ng LEFT JOIN pc USING (category_id)
 SELECT category_id, count(*) AS negatives FROM kept GROUP BY category_id
 """)
 def negative_ratio_sample_q(spark: SparkSession, sf: str) -> DataFrame:
-    """T5: at most 3 negatives per positive in each category, seeded hash order."""
-    lab = labelled(spark, sf).withColumn("sk", F.col("img_id") * 1000 + F.col("l_linenumber"))
+    """T5: at most 3 negatives per positive in each category, seeded hash order; labels are made once and written down."""
+    path = scratch(spark, "labelled")
+    sk = (F.col("img_id") * 1000 + F.col("l_linenumber")).alias("sk")
+    labelled(spark, sf).select("category_id", "label", sk, "l_partkey", "l_suppkey", "w").write.parquet(path)
+    lab = spark.read.parquet(path)
     pc = lab.where("label = 1").groupBy("category_id").agg(F.count("*").alias("n_pos"))
     kept = sampling.negative_ratio_sample(lab.where("label = 0"), pc, "category_id", "sk", 3, ties=["l_partkey", "l_suppkey", "w"])
-    return kept.groupBy("category_id").agg(F.count("*").alias("negatives"))
+    out = cut_lineage(kept.groupBy("category_id").agg(F.count("*").alias("negatives")))
+    discard(spark, path)
+    return out
 
 
 @register("concat_box_lists", sql=f"""

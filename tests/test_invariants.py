@@ -38,6 +38,29 @@ def test_iou_hot_image_path_matches_join_path(spark):
     assert ka == kb
 
 
+def test_boxes_dealt_by_image_stay_where_they_are(spark):
+    rng = np.random.default_rng(3)
+    rows = [(f"b{i}", int(i % 9) or None, int(i % 2), *map(int, rng.integers(1, 60, 4)), i % 5 == 0) for i in range(400)]
+    b = spark.createDataFrame(rows, "box_id string, img_id long, category_id int, x int, y int, w int, h int, truth boolean")
+    b = b.repartition(4, "img_id", "category_id")
+    least = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for limit in (10 ** 6, 60):
+            lab = boxes.label_proposals(b.where("NOT truth"), b.where("truth"), ["img_id", "category_id"], pair_limit=limit)
+            if limit > 60:
+                assert "ENSURE_REQUIREMENTS" not in lab._jdf.queryExecution().executedPlan().toString()
+            got = {r["box_id"]: r["max_iou"] for r in lab.collect()}
+            assert len(got) == lab.count() == sum(not r[7] for r in rows)
+            for r in rows:
+                if not r[7]:
+                    near = [t for t in rows if t[7] and t[1] == r[1] is not None and t[2] == r[2]]
+                    want = boxes.iou_np(np.array([r[3:7]]), np.array([t[3:7] for t in near])).max() if near else 0.0
+                    assert abs(got[r[0]] - want) < 1e-12
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", least)
+
+
 def test_iou_sums_of_a_hot_image(spark):
     truth, props = derived.truth_and_proposals(spark, SF_SMALL)
     a, b = (boxes.iou_summary(props, truth, ["category_id"], pair_limit=n).first() for n in (10 ** 12, 0))

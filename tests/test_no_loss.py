@@ -107,6 +107,25 @@ def test_samplers_with_a_majority_class(spark):
     assert capped.count() == 17
 
 
+def test_only_the_last_bin_of_a_class_is_numbered(spark, monkeypatch):
+    from lodestar.operators import prefix
+
+    keys = [("a", i % 3000, i) for i in range(6000)] + [("b", i, i) for i in range(40)] + [(None, i, i) for i in range(9)] + [("c", i, i) for i in range(30)]
+    neg = spark.createDataFrame([("d", None, i) for i in range(50)] + keys, "cls string, key long, tie int").repartition(5)
+    pos = spark.createDataFrame([("a", 700), ("b", 100), ("c", None), ("d", 7), ("e", 3)], "cls string, n_pos long")
+    numbered, number = [], prefix.grouped_row_number
+    monkeypatch.setattr(prefix, "grouped_row_number", lambda df, *a: numbered.append(df.count()) or number(df, *a))
+    got = sampling.negative_ratio_sample(neg, pos, "cls", "key", 2.5, seed=4, ties=["tie"])
+    order = sampling.hash_order("key", 4)
+    rows = [tuple(r) for r in neg.select("cls", "key", "tie", order.alias("h")).collect()]
+    want = []
+    for cls, cap in (("a", 1750), ("b", 250), ("d", 17)):
+        want += sorted((r for r in rows if r[0] == cls), key=lambda r: (r[3], r[1] or 0, r[2]))[:cap]
+    assert got.columns == ["cls", "key", "tie"]
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted((r[:3] for r in want), key=repr)
+    assert numbered[0] < 200
+
+
 def test_rank_within_class_equals_window(spark):
     df = spark.range(2000).select("id", (F.col("id") % 3).alias("c"), (F.col("id") * 7 % 50 / 10.0).alias("d"))
     want = df.withColumn("rank", F.rank().over(Window.partitionBy("c").orderBy("d")))
