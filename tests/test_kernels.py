@@ -41,6 +41,21 @@ def test_products_sums_and_spectrum(points):
             assert abs(abs(got[:, j] @ vec[:, -1 - j]) - np.sqrt(values[j])) < 1e-6
 
 
+def test_a_spectrum_takes_row_sums_along(points, monkeypatch):
+    df, x, _ = points
+    d = dense(x)
+    k = kernelspace.KernelMatrix(df, "key", "v", kernelspace.gaussian(1.0), block_rows=64)
+    products, times = [], kernelspace.KernelMatrix.times
+    monkeypatch.setattr(kernelspace.KernelMatrix, "times", lambda self, *a, **b: products.append(1) or times(self, *a, **b))
+    values, residual, _ = kernelspace.spectrum(k, 2, tol=1e-5, tell=True)
+    c = d - d.mean(axis=0) - d.mean(axis=1)[:, None] + d.mean()
+    assert np.allclose(values, np.linalg.eigvalsh(c)[::-1][:2], rtol=1e-8) and residual.max() <= 1e-5 * values[0]
+    made = len(products)
+    assert np.allclose(k.sums(), (300.0, d.sum(), (d * d).sum()), rtol=1e-12)
+    assert np.allclose([r["w"] for r in k.row_sums().orderBy("key").collect()], d.sum(axis=1)[:, None], rtol=1e-12)
+    assert len(products) == made
+
+
 def test_spectrum_of_a_matrix_of_low_rank(spark):
     rows = [(i, [float(i % 3)]) for i in range(90)]
     df = spark.createDataFrame(rows, "key string, v array<double>")
